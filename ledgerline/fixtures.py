@@ -78,12 +78,8 @@ def fb_lineitem(spark, sf_dir) -> DataFrame:
                      "l_returnflag", F.to_date("l_shipdate").alias("_report_date"))
 
 
-def fb_bounds(spark, sf_dir) -> tuple:
-    """The month left out of the target and the week staged are fixed dates
-    inside the lineitem ship-date range."""
-    return ("1995-03-01", "1995-04-01", "1995-03-10", "1995-03-17")
-
-
+# The month left out of the target and the week staged: fixed dates inside
+# the lineitem ship-date range.
 FB_MONTH_FROM, FB_MONTH_TO, FB_WEEK_FROM, FB_WEEK_TO = ("1995-03-01", "1995-04-01",
                                                        "1995-03-10", "1995-03-17")
 
@@ -139,3 +135,157 @@ def fd_target(spark, sf_dir) -> DataFrame:
     b = orders_base(spark, sf_dir).where(F.col("id") % 13 != 0)
     return (b.withColumn("o_comment", F.concat(F.lit("c"), F.col("id").cast("string")))
             .withColumns({"_etl_synced": ts(T0), "_etl_operation": F.lit("INSERT")}))
+
+
+# ------------------------------------------------------------ tenants
+def companies(spark, sf_dir) -> DataFrame:
+    """Tenants from customer (credential columns never exist here)."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("company_id"), F.col("c_name").alias("company_name"),
+        F.when(F.col("c_custkey") % 9 != 0, F.concat(F.lit("proj-"), F.col("c_nationkey").cast("string")))
+        .alias("company_project_id"),
+        (F.col("c_acctbal") > 0).alias("company_bigquery_status"),
+        (F.col("c_mktsegment") != "BUILDING").alias("company_fivetran_status"))
+
+
+SQL_COMPANIES = """
+companies AS (SELECT c_custkey AS company_id, c_name AS company_name,
+  CASE WHEN c_custkey % 9 <> 0 THEN 'proj-' || CAST(c_nationkey AS VARCHAR) END AS company_project_id,
+  c_acctbal > 0 AS company_bigquery_status, c_mktsegment <> 'BUILDING' AS company_fivetran_status
+  FROM customer)
+"""
+
+
+# ------------------------------------------------------------ F-C
+SPLIT_TS = "2024-01-20 00:00:00"
+
+
+def history(spark, sf_dir) -> DataFrame:
+    """Monitoring history: one snapshot row per event."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("user_id").alias("company_id"), F.col("event_type").alias("endpoint_name"),
+                    F.col("value").alias("actual_duration"), F.col("ts").alias("updated_at"))
+
+
+def events_now(spark, sf_dir):
+    """"now" = max(ts) of events, as a scalar subquery."""
+    return table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+
+
+def fc_snapshot(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events").where(F.col("ts") < ts(SPLIT_TS))
+    return (e.groupBy(F.col("user_id").alias("company_id"), F.col("event_type").alias("endpoint_name"))
+            .agg(F.max("ts").alias("max_sync"), F.count(F.lit(1)).alias("actual_rows"),
+                 F.round(F.sum("value"), 2).alias("actual_duration"))
+            .select("company_id", "endpoint_name", "max_sync", "actual_rows", "actual_duration",
+                    F.lit("SUCCESS").alias("actual_status"),
+                    F.lit(None).cast("bigint").alias("last_rows"),
+                    F.lit(None).cast("double").alias("last_duration"),
+                    F.lit(None).cast("string").alias("last_status"),
+                    F.col("max_sync").alias("updated_at")))
+
+
+def fc_run(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events").where(F.col("ts") >= ts(SPLIT_TS))
+    return (e.groupBy(F.col("user_id").alias("company_id"), F.col("event_type").alias("endpoint_name"))
+            .agg(F.max("ts").alias("max_sync"), F.count(F.lit(1)).alias("rows_processed"),
+                 F.round(F.sum("value"), 2).alias("duration_sec"))
+            .withColumn("status", F.lit("SUCCESS")))
+
+
+SQL_FC = f"""
+fc_t AS (SELECT user_id AS company_id, event_type AS endpoint_name, max(ts) AS max_sync,
+                count(*) AS actual_rows, round(sum(value), 2) AS actual_duration
+         FROM events WHERE ts < TIMESTAMP '{SPLIT_TS}' GROUP BY 1, 2),
+fc_s AS (SELECT user_id AS company_id, event_type AS endpoint_name, max(ts) AS max_sync,
+                count(*) AS rows_processed, round(sum(value), 2) AS duration_sec
+         FROM events WHERE ts >= TIMESTAMP '{SPLIT_TS}' GROUP BY 1, 2)
+"""
+
+
+# ------------------------------------------------------------ registry
+def registry(spark, sf_dir) -> DataFrame:
+    """Endpoint registry from part: nested endpoint struct + flags."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    endpoint = F.struct(
+        F.lower("p_type").alias("module"), F.lit("v2").alias("version"),
+        F.when(k % 5 == 0, F.lit("jobs")).alias("submodule"),
+        F.replace(F.col("p_name"), F.lit(" "), F.lit("-")).alias("name"),
+        F.when(k % 11 == 0, F.lit("export")).alias("endpoint_type"))
+    return p.select(
+        endpoint.alias("endpoint"), F.concat(F.lit("tbl_"), k.cast("string")).alias("table_name"),
+        (F.col("p_size") > 5).alias("active"), (k % 4 != 0).alias("silver_use_bronze"),
+        F.when(k % 3 == 0, F.lit(False)).when(k % 3 == 1, F.lit(True)).alias("use_merge"),
+        F.when(k % 7 != 0, F.col("p_size") % 2 == 0).alias("is_production"))
+
+
+SQL_REGISTRY = """
+registry AS (SELECT lower(p_type) AS ep_module, 'v2' AS ep_version,
+  CASE WHEN p_partkey % 5 = 0 THEN 'jobs' END AS ep_submodule,
+  replace(p_name, ' ', '-') AS ep_name,
+  CASE WHEN p_partkey % 11 = 0 THEN 'export' END AS ep_endpoint_type,
+  'tbl_' || CAST(p_partkey AS VARCHAR) AS table_name, p_size > 5 AS active,
+  p_partkey % 4 <> 0 AS silver_use_bronze,
+  CASE WHEN p_partkey % 3 = 0 THEN false WHEN p_partkey % 3 = 1 THEN true END AS use_merge,
+  CASE WHEN p_partkey % 7 <> 0 THEN p_size % 2 = 0 END AS is_production
+  FROM part)
+"""
+
+
+# ------------------------------------------------------------ report catalog
+PARAMS_JSON = ('[{"name": "From", "dataType": "Date"}, {"name": "To", "dataType": "Date"}, '
+               '{"name": "BusinessUnitId", "dataType": "Number"}]')
+FIELDS_JSON = '[{"name": "Id", "dataType": "Number"}, {"name": "Name", "dataType": "String"}]'
+
+
+def catalog(spark, sf_dir) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 4 != 0)
+    k = F.col("s_suppkey")
+    active = k % 3 == 0
+    return s.select(
+        F.col("s_nationkey").cast("bigint").alias("company_id"),
+        F.concat(F.lit("cat"), (k % 5).cast("string")).alias("report_category"),
+        k.alias("report_id"), F.col("s_name").alias("report_name"),
+        F.lit(None).cast("string").alias("report_description"),
+        ts(T0).alias("report_modified_on"), F.lit(PARAMS_JSON).alias("parameters"),
+        F.lit("[]").alias("fields"), active.alias("is_active"),
+        F.when(active, F.concat(F.lit("rep_"), k.cast("string"))).alias("table_name"),
+        F.when(active, F.lit("2024-06-01").cast("date")).alias("history_from"),
+        ts(T0).alias("discovered_at"))
+
+
+def discovered(spark, sf_dir) -> DataFrame:
+    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 6 != 0)
+    k = F.col("s_suppkey")
+    return s.select(
+        F.col("s_nationkey").cast("bigint").alias("company_id"),
+        F.concat(F.lit("cat"), (k % 5).cast("string")).alias("report_category"),
+        k.alias("report_id"), F.concat(F.col("s_name"), F.lit(" v2")).alias("report_name"),
+        F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("report_description"),
+        ts(SYNCED_AT).alias("report_modified_on"), F.lit(PARAMS_JSON).alias("parameters"),
+        F.lit(FIELDS_JSON).alias("fields"), ts(SYNCED_AT).alias("discovered_at"))
+
+
+SQL_CATALOG = f"""
+catalog AS (SELECT CAST(s_nationkey AS BIGINT) AS company_id,
+  'cat' || CAST(s_suppkey % 5 AS VARCHAR) AS report_category, s_suppkey AS report_id,
+  s_name AS report_name, CAST(NULL AS VARCHAR) AS report_description,
+  TIMESTAMP '{T0}' AS report_modified_on, '{PARAMS_JSON}' AS parameters, '[]' AS fields,
+  s_suppkey % 3 = 0 AS is_active,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'rep_' || CAST(s_suppkey AS VARCHAR) END AS table_name,
+  CASE WHEN s_suppkey % 3 = 0 THEN DATE '2024-06-01' END AS history_from,
+  TIMESTAMP '{T0}' AS discovered_at
+  FROM supplier WHERE s_suppkey % 4 <> 0),
+discovered AS (SELECT CAST(s_nationkey AS BIGINT) AS company_id,
+  'cat' || CAST(s_suppkey % 5 AS VARCHAR) AS report_category, s_suppkey AS report_id,
+  s_name || ' v2' AS report_name, 'nation ' || CAST(s_nationkey AS VARCHAR) AS report_description,
+  TIMESTAMP '{SYNCED_AT}' AS report_modified_on, '{PARAMS_JSON}' AS parameters,
+  '{FIELDS_JSON}' AS fields, TIMESTAMP '{SYNCED_AT}' AS discovered_at
+  FROM supplier WHERE s_suppkey % 6 <> 0)
+"""
+
+
+# Plan subset used by P10 (plan tables ending in 1, a report, a table).
+SUBSET_NAMES = [f"tbl_{i}1" for i in range(10)] + ["report/Supplier#000000003", "tbl_7"]

@@ -69,3 +69,294 @@ SELECT CASE WHEN m1.id IS NOT NULL THEN 'UPDATE' ELSE 'INSERT' END AS _etl_opera
 FROM fa_base b LEFT JOIN m1 ON b.id = m1.id
 GROUP BY 1
 """)
+
+
+sql("overwrite", f"""
+WITH {fx.SQL_FA}
+SELECT *, TIMESTAMP '{S}' AS _etl_synced, 'OVERWRITE' AS _etl_operation FROM fa_s
+""")
+
+sql("first_load", f"""
+WITH {fx.SQL_FA}
+SELECT id, o_custkey, o_orderdate, o_orderpriority, o_orderstatus,
+       CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+       TIMESTAMP '{S}' AS _etl_synced, 'INSERT' AS _etl_operation
+FROM fa_s
+""")
+
+sql("replace_all", f"""
+SELECT p_partkey, p_name, p_brand, round(p_retailprice * 1.1, 2) AS p_retailprice,
+       CAST(NULL AS VARCHAR) AS p_note, p_size,
+       TIMESTAMP '{S}' AS _etl_synced, 'INSERT' AS _etl_operation
+FROM part
+""")
+
+sql("replace_dates", f"""
+WITH {fx.SQL_FB}
+SELECT * FROM fb_t
+WHERE _report_date IS NULL
+   OR _report_date NOT IN (SELECT DISTINCT _report_date FROM fb_s WHERE _report_date IS NOT NULL)
+UNION ALL
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_returnflag, _report_date,
+       TIMESTAMP '{S}' AS _etl_synced, 'INSERT' AS _etl_operation
+FROM fb_s
+""")
+
+sql("semi_delete", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""")
+
+sql("merge_dup_guard", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_copies FROM lineitem
+GROUP BY 1, 2 HAVING count(*) > 1
+""")
+
+sql("safe_cast_align", f"""
+WITH {fx.SQL_FA},
+fd_s AS (SELECT id, o_custkey, o_orderstatus,
+           CASE WHEN id % 50 = 0 THEN 'N/A' WHEN id % 51 = 0 THEN '3.0'
+                ELSE CAST(o_totalprice AS VARCHAR) END AS o_totalprice,
+           o_orderdate, o_orderpriority, 'Clerk#' || CAST(o_custkey AS VARCHAR) AS o_clerk
+         FROM fa_base),
+fd_t AS (SELECT *, 'c' || CAST(id AS VARCHAR) AS o_comment FROM fa_base WHERE id % 13 <> 0)
+SELECT s.id, s.o_custkey, s.o_orderstatus, TRY_CAST(s.o_totalprice AS DOUBLE) AS o_totalprice,
+       s.o_orderdate, s.o_orderpriority, t.o_comment, s.o_clerk,
+       TIMESTAMP '{S}' AS _etl_synced,
+       CASE WHEN t.id IS NOT NULL THEN 'UPDATE' ELSE 'INSERT' END AS _etl_operation
+FROM fd_s s LEFT JOIN fd_t t ON t.id = s.id
+""")
+
+sql("surrogate_key", """
+SELECT o_orderkey,
+       md5(concat_ws('|', coalesce(CAST(o_custkey AS VARCHAR), ''),
+                     coalesce(CAST(o_orderdate AS VARCHAR), ''),
+                     coalesce(CASE WHEN o_orderkey % 17 <> 0 THEN o_orderpriority END, ''))) AS id
+FROM orders
+""")
+
+sql("coerce_types", """
+WITH r AS (
+  SELECT event_id,
+         CASE event_id % 9 WHEN 0 THEN 'N/A' WHEN 1 THEN '3.0' WHEN 2 THEN 'yes' WHEN 3 THEN 'No'
+              WHEN 4 THEN '-2.7' WHEN 5 THEN '0' ELSE json_extract_string(props, '$.k') END AS raw
+  FROM events)
+SELECT event_id, raw,
+       CASE WHEN isfinite(TRY_CAST(raw AS DOUBLE))
+            THEN CAST(trunc(TRY_CAST(raw AS DOUBLE)) AS BIGINT) END AS as_int,
+       TRY_CAST(raw AS DOUBLE) AS as_float,
+       CASE WHEN lower(raw) IN ('true', '1', 'yes') THEN true
+            WHEN lower(raw) IN ('false', '0', 'no') THEN false END AS as_bool
+FROM r
+""")
+
+sql("write_mode_plan", """
+WITH plan AS (
+  SELECT p_partkey, 'tbl_' || CAST(p_partkey AS VARCHAR) AS table_name,
+         CASE WHEN p_partkey % 4 = 0 THEN false WHEN p_partkey % 7 = 0 THEN NULL ELSE true END AS use_merge,
+         CASE WHEN p_partkey % 5 = 0 THEN false WHEN p_partkey % 11 = 0 THEN NULL ELSE true END AS is_production,
+         p_partkey % 3 <> 0 AS staging_has_id, p_size % 2 = 0 AS staging_has_date,
+         p_size % 3 = 0 AS target_has_date
+  FROM part),
+facts AS (SELECT o_custkey, count(*) AS target_rows FROM orders GROUP BY 1)
+SELECT table_name, coalesce(target_rows, 0) AS target_rows,
+  CASE WHEN NOT coalesce(is_production, false) THEN 'overwrite'
+       WHEN NOT coalesce(use_merge, true) THEN 'overwrite'
+       WHEN coalesce(target_rows, 0) = 0 THEN 'first_load'
+       WHEN NOT staging_has_id AND staging_has_date AND target_has_date THEN 'replace_dates'
+       WHEN NOT staging_has_id THEN 'replace_all'
+       ELSE 'merge' END AS write_mode
+FROM plan LEFT JOIN facts ON p_partkey = o_custkey
+""")
+
+_DISC = ["report_name", "report_description", "report_modified_on", "parameters", "fields",
+         "discovered_at"]
+sql("catalog_merge", f"""
+WITH {fx.SQL_CATALOG}
+SELECT coalesce(t.company_id, s.company_id) AS company_id,
+       coalesce(t.report_category, s.report_category) AS report_category,
+       coalesce(t.report_id, s.report_id) AS report_id,
+       {", ".join(f"CASE WHEN s.report_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in _DISC)},
+       CASE WHEN t.report_id IS NULL THEN false ELSE t.is_active END AS is_active,
+       CASE WHEN t.report_id IS NULL THEN NULL ELSE t.table_name END AS table_name,
+       CASE WHEN t.report_id IS NULL THEN NULL ELSE t.history_from END AS history_from
+FROM catalog t FULL OUTER JOIN discovered s
+  ON t.company_id = s.company_id AND t.report_category = s.report_category
+ AND t.report_id = s.report_id
+""")
+
+sql("registry_upsert", f"""
+WITH {fx.SQL_REGISTRY},
+changes AS (
+  SELECT lower(p_type) AS ep_module, 'v3' AS ep_version, CAST(NULL AS VARCHAR) AS ep_submodule,
+         replace(p_name, ' ', '-') || '-v3' AS ep_name, 'normal' AS ep_endpoint_type,
+         CASE WHEN p_partkey % 3 = 0 THEN 'tbl_' || CAST(p_partkey AS VARCHAR)
+              ELSE 'tbl_new_' || CAST(p_partkey AS VARCHAR) END AS table_name,
+         p_size > 25 AS active
+  FROM part WHERE p_partkey % 3 = 0 OR p_partkey % 10 = 0)
+SELECT {", ".join(f"CASE WHEN s.table_name IS NOT NULL THEN s.ep_{f} ELSE t.ep_{f} END AS ep_{f}"
+                  for f in ["module", "version", "submodule", "name", "endpoint_type"])},
+       coalesce(t.table_name, s.table_name) AS table_name,
+       CASE WHEN s.table_name IS NOT NULL THEN s.active ELSE t.active END AS active,
+       t.silver_use_bronze, t.use_merge, t.is_production
+FROM registry t FULL OUTER JOIN changes s ON t.table_name = s.table_name
+""")
+
+_COND = "report_name LIKE '%1%' AND is_active = false"
+sql("conditional_update", f"""
+WITH {fx.SQL_CATALOG}
+SELECT company_id, report_category, report_id, report_name, report_description,
+       report_modified_on, parameters, fields,
+       CASE WHEN {_COND} THEN true ELSE is_active END AS is_active,
+       CASE WHEN {_COND} THEN 'rep_' || CAST(report_id AS VARCHAR) ELSE table_name END AS table_name,
+       CASE WHEN {_COND} THEN DATE '2025-01-01' ELSE history_from END AS history_from,
+       discovered_at
+FROM catalog
+""")
+
+sql("registry_flags", f"""
+WITH {fx.SQL_REGISTRY}
+SELECT ep_module, ep_version, ep_submodule, ep_name, ep_endpoint_type, table_name, active,
+       CASE WHEN table_name LIKE '%7' THEN true ELSE silver_use_bronze END AS silver_use_bronze,
+       use_merge, is_production
+FROM registry
+""")
+
+sql("struct_rename", f"""
+WITH {fx.SQL_REGISTRY}
+SELECT table_name, ep_submodule AS ep_prefix, ep_name FROM registry
+""")
+
+_LOAD_PLAN = f"""
+WITH {fx.SQL_REGISTRY}, {fx.SQL_CATALOG},
+plan AS (
+  SELECT DISTINCT ep_name AS endpoint_name, table_name, coalesce(use_merge, true) AS use_merge,
+         coalesce(is_production, false) AS is_production
+  FROM registry WHERE ep_name IS NOT NULL AND table_name IS NOT NULL AND active = true
+   AND silver_use_bronze = true
+  UNION ALL
+  SELECT DISTINCT 'report/' || report_name, table_name, true, true FROM catalog WHERE is_active = true)
+"""
+sql("load_plan", _LOAD_PLAN + "SELECT * FROM plan")
+_names = ", ".join(f"'{n}'" for n in fx.SUBSET_NAMES)
+sql("endpoint_subset", _LOAD_PLAN +
+    f"SELECT * FROM plan WHERE endpoint_name IN ({_names}) OR table_name IN ({_names})")
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^/+|/+$', '', 'g')"
+
+
+sql("request_path", f"""
+WITH p AS (
+  SELECT page_id, url,
+         '/' || regexp_extract(url, '^https?://[^/]+/([^/]+)/', 1) || '/' AS module,
+         'v2/' AS version,
+         CASE page_id % 3 WHEN 0 THEN '/jobs/' WHEN 1 THEN '' END AS submodule,
+         regexp_extract(url, '^https?://[^/]+/[^/]+/(.*)$', 1) AS name,
+         regexp_extract(url, '^(https?://[^/]+)', 1) || '/' AS base
+  FROM pages),
+q AS (
+  SELECT page_id, base,
+         concat_ws('/', {_strip('module')}, {_strip('version')}, 'tenant') AS api_url_base,
+         CASE WHEN coalesce({_strip('submodule')}, '') <> ''
+              THEN concat_ws('/', {_strip('submodule')}, {_strip('name')})
+              ELSE {_strip('name')} END AS api_data
+  FROM p),
+r AS (
+  SELECT *, CASE page_id % 4 WHEN 0 THEN 'export/' || api_data
+                 WHEN 1 THEN api_data || '/gross-pay-items' ELSE api_data END AS mode_arg
+  FROM q)
+SELECT page_id, api_url_base, api_data,
+       regexp_replace(regexp_replace(concat_ws('/', regexp_replace(base, '/+$', '', 'g'),
+           {_strip('api_url_base')}, {_strip('CAST(page_id AS VARCHAR)')}, {_strip('api_data')}),
+           '/+', '/', 'g'), '(https?):/', '\\1://', 'g') AS request_url,
+       CASE WHEN starts_with(mode_arg, 'export/') THEN 'export'
+            WHEN contains(mode_arg, 'gross-pay-items') THEN 'streaming' ELSE 'normal' END AS mode
+FROM r
+""")
+
+sql("active_companies", f"""
+WITH {fx.SQL_COMPANIES}
+SELECT company_id, company_name, company_project_id FROM companies
+WHERE company_bigquery_status = true AND company_project_id IS NOT NULL
+""")
+
+sql("lookup_table_name", """
+WITH e AS (SELECT p_partkey, p_type || '/' || replace(p_name, ' ', '-') AS endpoint FROM part),
+reg AS (
+  SELECT lower(CASE WHEN p_partkey % 2 = 0 THEN upper(endpoint) ELSE endpoint END) AS ep_lower,
+         min('tbl_' || CAST(p_partkey AS VARCHAR)) AS registry_table
+  FROM e WHERE p_partkey % 4 <> 0 AND p_partkey % 3 <> 0 GROUP BY 1)
+SELECT e.p_partkey, e.endpoint,
+       coalesce(reg.registry_table,
+                trim(regexp_replace(regexp_replace(e.endpoint, '[/-]', '_', 'g'), '_+', '_', 'g'), '_'))
+         AS table_name
+FROM e LEFT JOIN reg ON lower(e.endpoint) = reg.ep_lower
+""")
+
+_RECENT = "ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"
+sql("company_weights", f"""
+SELECT user_id AS company_id, round(sum(value), 2) AS total_duration FROM events
+WHERE {_RECENT} GROUP BY 1
+""")
+
+_TOTAL = f"(SELECT coalesce(nullif(sum(value), 0), 2400.0) AS tw FROM events WHERE {_RECENT})"
+sql("total_weight", f"SELECT round(tw, 2) AS total_weight FROM {_TOTAL} t")
+
+sql("task_counts", f"""
+SELECT round(tw, 2) AS total_weight,
+       CAST(least(greatest(ceil(tw / 600), 3), 20) AS BIGINT) AS pull_tasks,
+       CAST(least(greatest(ceil(tw / 600), 4), 25) AS BIGINT) AS load_tasks
+FROM {_TOTAL} t
+""")
+
+sql("company_weight_lookup", f"""
+WITH w AS (SELECT user_id AS company_id, sum(value) AS total_duration FROM events
+           WHERE {_RECENT} GROUP BY 1)
+SELECT c_custkey AS company_id,
+       round(coalesce(w.total_duration, (SELECT avg(total_duration) FROM w), 60.0), 2) AS weight
+FROM customer LEFT JOIN w ON c_custkey = w.company_id
+""")
+
+sql("monitor_upsert", f"""
+WITH {fx.SQL_FC}
+SELECT coalesce(t.company_id, s.company_id) AS company_id,
+       coalesce(t.endpoint_name, s.endpoint_name) AS endpoint_name,
+       CASE WHEN s.company_id IS NOT NULL THEN s.max_sync ELSE t.max_sync END AS max_sync,
+       CASE WHEN s.company_id IS NOT NULL THEN s.rows_processed ELSE t.actual_rows END AS actual_rows,
+       CASE WHEN s.company_id IS NOT NULL THEN round(s.duration_sec, 2) ELSE t.actual_duration END
+         AS actual_duration,
+       'SUCCESS' AS actual_status,
+       CASE WHEN s.company_id IS NOT NULL AND t.company_id IS NOT NULL THEN t.actual_rows END AS last_rows,
+       CASE WHEN s.company_id IS NOT NULL AND t.company_id IS NOT NULL THEN t.actual_duration END
+         AS last_duration,
+       CASE WHEN s.company_id IS NOT NULL AND t.company_id IS NOT NULL THEN 'SUCCESS' END AS last_status,
+       CASE WHEN s.company_id IS NOT NULL THEN (SELECT max(ts) FROM events) ELSE t.max_sync END
+         AS updated_at
+FROM fc_t t FULL OUTER JOIN fc_s s
+  ON t.company_id = s.company_id AND t.endpoint_name = s.endpoint_name
+""")
+
+sql("max_synced", f"""
+WITH {fx.SQL_FA},
+a AS (SELECT DISTINCT o_orderstatus, TIMESTAMP '{S}' AS max_sync FROM fa_base
+      WHERE id % 13 <> 0 OR id % 10 <> 0),
+b AS (SELECT o_orderstatus, count(*) AS rows_processed FROM fa_s GROUP BY 1)
+SELECT coalesce(a.o_orderstatus, b.o_orderstatus) AS o_orderstatus, a.max_sync, b.rows_processed
+FROM a FULL OUTER JOIN b ON a.o_orderstatus = b.o_orderstatus
+""")
+
+sql("catalog_summary", f"""
+WITH {fx.SQL_CATALOG}
+SELECT n_name AS company_name, report_category, count(*) AS total_reports,
+       count(*) FILTER (WHERE is_active) AS active_reports
+FROM catalog JOIN nation ON catalog.company_id = nation.n_nationkey
+GROUP BY 1, 2
+""")
+
+sql("catalog_join", f"""
+WITH {fx.SQL_CATALOG}
+SELECT n_name AS company_name, report_category, report_id, report_name, is_active, table_name
+FROM catalog JOIN nation ON catalog.company_id = nation.n_nationkey
+""")

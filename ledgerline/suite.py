@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixtures as fx
+from ledgerline.functions import values as V
+from ledgerline.operators import keys as K
 from ledgerline.operators import merge as M
+from ledgerline.operators import monitor as MO
+from ledgerline.plans import load_plan as LP
+from ledgerline.plans import workload as WL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,3 +65,300 @@ def q_merge_resurrect(spark, sf):
     again = fx.orders_base(spark, sf)
     return M.merge_counts(M.merge_soft_delete(once, again, fx.RUN_DATE + " 00:00:00"),
                           fx.RUN_DATE + " 00:00:00")
+
+
+@query("overwrite")
+def q_overwrite(spark, sf):
+    """Target := staging + audit (OVERWRITE)."""
+    return M.overwrite(fx.fa_staging(spark, sf), fx.SYNCED_AT)
+
+
+@query("first_load")
+def q_first_load(spark, sf):
+    """W2 into an empty pre-created target whose price is text: id first,
+    other columns by name, safe casts to the target's types."""
+    target = fx.fd_staging(spark, sf).limit(0)
+    return M.first_load(fx.fa_staging(spark, sf), fx.SYNCED_AT, target_schema=target.schema)
+
+
+@query("replace_all")
+def q_replace_all(spark, sf):
+    """W4 on part: no id on either side, no date -> truncate + insert."""
+    p = fx.table(spark, sf, "part")
+    target = p.select("p_partkey", "p_name", "p_brand", "p_retailprice",
+                      F.lit("old").alias("p_note"),
+                      fx.ts(fx.T0).alias("_etl_synced"), F.lit("INSERT").alias("_etl_operation"))
+    staging = p.select("p_partkey", "p_name", "p_brand",
+                       F.round(F.col("p_retailprice") * 1.1, 2).alias("p_retailprice"),
+                       F.col("p_size").alias("p_size"))
+    return M.replace_all(target, staging, fx.SYNCED_AT)
+
+
+@query("replace_dates")
+def q_replace_dates(spark, sf):
+    """W3 + J4 on F-B."""
+    return M.replace_dates(fx.fb_target(spark, sf), fx.fb_staging(spark, sf), fx.SYNCED_AT)
+
+
+@query("semi_delete")
+def q_semi_delete(spark, sf):
+    """Orders without any line item."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    li = fx.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return M.semi_delete(o, li, "o_orderkey")
+
+
+@query("merge_dup_guard")
+def q_merge_dup_guard(spark, sf):
+    """(order, line) keys that occur more than once in lineitem."""
+    return K.duplicate_keys(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("safe_cast_align")
+def q_safe_cast_align(spark, sf):
+    """P6 + C3 on F-D: staging price text is safe-cast to the target's
+    double, the staging-only column is added, the target-only one is null
+    for new rows."""
+    return M.merge_soft_delete(fx.fd_target(spark, sf), fx.fd_staging(spark, sf), fx.SYNCED_AT)
+
+
+@query("surrogate_key")
+def q_surrogate_key(spark, sf):
+    """P9 over (customer, order date, priority with gaps)."""
+    o = fx.table(spark, sf, "orders")
+    o = o.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 17 != 0, F.col("o_orderpriority")))
+    return K.with_surrogate_key(o, ["o_custkey", "o_orderdate", "o_orderpriority"]).select(
+        "o_orderkey", "id")
+
+
+@query("coerce_types")
+def q_coerce_types(spark, sf):
+    """P5 over text built from events.props and fixed spellings."""
+    e = fx.table(spark, sf, "events")
+    k = F.col("event_id") % 9
+    raw = (F.when(k == 0, F.lit("N/A")).when(k == 1, F.lit("3.0")).when(k == 2, F.lit("yes"))
+           .when(k == 3, F.lit("No")).when(k == 4, F.lit("-2.7")).when(k == 5, F.lit("0"))
+           .otherwise(F.get_json_object("props", "$.k")))
+    r = e.select("event_id", raw.alias("raw"))
+    return r.select("event_id", "raw", V.coerce_to(F.col("raw"), "INT64").alias("as_int"),
+                    V.coerce_to(F.col("raw"), "FLOAT64").alias("as_float"),
+                    V.coerce_to(F.col("raw"), "BOOL").alias("as_bool"))
+
+
+@query("write_mode_plan")
+def q_write_mode_plan(spark, sf):
+    """P16 over part as the load plan joined to target facts from orders."""
+    p = fx.table(spark, sf, "part")
+    k = F.col("p_partkey")
+    plan = p.select(
+        k, F.concat(F.lit("tbl_"), k.cast("string")).alias("table_name"),
+        F.when(k % 4 == 0, F.lit(False)).when(k % 7 == 0, F.lit(None)).otherwise(F.lit(True))
+        .alias("use_merge"),
+        F.when(k % 5 == 0, F.lit(False)).when(k % 11 == 0, F.lit(None)).otherwise(F.lit(True))
+        .alias("is_production"),
+        (k % 3 != 0).alias("staging_has_id"), (F.col("p_size") % 2 == 0).alias("staging_has_date"),
+        (F.col("p_size") % 3 == 0).alias("target_has_date"))
+    facts = (fx.table(spark, sf, "orders").groupBy("o_custkey")
+             .agg(F.count(F.lit(1)).alias("target_rows")))
+    j = plan.join(facts, plan["p_partkey"] == facts["o_custkey"], "left")
+    return j.select("table_name", F.coalesce("target_rows", F.lit(0)).alias("target_rows"),
+                    M.write_mode(F.col("is_production"), F.col("use_merge"), F.col("target_rows"),
+                                 F.col("staging_has_id"), F.col("staging_has_date"),
+                                 F.col("target_has_date")).alias("write_mode"))
+
+
+# ============================================================ catalog / registry
+_CATALOG_OUT = ["company_id", "report_category", "report_id", "report_name", "report_description",
+                "report_modified_on", "parameters", "fields", "is_active", "table_name",
+                "history_from", "discovered_at"]
+
+
+@query("catalog_merge")
+def q_catalog_merge(spark, sf):
+    """Discovery columns updated, user columns kept, new reports inactive."""
+    return LP.catalog_merge(fx.catalog(spark, sf), fx.discovered(spark, sf)).select(*_CATALOG_OUT)
+
+
+def _flat_registry(df):
+    return df.select(*[F.col("endpoint." + f).alias("ep_" + f)
+                       for f in ["module", "version", "submodule", "name", "endpoint_type"]],
+                     *[c for c in df.columns if c != "endpoint"])
+
+
+@query("registry_upsert")
+def q_registry_upsert(spark, sf):
+    """W11 on table_name: every third part gets a new endpoint name and
+    active flag; every tenth adds a new table."""
+    reg = fx.registry(spark, sf)
+    p = fx.table(spark, sf, "part").where((F.col("p_partkey") % 3 == 0) | (F.col("p_partkey") % 10 == 0))
+    k = F.col("p_partkey")
+    changes = p.select(
+        F.struct(F.lower("p_type").alias("module"), F.lit("v3").alias("version"),
+                 F.lit(None).cast("string").alias("submodule"),
+                 F.concat(F.replace(F.col("p_name"), F.lit(" "), F.lit("-")), F.lit("-v3")).alias("name"),
+                 F.lit("normal").alias("endpoint_type")).alias("endpoint"),
+        F.when(k % 3 == 0, F.concat(F.lit("tbl_"), k.cast("string")))
+        .otherwise(F.concat(F.lit("tbl_new_"), k.cast("string"))).alias("table_name"),
+        (F.col("p_size") > 25).alias("active"))
+    return _flat_registry(LP.registry_upsert(reg, changes))
+
+
+@query("conditional_update")
+def q_conditional_update(spark, sf):
+    """Activate reports by name pattern; set a flag by table."""
+    cat = fx.catalog(spark, sf)
+    pred = F.col("report_name").like("%1%") & (F.col("is_active") == F.lit(False))
+    out = LP.conditional_update(cat, pred, {
+        "is_active": F.lit(True),
+        "table_name": F.concat(F.lit("rep_"), F.col("report_id").cast("string")),
+        "history_from": F.lit("2025-01-01").cast("date")})
+    return out.select(*_CATALOG_OUT)
+
+
+@query("registry_flags")
+def q_registry_flags(spark, sf):
+    """W12 on the registry: silver_use_bronze set for tables ending in 7."""
+    reg = fx.registry(spark, sf)
+    out = LP.conditional_update(reg, F.col("table_name").like("%7"),
+                                {"silver_use_bronze": F.lit(True)})
+    return _flat_registry(out)
+
+
+@query("struct_rename")
+def q_struct_rename(spark, sf):
+    """Registry struct field ``submodule`` renamed ``prefix`` and back."""
+    reg = fx.registry(spark, sf)
+    renamed = LP.rename_struct_field(reg, "endpoint", "submodule", "prefix")
+    return renamed.select("table_name", F.col("endpoint.prefix").alias("ep_prefix"),
+                          F.col("endpoint.name").alias("ep_name"))
+
+
+@query("load_plan")
+def q_load_plan(spark, sf):
+    """S9 + U1 + O2 + P15: registry endpoints UNION ALL active reports."""
+    return LP.load_plan(fx.registry(spark, sf), fx.catalog(spark, sf))
+
+
+@query("endpoint_subset")
+def q_endpoint_subset(spark, sf):
+    """P10: keep plan rows whose endpoint or table is listed (the list is
+    the plan's own tables ending in 1)."""
+    plan = LP.load_plan(fx.registry(spark, sf), fx.catalog(spark, sf))
+    return LP.endpoint_subset(plan, fx.SUBSET_NAMES)
+
+
+@query("request_path")
+def q_request_path(spark, sf):
+    """P11 + P12 over registry endpoints for every page's host and tenant."""
+    pg = fx.table(spark, sf, "pages")
+    k = F.col("page_id")
+    parts = LP.api_parts(F.concat(F.lit("/"), F.regexp_extract("url", r"^https?://[^/]+/([^/]+)/", 1),
+                                  F.lit("/")),
+                         F.lit("v2/"),
+                         F.when(k % 3 == 0, F.lit("/jobs/")).when(k % 3 == 1, F.lit("")),
+                         F.regexp_extract("url", r"^https?://[^/]+/[^/]+/(.*)$", 1))
+    base = F.concat(F.regexp_extract("url", r"^(https?://[^/]+)", 1), F.lit("/"))
+    return pg.select("page_id", parts["api_url_base"].alias("api_url_base"),
+                     parts["api_data"].alias("api_data"),
+                     LP.request_url(base, parts["api_url_base"], k, parts["api_data"]).alias("request_url"),
+                     LP.extraction_mode(F.when(k % 4 == 0, F.concat(F.lit("export/"), parts["api_data"]))
+                                        .when(k % 4 == 1, F.concat(parts["api_data"], F.lit("/gross-pay-items")))
+                                        .otherwise(parts["api_data"])).alias("mode"))
+
+
+@query("active_companies")
+def q_active_companies(spark, sf):
+    """S7 + O1: load-side flag, inbox needs a project."""
+    return LP.active_companies(fx.companies(spark, sf), "company_bigquery_status",
+                               require_project=True).select(
+        "company_id", "company_name", "company_project_id")
+
+
+@query("lookup_table_name")
+def q_lookup_table_name(spark, sf):
+    """Endpoint -> table name from a registry with gaps, else F5."""
+    p = fx.table(spark, sf, "part")
+    k = F.col("p_partkey")
+    ep = F.concat(F.col("p_type"), F.lit("/"), F.replace(F.col("p_name"), F.lit(" "), F.lit("-")))
+    endpoints = p.select("p_partkey", ep.alias("endpoint"))
+    reg = p.where(k % 4 != 0).select(
+        F.when(k % 2 == 0, F.upper(ep)).otherwise(ep).alias("endpoint_name"),
+        F.concat(F.lit("tbl_"), k.cast("string")).alias("table_name"),
+        (k % 3 != 0).alias("silver_use_bronze"))
+    return LP.lookup_table_name(endpoints, reg)
+
+
+# ============================================================ monitoring
+def _now(spark, sf):
+    return fx.events_now(spark, sf)
+
+
+@query("company_weights")
+def q_company_weights(spark, sf):
+    """A1: duration per company over the last 7 days of history."""
+    w = MO.company_weights(fx.history(spark, sf), _now(spark, sf))
+    return w.select("company_id", F.round("total_duration", 2).alias("total_duration"))
+
+
+@query("total_weight")
+def q_total_weight(spark, sf):
+    """A2: total weight with the 2,400 s default."""
+    t = MO.total_weight(fx.history(spark, sf), _now(spark, sf))
+    return t.select(F.round("total_weight", 2).alias("total_weight"))
+
+
+@query("task_counts")
+def q_task_counts(spark, sf):
+    """A4: task counts from the total weight."""
+    t = MO.total_weight(fx.history(spark, sf), _now(spark, sf))
+    return MO.task_counts(t).select(F.round("total_weight", 2).alias("total_weight"),
+                                    "pull_tasks", "load_tasks")
+
+
+@query("company_weight_lookup")
+def q_company_weight_lookup(spark, sf):
+    """J2 + A3: every tenant's weight, else the mean, else 60 s."""
+    w = MO.company_weights(fx.history(spark, sf), _now(spark, sf))
+    out = MO.weighted_companies(fx.companies(spark, sf), w)
+    return out.select("company_id", F.round("weight", 2).alias("weight"))
+
+
+@query("balance_groups")
+def q_balance_groups(spark, sf):
+    """A5: customers balanced over 4 bins per nation by |balance|."""
+    c = fx.table(spark, sf, "customer").select(
+        "c_nationkey", "c_custkey", F.round(F.abs("c_acctbal"), 2).alias("w"))
+    return WL.balance_groups(c, "c_nationkey", "c_custkey", "w", 4)
+
+
+@query("monitor_upsert")
+def q_monitor_upsert(spark, sf):
+    """W10 (+A6 max_sync, A7 rows) on F-C."""
+    out = MO.monitor_upsert(fx.fc_snapshot(spark, sf), fx.fc_run(spark, sf), _now(spark, sf))
+    return out
+
+
+@query("max_synced")
+def q_max_synced(spark, sf):
+    """A6 + A7 over the merged F-A target per order status."""
+    merged = M.merge_soft_delete(fx.fa_target(spark, sf), fx.fa_staging(spark, sf), fx.SYNCED_AT)
+    ms = MO.max_synced(merged, ["o_orderstatus"], fx.SYNCED_AT)
+    rp = MO.rows_processed(fx.fa_staging(spark, sf), ["o_orderstatus"])
+    return ms.join(rp, "o_orderstatus", "full_outer")
+
+
+@query("catalog_summary")
+def q_catalog_summary(spark, sf):
+    """A8 after J1: reports and active reports per company and category."""
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("company_id"),
+                                             F.col("n_name").alias("company_name"))
+    return MO.catalog_summary(fx.catalog(spark, sf), n)
+
+
+@query("catalog_join")
+def q_catalog_join(spark, sf):
+    """Catalog x companies (nation) on company_id."""
+    n = fx.table(spark, sf, "nation").select(F.col("n_nationkey").cast("bigint").alias("company_id"),
+                                             F.col("n_name").alias("company_name"))
+    return LP.catalog_with_companies(fx.catalog(spark, sf), n).select(
+        "company_name", "report_category", "report_id", "report_name", "is_active", "table_name")
