@@ -289,3 +289,67 @@ discovered AS (SELECT CAST(s_nationkey AS BIGINT) AS company_id,
 
 # Plan subset used by P10 (plan tables ending in 1, a report, a table).
 SUBSET_NAMES = [f"tbl_{i}1" for i in range(10)] + ["report/Supplier#000000003", "tbl_7"]
+
+
+# ------------------------------------------------------------ names from part
+NAME_EXPRS = {
+    "n_camel": "split_part(p_name, ' ', 1) || upper(substr(split_part(p_name, ' ', 2), 1, 1)) "
+               "|| substr(split_part(p_name, ' ', 2), 2)",
+    "n_pascal": "upper(substr(p_type, 1, 1)) || lower(substr(p_type, 2)) "
+                "|| upper(substr(split_part(p_name, ' ', 1), 1, 1)) || substr(split_part(p_name, ' ', 1), 2) "
+                "|| 'ID' || CAST(p_size AS STRING)",
+    "n_acronym": "'HTTP' || upper(substr(split_part(p_name, ' ', 1), 1, 1)) "
+                 "|| substr(split_part(p_name, ' ', 1), 2) || 'V' || CAST(p_size % 3 AS STRING) || 'Name'",
+    "n_upper": "upper(split_part(p_name, ' ', 1)) || '_' || split_part(p_name, ' ', 2)",
+    "s_long": "lower(p_type) || '_' || replace(p_name, ' ', '_') || '__' || lower(p_brand)",
+    "e_slash": "'/' || p_type || '//' || replace(p_name, ' ', '-') || '/' || p_brand",
+    "e_dash": "'-' || lower(p_type) || '--' || CAST(p_size AS STRING) || '/'",
+    "header": "CASE p_partkey % 4 WHEN 0 THEN '﻿' || split_part(p_name, ' ', 1) || ' ID' "
+              "WHEN 1 THEN '  ' || p_type || ' Date ' "
+              "WHEN 2 THEN CAST(p_size AS STRING) || 'nd ' || split_part(p_name, ' ', 2) "
+              "ELSE 'Año ' || split_part(p_name, ' ', 2) END",
+}
+
+
+def part_names(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", *[F.expr(e).alias(n) for n, e in NAME_EXPRS.items()])
+
+
+SQL_NAMES = "names AS (SELECT p_partkey, " + ", ".join(
+    f"{e.replace('AS STRING', 'AS VARCHAR')} AS {n}" for n, e in NAME_EXPRS.items()) + " FROM part)"
+
+
+# ------------------------------------------------------------ log text
+LOG_MSG = ("'POST https://api.example.com/' || lang || '/' || CAST(doc_id AS STRING) "
+           "|| ': 400 Bad request; reason: invalid, location: query' || chr(10) || text || chr(10) "
+           "|| 'Job ID: job_' || CAST(doc_id AS STRING) "
+           "|| CASE doc_id % 3 WHEN 0 THEN chr(10) || chr(10) || 'Location: US' "
+           "WHEN 1 THEN ' Location: EU' ELSE '' END")
+
+
+# ------------------------------------------------------------ objects from events
+OBJ_EXPR = ("'{\"eventId\": ' || CAST(event_id AS STRING) "
+            "|| ', \"userId\": ' || CASE WHEN event_id % 10 = 0 THEN '\"' || CAST(user_id AS STRING) || '\"' "
+            "ELSE CAST(user_id AS STRING) END "
+            "|| ', \"eventType\": \"' || event_type || '\"' "
+            "|| ', \"value\": ' || CASE WHEN event_id % 7 = 0 THEN '\"N/A\"' "
+            "WHEN event_id % 11 = 0 THEN '\"' || CAST(value AS STRING) || '\"' ELSE CAST(value AS STRING) END "
+            "|| ', \"props\": ' || props "
+            "|| CASE WHEN event_id % 5 = 0 THEN ', \"tags\": [\"a\", \"b\"]' "
+            "WHEN event_id % 5 = 1 THEN ', \"tags\": null' ELSE '' END "
+            "|| ', \"isActive\": ' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE '\"yes\"' END || '}'")
+
+
+# ------------------------------------------------------------ objects from orders
+ORDER_OBJ_EXPR = ("'{\"id\": ' || CAST(o_orderkey AS STRING) "
+                  "|| ', \"custKey\": ' || CAST(o_custkey AS STRING) "
+                  "|| ', \"orderStatus\": \"' || o_orderstatus || '\"' "
+                  "|| ', \"totalPrice\": ' || CASE WHEN o_orderkey % 20 = 0 THEN '\"N/A\"' "
+                  "ELSE CAST(o_totalprice AS STRING) END "
+                  "|| ', \"orderDate\": \"' || CAST(CAST(o_orderdate AS DATE) AS STRING) || '\"' "
+                  "|| ', \"OrderPriority\": \"' || o_orderpriority || '\"' "
+                  "|| CASE WHEN o_orderkey % 3 = 0 THEN ', \"order_priority\": null' ELSE '' END "
+                  "|| CASE o_orderkey % 4 WHEN 0 THEN ', \"lineItems\": null' "
+                  "WHEN 1 THEN ', \"lineItems\": [{\"n\": 1}, [], [1, 2]]' "
+                  "WHEN 3 THEN ', \"lineItems\": {}' ELSE '' END || '}'")

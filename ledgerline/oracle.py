@@ -360,3 +360,145 @@ WITH {fx.SQL_CATALOG}
 SELECT n_name AS company_name, report_category, report_id, report_name, is_active, table_name
 FROM catalog JOIN nation ON catalog.company_id = nation.n_nationkey
 """)
+
+
+# ------------------------------------------------------------ names
+def _snake(x: str) -> str:
+    return (f"lower(regexp_replace(regexp_replace({x}, '(.)([A-Z][a-z]+)', '\\1_\\2', 'g'), "
+            f"'([a-z0-9])([A-Z])', '\\1_\\2', 'g'))")
+
+
+def _camel(x: str) -> str:
+    return (f"(string_split({x}, '_')[1] || array_to_string(list_transform(string_split({x}, '_')[2:], "
+            f"lambda p: upper(p[1:1]) || lower(p[2:])), ''))")
+
+
+def _nclass(x: str) -> str:
+    return (f"CASE WHEN regexp_matches({x}, '^[a-z][a-z0-9_]*$') THEN 'snake_case' "
+            f"WHEN regexp_matches({x}, '^[a-z][a-zA-Z0-9]*$') THEN 'camelCase' ELSE 'other' END")
+
+
+def _guess(x: str) -> str:
+    inner = x
+    for a, b in [("_id", "Id"), ("_on", "On"), ("_name", "Name"), ("_code", "Code"), ("_type", "Type"),
+                 ("_number", "Number"), ("_date", "Date"), ("_total", "Total"), ("_tax", "Tax")]:
+        inner = f"replace({inner}, '{a}', '{b}')"
+    inner = f"replace({inner}, '_', '')"
+    return f"CASE WHEN regexp_matches({x}, '^[a-z][a-z0-9_]*$') THEN {inner} END"
+
+
+def _tnorm(x: str) -> str:
+    return f"trim(regexp_replace(regexp_replace({x}, '[/-]', '_', 'g'), '_+', '_', 'g'), '_')"
+
+
+_NC = ["n_camel", "n_pascal", "n_acronym", "n_upper"]
+sql("snake_case", f"WITH {fx.SQL_NAMES} SELECT p_partkey, {', '.join(_NC)}, " +
+    ", ".join(f"{_snake(c)} AS snake_{c[2:]}" for c in _NC) + " FROM names")
+
+sql("camel_case", f"""WITH {fx.SQL_NAMES}
+SELECT p_partkey, {_camel(_snake('n_pascal'))} AS camel_a, {_camel('s_long')} AS camel_b FROM names""")
+
+sql("naming_class", f"""WITH {fx.SQL_NAMES}, n2 AS (SELECT *, {_snake('n_pascal')} AS snake_pascal FROM names)
+SELECT p_partkey, {_nclass('n_camel')} AS class_camel, {_nclass('n_pascal')} AS class_pascal,
+       {_nclass('snake_pascal')} AS class_pascal_snake, {_nclass('n_upper')} AS class_upper,
+       {_guess('snake_pascal')} AS guess_snake, {_guess('n_camel')} AS guess_camel
+FROM n2""".replace("class_pascal_snake", "class_pascal"))
+
+sql("table_name_norm", f"""WITH {fx.SQL_NAMES}
+SELECT p_partkey, {_tnorm('e_slash')} AS t_slash, {_tnorm('e_dash')} AS t_dash FROM names""")
+
+sql("header_clean", f"""WITH {fx.SQL_NAMES},
+h AS (SELECT p_partkey, header,
+        regexp_replace(lower(regexp_replace(regexp_replace(header, '^\\s+|\\s+$', '', 'g'),
+          '^﻿+|﻿+$', '', 'g')), '[^a-z0-9_]', '_', 'g') AS c FROM names)
+SELECT p_partkey, header, CASE WHEN regexp_matches(c, '^[0-9]') THEN 'c_' || c ELSE c END AS clean FROM h""")
+
+_LB = "'\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]'"
+sql("log_clean", f"""
+WITH m AS (SELECT doc_id, {fx.LOG_MSG.replace('AS STRING', 'AS VARCHAR')} AS msg FROM documents),
+a AS (SELECT doc_id, regexp_replace(msg, '(?:GET|POST|PUT|DELETE)\\s+https?://[^\\s]+:\\s*', '', 'g') AS t FROM m),
+b AS (SELECT doc_id,
+        CASE WHEN contains(t, chr(10) || chr(10) || 'Location:') THEN split_part(t, chr(10) || chr(10) || 'Location:', 1)
+             WHEN contains(t, chr(10) || 'Location:') THEN split_part(t, chr(10) || 'Location:', 1)
+             WHEN contains(t, 'Location:') THEN split_part(t, 'Location:', 1)
+             ELSE t END AS t FROM a),
+c AS (SELECT doc_id, string_split_regex(t, {_LB}) AS lines FROM b)
+SELECT doc_id, regexp_replace(array_to_string(
+  list_filter(
+    list_transform(
+      list_filter(lines, lambda l: NOT starts_with(regexp_replace(l, '^\\s+', ''), 'Job ID:')
+                               AND NOT starts_with(regexp_replace(l, '^\\s+', ''), 'Location:')),
+      lambda l: regexp_replace(regexp_replace(l, ',\\s*location:\\s*\\w+', '', 'g'), ';\\s*reason:\\s*\\w+', '', 'g')),
+    lambda l: regexp_replace(l, '\\s+', '', 'g') <> ''),
+  chr(10)), '\\s+$', '') AS cleaned
+FROM c
+""")
+
+sql("json_props", """
+WITH r AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN replace(props, '"k"', 'k') ELSE props END AS raw
+           FROM events)
+SELECT event_id, CASE WHEN json_valid(raw) THEN CAST(json_extract(raw, '$.k') AS BIGINT) END AS k,
+       NOT json_valid(raw) AS is_bad
+FROM r
+""")
+
+sql("mixed_type_probe", f"""
+WITH o AS (SELECT {fx.OBJ_EXPR.replace('AS STRING', 'AS VARCHAR')} AS j FROM events),
+kv AS (SELECT unnest(json_keys(j)) AS k, j FROM o),
+t AS (SELECT k, json_type(j, '$."' || k || '"') AS ty, json_extract_string(j, '$."' || k || '"') AS s FROM kv),
+f AS (SELECT {_snake('k')} AS column_name,
+        bool_or(ty IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'BOOLEAN')
+                OR (ty = 'VARCHAR' AND TRY_CAST(s AS DOUBLE) IS NOT NULL)) AS saw_number,
+        bool_or(ty = 'VARCHAR' AND trim(s) <> '' AND TRY_CAST(s AS DOUBLE) IS NULL) AS saw_text,
+        bool_or(ty = 'ARRAY') AS saw_list
+      FROM t GROUP BY 1)
+SELECT *, saw_number AND saw_text AS is_mixed FROM f
+""")
+
+sql("rename_fill_stringify", """
+SELECT o_orderkey AS id, o_custkey AS cust_key, o_orderstatus AS order_status,
+       CASE WHEN o_orderkey % 20 = 0 THEN 'N/A'
+            ELSE regexp_replace(CAST(o_totalprice AS VARCHAR), '\\.0$', '') END AS total_price,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS order_priority,
+       CAST(CASE WHEN o_orderkey % 4 = 1 THEN 2 ELSE 0 END AS BIGINT) AS line_items_n
+FROM orders
+""")
+
+sql("nested_fix", """
+SELECT conv_id, turn // 4 AS page_no,
+       CAST(CASE conv_id % 5 WHEN 1 THEN count(*) WHEN 2 THEN 1 WHEN 4 THEN 1 ELSE 0 END AS BIGINT) AS n_items,
+       CAST(CASE WHEN conv_id % 5 = 4 THEN 1 ELSE 0 END AS BIGINT) AS n_text_items
+FROM conversations GROUP BY conv_id, turn // 4
+""")
+
+sql("explode_items", """
+WITH c AS (SELECT *, min(turn) OVER (PARTITION BY conv_id, turn // 4) AS first_turn FROM conversations)
+SELECT conv_id, turn FROM c
+WHERE (conv_id % 5 = 1 OR (conv_id % 5 = 2 AND turn = first_turn))
+  AND regexp_matches(text, '[\\r\\n]')
+""")
+
+sql("unwrap_pages", """
+SELECT conv_id, turn // 3 AS page_no, turn, role, text FROM conversations
+""")
+
+sql("export_cursor", """
+SELECT conv_id, count(*) AS n_items,
+       CASE WHEN conv_id % 3 = 0 THEN NULL
+            ELSE 'tok-' || CAST(conv_id AS VARCHAR) || '-' || CAST(max(turn // 3) + 1 AS VARCHAR) END AS last_token
+FROM conversations GROUP BY conv_id
+""")
+
+sql("report_zip", f"""
+SELECT l_orderkey AS "OrderKey", CAST(l_linenumber AS BIGINT) AS "Line",
+       CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity END AS "Qty",
+       DATE '{fx.SYNCED_AT[:10]}' AS _report_date
+FROM lineitem
+""")
+
+sql("snapshot_latest", """
+WITH s AS (SELECT event_id, event_type, CAST(ts AS DATE) AS snapshot_date FROM events),
+m AS (SELECT event_type, max(snapshot_date) AS snapshot_date FROM s GROUP BY 1)
+SELECT s.* FROM s JOIN m USING (event_type, snapshot_date)
+""")

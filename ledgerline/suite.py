@@ -13,12 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixtures as fx
+from ledgerline.functions import names as NM
 from ledgerline.functions import values as V
 from ledgerline.operators import keys as K
 from ledgerline.operators import merge as M
 from ledgerline.operators import monitor as MO
+from ledgerline.operators import normalize as NZ
 from ledgerline.plans import load_plan as LP
 from ledgerline.plans import workload as WL
+from ledgerline.sources import landing as LD
+from ledgerline.sources import pages as PG
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -362,3 +366,205 @@ def q_catalog_join(spark, sf):
                                              F.col("n_name").alias("company_name"))
     return LP.catalog_with_companies(fx.catalog(spark, sf), n).select(
         "company_name", "report_category", "report_id", "report_name", "is_active", "table_name")
+
+
+# ============================================================ names
+def _names(spark, sf):
+    return fx.part_names(spark, sf)
+
+
+@query("snake_case")
+def q_snake_case(spark, sf):
+    n = _names(spark, sf)
+    cols = ["n_camel", "n_pascal", "n_acronym", "n_upper"]
+    return n.select("p_partkey", *cols, *[NM.snake_col(F.col(c)).alias("snake_" + c[2:]) for c in cols])
+
+
+@query("camel_case")
+def q_camel_case(spark, sf):
+    n = _names(spark, sf)
+    return n.select("p_partkey", NM.camel_col(NM.snake_col(F.col("n_pascal"))).alias("camel_a"),
+                    NM.camel_col(F.col("s_long")).alias("camel_b"))
+
+
+@query("naming_class")
+def q_naming_class(spark, sf):
+    """F3 + F4."""
+    n = _names(spark, sf).withColumn("snake_pascal", NM.snake_col(F.col("n_pascal")))
+    return n.select(
+        "p_partkey", *[NM.naming_class_col(F.col(c)).alias("class_" + c.split("_", 1)[1])
+                       for c in ["n_camel", "n_pascal", "snake_pascal", "n_upper"]],
+        NM.camel_guess_col(F.col("snake_pascal")).alias("guess_snake"),
+        NM.camel_guess_col(F.col("n_camel")).alias("guess_camel"))
+
+
+@query("table_name_norm")
+def q_table_name_norm(spark, sf):
+    """F5 over endpoint paths."""
+    n = _names(spark, sf)
+    return n.select("p_partkey", NM.table_name_fallback_col(F.col("e_slash")).alias("t_slash"),
+                    NM.table_name_fallback_col(F.col("e_dash")).alias("t_dash"))
+
+
+@query("header_clean")
+def q_header_clean(spark, sf):
+    """F6 over CSV headers with a BOM, padding, leading digits, non-ASCII."""
+    n = _names(spark, sf)
+    return n.select("p_partkey", "header", NM.clean_header_col(F.col("header")).alias("clean"))
+
+
+@query("log_clean")
+def q_log_clean(spark, sf):
+    """F13 over whole document texts wrapped as warehouse error messages."""
+    d = fx.table(spark, sf, "documents")
+    return d.select("doc_id", V.clean_log_text(F.expr(fx.LOG_MSG)).alias("cleaned"))
+
+
+# ============================================================ landing / normalize
+@query("json_props")
+def q_json_props(spark, sf):
+    """S2 + F11: events.props as NDJSON records, every 100th with an
+    unquoted key (quarantined)."""
+    e = fx.table(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 100 == 0, F.replace(F.col("props"), F.lit('"k"'), F.lit("k"))) \
+        .otherwise(F.col("props"))
+    parsed = LD.parse_records(e.select("event_id", raw.alias("value")))
+    return parsed.select("event_id", F.try_variant_get(F.try_element_at("obj", F.lit("k")), "$", "bigint")
+                         .alias("k"), "is_bad")
+
+
+def _event_objects(spark, sf):
+    e = fx.table(spark, sf, "events")
+    return LD.parse_records(e.select("event_id", F.expr(fx.OBJ_EXPR).alias("value")))
+
+
+@query("mixed_type_probe")
+def q_mixed_type_probe(spark, sf):
+    """A11 over objects built from events (some values landed as text)."""
+    pr = NZ.probe(_event_objects(spark, sf))
+    return (pr.groupBy("column_name")
+            .agg(F.bool_or("saw_number").alias("saw_number"), F.bool_or("saw_text").alias("saw_text"),
+                 F.bool_or("saw_list").alias("saw_list"))
+            .withColumn("is_mixed", F.col("saw_number") & F.col("saw_text")))
+
+
+def _order_objects(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return LD.parse_records(o.select(F.expr(fx.ORDER_OBJ_EXPR).alias("value")))
+
+
+@query("rename_fill_stringify")
+def q_rename_fill_stringify(spark, sf):
+    """P1-P4 (+N1-N3) over objects built from orders with camelCase keys,
+    a key collision, a mixed-type price and ragged arrays."""
+    parsed = _order_objects(spark, sf)
+    plan = NZ.infer_plan(parsed)
+    out = NZ.normalize(parsed, plan)
+    return out.select("id", "cust_key", "order_status", "total_price", "order_date", "order_priority",
+                      F.size("line_items").cast("bigint").alias("line_items_n"))
+
+
+@query("infer_schema")
+def q_infer_schema(spark, sf):
+    """Decided column plan for the order objects (one aggregate over all
+    rows)."""
+    parsed = _order_objects(spark, sf)
+    pr = NZ.probe(parsed)
+    return pr.select("column_name", "source_key", "saw_number", "saw_text", "saw_list",
+                     "variant_type", "n_present")
+
+
+def _conv_pages(spark, sf, size: int):
+    c = fx.table(spark, sf, "conversations")
+    return (c.groupBy("conv_id", F.expr(f"turn div {size}").alias("page_no"))
+            .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("items")))
+
+
+def _nested_objects(spark, sf):
+    pg = _conv_pages(spark, sf, 4)
+    k = F.col("conv_id") % 5
+    items = (F.when(k == 0, F.lit("null")).when(k == 1, F.to_json("items"))
+             .when(k == 2, F.to_json(F.element_at("items", 1))).when(k == 3, F.lit("{}"))
+             .otherwise(F.concat(F.lit("[[], "), F.to_json("items"), F.lit("]"))))
+    text = F.concat(F.lit('{"id": '), F.col("conv_id").cast("string"), F.lit(', "page": '),
+                    F.col("page_no").cast("string"), F.lit(', "items": '), items, F.lit("}"))
+    parsed = LD.parse_records(pg.select(text.alias("value")))
+    plan = NZ.infer_plan(parsed, array_fields={"items"})
+    return NZ.normalize(parsed, plan)
+
+
+@query("nested_fix")
+def q_nested_fix(spark, sf):
+    """Null / object / {} / nested arrays in a known array field."""
+    out = _nested_objects(spark, sf)
+    return out.select(F.col("id").alias("conv_id"), F.col("page").alias("page_no"),
+                      F.size("items").cast("bigint").alias("n_items"),
+                      F.size(F.filter("items", lambda x: F.schema_of_variant(x) == "STRING"))
+                      .cast("bigint").alias("n_text_items"))
+
+
+@query("explode_items")
+def q_explode_items(spark, sf):
+    """Explode repaired items, keep those whose text has line breaks."""
+    out = _nested_objects(spark, sf)
+    it = out.select(F.col("id").alias("conv_id"), F.explode("items").alias("it"))
+    it = it.where(F.schema_of_variant("it").startswith("OBJECT"))
+    txt = F.try_variant_get("it", "$.text", "string")
+    return it.where(txt.rlike("[\r\n]")).select(
+        "conv_id", F.try_variant_get("it", "$.turn", "bigint").alias("turn"))
+
+
+# ============================================================ pages
+def _landed_pages(spark, sf):
+    pg = _conv_pages(spark, sf, 3)
+    bare = F.col("conv_id") % 3 == 0
+    env = F.to_json(F.struct(
+        F.col("items").alias("data"), (F.size("items") == 3).alias("hasMore"),
+        F.concat(F.lit("tok-"), F.col("conv_id").cast("string"), F.lit("-"),
+                 (F.col("page_no") + 1).cast("string")).alias("continueFrom")))
+    return pg.select("conv_id", "page_no", F.when(bare, F.to_json("items")).otherwise(env).alias("payload"))
+
+
+@query("unwrap_pages")
+def q_unwrap_pages(spark, sf):
+    """Bare-list and envelope pages unwrapped to one row per item."""
+    items = PG.unwrap_pages(_landed_pages(spark, sf))
+    return items.select("conv_id", "page_no",
+                        F.try_variant_get("item", "$.turn", "bigint").alias("turn"),
+                        F.try_variant_get("item", "$.role", "string").alias("role"),
+                        F.try_variant_get("item", "$.text", "string").alias("text"))
+
+
+@query("export_cursor")
+def q_export_cursor(spark, sf):
+    """Items and last continuation token per conversation endpoint."""
+    return PG.export_cursor(_landed_pages(spark, sf), ["conv_id"], seq="page_no")
+
+
+@query("report_zip")
+def q_report_zip(spark, sf):
+    """Positional report rows (some short, some long) zipped with the
+    field list; ``_report_date`` injected."""
+    li = fx.table(spark, sf, "lineitem")
+    n = F.col("l_linenumber")
+    vals = F.when(n == 1, F.concat_ws(", ", F.col("l_orderkey").cast("string"), n.cast("string"))) \
+        .when(n == 2, F.concat_ws(", ", F.col("l_orderkey").cast("string"), n.cast("string"),
+                                  F.col("l_quantity").cast("string"),
+                                  F.concat(F.lit('"'), F.col("l_returnflag"), F.lit('"')))) \
+        .otherwise(F.concat_ws(", ", F.col("l_orderkey").cast("string"), n.cast("string"),
+                               F.col("l_quantity").cast("string")))
+    rows = li.select("l_orderkey", F.concat(F.lit("["), vals, F.lit("]")).alias("r"))
+    pages = rows.groupBy("l_orderkey").agg(F.concat(
+        F.lit('{"data": ['), F.array_join(F.collect_list("r"), ", "), F.lit('], "hasMore": false}'))
+        .alias("payload")).select("payload")
+    return PG.report_rows(pages, ["OrderKey", "Line", "Qty"],
+                          {"OrderKey": "bigint", "Line": "bigint", "Qty": "double"},
+                          F.lit(fx.SYNCED_AT[:10]).cast("date"))
+
+
+@query("snapshot_latest")
+def q_snapshot_latest(spark, sf):
+    """Rows of the newest daily snapshot per endpoint (event type)."""
+    e = fx.table(spark, sf, "events").select("event_id", "event_type",
+                                             F.to_date("ts").alias("snapshot_date"))
+    return LD.latest_snapshot(e, ["event_type"], "snapshot_date")
