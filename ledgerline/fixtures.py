@@ -353,3 +353,19 @@ ORDER_OBJ_EXPR = ("'{\"id\": ' || CAST(o_orderkey AS STRING) "
                   "|| CASE o_orderkey % 4 WHEN 0 THEN ', \"lineItems\": null' "
                   "WHEN 1 THEN ', \"lineItems\": [{\"n\": 1}, [], [1, 2]]' "
                   "WHEN 3 THEN ', \"lineItems\": {}' ELSE '' END || '}'")
+
+
+# ------------------------------------------------------------ column catalog
+CATALOG_COL_EXPR = ("CASE p_partkey % 3 WHEN 0 THEN split_part(p_name, ' ', 1) || '_' || split_part(p_name, ' ', 2) "
+                    "WHEN 1 THEN split_part(p_name, ' ', 1) || upper(substr(split_part(p_name, ' ', 2), 1, 1)) "
+                    "|| substr(split_part(p_name, ' ', 2), 2) ELSE split_part(p_name, ' ', 1) END")
+CATALOG_TABLE_EXPR = "'tbl_' || CAST(p_partkey % 50 AS STRING)"
+
+
+# ------------------------------------------------------------ report parameters
+REPORT_PARAMS_EXPR = (
+    "CASE WHEN s_suppkey % 10 = 0 THEN 'not json' ELSE "
+    "'[{\"name\": \"From\", \"dataType\": \"Date\"}, {\"name\": \"' || "
+    "CASE s_suppkey % 4 WHEN 0 THEN 'StartDate' WHEN 1 THEN 'Customer' WHEN 2 THEN 'Date' ELSE 'Region' END "
+    "|| '\", \"dataType\": \"' || CASE WHEN s_suppkey % 3 = 0 THEN 'DateTime' ELSE 'String' END "
+    "|| '\"}, {\"name\": \"To\", \"dataType\": \"DateOnly\"}]' END")

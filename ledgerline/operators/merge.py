@@ -235,7 +235,7 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
                       keys: list[str] | None = None, key: str = KEY,
                       tenant_col: str | None = None, tenants=None,
                       soft_delete: bool = True, restamp_deleted: bool = True,
-                      only_changed: bool = False) -> DataFrame:
+                      only_changed: bool = False, newer_col: str | None = None) -> DataFrame:
     """W5 (``soft_delete=True``) and W6 (``soft_delete=False``).
 
     matched -> common columns from staging (safe-cast to target types),
@@ -265,6 +265,8 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
         for c in common:
             same = same & t_col(c).eqNullSafe(sval(c))
         matched = matched & ~same  # unchanged matches keep the target row
+    if newer_col:
+        matched = matched & (t_col(newer_col).isNull() | (s_col(newer_col) >= t_col(newer_col)))
 
     out = []
     for c in layout:

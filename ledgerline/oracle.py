@@ -502,3 +502,137 @@ WITH s AS (SELECT event_id, event_type, CAST(ts AS DATE) AS snapshot_date FROM e
 m AS (SELECT event_type, max(snapshot_date) AS snapshot_date FROM s GROUP BY 1)
 SELECT s.* FROM s JOIN m USING (event_type, snapshot_date)
 """)
+
+
+# ------------------------------------------------------------ drift
+_CAT = (f"cat AS (SELECT DISTINCT {fx.CATALOG_TABLE_EXPR.replace('AS STRING', 'AS VARCHAR')} AS table_name, "
+        f"{fx.CATALOG_COL_EXPR} AS column_name FROM part)")
+_PAIRS = f"""{_CAT},
+s AS (SELECT table_name, column_name AS snake_case, {_camel('column_name')} AS camel_twin FROM cat
+      WHERE regexp_matches(column_name, '^[a-z][a-z0-9_]*$') AND NOT starts_with(column_name, '_etl_')),
+pairs AS (SELECT s.table_name, s.snake_case, s.camel_twin AS camel_case FROM s
+          JOIN cat c ON s.table_name = c.table_name AND s.camel_twin = c.column_name
+          WHERE s.camel_twin <> s.snake_case)"""
+sql("drift_pairs", f"WITH {_PAIRS} SELECT * FROM pairs")
+sql("drift_summary", f"WITH {_PAIRS} SELECT table_name, count(*) AS n_pairs FROM pairs GROUP BY 1")
+
+sql("drop_duplicate_style", """
+SELECT o_orderkey, o_orderstatus AS order_status, o_totalprice AS total_price FROM orders
+""")
+
+# ------------------------------------------------------------ quality
+_SNAP = "CASE WHEN doc_id % 2 = 0 THEN 'return_1' ELSE 'return_2' END"
+
+
+def _cnt(sub: str, width: int) -> str:
+    return f"CAST(sum((length(text) - length(replace(text, {sub}, ''))) // {width}) AS BIGINT)"
+
+
+sql("snapshot_compare", f"""
+WITH d AS (SELECT {_SNAP} AS snapshot, text FROM documents),
+m AS (SELECT snapshot, count(*) AS n_items, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+        {_cnt("'\\r\\n'", 4)} AS escaped_crlf, {_cnt("'\\r'", 2)} AS escaped_cr,
+        {_cnt("'\\n'", 2)} AS escaped_lf, {_cnt("'\\t'", 2)} AS escaped_tab,
+        {_cnt('chr(13)', 1)} AS real_cr, {_cnt('chr(10)', 1)} AS real_lf, {_cnt('chr(9)', 1)} AS real_tab,
+        CAST(sum(strlen(text)) AS BIGINT) AS n_bytes,
+        count(*) FILTER (WHERE regexp_matches(text, '[\\r\\n]')) AS multiline_items
+      FROM d GROUP BY 1),
+c AS (SELECT snapshot, count(DISTINCT ch) AS non_ascii_chars
+      FROM (SELECT snapshot, unnest(regexp_extract_all(text, '([^\\x00-\\x7F])', 1)) AS ch FROM d) GROUP BY 1)
+SELECT m.*, coalesce(c.non_ascii_chars, 0) AS non_ascii_chars FROM m LEFT JOIN c USING (snapshot)
+""")
+
+sql("charset_diff", """
+WITH s AS (SELECT DISTINCT lang, unnest(regexp_extract_all(text, '([^\\x00-\\x7F])', 1)) AS ch FROM documents)
+SELECT lang, ch FROM s WHERE lang <> 'en' AND ch NOT IN (SELECT ch FROM s WHERE lang = 'en')
+""")
+
+# ------------------------------------------------------------ scans
+sql("json_array_scan", "SELECT * FROM orders")
+sql("json_streamed_scan", "SELECT * FROM customer")
+sql("csv_scan", """
+SELECT CAST(l_suppkey AS INTEGER) AS employee_id, CAST(l_shipdate AS DATE) AS date,
+       CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_linenumber AS VARCHAR) AS c_2nd_line,
+       CAST(l_quantity AS VARCHAR) AS a_o_qty,
+       'line ' || CAST(l_linenumber AS VARCHAR) || chr(10) || 'flag, ' || l_returnflag || ' "q"' AS notes
+FROM lineitem
+""")
+
+sql("landed_file_resolution", f"""
+WITH {fx.SQL_REGISTRY},
+r AS (SELECT table_name, CAST(regexp_extract(table_name, '(\\d+)$', 1) AS BIGINT) AS k FROM registry),
+l AS (
+  SELECT table_name, 1 AS priority, 'servicetitan_' || table_name || '.csv' AS file_name FROM r WHERE k % 4 = 0
+  UNION ALL SELECT table_name, 2, table_name || '.csv' FROM r WHERE k % 4 = 1 OR k % 8 = 0
+  UNION ALL SELECT table_name, 3, upper(substr(replace(table_name, '_', ' '), 1, 1))
+                                  || substr(replace(table_name, '_', ' '), 2) || '.csv' FROM r WHERE k % 4 = 2)
+SELECT table_name, arg_min(file_name, priority) AS file_name, min(priority) AS priority FROM l GROUP BY 1
+""")
+
+# ------------------------------------------------------------ reports
+sql("report_windows", f"""
+WITH {fx.SQL_CATALOG}
+SELECT company_id, report_id, 'rep_' || CAST(report_id AS VARCHAR) AS table_name, history_from,
+       report_id % 2 = 0 AS table_exists,
+       CASE WHEN report_id % 2 = 0 THEN DATE '{fx.RUN_DATE}' - INTERVAL 1 DAY
+            ELSE coalesce(history_from, DATE '2025-01-01') END::DATE AS from_date,
+       (DATE '{fx.RUN_DATE}' - INTERVAL 1 DAY)::DATE AS to_date
+FROM catalog
+""")
+
+sql("param_binding", f"""
+WITH r AS (SELECT s_suppkey AS report_id, {fx.REPORT_PARAMS_EXPR} AS params FROM supplier),
+l AS (SELECT report_id,
+        CASE WHEN json_valid(params)
+             THEN from_json(params, '[{{"name": "VARCHAR", "dataType": "VARCHAR"}}]') ELSE [] END AS ps
+      FROM r),
+u AS (SELECT report_id, i AS param_pos, ps[i + 1].name AS param_name, ps[i + 1].dataType AS dt
+      FROM l, unnest(range(len(ps))) t(i)),
+v AS (SELECT report_id, CAST(param_pos AS BIGINT) AS param_pos, coalesce(param_name, '') AS param_name,
+        CASE WHEN lower(coalesce(param_name, '')) LIKE '%from%' OR lower(coalesce(param_name, '')) LIKE '%start%'
+                  OR lower(coalesce(param_name, '')) LIKE '%begin%' THEN '2025-01-01'
+             WHEN lower(coalesce(param_name, '')) LIKE '%to%' OR lower(coalesce(param_name, '')) LIKE '%end%'
+                  THEN CAST((DATE '{fx.RUN_DATE}' - INTERVAL 1 DAY)::DATE AS VARCHAR)
+             WHEN lower(coalesce(param_name, '')) = 'date'
+                  THEN CAST((DATE '{fx.RUN_DATE}' - INTERVAL 1 DAY)::DATE AS VARCHAR) END AS param_value,
+        dt
+      FROM u)
+SELECT report_id, param_pos, param_name, param_value FROM v
+WHERE dt IN ('Date', 'DateTime', 'DateOnly', 'System.DateTime') AND param_value IS NOT NULL
+""")
+
+_TREE = """
+SELECT CAST(n_regionkey AS BIGINT) AS company_id,
+       CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) ELSE n_name END AS report_category,
+       s_suppkey AS report_id, s_name AS report_name, 'nation ' || n_name AS report_description,
+       '2025-01-' || lpad(CAST(s_suppkey % 28 + 1 AS VARCHAR), 2, '0') AS report_modified_on,
+       CAST(2 AS BIGINT) AS n_params, CAST(1 AS BIGINT) AS n_fields
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+WHERE s_suppkey % 17 <> 0 AND s_suppkey % 19 <> 0 AND s_suppkey <> 0
+"""
+sql("tree_walk", _TREE)
+sql("tree_walk_filtered", _TREE + " AND (lower(n_name) = 'nation_3')")
+
+# ------------------------------------------------------------ logs
+sql("run_summary", """
+SELECT CAST(ts AS DATE) AS run_id, count(*) AS total,
+       count(*) FILTER (WHERE upper(event_type) <> 'ERROR') AS ok,
+       count(*) FILTER (WHERE upper(event_type) = 'ERROR') AS failed
+FROM events GROUP BY 1
+""")
+
+sql("log_events", """
+SELECT ts AS timestamp,
+       CASE WHEN user_id IS NOT NULL AND CAST(user_id AS VARCHAR) NOT IN ('0', '') THEN CAST(user_id AS VARCHAR) END
+         AS company_id,
+       CAST(NULL AS VARCHAR) AS company_name, CAST(NULL AS VARCHAR) AS project_id, event_type AS endpoint,
+       upper(event_type) AS event_type, 'Load ' || event_type AS event_title,
+       'value ' || format('{:,.2f}', value) AS event_message, 'ledgerline_load' AS source,
+       CAST(json_object('user', user_id, 'type', event_type) AS VARCHAR) AS info
+FROM events
+""")
+
+sql("stream_merge", """
+SELECT user_id, event_type, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(value, ts) AS value
+FROM events GROUP BY 1, 2
+""")

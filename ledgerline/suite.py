@@ -13,16 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixtures as fx
+from ledgerline.session import scratch_dir
 from ledgerline.functions import names as NM
 from ledgerline.functions import values as V
 from ledgerline.operators import keys as K
 from ledgerline.operators import merge as M
 from ledgerline.operators import monitor as MO
 from ledgerline.operators import normalize as NZ
+from ledgerline.operators import publish as PUB
+from ledgerline.operators import quality as QA
+from ledgerline.operators import schema as SC
 from ledgerline.plans import load_plan as LP
 from ledgerline.plans import workload as WL
+from ledgerline.sources import csv as CSV
 from ledgerline.sources import landing as LD
 from ledgerline.sources import pages as PG
+from ledgerline.sources import writers as WR
+from ledgerline.streaming import landing_stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -329,10 +336,12 @@ def q_company_weight_lookup(spark, sf):
 
 @query("balance_groups")
 def q_balance_groups(spark, sf):
-    """A5: customers balanced over 4 bins per nation by |balance|."""
+    """A5: tenants balanced over 4 tasks per run; a run is a cohort of 100
+    consecutive tenant ids (so each group stays run-sized as data grows),
+    weight = |balance|."""
     c = fx.table(spark, sf, "customer").select(
-        "c_nationkey", "c_custkey", F.round(F.abs("c_acctbal"), 2).alias("w"))
-    return WL.balance_groups(c, "c_nationkey", "c_custkey", "w", 4)
+        F.expr("c_custkey div 100").alias("run"), "c_custkey", F.round(F.abs("c_acctbal"), 2).alias("w"))
+    return WL.balance_groups(c, "run", "c_custkey", "w", 4)
 
 
 @query("monitor_upsert")
@@ -568,3 +577,259 @@ def q_snapshot_latest(spark, sf):
     e = fx.table(spark, sf, "events").select("event_id", "event_type",
                                              F.to_date("ts").alias("snapshot_date"))
     return LD.latest_snapshot(e, ["event_type"], "snapshot_date")
+
+
+# ============================================================ schema drift
+def _column_catalog(spark, sf):
+    p = fx.table(spark, sf, "part")
+    return p.select(F.expr(fx.CATALOG_TABLE_EXPR).alias("table_name"),
+                    F.expr(fx.CATALOG_COL_EXPR).alias("column_name"))
+
+
+@query("drift_pairs")
+def q_drift_pairs(spark, sf):
+    """C6 over a column catalog derived from part (50 tables)."""
+    return SC.duplicate_style_pairs(_column_catalog(spark, sf))
+
+
+@query("drift_summary")
+def q_drift_summary(spark, sf):
+    """Affected tables and their pair counts."""
+    return SC.drift_summary(SC.duplicate_style_pairs(_column_catalog(spark, sf))).select(
+        "table_name", "n_pairs")
+
+
+@query("drop_duplicate_style")
+def q_drop_duplicate_style(spark, sf):
+    """Orders landed with both naming styles; keep snake_case, copy the
+    camelCase value where the snake one is missing, drop camelCase."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    df = o.select("o_orderkey", F.when(k % 2 == 0, F.col("o_orderstatus")).alias("order_status"),
+                  F.col("o_orderstatus").alias("orderStatus"),
+                  F.when(k % 3 != 0, F.col("o_totalprice")).alias("total_price"),
+                  F.col("o_totalprice").alias("totalPrice"))
+    pairs = SC.duplicate_style_pairs(SC.column_catalog(spark, {"orders": df})).collect()
+    return SC.drop_duplicate_style(df, [(r["snake_case"], r["camel_case"]) for r in pairs])
+
+
+@query("schema_diff")
+def q_schema_diff(spark, sf):
+    """C2 on F-D: type change, staging-only and target-only columns."""
+    return SC.schema_diff(spark, fx.fd_staging(spark, sf), fx.fd_target(spark, sf))
+
+
+# ============================================================ quality
+@query("snapshot_compare")
+def q_snapshot_compare(spark, sf):
+    """Q1 + F14 + N5 over documents split in two snapshots by doc_id."""
+    d = fx.table(spark, sf, "documents").select(
+        F.when(F.col("doc_id") % 2 == 0, F.lit("return_1")).otherwise(F.lit("return_2")).alias("snap"),
+        "text")
+    return QA.snapshot_metrics(d, "snap", "text")
+
+
+@query("charset_diff")
+def q_charset_diff(spark, sf):
+    """Non-ASCII characters each language uses that English never does."""
+    return QA.charset_diff(fx.table(spark, sf, "documents"), "lang", "text", "en")
+
+
+# ============================================================ scans
+def _orders_as_text(spark, sf):
+    o = fx.table(spark, sf, "orders")
+    return o.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+
+
+_ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate string, o_orderpriority string")
+
+
+def _scan_back(spark, path, layout, ddl):
+    recs = LD.read_text_records(spark, path, layout)
+    parsed = recs.select(F.from_json("value", ddl).alias("r"))
+    return parsed.select("r.*")
+
+
+@query("json_array_scan")
+def q_json_array_scan(spark, sf):
+    """Orders landed as list dumps (one array per file, indent 2), read
+    back split on the record separator."""
+    path = scratch_dir(spark, "landed-orders")
+    WR.write_json_array(_orders_as_text(spark, sf).repartition(4), path, "indent2")
+    out = _scan_back(spark, path, "indent2", _ORDERS_DDL)
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
+@query("json_streamed_scan")
+def q_json_streamed_scan(spark, sf):
+    """Customers landed as streamed arrays (``,\\n{`` separators)."""
+    path = scratch_dir(spark, "landed-customers")
+    c = fx.table(spark, sf, "customer")
+    WR.write_json_array(c.repartition(3), path, "streamed")
+    ddl = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    return _scan_back(spark, path, "streamed", ddl)
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf):
+    """A timesheet export with messy headers (BOM, padding, leading
+    digit, non-ASCII) and quoted multi-line values, read with the
+    header-derived schema."""
+    li = fx.table(spark, sf, "lineitem")
+    export = li.select(
+        F.col("l_suppkey").cast("int").alias("﻿Employee ID"),
+        F.to_date("l_shipdate").alias("Date "),
+        F.col("l_orderkey").alias("Order Key"), F.col("l_linenumber").alias("2nd Line"),
+        F.col("l_quantity").alias("Año Qty"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit("\nflag, "),
+                 F.col("l_returnflag"), F.lit(' "q"')).alias("Notes"))
+    path = scratch_dir(spark, "landed-csv")
+    export.repartition(3).write.option("header", True).mode("overwrite").csv(path)
+    return CSV.read_landed_csv(spark, path)
+
+
+@query("file_report")
+def q_file_report(spark, sf):
+    """S3: per landed NDJSON file: records, bad records, layout, status."""
+    path = scratch_dir(spark, "landed-events")
+    e = fx.table(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 100 == 0, F.replace(F.col("props"), F.lit('"k"'), F.lit("k"))) \
+        .otherwise(F.col("props"))
+    e.select(raw.alias("value")).repartition(3).write.mode("overwrite").text(path)
+    rep = LD.file_report(spark, path, "ndjson")
+    return rep.select(F.regexp_extract("file_path", r"(part-\d+)", 1).alias("file"), "n_records",
+                      "n_bad", "layout_seen", "status")
+
+
+@query("landed_file_resolution")
+def q_landed_file_resolution(spark, sf):
+    """First existing landed file per table among the three name variants."""
+    reg = fx.registry(spark, sf).select("table_name")
+    k = F.regexp_extract("table_name", r"(\d+)$", 1).cast("bigint")
+    t = F.col("table_name")
+    title = F.initcap(F.replace(t, F.lit("_"), F.lit(" ")))
+    listing = reg.select(F.explode(F.array(
+        F.when(k % 4 == 0, F.concat(F.lit("servicetitan_"), t, F.lit(".csv"))),
+        F.when((k % 4 == 1) | (k % 8 == 0), F.concat(t, F.lit(".csv"))),
+        F.when(k % 4 == 2, F.concat(title, F.lit(".csv"))))).alias("file_name")).where(
+        F.col("file_name").isNotNull())
+    return LD.resolve_landed_files(listing, reg)
+
+
+# ============================================================ reports
+@query("report_windows")
+def q_report_windows(spark, sf):
+    """Incremental window for reports whose table exists, backfill from
+    history_from (default 2025-01-01) otherwise."""
+    cat = fx.catalog(spark, sf)
+    s = fx.table(spark, sf, "supplier")
+    existing = s.where(F.col("s_suppkey") % 2 == 0).select(
+        F.concat(F.lit("rep_"), F.col("s_suppkey").cast("string")).alias("table_name"))
+    reports = cat.select("company_id", "report_id", F.concat(F.lit("rep_"), F.col("report_id").cast("string"))
+                         .alias("table_name"), "history_from")
+    return LP.report_windows(reports, existing, fx.RUN_DATE)
+
+
+@query("param_binding")
+def q_param_binding(spark, sf):
+    """Date parameters bound to the report window by name."""
+    s = fx.table(spark, sf, "supplier")
+    reports = s.select(F.col("s_suppkey").alias("report_id"), F.expr(fx.REPORT_PARAMS_EXPR).alias("params"),
+                       F.lit("2025-01-01").cast("date").alias("from_date"),
+                       F.date_sub(F.lit(fx.RUN_DATE).cast("date"), 1).alias("to_date"))
+    out = LP.bind_date_params(reports, "params", "from_date", "to_date")
+    return out.select("report_id", F.col("param_pos").cast("bigint").alias("param_pos"),
+                      "param_name", "param_value")
+
+
+def _tree_payloads(spark, sf):
+    n = fx.table(spark, sf, "nation")
+    s = fx.table(spark, sf, "supplier")
+    cat_id = F.when(F.col("n_nationkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name"))
+    node = F.when(F.col("n_nationkey") % 2 == 0,
+                  F.to_json(F.struct(cat_id.alias("id"), F.col("n_name").alias("name")))) \
+        .otherwise(F.to_json(F.array(F.col("n_name"))).substr(F.lit(2), F.length(F.col("n_name")) + 2))
+    cats = (n.groupBy(F.col("n_regionkey").cast("bigint").alias("company_id"))
+            .agg(F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(node)), ", "), F.lit("]"))
+                 .alias("payload")))
+    sn = s.join(n.select("n_nationkey", "n_regionkey", "n_name"), s["s_nationkey"] == n["n_nationkey"])
+    sn = sn.withColumn("category", cat_id).withColumn("company_id", F.col("n_regionkey").cast("bigint"))
+    rid = F.when(F.col("s_suppkey") % 17 != 0, F.col("s_suppkey"))
+    reports = (sn.groupBy("company_id", "category", F.expr("s_suppkey div 50"))
+               .agg(F.to_json(F.struct(F.collect_list(F.struct(rid.alias("id"), F.col("s_name").alias("name")))
+                                       .alias("data"))).alias("payload"))
+               .select("company_id", "category", "payload"))
+    det = sn.where(F.col("s_suppkey") % 19 != 0).select(
+        "company_id", "category", F.col("s_suppkey").alias("report_id"),
+        F.to_json(F.struct(
+            F.array(F.struct(F.lit("From").alias("name"), F.lit("Date").alias("dataType")),
+                    F.struct(F.lit("To").alias("name"), F.lit("Date").alias("dataType"))).alias("parameters"),
+            F.array(F.struct(F.lit("Id").alias("name"), F.lit("Number").alias("dataType"))).alias("fields"),
+            F.concat(F.lit("2025-01-"), F.lpad((F.col("s_suppkey") % 28 + 1).cast("string"), 2, "0"))
+            .alias("modifiedOn"),
+            F.concat(F.lit("nation "), F.col("n_name")).alias("description"))).alias("payload"))
+    return cats, reports, det
+
+
+def _tree_out(df):
+    return df.select("company_id", "report_category", "report_id", "report_name", "report_description",
+                     "report_modified_on",
+                     F.json_array_length("parameters").cast("bigint").alias("n_params"),
+                     F.json_array_length("fields").cast("bigint").alias("n_fields"))
+
+
+@query("tree_walk")
+def q_tree_walk(spark, sf):
+    """Categories -> report pages -> details, bad nodes skipped."""
+    return _tree_out(LP.tree_walk(*_tree_payloads(spark, sf)))
+
+
+@query("tree_walk_filtered")
+def q_tree_walk_filtered(spark, sf):
+    """J6 + P19: one category by id or name, ignoring case."""
+    return _tree_out(LP.tree_walk(*_tree_payloads(spark, sf), category_filter="nation_3"))
+
+
+# ============================================================ logs
+@query("run_summary")
+def q_run_summary(spark, sf):
+    """A10: units per run day, ok and failed (type error = failed)."""
+    e = fx.table(spark, sf, "events").select(F.to_date("ts").alias("run_id"), "event_type")
+    return MO.run_summary(e)
+
+
+@query("log_events")
+def q_log_events(spark, sf):
+    """Event-log rows built from events (id as text, info as JSON)."""
+    e = fx.table(spark, sf, "events")
+    return MO.log_events(
+        e, timestamp=F.col("ts"), company_id=F.col("user_id"), event_type=F.upper("event_type"),
+        event_title=F.concat(F.lit("Load "), F.col("event_type")), source="ledgerline_load",
+        endpoint=F.col("event_type"),
+        event_message=F.concat(F.lit("value "), F.format_number("value", 2)),
+        info=F.struct(F.col("user_id").alias("user"), F.col("event_type").alias("type")))
+
+
+# ============================================================ streaming
+_EVENTS_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double"
+
+
+@query("stream_merge")
+def q_stream_merge(spark, sf):
+    """Events landed as NDJSON in four time-ordered drops, merged
+    incrementally (newest per (user, type)) into a published target."""
+    from pyspark.sql import types as T
+    base = scratch_dir(spark, "stream")
+    landing, root, ckpt = f"{base}/landing", f"{base}/tables", f"{base}/checkpoint"
+    e = fx.table(spark, sf, "events").select("event_id", F.col("ts").cast("string").alias("ts"),
+                                             "user_id", "event_type", "value")
+    for lo, hi in [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-16"),
+                   ("2024-01-16", "2024-01-24"), ("2024-01-24", "2024-02-01")]:
+        WR.write_ndjson_append(e.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1), landing)
+    schema = T._parse_datatype_string(_EVENTS_DDL)
+    ST.run_landing_merge(spark, landing, schema, root, "events_latest", ["user_id", "event_type"], "ts",
+                         fx.SYNCED_AT, ckpt)
+    out = PUB.read_published(spark, root, "events_latest")
+    return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                      "value")
