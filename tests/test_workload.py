@@ -1,0 +1,13 @@
+import random
+
+from ledgerline.plans.workload import balance_groups, balance_python
+
+
+def test_balance_matches_brute_force(spark):
+    rnd = random.Random(7)
+    rows = [(g, i, float(rnd.choice([5, 10, 10, 30, 60, 120]))) for g in range(3) for i in range(40)]
+    df = spark.createDataFrame(rows, "g bigint, i bigint, w double")
+    got = {(int(r["group_key"]), r["item_id"]): r["bin"] for r in balance_groups(df, "g", "i", "w", 4).collect()}
+    for g in range(3):
+        want = balance_python([(i, w) for gg, i, w in rows if gg == g], 4)
+        assert {i: b for (gg, i), b in got.items() if gg == g} == want
