@@ -184,9 +184,55 @@ def column_expr(obj: Column, cp: ColumnPlan, stringify_mode: str = "plain") -> C
 
 def normalize(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj",
               keep: list[str] | None = None, stringify_mode: str = "plain") -> DataFrame:
-    """P1-P5 + N1-N3 in one projection."""
-    cols = [column_expr(F.col(obj), cp, stringify_mode).alias(cp.name) for cp in plan.columns]
-    return parsed.select(*(keep or []), *cols)
+    """P1-P5 + N1-N3 in one pass over the rows.
+
+    Three stacked projections so each costly piece is computed once per
+    row: the entry list, then one picked value per column, then the typed
+    repair of each value (which reads its value several times).
+    """
+    keep = list(keep or [])
+    staged = parsed.select(*keep, F.map_entries(F.col(obj)).alias("__entries"))
+    picks = []
+    for i, cp in enumerate(plan.columns):
+        hits = F.filter(F.col("__entries"), _key_in(cp.source_keys))
+        picks.append(F.try_element_at(hits, F.lit(-1))["value"].alias(f"__v{i}"))
+    staged = staged.select(*keep, *picks)
+    staged = staged.select(*keep, *[c for i in range(len(plan.columns))
+                                    for c in (F.col(f"__v{i}"),
+                                              F.schema_of_variant(F.col(f"__v{i}")).alias(f"__k{i}"))])
+    cols = [_typed(F.col(f"__v{i}"), F.col(f"__k{i}"), cp, stringify_mode).alias(cp.name)
+            for i, cp in enumerate(plan.columns)]
+    return staged.select(*keep, *cols)
+
+
+def _key_in(keys: list[str]):
+    return lambda e: e["key"].isin(*keys)
+
+
+def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Column:
+    """Column repair given the picked value and its precomputed kind."""
+    if cp.kind == "array":
+        arr = F.try_variant_get(v, "$", "array<variant>")
+        inner = F.filter(arr, lambda x: ~(_kind(x).startswith("ARRAY") & (
+            F.size(F.try_variant_get(x, "$", "array<variant>")) == 0)))
+        inner = F.transform(inner, lambda x: F.when(
+            _kind(x).startswith("ARRAY"), F.to_json(x).cast("variant")).otherwise(x))
+        empty = F.array().cast("array<variant>")
+        return (F.when(v.isNull() | (kind == "VOID") | (kind == "OBJECT<>"), empty)
+                .when(kind.startswith("OBJECT"), F.array(v))
+                .when(kind.startswith("ARRAY"), inner)
+                .otherwise(F.array(v)))
+    if cp.kind == "text":
+        if stringify_mode == "json":
+            return F.when(kind != "VOID", F.to_json(v))
+        return F.when(kind == "STRING", _as_text(v)).when(kind != "VOID", F.to_json(v))
+    if cp.coerce:
+        s = _as_text(v)
+        typed = F.try_variant_get(v, "$", cp.kind) if cp.kind != "variant" else v
+        return F.when((kind == "STRING") & (s != ""), coerce_to(s, cp.coerce)).otherwise(typed)
+    if cp.kind == "variant":
+        return F.when(kind != "VOID", v)
+    return F.try_variant_get(v, "$", cp.kind)
 
 
 def infer_plan(parsed: DataFrame, **kw) -> NormalizePlan:

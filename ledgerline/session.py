@@ -77,3 +77,31 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def _size_in_bytes(df) -> int | None:
+    """Catalyst's size estimate of a plan (file sizes for scans)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:
+        return None
+
+
+def spread(df, min_partitions: int | None = None):
+    """Spread CPU-heavy row work (JSON parsing, regex over whole texts) over
+    every core when the input is too small to yield that many scan splits.
+
+    Parquet splits at row-group boundaries, so a small file is one task.
+    When the planner's size estimate shows the scan already yields at least
+    ``min_partitions`` splits (the large-data case) nothing is added; only
+    small inputs get a round-robin ``repartition``.
+    """
+    spark = df.sparkSession
+    n = min_partitions or spark.sparkContext.defaultParallelism
+    max_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    max_bytes = int(str(max_bytes).lower().rstrip("b").replace("m", "")) * (1 << 20) \
+        if str(max_bytes).lower().endswith(("m", "mb")) else int(max_bytes)
+    size = _size_in_bytes(df)
+    if size is not None and size >= n * max_bytes:
+        return df
+    return df.repartition(n)

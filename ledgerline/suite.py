@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixtures as fx
-from ledgerline.session import scratch_dir
+from ledgerline.session import scratch_dir, spread
 from ledgerline.functions import names as NM
 from ledgerline.functions import values as V
 from ledgerline.operators import keys as K
@@ -145,7 +145,7 @@ def q_surrogate_key(spark, sf):
 @query("coerce_types")
 def q_coerce_types(spark, sf):
     """P5 over text built from events.props and fixed spellings."""
-    e = fx.table(spark, sf, "events")
+    e = spread(fx.table(spark, sf, "events"))
     k = F.col("event_id") % 9
     raw = (F.when(k == 0, F.lit("N/A")).when(k == 1, F.lit("3.0")).when(k == 2, F.lit("yes"))
            .when(k == 3, F.lit("No")).when(k == 4, F.lit("-2.7")).when(k == 5, F.lit("0"))
@@ -425,7 +425,7 @@ def q_header_clean(spark, sf):
 @query("log_clean")
 def q_log_clean(spark, sf):
     """F13 over whole document texts wrapped as warehouse error messages."""
-    d = fx.table(spark, sf, "documents")
+    d = spread(fx.table(spark, sf, "documents"))
     return d.select("doc_id", V.clean_log_text(F.expr(fx.LOG_MSG)).alias("cleaned"))
 
 
@@ -443,7 +443,7 @@ def q_json_props(spark, sf):
 
 
 def _event_objects(spark, sf):
-    e = fx.table(spark, sf, "events")
+    e = spread(fx.table(spark, sf, "events"))
     return LD.parse_records(e.select("event_id", F.expr(fx.OBJ_EXPR).alias("value")))
 
 
@@ -458,7 +458,7 @@ def q_mixed_type_probe(spark, sf):
 
 
 def _order_objects(spark, sf):
-    o = fx.table(spark, sf, "orders")
+    o = spread(fx.table(spark, sf, "orders"))
     return LD.parse_records(o.select(F.expr(fx.ORDER_OBJ_EXPR).alias("value")))
 
 
@@ -623,7 +623,7 @@ def q_schema_diff(spark, sf):
 @query("snapshot_compare")
 def q_snapshot_compare(spark, sf):
     """Q1 + F14 + N5 over documents split in two snapshots by doc_id."""
-    d = fx.table(spark, sf, "documents").select(
+    d = spread(fx.table(spark, sf, "documents")).select(
         F.when(F.col("doc_id") % 2 == 0, F.lit("return_1")).otherwise(F.lit("return_2")).alias("snap"),
         "text")
     return QA.snapshot_metrics(d, "snap", "text")
@@ -632,7 +632,7 @@ def q_snapshot_compare(spark, sf):
 @query("charset_diff")
 def q_charset_diff(spark, sf):
     """Non-ASCII characters each language uses that English never does."""
-    return QA.charset_diff(fx.table(spark, sf, "documents"), "lang", "text", "en")
+    return QA.charset_diff(spread(fx.table(spark, sf, "documents")), "lang", "text", "en")
 
 
 # ============================================================ scans
@@ -656,7 +656,7 @@ def q_json_array_scan(spark, sf):
     """Orders landed as list dumps (one array per file, indent 2), read
     back split on the record separator."""
     path = scratch_dir(spark, "landed-orders")
-    WR.write_json_array(_orders_as_text(spark, sf).repartition(4), path, "indent2")
+    WR.write_json_array(spread(_orders_as_text(spark, sf)), path, "indent2")
     out = _scan_back(spark, path, "indent2", _ORDERS_DDL)
     return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
