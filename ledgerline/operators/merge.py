@@ -246,7 +246,11 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
     """
     keys = keys or ([tenant_col, key] if tenant_col else [key])
     layout = output_layout(target, staging, key)
-    ttypes, stypes = _types(target), _types(staging)
+    stypes = _types(staging)
+    for k in keys:  # C4: a key the target lacks is added as a typed null column
+        if k not in target.columns and k in stypes:
+            target = target.withColumn(k, F.lit(None).cast(stypes[k]))
+    ttypes = _types(target)
     frame = merge_frame(target, staging, keys)
     matched, ins, tonly = is_matched(), is_source_only(), is_target_only()
 

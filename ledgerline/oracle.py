@@ -636,3 +636,53 @@ sql("stream_merge", """
 SELECT user_id, event_type, arg_max(event_id, ts) AS event_id, max(ts) AS ts, arg_max(value, ts) AS value
 FROM events GROUP BY 1, 2
 """)
+
+
+sql("bad_row_preview", """
+WITH r AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN replace(props, '"k"', 'k') ELSE props END
+                  || CASE WHEN event_id % 37 = 0 THEN ' ' || event_type ELSE '' END AS raw FROM events)
+SELECT event_id, substr(raw, 1, 200) AS preview FROM r WHERE NOT json_valid(raw)
+""")
+
+sql("registry_scan", f"""
+WITH {fx.SQL_REGISTRY},
+e AS (SELECT table_name, ep_module AS module, ep_version AS version, ep_submodule AS submodule,
+             ep_name AS name, coalesce(nullif(ep_endpoint_type, ''), 'normal') AS endpoint_type
+      FROM registry WHERE active = true AND silver_use_bronze = true),
+p AS (SELECT *, concat_ws('/', {_strip('module')}, {_strip('version')}, 'tenant') AS api_url_base,
+             CASE WHEN coalesce({_strip('submodule')}, '') <> ''
+                  THEN concat_ws('/', {_strip('submodule')}, {_strip('name')}) ELSE {_strip('name')} END AS api_data
+      FROM e)
+SELECT *,
+       regexp_replace(regexp_replace(concat_ws('/', 'https://api.example.com', {_strip('api_url_base')},
+           '{{tenant}}', {_strip('api_data')}), '/+', '/', 'g'), '(https?):/', '\\1://', 'g') AS url_template,
+       CASE WHEN starts_with(api_data, 'export/') THEN 'export'
+            WHEN contains(api_data, 'gross-pay-items') THEN 'streaming' ELSE 'normal' END AS mode
+FROM p
+""")
+
+sql("report_catalog_scan", f"""
+WITH {fx.SQL_CATALOG}
+SELECT company_id, report_category, report_id, report_name, table_name, history_from
+FROM catalog WHERE is_active = true
+""")
+
+sql("publish_roundtrip", ORACLE["merge_tenant_scoped"])
+
+sql("field_to_text", """
+SELECT o_orderkey AS id, CAST(o_custkey % 5 AS VARCHAR) AS status, o_orderstatus AS info_status,
+       '{"code":"' || o_orderpriority || '"}' AS detail_status,
+       CAST(o_custkey AS VARCHAR) || ',' || CAST(o_orderkey % 7 AS VARCHAR) AS items_status
+FROM orders
+""")
+
+sql("merge_add_key", f"""
+WITH {fx.SQL_FA}
+SELECT CAST(NULL AS BIGINT) AS id, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       TIMESTAMP '{S}' AS _etl_synced, 'DELETE' AS _etl_operation
+FROM fa_base WHERE id % 13 <> 0
+UNION ALL
+SELECT id, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       TIMESTAMP '{S}' AS _etl_synced, 'INSERT' AS _etl_operation
+FROM fa_s
+""")

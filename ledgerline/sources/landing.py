@@ -43,9 +43,16 @@ def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson") ->
 
 def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``obj`` (key -> variant map, duplicate keys kept in order) and
-    ``is_bad`` (text that is not one JSON object)."""
-    m = F.from_json(F.col(value), "map<string,variant>")
-    return df.withColumns({"obj": m, "is_bad": m.isNull()})
+    ``is_bad`` (text that is not exactly one JSON object).
+
+    The JSON reader stops after the first complete value and ignores what
+    follows (``{"k": 1} x`` would pass), so the text is parsed wrapped in
+    brackets: any trailing token then breaks the array, and exactly one
+    element must come back.
+    """
+    arr = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), "array<map<string,variant>>")
+    m = F.when(F.size(arr) == 1, F.try_element_at(arr, F.lit(1)))
+    return df.withColumn("obj", m).withColumn("is_bad", F.col("obj").isNull())
 
 
 def split_quarantine(parsed: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
@@ -55,12 +62,13 @@ def split_quarantine(parsed: DataFrame, mode: str = "quarantine") -> tuple[DataF
     ``drop`` returns an empty quarantine.
     """
     good = parsed.where(~F.col("is_bad"))
+    keep = [c for c in parsed.columns if c not in ("obj", "is_bad", "value")]
     bad = parsed.where(F.col("is_bad")).select(
-        "file_path", F.substring("value", 1, PREVIEW_CHARS).alias("preview"))
+        *keep, F.substring("value", 1, PREVIEW_CHARS).alias("preview"))
     if mode == "failfast":
         first = bad.limit(1).collect()
         if first:
-            raise ValueError(f"malformed record in {first[0]['file_path']}: {first[0]['preview']!r}")
+            raise ValueError(f"malformed record: {first[0]['preview']!r}")
     if mode == "drop":
         bad = bad.limit(0)
     return good, bad

@@ -833,3 +833,76 @@ def q_stream_merge(spark, sf):
     out = PUB.read_published(spark, root, "events_latest")
     return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
                       "value")
+
+
+# ============================================================ more sources / schema
+@query("bad_row_preview")
+def q_bad_row_preview(spark, sf):
+    """Quarantined NDJSON records with their 200-character preview
+    (unquoted keys, and text trailing a complete object)."""
+    e = fx.table(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 100 == 0, F.replace(F.col("props"), F.lit('"k"'), F.lit("k"))) \
+        .otherwise(F.col("props"))
+    tail = F.when(F.col("event_id") % 37 == 0, F.concat(F.lit(" "), F.col("event_type"))).otherwise(F.lit(""))
+    parsed = LD.parse_records(e.select("event_id", F.concat(raw, tail).alias("value")))
+    _, bad = LD.split_quarantine(parsed)
+    return bad
+
+
+@query("registry_scan")
+def q_registry_scan(spark, sf):
+    """S8 + P11 + P12 + P15: active registry endpoints with their request
+    path template and extraction mode."""
+    ep = LP.registry_endpoints(fx.registry(spark, sf))
+    parts = LP.api_parts(F.col("module"), F.col("version"), F.col("submodule"), F.col("name"))
+    return ep.select("table_name", "module", "version", "submodule", "name", "endpoint_type",
+                     parts["api_url_base"].alias("api_url_base"), parts["api_data"].alias("api_data"),
+                     LP.request_url(F.lit("https://api.example.com/"), parts["api_url_base"],
+                                    F.lit("{tenant}"), parts["api_data"]).alias("url_template"),
+                     LP.extraction_mode(parts["api_data"]).alias("mode"))
+
+
+@query("report_catalog_scan")
+def q_report_catalog_scan(spark, sf):
+    """Active catalog reports of all companies at once."""
+    return LP.report_catalog_scan(fx.catalog(spark, sf)).select(
+        "company_id", "report_category", "report_id", "report_name", "table_name", "history_from")
+
+
+@query("publish_roundtrip")
+def q_publish_roundtrip(spark, sf):
+    """S15/S17 + H1: the tenant-scoped merge published as a new version
+    (partitioned by tenant), published again with the same version id (a
+    no-op retry) and read back through the pointer table."""
+    merged = M.merge_soft_delete(fx.ff_target(spark, sf), fx.ff_staging(spark, sf), fx.SYNCED_AT,
+                                 tenant_col="company_id")
+    root = scratch_dir(spark, "published")
+    PUB.publish(merged, root, "orders_bronze", 1, partition_by=["company_id"])
+    PUB.publish(merged, root, "orders_bronze", 1, partition_by=["company_id"])
+    return PUB.read_published(spark, root, "orders_bronze").select(*merged.columns)
+
+
+@query("field_to_text")
+def q_field_to_text(spark, sf):
+    """Every field called ``status`` becomes text, at any depth (a
+    struct becomes its JSON text, array elements are rewritten in place)."""
+    o = fx.table(spark, sf, "orders")
+    df = o.select(
+        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 5).alias("status"),
+        F.struct(F.col("o_orderstatus").alias("status"),
+                 F.struct(F.struct(F.col("o_orderpriority").alias("code")).alias("status")).alias("detail"),
+                 F.array(F.struct(F.col("o_custkey").alias("status")),
+                         F.struct((F.col("o_orderkey") % 7).alias("status"))).alias("items")).alias("info"))
+    out = SC.cast_field_to_text(df, "status")
+    return out.select("id", "status", F.col("info.status").alias("info_status"),
+                      F.col("info.detail.status").alias("detail_status"),
+                      F.array_join(F.transform("info.items", lambda x: x["status"]), ",").alias("items_status"))
+
+
+@query("merge_add_key")
+def q_merge_add_key(spark, sf):
+    """C4 + C5: the target has neither ``id`` nor audit columns: both are
+    added; old rows (null id) never match and are soft-deleted, staging
+    rows are inserted."""
+    target = fx.orders_base(spark, sf).where(F.col("id") % 13 != 0).drop("id")
+    return M.merge_soft_delete(target, fx.fa_staging(spark, sf), fx.SYNCED_AT)
