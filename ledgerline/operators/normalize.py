@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.names import snake, snake_col
 from ledgerline.functions.values import coerce_to
@@ -67,6 +70,8 @@ class ColumnPlan:
     kind: str            # "array", "text", "bigint", "double", "boolean", "string", "variant"
     mixed: bool = False
     coerce: str | None = None
+    struct_type: T.StructType | None = None
+    known_arrays: frozenset = frozenset()
 
 
 @dataclass
@@ -120,14 +125,36 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
         if mixed or name in stringify:
             plan.columns.append(ColumnPlan(name, keys, "text", mixed=mixed))
             continue
+        types = {t for t in d["types"] if t and t != "VOID"}
+        st = object_struct_type(types.pop()) if len(types) == 1 and next(iter(types)).startswith("OBJECT") \
+            else None
+        if st is not None:
+            plan.columns.append(ColumnPlan(name, keys, "struct", struct_type=st))
+            continue
         kinds = {_spark_kind(t) for t in d["types"] if t and t != "VOID"}
         if kinds == {"bigint", "double"}:
             kinds = {"double"}
         kind = kinds.pop() if len(kinds) == 1 else ("variant" if kinds else "string")
         plan.columns.append(ColumnPlan(name, keys, kind, coerce=type_map.get(name)))
+    known = frozenset(c.name for c in plan.columns if c.kind == "array") | frozenset(array_fields)
+    for c in plan.columns:
+        c.known_arrays = known
     return plan
 
 
+def object_struct_type(variant_type: str) -> T.StructType | None:
+    """The merged ``OBJECT<...>`` of a key as a Spark struct (names keep
+    their case; decimals become doubles, JSON nulls text)."""
+    ddl = re.sub(r"(^|[<\s,])OBJECT<", r"\1STRUCT<", variant_type)
+    ddl = re.sub(r"(^|[<\s,:])VOID(?=[,>\s]|$)", r"\1STRING", ddl)
+    ddl = re.sub(r"DECIMAL\(\d+,\d+\)", "DOUBLE", ddl)
+    try:
+        dt = T._parse_datatype_string(ddl)
+    except Exception:
+        return None
+    return dt if isinstance(dt, T.StructType) else None
+
+
 # ------------------------------------------------------------- P2 / N1-N3
 def last_present(obj: Column, keys: list[str]) -> Column:
     """Value of the last entry whose key is one of ``keys`` (last wins,
@@ -232,9 +259,56 @@ def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Colu
         return F.when((kind == "STRING") & (s != ""), coerce_to(s, cp.coerce)).otherwise(typed)
     if cp.kind == "variant":
         return F.when(kind != "VOID", v)
+    if cp.kind == "struct":
+        return repair_struct(v, cp.struct_type, cp.known_arrays)
     return F.try_variant_get(v, "$", cp.kind)
 
 
+def _field(v: Column, name: str) -> Column:
+    return F.try_variant_get(v, "$['" + name.replace("'", "\\'") + "']", "variant")
+
+
+def _array_of_arrays_text(v: Column) -> Column:
+    """N3 for a list that holds lists: empty inner lists dropped, the
+    others turned into their JSON text."""
+    arr = F.try_variant_get(v, "$", "array<variant>")
+    keep = F.filter(arr, lambda x: F.size(F.try_variant_get(x, "$", "array<variant>")) != 0)
+    return F.transform(keep, lambda x: F.to_json(x))
+
+
+def _repair_each(et: T.StructType, known: frozenset):
+    return lambda x: repair_struct(x, et, known)
+
+
+def repair_struct(v: Column, st: T.StructType, known: frozenset) -> Column:
+    """N1-N4 below the top level, driven by the merged schema (walked once).
+
+    A field whose snake-cased name is a known array field is repaired as
+    one (null / ``{}`` -> ``[]``, object -> ``[object]``); nested objects
+    recurse; lists of lists become lists of JSON text; other leaves are read
+    with their merged type.  A null or non-object value gives null.
+    """
+    parts = []
+    for f in st.fields:
+        fv = _field(v, f.name)
+        dt = f.dataType
+        if snake(f.name) in known:
+            val = fix_array(fv)
+        elif isinstance(dt, T.StructType):
+            val = repair_struct(fv, dt, known)
+        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+            val = F.transform(F.try_variant_get(fv, "$", "array<variant>"),
+                              _repair_each(dt.elementType, known))
+        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.ArrayType):
+            val = _array_of_arrays_text(fv)
+        elif isinstance(dt, T.VariantType):
+            val = F.when(_kind(fv) != "VOID", fv)
+        else:
+            val = F.try_variant_get(fv, "$", dt.simpleString())
+        parts.append(val.alias(f.name))
+    return F.when(_kind(v).startswith("OBJECT"), F.struct(*parts))
+
+
 def infer_plan(parsed: DataFrame, **kw) -> NormalizePlan:
     """C1 end to end: the probe aggregate, collected (schema-sized), planned."""
     return plan_from_probe(probe(parsed).collect(), **kw)

@@ -128,3 +128,17 @@ def test_resolve_landed_files(spark):
     got = {r["table_name"]: r["file_name"] for r in LD.resolve_landed_files(listing, tables).collect()}
     assert got == {"a_b": "servicetitan_a_b.csv", "c_d": "C D.csv", "x": "x.csv"}
     assert LD.candidate_files("a_b") == ["servicetitan_a_b.csv", "a_b.csv", "A B.csv"]
+
+
+def test_nested_known_array_repaired(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "nested.json")
+    _write(p, "\n".join(LINES[:5]) + "\n" + '{"id": 6, "job": {"items": [[], [3]], "jobName": "x"}}\n')
+    out, _, plan = _normalized(spark, p, "ndjson")
+    kinds = {c.name: c.kind for c in plan.columns}
+    assert kinds["job"] == "struct"
+    by_id = {r["id"]: r for r in out.collect()}
+    assert by_id[1]["job"]["items"] == []                     # nested null -> [] (N1)
+    assert len(by_id[2]["job"]["items"]) == 1                 # nested object -> [object] (N2)
+    assert by_id[3]["job"] is None
+    assert by_id[6]["job"]["jobName"] == "x"                  # names inside structs keep their case
+    assert [str(x.toPython()) for x in by_id[6]["job"]["items"]] == ["[3]"]   # N3 at depth
