@@ -211,6 +211,11 @@ def column_expr(obj: Column, cp: ColumnPlan, stringify_mode: str = "plain") -> C
 
 def normalize(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj",
               keep: list[str] | None = None, stringify_mode: str = "plain") -> DataFrame:
+    return normalized_select(parsed, plan, obj=obj, keep=keep, stringify_mode=stringify_mode)
+
+
+def normalized_select(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj",
+                      keep: list[str] | None = None, stringify_mode: str = "plain") -> DataFrame:
     """P1-P5 + N1-N3 in one pass over the rows.
 
     Three stacked projections so each costly piece is computed once per
@@ -309,6 +314,22 @@ def repair_struct(v: Column, st: T.StructType, known: frozenset) -> Column:
     return F.when(_kind(v).startswith("OBJECT"), F.struct(*parts))
 
 
+def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: list[str] | None = None,
+                 stringify_mode: str = "plain") -> None:
+    """Normalise every landed record once and write the staging table.
+
+    Bad records are not filtered out before the write (a pushed-down filter
+    would re-run the parse); they keep ``is_bad`` and a 200-character
+    preview.  Reading the table back (``read_staging``) cuts the lineage
+    for the merge, whose join, null-key and tenant branches all read it.
+    """
+    keep = list(keep or [])
+    df = normalized_select(parsed, plan, keep=keep + ["is_bad", "value"], stringify_mode=stringify_mode)
+    out = df.select(*keep, *plan.names(), "is_bad",
+                    F.when(F.col("is_bad"), F.substring("value", 1, 200)).alias("__preview"))
+    out.write.mode("overwrite").parquet(path)
+
+
 def infer_plan(parsed: DataFrame, **kw) -> NormalizePlan:
     """C1 end to end: the probe aggregate, collected (schema-sized), planned."""
     return plan_from_probe(probe(parsed).collect(), **kw)

@@ -686,3 +686,15 @@ SELECT id, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
        TIMESTAMP '{S}' AS _etl_synced, 'INSERT' AS _etl_operation
 FROM fa_s
 """)
+
+
+sql("tenant_load_cycle", """
+WITH t AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders WHERE o_orderkey % 13 <> 0),
+s AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders WHERE o_orderkey % 10 <> 0)
+SELECT coalesce(t.company_id, s.company_id) AS company_id,
+       CASE WHEN t.id IS NOT NULL AND s.id IS NOT NULL THEN 'UPDATE'
+            WHEN s.id IS NOT NULL THEN 'INSERT' ELSE 'DELETE' END AS _etl_operation,
+       count(*) AS n_rows
+FROM t FULL OUTER JOIN s ON t.company_id = s.company_id AND t.id = s.id
+GROUP BY 1, 2
+""")

@@ -51,8 +51,10 @@ def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
     element must come back.
     """
     arr = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), "array<map<string,variant>>")
-    m = F.when(F.size(arr) == 1, F.try_element_at(arr, F.lit(1)))
-    return df.withColumn("obj", m).withColumn("is_bad", F.col("obj").isNull())
+    # two projections: the parsed array is computed once and read twice
+    staged = df.withColumn("__arr", arr)
+    m = F.when(F.size("__arr") == 1, F.try_element_at("__arr", F.lit(1)))
+    return staged.withColumn("obj", m).drop("__arr").withColumn("is_bad", F.col("obj").isNull())
 
 
 def split_quarantine(parsed: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:
@@ -139,3 +141,11 @@ def latest_snapshot(df: DataFrame, by: list[str], snapshot_col: str = "snapshot_
 # driver-side twin used by tests and the CSV job
 def candidate_files(table: str) -> list[str]:
     return [f"servicetitan_{table}.csv", f"{table}.csv", f"{title_file_name(table)}.csv"]
+
+
+def read_staging(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Good staging rows, and the quarantine (preview of bad records)."""
+    st = spark.read.parquet(path)
+    data = [c for c in st.columns if c not in ("is_bad", "__preview")]
+    return (st.where(~F.col("is_bad")).select(*data),
+            st.where(F.col("is_bad")).select(F.col("__preview").alias("preview")))

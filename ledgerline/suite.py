@@ -906,3 +906,35 @@ def q_merge_add_key(spark, sf):
     rows are inserted."""
     target = fx.orders_base(spark, sf).where(F.col("id") % 13 != 0).drop("id")
     return M.merge_soft_delete(target, fx.fa_staging(spark, sf), fx.SYNCED_AT)
+
+
+# ============================================================ end-to-end load cycle
+N_TENANTS = 30
+
+
+@query("tenant_load_cycle")
+def q_tenant_load_cycle(spark, sf):
+    """The load job for 30 tenants at once: landed camelCase JSON ->
+    strict parse + quarantine -> full-scan probe -> normalise (P1-P4) ->
+    tenant-scoped merge with soft delete (W5) -> per-tenant operation counts
+    (the monitoring rows' numbers)."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    landed = spread(o.where(k % 10 != 0)).select(F.to_json(F.struct(
+        k.alias("id"), (F.col("o_custkey") % N_TENANTS).alias("companyId"),
+        F.col("o_custkey").alias("custKey"), F.col("o_orderstatus").alias("orderStatus"),
+        F.when(k % 7 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("totalPrice"),
+        F.col("o_orderdate").cast("date").cast("string").alias("orderDate"))).alias("value"))
+    parsed = LD.parse_records(landed)
+    path = scratch_dir(spark, "staging-orders")
+    NZ.stage_landed(parsed, NZ.infer_plan(parsed), path)
+    staging, _ = LD.read_staging(spark, path)
+    target = o.where(k % 13 != 0).select(
+        k.alias("id"), (F.col("o_custkey") % N_TENANTS).alias("company_id"),
+        F.col("o_custkey").alias("cust_key"), F.col("o_orderstatus").alias("order_status"),
+        F.col("o_totalprice").alias("total_price"),
+        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+        fx.ts(fx.T0).alias("_etl_synced"), F.lit("INSERT").alias("_etl_operation"))
+    merged = M.merge_soft_delete(target, staging, fx.SYNCED_AT, tenant_col="company_id")
+    return (merged.where(F.col("_etl_synced") == fx.ts(fx.SYNCED_AT))
+            .groupBy("company_id", "_etl_operation").agg(F.count(F.lit(1)).alias("n_rows")))
