@@ -42,3 +42,11 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
     picked = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("row__")))
     return picked.select(*keys, *[F.col("row__." + c).alias(c) for c in rest]).select(*df.columns)
+
+
+def assert_unique_keys(df: DataFrame, keys: list[str], sample: int = 5) -> None:
+    """W9 guard: raise with a few offending keys when a source holds the
+    same key more than once (one partial+final aggregate)."""
+    dups = duplicate_keys(df, keys).limit(sample).collect()
+    if dups:
+        raise ValueError(f"duplicate source keys {keys}: " + ", ".join(str(tuple(r)) for r in dups))

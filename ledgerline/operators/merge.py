@@ -235,7 +235,8 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
                       keys: list[str] | None = None, key: str = KEY,
                       tenant_col: str | None = None, tenants=None,
                       soft_delete: bool = True, restamp_deleted: bool = True,
-                      only_changed: bool = False, newer_col: str | None = None) -> DataFrame:
+                      only_changed: bool = False, newer_col: str | None = None,
+                      dedupe_order: list[str] | None = None) -> DataFrame:
     """W5 (``soft_delete=True``) and W6 (``soft_delete=False``).
 
     matched -> common columns from staging (safe-cast to target types),
@@ -245,6 +246,11 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
     is re-stamped unless ``only_changed`` (null-safe compare).
     """
     keys = keys or ([tenant_col, key] if tenant_col else [key])
+    if dedupe_order:
+        # W9 repair: newest copy per key (an aggregate with a map-side step,
+        # so a key copied across a third of the rows never reaches one task)
+        from ledgerline.operators.keys import latest_per_key
+        staging = latest_per_key(staging, keys, dedupe_order)
     layout = output_layout(target, staging, key)
     stypes = _types(staging)
     for k in keys:  # C4: a key the target lacks is added as a typed null column

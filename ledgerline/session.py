@@ -87,6 +87,16 @@ def _size_in_bytes(df) -> int | None:
         return None
 
 
+def _bytes(text: str) -> int:
+    """``128m`` / ``128MB`` / ``1g`` / ``134217728`` -> bytes."""
+    t = str(text).strip().lower().removesuffix("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
+    try:
+        return int(float(t.rstrip("kmgt")) * mult)
+    except ValueError:
+        return 128 << 20
+
+
 def spread(df, min_partitions: int | None = None):
     """Spread CPU-heavy row work (JSON parsing, regex over whole texts) over
     every core when the input is too small to yield that many scan splits.
@@ -98,9 +108,7 @@ def spread(df, min_partitions: int | None = None):
     """
     spark = df.sparkSession
     n = min_partitions or spark.sparkContext.defaultParallelism
-    max_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    max_bytes = int(str(max_bytes).lower().rstrip("b").replace("m", "")) * (1 << 20) \
-        if str(max_bytes).lower().endswith(("m", "mb")) else int(max_bytes)
+    max_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
     size = _size_in_bytes(df)
     if size is not None and size >= n * max_bytes:
         return df
