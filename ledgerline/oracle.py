@@ -698,3 +698,14 @@ SELECT coalesce(t.company_id, s.company_id) AS company_id,
 FROM t FULL OUTER JOIN s ON t.company_id = s.company_id AND t.id = s.id
 GROUP BY 1, 2
 """)
+
+
+sql("csv_report_load", """
+WITH s AS (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) AS d, l_orderkey, l_linenumber FROM lineitem),
+t AS (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) AS d, l_orderkey, l_linenumber FROM lineitem
+      WHERE l_orderkey % 13 <> 0)
+SELECT CASE WHEN t.l_orderkey IS NOT NULL THEN 'UPDATE' ELSE 'INSERT' END AS _etl_operation, count(*) AS n_rows
+FROM s LEFT JOIN t ON s.l_suppkey = t.l_suppkey AND s.d = t.d AND s.l_orderkey = t.l_orderkey
+                  AND s.l_linenumber = t.l_linenumber
+GROUP BY 1
+""")

@@ -676,17 +676,45 @@ def q_csv_scan(spark, sf):
     """A timesheet export with messy headers (BOM, padding, leading
     digit, non-ASCII) and quoted multi-line values, read with the
     header-derived schema."""
+    path = scratch_dir(spark, "landed-csv")
+    spread(_timesheet_export(spark, sf)).write.option("header", True).mode("overwrite").csv(path)
+    return CSV.read_landed_csv(spark, path)
+
+
+def _timesheet_export(spark, sf):
     li = fx.table(spark, sf, "lineitem")
-    export = li.select(
+    return li.select(
         F.col("l_suppkey").cast("int").alias("﻿Employee ID"),
         F.to_date("l_shipdate").alias("Date "),
         F.col("l_orderkey").alias("Order Key"), F.col("l_linenumber").alias("2nd Line"),
         F.col("l_quantity").alias("Año Qty"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit("\nflag, "),
                  F.col("l_returnflag"), F.lit(' "q"')).alias("Notes"))
-    path = scratch_dir(spark, "landed-csv")
-    export.repartition(3).write.option("header", True).mode("overwrite").csv(path)
-    return CSV.read_landed_csv(spark, path)
+
+
+TIMESHEET_KEYS = ["employee_id", "date", "order_key", "c_2nd_line"]
+
+
+@query("csv_report_load")
+def q_csv_report_load(spark, sf):
+    """The CSV report job end to end: landed export -> header schema
+    -> MD5 surrogate key (P9) -> newest copy per key (W9) -> merge without
+    soft delete (W6) into the previous load; rows stamped per operation."""
+    path = scratch_dir(spark, "landed-timesheet")
+    spread(_timesheet_export(spark, sf)).write.option("header", True).mode("overwrite").csv(path)
+    staging = K.with_surrogate_key(CSV.read_landed_csv(spark, path), TIMESHEET_KEYS)
+    M.require_key(staging)
+    li = fx.table(spark, sf, "lineitem").where(F.col("l_orderkey") % 13 != 0)
+    prev = li.select(F.col("l_suppkey").cast("int").alias("employee_id"),
+                     F.to_date("l_shipdate").alias("date"),
+                     F.col("l_orderkey").cast("string").alias("order_key"),
+                     F.col("l_linenumber").cast("string").alias("c_2nd_line"),
+                     F.col("l_quantity").cast("string").alias("a_o_qty"))
+    prev = K.latest_per_key(K.with_surrogate_key(prev, TIMESHEET_KEYS), ["id"], ["a_o_qty"])
+    target = M.with_audit(prev, M.OP_INSERT, fx.T0)
+    merged = M.merge_soft_delete(target, staging, fx.SYNCED_AT, soft_delete=False,
+                                 dedupe_order=["a_o_qty", "notes"])
+    return M.merge_counts(merged, fx.SYNCED_AT)
 
 
 @query("file_report")
