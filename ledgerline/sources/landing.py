@@ -19,26 +19,35 @@ SEP_STREAMED = ",\n{"
 PREVIEW_CHARS = 200
 
 
-def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson") -> DataFrame:
+def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson",
+                      with_head: bool = False, keep_blank: bool = False) -> DataFrame:
     """Text of every record with its source file: (file_path, value).
 
     ``layout``: ``ndjson``, ``indent2`` (list dump) or ``streamed``.
     Blank chunks (empty files, empty arrays, blank lines) are skipped.
+    ``with_head`` adds ``head_char``: the first character of the raw chunk
+    for chunks of the split that starts at byte 0 (so the file's first
+    character can be taken from the same scan).
     """
     if layout == "ndjson":
         raw = spark.read.text(path)
     else:
         sep = SEP_INDENT2 if layout == "indent2" else SEP_STREAMED
         raw = spark.read.option("lineSep", sep).text(path)
-    df = raw.select(F.col("_metadata.file_path").alias("file_path"), F.col("value"))
+    cols = [F.col("_metadata.file_path").alias("file_path"), F.col("value")]
+    if with_head:
+        cols.append(F.when(F.col("_metadata.file_block_start") == 0, F.substring("value", 1, 1))
+                    .alias("head_char"))
+    df = raw.select(*cols)
+    extra = ["head_char"] if with_head else []
     if layout != "ndjson":
         v = F.col("value")
         v = F.regexp_replace(v, r"^\s*\[\s*", "")            # opening bracket of the file
         v = F.regexp_replace(v, r"(\})\s*\]\s*$", "$1")       # closing bracket after the last record
         v = F.regexp_replace(v, r"^\s*\]\s*$", "")            # an empty array
         v = F.when(F.trim(v).startswith("{") | (F.trim(v) == ""), v).otherwise(F.concat(F.lit("{"), v))
-        df = df.select("file_path", v.alias("value"))
-    return df.where(F.trim(F.col("value")) != "")
+        df = df.select("file_path", v.alias("value"), *extra)
+    return df if keep_blank else df.where(F.trim(F.col("value")) != "")
 
 
 def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
@@ -80,23 +89,23 @@ def file_report(spark: SparkSession, path: str, layout: str = "ndjson") -> DataF
     """S3: per landed file: size, layout seen, record count, bad records and
     the preview of the first bad one.  Every record is checked, not a sample.
 
-    The layout seen is the file's first character (``[`` -> array, else
-    NDJSON; a BOM or leading blank counts as NDJSON, as in the source): it is
-    read from the split that starts at byte 0, whose first line a scan
-    delivers first.
+    One scan: the layout seen is the file's first character (``[`` ->
+    array, else NDJSON; a BOM or leading blank counts as NDJSON, as in the
+    source), taken from the first chunk of the split at byte 0, which the
+    scan delivers first into its partial aggregate.
     """
     files = (spark.read.format("binaryFile").load(path)
              .select(F.col("path").alias("file_path"), "length"))
-    recs = parse_records(read_text_records(spark, path, layout))
+    chunks = read_text_records(spark, path, layout, with_head=True, keep_blank=True)
+    recs = parse_records(chunks)
+    blank = F.trim(F.col("value")) == ""
     stats = recs.groupBy("file_path").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count_if(F.col("is_bad")).alias("n_bad"),
-        F.min(F.when(F.col("is_bad"), F.substring("value", 1, PREVIEW_CHARS))).alias("first_bad_preview"))
-    heads = (spark.read.text(path)
-             .where(F.col("_metadata.file_block_start") == 0)
-             .groupBy(F.col("_metadata.file_path").alias("file_path"))
-             .agg(F.first(F.substring("value", 1, 1)).alias("first_char")))
-    out = files.join(stats, "file_path", "left").join(heads, "file_path", "left")
+        F.count_if(~blank).alias("n_records"),
+        F.count_if(~blank & F.col("is_bad")).alias("n_bad"),
+        F.min(F.when(~blank & F.col("is_bad"), F.substring("value", 1, PREVIEW_CHARS)))
+        .alias("first_bad_preview"),
+        F.first("head_char", ignorenulls=True).alias("first_char"))
+    out = files.join(stats, "file_path", "left")
     n = F.coalesce(F.col("n_records"), F.lit(0))
     status = (F.when((F.col("length") == 0) | (n == 0), F.lit("empty"))
               .when(F.col("n_bad") > 0, F.lit("malformed"))
