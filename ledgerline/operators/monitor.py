@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.values import json_text
 from ledgerline.operators import merge as M
 
 # Fixed values of the reference's sizing rules.
@@ -141,4 +142,4 @@ def log_events(df: DataFrame, *, timestamp: Column, company_id: Column, event_ty
         event_title.alias("event_title"),
         (event_message if event_message is not None else null).alias("event_message"),
         F.lit(source).alias("source"),
-        (F.when(info.isNotNull(), F.to_json(info)) if info is not None else null).alias("info"))
+        (F.when(info.isNotNull(), json_text(info)) if info is not None else null).alias("info"))

@@ -315,8 +315,9 @@ def repair_struct(v: Column, st: T.StructType, known: frozenset) -> Column:
 
 
 def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: list[str] | None = None,
-                 stringify_mode: str = "plain") -> None:
-    """Normalise every landed record once and write the staging table.
+                 stringify_mode: str = "plain", append: bool = False) -> None:
+    """Normalise every landed record once and write the staging table
+    (truncate; ``append=True`` adds to it instead, S16).
 
     Bad records are not filtered out before the write (a pushed-down filter
     would re-run the parse); they keep ``is_bad`` and a 200-character
@@ -327,7 +328,7 @@ def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: lis
     df = normalized_select(parsed, plan, keep=keep + ["is_bad", "value"], stringify_mode=stringify_mode)
     out = df.select(*keep, *plan.names(), "is_bad",
                     F.when(F.col("is_bad"), F.substring("value", 1, 200)).alias("__preview"))
-    out.write.mode("overwrite").parquet(path)
+    out.write.mode("append" if append else "overwrite").parquet(path)   # S16 / S15
 
 
 def infer_plan(parsed: DataFrame, **kw) -> NormalizePlan:

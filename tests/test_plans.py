@@ -34,3 +34,16 @@ def test_no_python_in_landing_plans(spark):
                  "replace_dates", "monitor_upsert", "tree_walk"]:
         plan = _plan(q[name](spark, SF))
         assert "EvalPython" not in plan, name
+
+
+def test_no_cross_joins_and_python_only_where_intended(spark):
+    """Every registered query: no cartesian / nested-loop joins; Python
+    only in the A5 balancing step (applyInPandas per run group)."""
+    from __spark_entry__ import queries
+    python_ok = {"balance_groups"}
+    for name, fn in sorted(queries().items()):
+        plan = _plan(fn(spark, "/root/testdata/sf0.001"))
+        assert "CartesianProduct" not in plan, name
+        assert "BroadcastNestedLoopJoin" not in plan, name
+        if name not in python_ok:
+            assert "EvalPython" not in plan and "InPandas" not in plan, name
