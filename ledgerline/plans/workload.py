@@ -3,49 +3,26 @@
 Within one group (one run / environment) the algorithm is sequential by
 nature: items sorted by weight descending (ties keep id order) go to the
 least-loaded bin, lowest index on ties.  Spark spreads the *groups* over
-tasks with ``applyInPandas``; inside a task a heap makes each group
-O(n log k).  A group is a run's tenant list, so its size is bounded by the
-tenant count; ``max_group_rows`` enforces that bound before any group is
-moved, instead of letting one task take an unbounded group.
+tasks; inside a group the sequential fold is the ``aggregate``
+higher-order function over the sorted item array, so it stays JVM-side.
+A group is a run's tenant list, bounded by the tenant count;
+``max_group_rows`` enforces that bound (one small aggregate) before any
+group is gathered, instead of letting one task take an unbounded group.
 """
 
 from __future__ import annotations
 
-import heapq
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-OUT_SCHEMA = ("group_key string, item_id bigint, weight double, bin int, "
-              "bin_load double, bin_items bigint, diff_pct double")
-
-
-def _assign(n_bins: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["weight", "item_id"], ascending=[False, True], kind="mergesort")
-        heap = [(0.0, b) for b in range(n_bins)]
-        bins = []
-        loads = [0.0] * n_bins
-        for w in pdf["weight"].tolist():
-            load, b = heapq.heappop(heap)
-            bins.append(b)
-            loads[b] = load + w
-            heapq.heappush(heap, (loads[b], b))
-        out = pdf.assign(bin=bins)
-        counts = out.groupby("bin")["item_id"].count()
-        total = sum(loads)
-        avg = total / n_bins if n_bins else 0.0
-        out["bin_load"] = [loads[b] for b in bins]
-        out["bin_items"] = [int(counts[b]) for b in bins]
-        out["diff_pct"] = [((loads[b] - avg) / avg * 100.0) if avg > 0 else 0.0 for b in bins]
-        return out[["group_key", "item_id", "weight", "bin", "bin_load", "bin_items", "diff_pct"]]
-    return run
-
 
 def balance_groups(df: DataFrame, group_key: str, item_id: str, weight: str, n_bins: int,
-                   max_group_rows: int = 2_000_000) -> DataFrame:
-    """Assign every item of each group to one of ``n_bins`` bins."""
+                   max_group_rows: int = 100_000) -> DataFrame:
+    """Assign every item of each group to one of ``n_bins`` bins.
+
+    Output: group_key, item_id, weight, bin, bin_load, bin_items, diff_pct
+    (the bin's load against the mean load, in percent).
+    """
     items = df.select(F.col(group_key).cast("string").alias("group_key"),
                       F.col(item_id).cast("bigint").alias("item_id"),
                       F.col(weight).cast("double").alias("weight"))
@@ -53,7 +30,32 @@ def balance_groups(df: DataFrame, group_key: str, item_id: str, weight: str, n_b
     if biggest > max_group_rows:
         raise ValueError(f"a balancing group holds {biggest} items (> {max_group_rows}); "
                          "split it by a finer group key")
-    return items.groupBy("group_key").applyInPandas(_assign(n_bins), OUT_SCHEMA)
+    # ascending on (-weight, id) == weight descending, ties in id order
+    ordered = items.groupBy("group_key").agg(F.sort_array(F.collect_list(F.struct(
+        (-F.col("weight")).alias("neg_w"), F.col("item_id").alias("id"), F.col("weight").alias("w"))))
+        .alias("items"))
+    init = F.struct(F.array_repeat(F.lit(0.0), n_bins).alias("loads"),
+                    F.array().cast("array<struct<id:bigint,w:double,bin:int>>").alias("out"))
+
+    def step(acc, x):
+        low = F.array_position(acc["loads"], F.array_min(acc["loads"])).cast("int") - 1
+        loads = F.transform(acc["loads"], lambda load, i: F.when(i == low, load + x["w"]).otherwise(load))
+        out = F.array_append(acc["out"], F.struct(x["id"].alias("id"), x["w"].alias("w"),
+                                                  low.alias("bin")))
+        return F.struct(loads.alias("loads"), out.alias("out"))
+
+    folded = ordered.select("group_key", F.aggregate("items", init, step).alias("r"))
+    mean = F.aggregate(F.col("r.loads"), F.lit(0.0), lambda a, b: a + b) / F.lit(float(n_bins))
+    ex = folded.select("group_key", F.col("r.loads").alias("loads"), mean.alias("mean"),
+                       F.explode("r.out").alias("o"), F.col("r.out").alias("all_out"))
+    b = F.col("o.bin")
+    load = F.element_at("loads", b + 1)
+    return ex.select(
+        "group_key", F.col("o.id").alias("item_id"), F.col("o.w").alias("weight"), b.alias("bin"),
+        load.alias("bin_load"),
+        F.size(F.filter("all_out", lambda y: y["bin"] == b)).cast("bigint").alias("bin_items"),
+        F.when(F.col("mean") > 0, (load - F.col("mean")) / F.col("mean") * 100.0)
+        .otherwise(F.lit(0.0)).alias("diff_pct"))
 
 
 def balance_python(weights: list[tuple[int, float]], n_bins: int) -> dict[int, int]:

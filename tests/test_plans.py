@@ -37,10 +37,10 @@ def test_no_python_in_landing_plans(spark):
 
 
 def test_no_cross_joins_and_python_only_where_intended(spark):
-    """Every registered query: no cartesian / nested-loop joins; Python
-    only in the A5 balancing step (applyInPandas per run group)."""
+    """Every registered query: no cartesian / nested-loop joins and no
+    Python execution nodes at all."""
     from __spark_entry__ import queries
-    python_ok = {"balance_groups"}
+    python_ok: set[str] = set()
     for name, fn in sorted(queries().items()):
         plan = _plan(fn(spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in plan, name
