@@ -331,9 +331,22 @@ def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: lis
     out.write.mode("append" if append else "overwrite").parquet(path)   # S16 / S15
 
 
-def infer_plan(parsed: DataFrame, **kw) -> NormalizePlan:
-    """C1 end to end: the probe aggregate, collected (schema-sized), planned."""
-    return plan_from_probe(probe(parsed).collect(), **kw)
+MAX_KEYS = 10_000
+
+
+def infer_plan(parsed: DataFrame, max_keys: int = MAX_KEYS, **kw) -> NormalizePlan:
+    """C1 end to end: the probe aggregate, collected, planned.
+
+    The probe has one row per distinct top-level key, i.e. it is
+    schema-sized; when a feed uses data as keys (ids as object keys) it is
+    not, so at most ``max_keys`` rows are fetched and more is an error
+    rather than an unbounded pull to the driver.
+    """
+    rows = probe(parsed).limit(max_keys + 1).collect()
+    if len(rows) > max_keys:
+        raise ValueError(f"more than {max_keys} distinct top-level keys: these look like data, "
+                         "not columns; land them as a map or variant column instead")
+    return plan_from_probe(rows, **kw)
 
 
 def plan_frame(spark, plan: NormalizePlan) -> DataFrame:

@@ -107,3 +107,12 @@ def test_stream_replay_is_idempotent(spark, tmp_dir):
     got = {r["k"]: r["event_id"] for r in PUB.read_published(spark, root, "latest").collect()}
     assert got == {"a": 2, "b": 3}
     _ = dt
+
+
+def test_infer_plan_refuses_data_as_keys(spark):
+    from ledgerline.operators import normalize as NZ
+    from ledgerline.sources import landing as LD
+    df = spark.range(30).select(F.concat(F.lit('{"k'), F.col("id").cast("string"), F.lit('": 1}')).alias("value"))
+    with pytest.raises(ValueError, match="distinct top-level keys"):
+        NZ.infer_plan(LD.parse_records(df), max_keys=10)
+    assert len(NZ.infer_plan(LD.parse_records(df)).columns) == 30
