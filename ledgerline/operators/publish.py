@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 POINTERS = "_pointers"
 
@@ -51,8 +52,75 @@ def publish(df: DataFrame, root: str, table: str, version: int,
     return path
 
 
-def read_published(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+def conform(df: DataFrame, like: T.StructType | None) -> DataFrame:
+    """Column order and types of the written schema (partition columns come
+    back with inferred types, e.g. ``int`` for a ``bigint`` tenant id)."""
+    if like is None:
+        return df
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.fields])
+
+
+def read_published(spark: SparkSession, root: str, table: str,
+                   like: T.StructType | None = None) -> DataFrame | None:
     v = latest_version(spark, root, table)
     if v is None:
         return None
-    return spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}")
+    return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}"), like)
+
+
+# ------------------------------------------------------------ per-tenant versions
+TENANT_POINTERS = "_tenant_pointers"
+
+
+def _tenant_pointer_path(root: str) -> str:
+    return f"{root.rstrip('/')}/{TENANT_POINTERS}"
+
+
+def tenant_versions(spark: SparkSession, root: str) -> DataFrame:
+    try:
+        return spark.read.parquet(_tenant_pointer_path(root))
+    except Exception:
+        return spark.createDataFrame([], "table_name string, tenant string, version bigint, path string")
+
+
+def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_col: str) -> str:
+    """H1: copy-on-write of the tenants present in ``df`` only.
+
+    ``df`` holds the new rows of the touched tenants (e.g. a merge over the
+    target rows of this load's tenants).  They are written as one new
+    version folder partitioned by tenant, then one pointer row per touched
+    tenant is appended; untouched tenants keep pointing at their older
+    version and are neither read nor rewritten.  Retrying a version that is
+    already recorded does nothing.
+    """
+    spark = df.sparkSession
+    base = f"{root.rstrip('/')}/{table}/v={version}"
+    done = tenant_versions(spark, root).where(
+        (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
+    if done:
+        return base
+    df.write.mode("overwrite").partitionBy(tenant_col).parquet(base)
+    # one pointer row per tenant folder written (derived from the written
+    # data, a distinct over the partition column: tenant-sized)
+    written = spark.read.parquet(base).select(F.col(tenant_col).cast("string").alias("tenant")).distinct()
+    written.select(F.lit(table).alias("table_name"), "tenant", F.lit(int(version)).cast("bigint")
+                   .alias("version"),
+                   F.concat(F.lit(base + f"/{tenant_col}="), F.col("tenant")).alias("path")) \
+        .write.mode("append").parquet(_tenant_pointer_path(root))
+    return base
+
+
+def read_tenants(spark: SparkSession, root: str, table: str, tenant_col: str,
+                 tenants: list | None = None, like: T.StructType | None = None) -> DataFrame | None:
+    """The live rows of ``table``: each tenant's newest version (only the
+    listed tenants when given, so a load reads just what it merges)."""
+    ptr = tenant_versions(spark, root).where(F.col("table_name") == table)
+    if tenants is not None:
+        ptr = ptr.where(F.col("tenant").isin([str(t) for t in tenants]))
+    live = ptr.groupBy("tenant").agg(F.max_by("path", "version").alias("path")).collect()
+    if not live:
+        return None
+    paths = [r["path"] for r in live]
+    base = f"{root.rstrip('/')}/{table}"
+    df = spark.read.option("basePath", base).parquet(*paths).drop("v")
+    return conform(df, like)

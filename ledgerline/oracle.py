@@ -668,6 +668,7 @@ FROM catalog WHERE is_active = true
 """)
 
 sql("publish_roundtrip", ORACLE["merge_tenant_scoped"])
+sql("publish_touched_tenants", ORACLE["merge_tenant_scoped"])
 
 sql("field_to_text", """
 SELECT o_orderkey AS id, CAST(o_custkey % 5 AS VARCHAR) AS status, o_orderstatus AS info_status,

@@ -907,7 +907,25 @@ def q_publish_roundtrip(spark, sf):
     root = scratch_dir(spark, "published")
     PUB.publish(merged, root, "orders_bronze", 1, partition_by=["company_id"])
     PUB.publish(merged, root, "orders_bronze", 1, partition_by=["company_id"])
-    return PUB.read_published(spark, root, "orders_bronze").select(*merged.columns)
+    return PUB.read_published(spark, root, "orders_bronze", like=merged.schema)
+
+
+@query("publish_touched_tenants")
+def q_publish_touched_tenants(spark, sf):
+    """H1: per-tenant copy-on-write.  Version 1 holds every tenant; the
+    next load (tenant 2's file missing) reads and merges only the staged
+    tenants' target rows and writes only their partitions as version 2;
+    the live table is each tenant's newest version."""
+    root = scratch_dir(spark, "published-tenants")
+    first = fx.ff_target(spark, sf)
+    PUB.publish_tenants(first, root, "orders_bronze", 1, "company_id")
+    staging = fx.ff_staging(spark, sf)
+    # the load plan's tenant list (tenant-sized)
+    tenants = [r[0] for r in staging.select("company_id").distinct().collect()]
+    target = PUB.read_tenants(spark, root, "orders_bronze", "company_id", tenants, like=first.schema)
+    merged = M.merge_soft_delete(target, staging, fx.SYNCED_AT, tenant_col="company_id", tenants=tenants)
+    PUB.publish_tenants(merged, root, "orders_bronze", 2, "company_id")
+    return PUB.read_tenants(spark, root, "orders_bronze", "company_id", like=merged.schema)
 
 
 @query("field_to_text")

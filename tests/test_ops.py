@@ -116,3 +116,20 @@ def test_infer_plan_refuses_data_as_keys(spark):
     with pytest.raises(ValueError, match="distinct top-level keys"):
         NZ.infer_plan(LD.parse_records(df), max_keys=10)
     assert len(NZ.infer_plan(LD.parse_records(df)).columns) == 30
+
+
+def test_publish_tenants_rewrites_only_touched(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "pt")
+    df = spark.range(30).select(F.col("id"), (F.col("id") % 3).alias("company_id"), F.lit("v1").alias("tag"))
+    PUB.publish_tenants(df, root, "t", 1, "company_id")
+    upd = df.where("company_id = 1").withColumn("tag", F.lit("v2"))
+    PUB.publish_tenants(upd, root, "t", 2, "company_id")
+    PUB.publish_tenants(upd.limit(1), root, "t", 2, "company_id")      # retry: no-op
+    v2 = sorted(d for d in os.listdir(os.path.join(root, "t", "v=2")) if d.startswith("company_id="))
+    assert v2 == ["company_id=1"]
+    live = PUB.read_tenants(spark, root, "t", "company_id", like=df.schema)
+    tags = {(r["company_id"], r["tag"]) for r in live.collect()}
+    assert tags == {(0, "v1"), (1, "v2"), (2, "v1")} and live.count() == 30
+    assert dict(live.dtypes)["company_id"] == "bigint"
+    only1 = PUB.read_tenants(spark, root, "t", "company_id", tenants=[1])
+    assert only1.count() == 10
