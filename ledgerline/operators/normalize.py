@@ -54,11 +54,17 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
         (_is_number_kind(kind) | numeric_text).alias("num"),
         ((kind == "STRING") & (F.trim(txt) != "") & ~numeric_text).alias("txt"),
         kind.startswith("ARRAY").alias("lst"),
-        F.when(kind != "VOID", v).alias("v"))
+        F.when(kind != "VOID", v).alias("v"),
+        # the value as it will look once repaired as a list (an object is
+        # wrapped): gives the element type of list columns
+        F.when(kind.startswith("ARRAY"), v)
+        .when(kind.startswith("OBJECT") & (kind != "OBJECT<>"),
+              F.parse_json(F.concat(F.lit("["), F.to_json(v), F.lit("]")))).alias("as_list"))
     return (rows.groupBy("source_key")
             .agg(F.bool_or("num").alias("saw_number"), F.bool_or("txt").alias("saw_text"),
                  F.bool_or("lst").alias("saw_list"),
                  F.schema_of_variant_agg("v").alias("variant_type"),
+                 F.schema_of_variant_agg("as_list").alias("list_type"),
                  F.count(F.lit(1)).alias("n_present"))
             .withColumn("column_name", snake_col(F.col("source_key"))))
 
@@ -108,7 +114,8 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
     by_name: dict[str, dict] = {}
     for r in probe_rows:
         d = by_name.setdefault(r["column_name"], {"keys": [], "num": False, "txt": False,
-                                                  "lst": False, "types": set()})
+                                                  "lst": False, "types": set(), "list_types": set()})
+        d["list_types"].add(r["list_type"] if "list_type" in r.asDict() else None)
         d["keys"].append(r["source_key"])
         d["num"] |= bool(r["saw_number"])
         d["txt"] |= bool(r["saw_text"])
@@ -119,7 +126,12 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
         d = by_name[name]
         keys = sorted(d["keys"])
         if d["lst"] or name in array_fields:
-            plan.columns.append(ColumnPlan(name, keys, "array"))
+            lt = {t for t in d["list_types"] if t and t != "VOID"}
+            elem = None
+            if len(lt) == 1:
+                m = re.fullmatch(r"ARRAY<(OBJECT<.*>)>", lt.pop())
+                elem = object_struct_type(m.group(1)) if m else None
+            plan.columns.append(ColumnPlan(name, keys, "array", struct_type=elem))
             continue
         mixed = d["num"] and d["txt"]
         if mixed or name in stringify:
@@ -250,10 +262,13 @@ def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Colu
         inner = F.transform(inner, lambda x: F.when(
             _kind(x).startswith("ARRAY"), F.to_json(x).cast("variant")).otherwise(x))
         empty = F.array().cast("array<variant>")
-        return (F.when(v.isNull() | (kind == "VOID") | (kind == "OBJECT<>"), empty)
-                .when(kind.startswith("OBJECT"), F.array(v))
-                .when(kind.startswith("ARRAY"), inner)
-                .otherwise(F.array(v)))
+        fixed = (F.when(v.isNull() | (kind == "VOID") | (kind == "OBJECT<>"), empty)
+                 .when(kind.startswith("OBJECT"), F.array(v))
+                 .when(kind.startswith("ARRAY"), inner)
+                 .otherwise(F.array(v)))
+        if cp.struct_type is not None:   # every element is an object: N4 into the elements
+            return F.transform(fixed, _repair_each(cp.struct_type, cp.known_arrays))
+        return fixed
     if cp.kind == "text":
         if stringify_mode == "json":
             return F.when(kind != "VOID", F.to_json(v))

@@ -142,3 +142,23 @@ def test_nested_known_array_repaired(spark, tmp_dir):
     assert by_id[3]["job"] is None
     assert by_id[6]["job"]["jobName"] == "x"                  # names inside structs keep their case
     assert [str(x.toPython()) for x in by_id[6]["job"]["items"]] == ["[3]"]   # N3 at depth
+
+
+def test_array_of_objects_typed_and_repaired(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "objs.json")
+    _write(p, "\n".join([
+        '{"id": 1, "items": [{"skuName": "a", "tags": null, "qty": 2}]}',
+        '{"id": 2, "items": {"skuName": "b", "tags": {"t": 1}, "qty": 3.5}}',
+        '{"id": 3, "items": null}',
+        '{"id": 4, "items": [{"skuName": "c", "tags": [{"t": 2}], "extra": true}]}']))
+    recs = LD.parse_records(LD.read_text_records(spark, p, "ndjson"))
+    plan = NZ.infer_plan(recs, array_fields={"tags"})
+    out = NZ.normalize(recs, plan)
+    items_type = dict(out.dtypes)["items"]
+    assert items_type.startswith("array<struct<"), items_type
+    by_id = {r["id"]: r for r in out.collect()}
+    assert by_id[1]["items"][0]["skuName"] == "a" and by_id[1]["items"][0]["tags"] == []
+    assert len(by_id[2]["items"]) == 1 and len(by_id[2]["items"][0]["tags"]) == 1   # object -> [object]
+    assert by_id[2]["items"][0]["qty"] == 3.5
+    assert by_id[3]["items"] == []
+    assert by_id[4]["items"][0]["extra"] is True and by_id[1]["items"][0]["extra"] is None
