@@ -975,6 +975,7 @@ def q_tenant_load_cycle(spark, sf):
     path = scratch_dir(spark, "staging-orders")
     NZ.stage_landed(parsed, NZ.infer_plan(parsed), path)
     staging, _ = LD.read_staging(spark, path)
+    K.assert_unique_keys(staging, ["company_id", "id"])   # W9: refuse what MERGE would refuse
     target = o.where(k % 13 != 0).select(
         k.alias("id"), (F.col("o_custkey") % N_TENANTS).alias("company_id"),
         F.col("o_custkey").alias("cust_key"), F.col("o_orderstatus").alias("order_status"),
