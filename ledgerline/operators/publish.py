@@ -83,7 +83,8 @@ def tenant_versions(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], "table_name string, tenant string, version bigint, path string")
 
 
-def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_col: str) -> str:
+def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_col: str,
+                    tenants: list | None = None) -> str:
     """H1: copy-on-write of the tenants present in ``df`` only.
 
     ``df`` holds the new rows of the touched tenants (e.g. a merge over the
@@ -100,9 +101,13 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
     if done:
         return base
     df.write.mode("overwrite").partitionBy(tenant_col).parquet(base)
-    # one pointer row per tenant folder written (derived from the written
-    # data, a distinct over the partition column: tenant-sized)
-    written = spark.read.parquet(base).select(F.col(tenant_col).cast("string").alias("tenant")).distinct()
+    # one pointer row per tenant folder written: the caller's tenant list
+    # (the load plan knows it), else a distinct over the written partition
+    # column (tenant-sized)
+    if tenants is not None:
+        written = spark.createDataFrame([(str(t),) for t in tenants], "tenant string")
+    else:
+        written = spark.read.parquet(base).select(F.col(tenant_col).cast("string").alias("tenant")).distinct()
     written.select(F.lit(table).alias("table_name"), "tenant", F.lit(int(version)).cast("bigint")
                    .alias("version"),
                    F.concat(F.lit(base + f"/{tenant_col}="), F.col("tenant")).alias("path")) \

@@ -710,3 +710,23 @@ FROM s LEFT JOIN t ON s.l_suppkey = t.l_suppkey AND s.d = t.d AND s.l_orderkey =
                   AND s.l_linenumber = t.l_linenumber
 GROUP BY 1
 """)
+
+
+sql("endpoint_load_job", """
+WITH t AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders
+           WHERE o_orderkey % 13 <> 0 AND o_orderkey % 1000 <> 7),
+s AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders
+      WHERE o_orderkey % 10 <> 0 AND o_orderkey % 1000 <> 7),
+b AS (SELECT o_custkey % 30 AS company_id, count(*) AS bad_records FROM orders
+      WHERE o_orderkey % 10 <> 0 AND o_orderkey % 1000 = 7 GROUP BY 1),
+j AS (SELECT coalesce(t.company_id, s.company_id) AS company_id,
+             t.id IS NOT NULL AND s.id IS NOT NULL AS upd, t.id IS NULL AS ins, s.id IS NULL AS del,
+             s.id IS NOT NULL AS staged
+      FROM t FULL OUTER JOIN s ON t.company_id = s.company_id AND t.id = s.id)
+SELECT j.company_id, 'merge' AS write_mode, count(*) FILTER (WHERE staged) AS rows_processed,
+       count(*) FILTER (WHERE ins) AS n_insert, count(*) FILTER (WHERE upd) AS n_update,
+       count(*) FILTER (WHERE del) AS n_delete, CAST(0 AS BIGINT) AS n_overwrite,
+       coalesce(max(b.bad_records), 0) AS bad_records
+FROM j LEFT JOIN b ON j.company_id = b.company_id
+GROUP BY j.company_id
+""")

@@ -985,3 +985,36 @@ def q_tenant_load_cycle(spark, sf):
     merged = M.merge_soft_delete(target, staging, fx.SYNCED_AT, tenant_col="company_id")
     return (merged.where(F.col("_etl_synced") == fx.ts(fx.SYNCED_AT))
             .groupBy("company_id", "_etl_operation").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query("endpoint_load_job")
+def q_endpoint_load_job(spark, sf):
+    """The load job for one endpoint and 30 tenants, run twice: landed
+    NDJSON per tenant folder -> first load (version 1), then the next day's
+    files (every 10th order gone, some prices changed, a few malformed
+    records) -> merge with soft delete (version 2).  Returns the second
+    run's per-tenant summary."""
+    from ledgerline.plans.load_job import run_endpoint_load
+    o = spread(fx.table(spark, sf, "orders"))
+    k = F.col("o_orderkey")
+    base = scratch_dir(spark, "endpoint-load")
+
+    def land(df, path):
+        rec = F.to_json(F.struct(
+            k.alias("id"), F.col("o_custkey").alias("custKey"), F.col("o_orderstatus").alias("orderStatus"),
+            F.col("price").alias("totalPrice"), F.col("o_orderdate").cast("date").cast("string")
+            .alias("orderDate")))
+        bad = k % 1000 == 7
+        text = F.when(bad, F.concat(rec, F.lit(" trailing"))).otherwise(rec)
+        (df.select((F.col("o_custkey") % N_TENANTS).alias("company_id"), text.alias("value"))
+         .write.mode("overwrite").partitionBy("company_id").text(path))
+
+    day1 = o.where(k % 13 != 0).withColumn("price", F.col("o_totalprice"))
+    day2 = o.where(k % 10 != 0).withColumn(
+        "price", F.when(k % 7 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    land(day1, f"{base}/landed-1")
+    run_endpoint_load(spark, landed=f"{base}/landed-1", layout="ndjson", root=f"{base}/tables",
+                      table="orders_bronze", version=1, synced_at=fx.T0)
+    land(day2, f"{base}/landed-2")
+    return run_endpoint_load(spark, landed=f"{base}/landed-2", layout="ndjson", root=f"{base}/tables",
+                             table="orders_bronze", version=2, synced_at=fx.SYNCED_AT)
