@@ -11,7 +11,6 @@ failure finds its version already written and does nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import merge as M

@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 
 import pytest
@@ -106,7 +105,6 @@ def test_stream_replay_is_idempotent(spark, tmp_dir):
     assert v1 == v2 == 2
     got = {r["k"]: r["event_id"] for r in PUB.read_published(spark, root, "latest").collect()}
     assert got == {"a": 2, "b": 3}
-    _ = dt
 
 
 def test_infer_plan_refuses_data_as_keys(spark):
