@@ -113,3 +113,23 @@ def spread(df, min_partitions: int | None = None):
     if size is not None and size >= n * max_bytes:
         return df
     return df.repartition(n)
+
+
+def cluster_conf(total_cores: int, shuffle_target: str = "256m") -> dict[str, str]:
+    """Settings for a large cluster (pass as ``extra`` or spark-submit --conf).
+
+    Shuffle partitions start at 3x the cores and AQE coalesces them toward
+    ``shuffle_target`` bytes each (size over parallelism), so a 100 TB merge
+    gets tens of thousands of reducers while small stages shrink.  Scan
+    splits of 256 MB; a runtime broadcast only below 64 MB as measured by
+    AQE; partitions over 512 MB and 5x the median are split for skewed joins.
+    """
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": shuffle_target,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
