@@ -730,3 +730,17 @@ SELECT j.company_id, 'merge' AS write_mode, count(*) FILTER (WHERE staged) AS ro
 FROM j LEFT JOIN b ON j.company_id = b.company_id
 GROUP BY j.company_id
 """)
+
+
+sql("load_monitoring", f"""
+WITH r1 AS (SELECT o_custkey % 30 AS company_id, count(*) AS n FROM orders
+            WHERE o_orderkey % 13 <> 0 AND o_orderkey % 1000 <> 7 GROUP BY 1),
+r2 AS (SELECT o_custkey % 30 AS company_id, count(*) AS n FROM orders
+       WHERE o_orderkey % 10 <> 0 AND o_orderkey % 1000 <> 7 GROUP BY 1)
+SELECT coalesce(r2.company_id, r1.company_id) AS company_id, 'orders_bronze' AS endpoint_name,
+       CASE WHEN r2.company_id IS NOT NULL THEN TIMESTAMP '{S}' ELSE TIMESTAMP '{fx.T0}' END AS max_sync,
+       coalesce(r2.n, r1.n) AS actual_rows, 'SUCCESS' AS actual_status,
+       CASE WHEN r2.company_id IS NOT NULL AND r1.company_id IS NOT NULL THEN r1.n END AS last_rows,
+       CASE WHEN r2.company_id IS NOT NULL AND r1.company_id IS NOT NULL THEN 'SUCCESS' END AS last_status
+FROM r1 FULL OUTER JOIN r2 ON r1.company_id = r2.company_id
+""")

@@ -8,7 +8,9 @@ discovery gives every record its tenant.  The job is:
 3. read the target rows of the staged tenants only (H1);
 4. choose the write mode (P16) and build the new rows (W1-W5, P6, P7, C3-C5);
 5. publish the touched tenants as a new version (per-tenant copy-on-write);
-6. per-tenant summary: rows processed (A7), operations, bad records (S4).
+6. per-tenant summary: rows processed (A7), operations, bad records (S4);
+7. monitoring snapshot upsert per (tenant, endpoint) (A6, A7, W10), published
+   as the next version of the ``_monitoring`` table.
 
 Every step is a DataFrame plan; the driver only sees schema-sized and
 tenant-sized results (probe rows, the staged tenant list).
@@ -16,10 +18,13 @@ tenant-sized results (probe rows, the staged tenant list).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import merge as M
+from ledgerline.operators import monitor as MO
 from ledgerline.operators import normalize as NZ
 from ledgerline.operators import publish as PUB
 from ledgerline.sources import landing as LD
@@ -28,13 +33,14 @@ from ledgerline.sources import landing as LD
 def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: str, table: str,
                       version: int, synced_at, tenant_col: str = "company_id", key: str = "id",
                       use_merge: bool = True, is_production: bool = True,
-                      date_col: str = "_report_date", staging_path: str | None = None
-                      ) -> DataFrame:
+                      date_col: str = "_report_date", staging_path: str | None = None,
+                      endpoint: str | None = None, now=None) -> DataFrame:
     """Load one endpoint for every tenant with files under ``landed``.
 
     Returns one summary row per staged tenant: write mode, rows processed,
     rows inserted / updated / deleted by this run and bad records.
     """
+    started = time.monotonic()
     chunks = LD.read_text_records(spark, landed, layout)
     if tenant_col not in chunks.columns:          # partition discovery on <tenant_col>=<id>
         chunks = chunks.withColumn(tenant_col, F.regexp_extract(
@@ -73,9 +79,38 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
     ops = (live.where(F.col(M.SYNCED) == M._ts(synced_at))
            .groupBy(tenant_col).agg(*[F.count_if(F.col(M.OPERATION) == op).alias(f"n_{op.lower()}")
                                       for op in ("INSERT", "UPDATE", "DELETE", "OVERWRITE")]))
-    processed = staging.groupBy(tenant_col).agg(F.count(F.lit(1)).alias("rows_processed"))
+    processed = MO.rows_processed(staging, [tenant_col])
+    _update_monitoring(spark, root, live, processed, tenant_col, endpoint or table, version,
+                       round(time.monotonic() - started, 2), now if now is not None else synced_at)
     return (processed.join(ops, tenant_col, "left").join(bad, tenant_col, "left")
             .select(tenant_col, F.lit(mode).alias("write_mode"), "rows_processed",
                     *[F.coalesce(F.col(f"n_{op}"), F.lit(0)).alias(f"n_{op}")
                       for op in ("insert", "update", "delete", "overwrite")],
                     F.coalesce("bad_records", F.lit(0)).alias("bad_records")))
+
+
+MONITORING = "_monitoring"
+MONITORING_SCHEMA = ("company_id bigint, endpoint_name string, max_sync timestamp_ntz, actual_rows bigint, "
+                     "actual_duration double, actual_status string, last_rows bigint, last_duration double, "
+                     "last_status string, updated_at timestamp_ntz")
+
+
+def _update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed: DataFrame,
+                       tenant_col: str, endpoint: str, version: int, duration: float, now) -> None:
+    """W10 after a load: max ``_etl_synced`` per tenant (A6), staging rows
+    (A7), the job's duration, SUCCESS; previous actual_* move to last_*."""
+    max_sync = MO.max_synced(live, [tenant_col], now)
+    run = (processed.join(max_sync, tenant_col, "left")
+           .select(F.col(tenant_col).cast("bigint").alias("company_id"),
+                   F.lit(endpoint).alias("endpoint_name"), "max_sync", "rows_processed",
+                   F.lit(float(duration)).alias("duration_sec"), F.lit("SUCCESS").alias("status")))
+    snap = PUB.read_published(spark, root, MONITORING)
+    if snap is None:
+        snap = spark.createDataFrame([], MONITORING_SCHEMA)
+    PUB.publish(MO.monitor_upsert(snap, run, now), root, MONITORING,
+                (PUB.latest_version(spark, root, MONITORING) or 0) + 1)
+
+
+def read_monitoring(spark: SparkSession, root: str) -> DataFrame | None:
+    return PUB.read_published(spark, root, MONITORING,
+                              like=spark.createDataFrame([], MONITORING_SCHEMA).schema)

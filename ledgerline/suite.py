@@ -987,13 +987,9 @@ def q_tenant_load_cycle(spark, sf):
             .groupBy("company_id", "_etl_operation").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-@query("endpoint_load_job")
-def q_endpoint_load_job(spark, sf):
-    """The load job for one endpoint and 30 tenants, run twice: landed
-    NDJSON per tenant folder -> first load (version 1), then the next day's
-    files (every 10th order gone, some prices changed, a few malformed
-    records) -> merge with soft delete (version 2).  Returns the second
-    run's per-tenant summary."""
+def _two_loads(spark, sf):
+    """Run the endpoint load twice (first load, then merge); returns the
+    second summary and the table root."""
     from ledgerline.plans.load_job import run_endpoint_load
     o = spread(fx.table(spark, sf, "orders"))
     k = F.col("o_orderkey")
@@ -1016,5 +1012,28 @@ def q_endpoint_load_job(spark, sf):
     run_endpoint_load(spark, landed=f"{base}/landed-1", layout="ndjson", root=f"{base}/tables",
                       table="orders_bronze", version=1, synced_at=fx.T0)
     land(day2, f"{base}/landed-2")
-    return run_endpoint_load(spark, landed=f"{base}/landed-2", layout="ndjson", root=f"{base}/tables",
-                             table="orders_bronze", version=2, synced_at=fx.SYNCED_AT)
+    summary = run_endpoint_load(spark, landed=f"{base}/landed-2", layout="ndjson", root=f"{base}/tables",
+                                table="orders_bronze", version=2, synced_at=fx.SYNCED_AT)
+    return summary, f"{base}/tables"
+
+
+@query("endpoint_load_job")
+def q_endpoint_load_job(spark, sf):
+    """The load job for one endpoint and 30 tenants, run twice: landed
+    NDJSON per tenant folder -> first load (version 1), then the next day's
+    files (every 10th order gone, some prices changed, a few malformed
+    records) -> merge with soft delete (version 2).  Returns the second
+    run's per-tenant summary."""
+    return _two_loads(spark, sf)[0]
+
+
+@query("load_monitoring")
+def q_load_monitoring(spark, sf):
+    """A6 + A7 + W10 inside the load job: after the two runs, each tenant's
+    monitoring row holds the second run (rows, newest stamp) and the first
+    run's rows as ``last_rows`` (durations are wall-clock, left out)."""
+    from ledgerline.plans.load_job import read_monitoring
+    _, root = _two_loads(spark, sf)
+    mon = read_monitoring(spark, root)
+    return mon.select("company_id", "endpoint_name", "max_sync", "actual_rows", "actual_status",
+                      "last_rows", "last_status")
