@@ -23,12 +23,22 @@ def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson",
                       with_head: bool = False, keep_blank: bool = False) -> DataFrame:
     """Text of every record with its source file: (file_path, value).
 
-    ``layout``: ``ndjson``, ``indent2`` (list dump) or ``streamed``.
+    ``layout``: ``ndjson``, ``indent2`` (list dump), ``streamed`` or
+    ``whole`` (compact one-line arrays, one task per file).
     Blank chunks (empty files, empty arrays, blank lines) are skipped.
     ``with_head`` adds ``head_char``: the first character of the raw chunk
     for chunks of the split that starts at byte 0 (so the file's first
     character can be taken from the same scan).
     """
+    if layout == "whole":
+        # compact one-line arrays (H7): one task per file, memory-bound by the
+        # file; each element's raw text comes back as a string and is then
+        # parsed like any other record.  Land NDJSON when the writer is ours.
+        whole = spark.read.option("wholetext", True).text(path).select(
+            F.col("_metadata.file_path").alias("file_path"), "value")
+        elems = whole.select("file_path", F.explode(F.coalesce(
+            F.from_json("value", "array<string>"), F.array(F.col("value")))).alias("value"))
+        return elems if keep_blank else elems.where(F.trim(F.col("value")) != "")
     if layout == "ndjson":
         raw = spark.read.text(path)
     else:
@@ -117,6 +127,14 @@ def file_report(spark: SparkSession, path: str, layout: str = "ndjson") -> DataF
                       status.alias("status"), "first_bad_preview")
 
 
+def list_landed(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """File listing as a DataFrame (path, name, length, modification time);
+    the ``binaryFile`` content column is never selected, so no file is read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+            .select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                    "length", "modificationTime"))
+
+
 def resolve_landed_files(listing: DataFrame, tables: DataFrame) -> DataFrame:
     """For each table the first existing file of ``servicetitan_{t}.csv``,
     ``{t}.csv``, ``Title Case.csv``.

@@ -162,3 +162,23 @@ def test_array_of_objects_typed_and_repaired(spark, tmp_dir):
     assert by_id[2]["items"][0]["qty"] == 3.5
     assert by_id[3]["items"] == []
     assert by_id[4]["items"][0]["extra"] is True and by_id[1]["items"][0]["extra"] is None
+
+
+def test_compact_array_whole_layout(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "compact.json")
+    _write(p, json.dumps(GOOD, ensure_ascii=False))          # one line, no separators
+    out, bad, _ = _normalized(spark, p, "whole")
+    assert bad.count() == 0
+    _check(out.collect())
+
+
+def test_resolve_on_real_listing(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "bucket")
+    os.makedirs(d)
+    for name in ["servicetitan_jobs.csv", "jobs.csv", "Time Sheets.csv", "other.txt"]:
+        _write(os.path.join(d, name), "a\n1\n")
+    listing = LD.list_landed(spark, d, "*.csv")
+    assert listing.count() == 3
+    tables = spark.createDataFrame([("jobs",), ("time_sheets",), ("missing",)], "table_name string")
+    got = {r["table_name"]: r["file_name"] for r in LD.resolve_landed_files(listing, tables).collect()}
+    assert got == {"jobs": "servicetitan_jobs.csv", "time_sheets": "Time Sheets.csv"}
