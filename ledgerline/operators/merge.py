@@ -244,6 +244,14 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
     columns, ``INSERT``; target only -> values kept, ``DELETE`` (W5, only for
     tenants present in this load when ``tenant_col`` is given).  Every match
     is re-stamped unless ``only_changed`` (null-safe compare).
+
+    ``newer_col``: a match applies only when the source row is not older
+    than the target row (out-of-order drops in incremental landing).
+    ``dedupe_order``: keep only the newest staging copy of each key first
+    (W9); without it, ``keys.assert_unique_keys`` refuses duplicates the way
+    the warehouse MERGE does.  A key copied across a third of the rows would
+    otherwise meet its target row in one task: a full outer join cannot be
+    split by AQE's skew handling.
     """
     keys = keys or ([tenant_col, key] if tenant_col else [key])
     if dedupe_order:
