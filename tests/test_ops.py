@@ -131,3 +131,36 @@ def test_publish_tenants_rewrites_only_touched(spark, tmp_dir):
     assert dict(live.dtypes)["company_id"] == "bigint"
     only1 = PUB.read_tenants(spark, root, "t", "company_id", tenants=[1])
     assert only1.count() == 10
+
+
+def test_load_job_never_deletes_tenants_without_good_files(spark, tmp_dir):
+    from ledgerline.plans.load_job import read_monitoring, run_endpoint_load
+
+    def land(path, rows):
+        for tenant, lines in rows.items():
+            d = os.path.join(path, f"company_id={tenant}")
+            os.makedirs(d, exist_ok=True)
+            with open(os.path.join(d, "part-0.json"), "w") as f:
+                f.write("\n".join(lines) + "\n")
+
+    root = os.path.join(tmp_dir, "tables")
+    day1 = os.path.join(tmp_dir, "d1")
+    land(day1, {0: ['{"id": 1, "v": "a"}', '{"id": 2, "v": "b"}'],
+                1: ['{"id": 3, "v": "c"}'], 2: ['{"id": 4, "v": "d"}']})
+    s1 = run_endpoint_load(spark, landed=day1, layout="ndjson", root=root, table="t", version=1,
+                           synced_at="2025-01-01 00:00:00")
+    assert {r["company_id"]: r["write_mode"] for r in s1.collect()} == {0: "first_load", 1: "first_load",
+                                                                        2: "first_load"}
+    day2 = os.path.join(tmp_dir, "d2")
+    land(day2, {0: ['{"id": 1, "v": "a2"}'], 1: ['{"id": 3, "v": broken}']})   # tenant 2: no file
+    s2 = {r["company_id"]: r for r in run_endpoint_load(
+        spark, landed=day2, layout="ndjson", root=root, table="t", version=2,
+        synced_at="2025-01-02 00:00:00").collect()}
+    assert set(s2) == {0}                      # tenant 1 had only bad records, tenant 2 no file
+    assert (s2[0]["n_update"], s2[0]["n_delete"]) == (1, 1)
+    from ledgerline.operators.publish import read_tenants
+    live = {(r["company_id"], r["id"]): r["_etl_operation"] for r in read_tenants(
+        spark, root, "t", "company_id").collect()}
+    assert live == {(0, 1): "UPDATE", (0, 2): "DELETE", (1, 3): "INSERT", (2, 4): "INSERT"}
+    mon = {r["company_id"]: (r["actual_rows"], r["last_rows"]) for r in read_monitoring(spark, root).collect()}
+    assert mon == {0: (1, 2), 1: (1, None), 2: (1, None)}
