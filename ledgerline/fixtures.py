@@ -145,14 +145,14 @@ def companies(spark, sf_dir) -> DataFrame:
         F.col("c_custkey").alias("company_id"), F.col("c_name").alias("company_name"),
         F.when(F.col("c_custkey") % 9 != 0, F.concat(F.lit("proj-"), F.col("c_nationkey").cast("string")))
         .alias("company_project_id"),
-        (F.col("c_acctbal") > 0).alias("company_bigquery_status"),
-        (F.col("c_mktsegment") != "BUILDING").alias("company_fivetran_status"))
+        (F.col("c_acctbal") > 0).alias("company_load_status"),
+        (F.col("c_mktsegment") != "BUILDING").alias("company_pull_status"))
 
 
 SQL_COMPANIES = """
 companies AS (SELECT c_custkey AS company_id, c_name AS company_name,
   CASE WHEN c_custkey % 9 <> 0 THEN 'proj-' || CAST(c_nationkey AS VARCHAR) END AS company_project_id,
-  c_acctbal > 0 AS company_bigquery_status, c_mktsegment <> 'BUILDING' AS company_fivetran_status
+  c_acctbal > 0 AS company_load_status, c_mktsegment <> 'BUILDING' AS company_pull_status
   FROM customer)
 """
 

@@ -279,7 +279,7 @@ FROM r
 sql("active_companies", f"""
 WITH {fx.SQL_COMPANIES}
 SELECT company_id, company_name, company_project_id FROM companies
-WHERE company_bigquery_status = true AND company_project_id IS NOT NULL
+WHERE company_load_status = true AND company_project_id IS NOT NULL
 """)
 
 sql("lookup_table_name", """
@@ -562,7 +562,7 @@ sql("landed_file_resolution", f"""
 WITH {fx.SQL_REGISTRY},
 r AS (SELECT table_name, CAST(regexp_extract(table_name, '(\\d+)$', 1) AS BIGINT) AS k FROM registry),
 l AS (
-  SELECT table_name, 1 AS priority, 'servicetitan_' || table_name || '.csv' AS file_name FROM r WHERE k % 4 = 0
+  SELECT table_name, 1 AS priority, 'export_' || table_name || '.csv' AS file_name FROM r WHERE k % 4 = 0
   UNION ALL SELECT table_name, 2, table_name || '.csv' FROM r WHERE k % 4 = 1 OR k % 8 = 0
   UNION ALL SELECT table_name, 3, upper(substr(replace(table_name, '_', ' '), 1, 1))
                                   || substr(replace(table_name, '_', ' '), 2) || '.csv' FROM r WHERE k % 4 = 2)

@@ -135,8 +135,12 @@ def list_landed(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
                     "length", "modificationTime"))
 
 
-def resolve_landed_files(listing: DataFrame, tables: DataFrame) -> DataFrame:
-    """For each table the first existing file of ``servicetitan_{t}.csv``,
+# Default prefix of the puller's standard export names (configurable).
+EXPORT_PREFIX = "export_"
+
+
+def resolve_landed_files(listing: DataFrame, tables: DataFrame, prefix: str = EXPORT_PREFIX) -> DataFrame:
+    """For each table the first existing file of ``{prefix}{t}.csv``,
     ``{t}.csv``, ``Title Case.csv``.
 
     ``listing`` has ``file_name``; ``tables`` has ``table_name``.  Both are
@@ -146,7 +150,7 @@ def resolve_landed_files(listing: DataFrame, tables: DataFrame) -> DataFrame:
     t = F.col("table_name")
     title = F.initcap(F.replace(t, F.lit("_"), F.lit(" ")))
     cands = tables.select("table_name", F.explode(F.array(
-        F.struct(F.lit(1).alias("priority"), F.concat(F.lit("servicetitan_"), t, F.lit(".csv")).alias("file_name")),
+        F.struct(F.lit(1).alias("priority"), F.concat(F.lit(prefix), t, F.lit(".csv")).alias("file_name")),
         F.struct(F.lit(2).alias("priority"), F.concat(t, F.lit(".csv")).alias("file_name")),
         F.struct(F.lit(3).alias("priority"), F.concat(title, F.lit(".csv")).alias("file_name")),
     )).alias("c")).select("table_name", "c.priority", "c.file_name")
@@ -166,8 +170,8 @@ def latest_snapshot(df: DataFrame, by: list[str], snapshot_col: str = "snapshot_
 
 
 # driver-side twin used by tests and the CSV job
-def candidate_files(table: str) -> list[str]:
-    return [f"servicetitan_{table}.csv", f"{table}.csv", f"{title_file_name(table)}.csv"]
+def candidate_files(table: str, prefix: str = EXPORT_PREFIX) -> list[str]:
+    return [f"{prefix}{table}.csv", f"{table}.csv", f"{title_file_name(table)}.csv"]
 
 
 def read_staging(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

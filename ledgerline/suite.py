@@ -280,7 +280,7 @@ def q_request_path(spark, sf):
 @query("active_companies")
 def q_active_companies(spark, sf):
     """S7 + O1: load-side flag, inbox needs a project."""
-    return LP.active_companies(fx.companies(spark, sf), "company_bigquery_status",
+    return LP.active_companies(fx.companies(spark, sf), "company_load_status",
                                require_project=True).select(
         "company_id", "company_name", "company_project_id")
 
@@ -738,7 +738,7 @@ def q_landed_file_resolution(spark, sf):
     t = F.col("table_name")
     title = F.initcap(F.replace(t, F.lit("_"), F.lit(" ")))
     listing = reg.select(F.explode(F.array(
-        F.when(k % 4 == 0, F.concat(F.lit("servicetitan_"), t, F.lit(".csv"))),
+        F.when(k % 4 == 0, F.concat(F.lit("export_"), t, F.lit(".csv"))),
         F.when((k % 4 == 1) | (k % 8 == 0), F.concat(t, F.lit(".csv"))),
         F.when(k % 4 == 2, F.concat(title, F.lit(".csv"))))).alias("file_name")).where(
         F.col("file_name").isNotNull())

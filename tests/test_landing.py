@@ -122,12 +122,12 @@ def test_csv_header_schema(spark, tmp_dir):
 
 
 def test_resolve_landed_files(spark):
-    listing = spark.createDataFrame([("servicetitan_a_b.csv",), ("a_b.csv",), ("C D.csv",), ("x.csv",)],
+    listing = spark.createDataFrame([("export_a_b.csv",), ("a_b.csv",), ("C D.csv",), ("x.csv",)],
                                     "file_name string")
     tables = spark.createDataFrame([("a_b",), ("c_d",), ("x",), ("nope",)], "table_name string")
     got = {r["table_name"]: r["file_name"] for r in LD.resolve_landed_files(listing, tables).collect()}
-    assert got == {"a_b": "servicetitan_a_b.csv", "c_d": "C D.csv", "x": "x.csv"}
-    assert LD.candidate_files("a_b") == ["servicetitan_a_b.csv", "a_b.csv", "A B.csv"]
+    assert got == {"a_b": "export_a_b.csv", "c_d": "C D.csv", "x": "x.csv"}
+    assert LD.candidate_files("a_b") == ["export_a_b.csv", "a_b.csv", "A B.csv"]
 
 
 def test_nested_known_array_repaired(spark, tmp_dir):
@@ -175,10 +175,10 @@ def test_compact_array_whole_layout(spark, tmp_dir):
 def test_resolve_on_real_listing(spark, tmp_dir):
     d = os.path.join(tmp_dir, "bucket")
     os.makedirs(d)
-    for name in ["servicetitan_jobs.csv", "jobs.csv", "Time Sheets.csv", "other.txt"]:
+    for name in ["export_jobs.csv", "jobs.csv", "Time Sheets.csv", "other.txt"]:
         _write(os.path.join(d, name), "a\n1\n")
     listing = LD.list_landed(spark, d, "*.csv")
     assert listing.count() == 3
     tables = spark.createDataFrame([("jobs",), ("time_sheets",), ("missing",)], "table_name string")
     got = {r["table_name"]: r["file_name"] for r in LD.resolve_landed_files(listing, tables).collect()}
-    assert got == {"jobs": "servicetitan_jobs.csv", "time_sheets": "Time Sheets.csv"}
+    assert got == {"jobs": "export_jobs.csv", "time_sheets": "Time Sheets.csv"}
