@@ -80,7 +80,7 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
            .groupBy(tenant_col).agg(*[F.count_if(F.col(M.OPERATION) == op).alias(f"n_{op.lower()}")
                                       for op in ("INSERT", "UPDATE", "DELETE", "OVERWRITE")]))
     processed = MO.rows_processed(staging, [tenant_col])
-    _update_monitoring(spark, root, live, processed, tenant_col, endpoint or table, version,
+    update_monitoring(spark, root, live, processed, tenant_col, endpoint or table, version,
                        round(time.monotonic() - started, 2), now if now is not None else synced_at)
     return (processed.join(ops, tenant_col, "left").join(bad, tenant_col, "left")
             .select(tenant_col, F.lit(mode).alias("write_mode"), "rows_processed",
@@ -95,7 +95,7 @@ MONITORING_SCHEMA = ("company_id bigint, endpoint_name string, max_sync timestam
                      "last_status string, updated_at timestamp_ntz")
 
 
-def _update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed: DataFrame,
+def update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed: DataFrame,
                        tenant_col: str, endpoint: str, version: int, duration: float, now) -> None:
     """W10 after a load: max ``_etl_synced`` per tenant (A6), staging rows
     (A7), the job's duration, SUCCESS; previous actual_* move to last_*."""

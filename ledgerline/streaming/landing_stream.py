@@ -4,13 +4,15 @@ New NDJSON files under a landing folder are read as a file stream with
 checkpointed offsets; each micro-batch keeps the newest row per key
 (``max_by``, map-side combined), merges it into the published target
 without soft delete (a micro-batch is partial) and publishes the next
-version.  The version id is the batch id, so a replayed batch after a
-failure finds its version already written and does nothing.
+version, then updates the monitoring snapshot (W10).  The version id is
+the batch id, so a replayed batch after a failure finds its version
+already written and does nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators import merge as M
@@ -19,8 +21,9 @@ from ledgerline.operators.publish import latest_version, publish, read_published
 
 
 def merge_batch(batch: DataFrame, root: str, table: str, keys: list[str], order_col: str,
-                synced_at, batch_id: int) -> None:
-    """foreachBatch body: newest per key, then W6 into the target."""
+                synced_at, batch_id: int, tenant_col: str | None = None) -> None:
+    """foreachBatch body: newest per key, then W6 into the target, then the
+    monitoring snapshot (W10) per tenant (one row when there is none)."""
     spark = batch.sparkSession
     newest = latest_per_key(batch, keys, [order_col])
     target = read_published(spark, root, table)
@@ -32,17 +35,32 @@ def merge_batch(batch: DataFrame, root: str, table: str, keys: list[str], order_
     # Cut the lineage (the target is read back from the previous version)
     # by writing the new version before the next batch reads it.
     publish(out, root, table, batch_id + 1)
+    _monitor(spark, root, table, newest, tenant_col, synced_at, batch_id + 1)
+
+
+def _monitor(spark: SparkSession, root: str, table: str, newest: DataFrame, tenant_col: str | None,
+             synced_at, version: int) -> None:
+    from ledgerline.plans.load_job import update_monitoring
+    from ledgerline.operators.monitor import rows_processed
+    tcol = tenant_col or "company_id"
+    rows = newest if tenant_col else newest.withColumn(tcol, F.lit(0).cast("bigint"))
+    live = read_published(spark, root, table)
+    live = live if tenant_col else live.withColumn(tcol, F.lit(0).cast("bigint"))
+    # the micro-batch's own duration is not measured here; 0.0 marks it
+    update_monitoring(spark, root, live, rows_processed(rows, [tcol]), tcol, table, version, 0.0, synced_at)
 
 
 def run_landing_merge(spark: SparkSession, landing: str, schema: T.StructType, root: str,
                       table: str, keys: list[str], order_col: str, synced_at,
-                      checkpoint: str, max_files_per_trigger: int = 1) -> int:
+                      checkpoint: str, max_files_per_trigger: int = 1,
+                      tenant_col: str | None = None) -> int:
     """Process every file now in ``landing`` (``availableNow``); return the
     latest published version."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .json(landing))
     q = (stream.writeStream
-         .foreachBatch(lambda df, bid: merge_batch(df, root, table, keys, order_col, synced_at, bid))
+         .foreachBatch(lambda df, bid: merge_batch(df, root, table, keys, order_col, synced_at, bid,
+                                                   tenant_col))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

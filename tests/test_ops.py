@@ -105,6 +105,9 @@ def test_stream_replay_is_idempotent(spark, tmp_dir):
     assert v1 == v2 == 2
     got = {r["k"]: r["event_id"] for r in PUB.read_published(spark, root, "latest").collect()}
     assert got == {"a": 2, "b": 3}
+    from ledgerline.plans.load_job import read_monitoring
+    mon = read_monitoring(spark, root).collect()
+    assert [(r["actual_rows"], r["last_rows"]) for r in mon] == [(1, 1)]   # batch 2: key b; batch 1: key a
 
 
 def test_infer_plan_refuses_data_as_keys(spark):
