@@ -846,7 +846,8 @@ _EVENTS_DDL = "event_id bigint, ts string, user_id bigint, event_type string, va
 @query("stream_merge")
 def q_stream_merge(spark, sf):
     """Events landed as NDJSON in four time-ordered drops, merged
-    incrementally (newest per (user, type)) into a published target."""
+    incrementally (two files per micro-batch; newest per (user, type), W6,
+    then the monitoring snapshot) into a published target."""
     from pyspark.sql import types as T
     base = scratch_dir(spark, "stream")
     landing, root, ckpt = f"{base}/landing", f"{base}/tables", f"{base}/checkpoint"
@@ -857,7 +858,7 @@ def q_stream_merge(spark, sf):
         WR.write_ndjson_append(e.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1), landing)
     schema = T._parse_datatype_string(_EVENTS_DDL)
     ST.run_landing_merge(spark, landing, schema, root, "events_latest", ["user_id", "event_type"], "ts",
-                         fx.SYNCED_AT, ckpt)
+                         fx.SYNCED_AT, ckpt, max_files_per_trigger=2)
     out = PUB.read_published(spark, root, "events_latest")
     return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
                       "value")
