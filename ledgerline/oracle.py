@@ -744,3 +744,21 @@ SELECT coalesce(r2.company_id, r1.company_id) AS company_id, 'orders_bronze' AS
        CASE WHEN r2.company_id IS NOT NULL AND r1.company_id IS NOT NULL THEN 'SUCCESS' END AS last_status
 FROM r1 FULL OUTER JOIN r2 ON r1.company_id = r2.company_id
 """)
+
+
+sql("merge_only_changed", f"""
+WITH {fx.SQL_FA}
+SELECT {_MERGE_COLS},
+  CASE WHEN t.id IS NOT NULL AND s.id IS NOT NULL AND t.o_totalprice IS NOT DISTINCT FROM s.o_totalprice
+            AND t.o_custkey IS NOT DISTINCT FROM s.o_custkey AND t.o_orderstatus IS NOT DISTINCT FROM s.o_orderstatus
+            AND t.o_orderdate IS NOT DISTINCT FROM s.o_orderdate
+            AND t.o_orderpriority IS NOT DISTINCT FROM s.o_orderpriority
+       THEN t._etl_synced ELSE TIMESTAMP '{S}' END AS _etl_synced,
+  CASE WHEN t.id IS NOT NULL AND s.id IS NOT NULL AND t.o_totalprice IS NOT DISTINCT FROM s.o_totalprice
+            AND t.o_custkey IS NOT DISTINCT FROM s.o_custkey AND t.o_orderstatus IS NOT DISTINCT FROM s.o_orderstatus
+            AND t.o_orderdate IS NOT DISTINCT FROM s.o_orderdate
+            AND t.o_orderpriority IS NOT DISTINCT FROM s.o_orderpriority THEN t._etl_operation
+       WHEN t.id IS NOT NULL AND s.id IS NOT NULL THEN 'UPDATE'
+       WHEN s.id IS NOT NULL THEN 'INSERT' ELSE 'DELETE' END AS _etl_operation
+FROM fa_t t FULL OUTER JOIN fa_s s ON t.id = s.id
+""")

@@ -1038,3 +1038,12 @@ def q_load_monitoring(spark, sf):
     mon = read_monitoring(spark, root)
     return mon.select("company_id", "endpoint_name", "max_sync", "actual_rows", "actual_status",
                       "last_rows", "last_status")
+
+
+@query("merge_only_changed")
+def q_merge_only_changed(spark, sf):
+    """W5 with ``only_changed=True`` (finding 1): matches whose values are
+    equal (null-safe) keep the target row and stamp; only the re-priced
+    orders become UPDATE."""
+    return M.merge_soft_delete(fx.fa_target(spark, sf), fx.fa_staging(spark, sf), fx.SYNCED_AT,
+                               only_changed=True)
