@@ -227,24 +227,86 @@ def normalize(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj",
 
 
 def normalized_select(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj",
-                      keep: list[str] | None = None, stringify_mode: str = "plain") -> DataFrame:
-    """P1-P5 + N1-N3 in one pass over the rows.
-
-    Three stacked projections so each costly piece is computed once per
-    row: the entry list, then one picked value per column, then the typed
-    repair of each value (which reads its value several times).
+                      keep: list[str] | None = None, stringify_mode: str = "plain",
+                      value: str = "value") -> DataFrame:
+    """P1-P5 + N1-N4 in one pass over the rows.
+
+    The record text is parsed once more against a struct whose fields are
+    the discovered source keys (as VARIANT): the JSON reader fills fields by
+    name in one go, the last duplicate key wins, an absent key stays SQL
+    NULL while a present JSON null does not, and the bracket-wrapped parse
+    is strict (``is_bad``).  The struct is cast to positional field names,
+    so keys differing only in case never clash.  Only a column fed by two
+    different source keys (a naming collision, P2) needs key order; it alone
+    reads the ordered entry list.  Stacked projections keep each costly
+    piece computed once per row.
     """
     keep = list(keep or [])
+    src = sorted({k for cp in plan.columns for k in cp.source_keys})
+    multi = [cp for cp in plan.columns if len(cp.source_keys) > 1]
+    if value not in parsed.columns or not src:
+        return _normalized_from_entries(parsed, plan, obj=obj, keep=keep, stringify_mode=stringify_mode)
+    idx = {k: i for i, k in enumerate(src)}
+    # a key feeding one plain-typed column is parsed straight into that type
+    # (mixed-type text keeps the source's own text); others stay VARIANT
+    key_type = {k: T.VariantType() for k in src}
+    for cp in plan.columns:
+        if len(cp.source_keys) == 1 and _direct_type(cp) is not None:
+            key_type[cp.source_keys[0]] = _direct_type(cp)
+    st = T.StructType([T.StructField(k, key_type[k]) for k in src])
+    pos = T.StructType([T.StructField(f"f{i}", key_type[k]) for i, k in enumerate(src)])
+    arr = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), T.ArrayType(st))
+    base_keep = [c for c in keep if c != "is_bad"]
+    extra = [F.map_entries(F.col(obj)).alias("__entries")] if multi else []
+    staged = parsed.select(*base_keep, arr.alias("__arr"), *extra)
+    rec = F.when(F.size("__arr") == 1, F.try_element_at("__arr", F.lit(1))).cast(pos)
+    staged = staged.select(*base_keep, rec.alias("__rec"), *(["__entries"] if multi else []))
+    picks = []
+    for i, cp in enumerate(plan.columns):
+        if len(cp.source_keys) == 1:
+            v = F.col("__rec")[f"f{idx[cp.source_keys[0]]}"]
+        else:
+            hits = F.filter(F.col("__entries"), _key_in(cp.source_keys))
+            v = F.try_element_at(hits, F.lit(-1))["value"]
+        picks.append(v.alias(f"__v{i}"))
+    bad = [F.col("__rec").isNull().alias("is_bad")] if "is_bad" in keep else []
+    staged = staged.select(*base_keep, *bad, *picks)
+    direct = {i for i, cp in enumerate(plan.columns)
+              if len(cp.source_keys) == 1 and _direct_type(cp) is not None
+              and not (cp.kind == "text" and stringify_mode == "json")}
+    return _typed_select(staged, plan, keep, stringify_mode, direct)
+
+
+def _direct_type(cp: ColumnPlan) -> T.DataType | None:
+    if cp.coerce:
+        return None
+    return {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(),
+            "string": T.StringType(), "text": T.StringType()}.get(cp.kind)
+
+
+def _normalized_from_entries(parsed: DataFrame, plan: NormalizePlan, *, obj: str, keep: list[str],
+                             stringify_mode: str) -> DataFrame:
+    """Fallback without the record text: pick each column from the ordered
+    entry list of the parsed map."""
     staged = parsed.select(*keep, F.map_entries(F.col(obj)).alias("__entries"))
     picks = []
     for i, cp in enumerate(plan.columns):
         hits = F.filter(F.col("__entries"), _key_in(cp.source_keys))
         picks.append(F.try_element_at(hits, F.lit(-1))["value"].alias(f"__v{i}"))
     staged = staged.select(*keep, *picks)
+    return _typed_select(staged, plan, keep, stringify_mode)
+
+
+def _typed_select(staged: DataFrame, plan: NormalizePlan, keep: list[str], stringify_mode: str,
+                  direct: set[int] | None = None) -> DataFrame:
+    """Repair the VARIANT picks (``direct`` ones are already typed)."""
+    direct = direct or set()
     staged = staged.select(*keep, *[c for i in range(len(plan.columns))
-                                    for c in (F.col(f"__v{i}"),
-                                              F.schema_of_variant(F.col(f"__v{i}")).alias(f"__k{i}"))])
-    cols = [_typed(F.col(f"__v{i}"), F.col(f"__k{i}"), cp, stringify_mode).alias(cp.name)
+                                    for c in ((F.col(f"__v{i}"),) if i in direct else
+                                              (F.col(f"__v{i}"),
+                                               F.schema_of_variant(F.col(f"__v{i}")).alias(f"__k{i}")))])
+    cols = [(F.col(f"__v{i}") if i in direct else
+             _typed(F.col(f"__v{i}"), F.col(f"__k{i}"), cp, stringify_mode)).alias(cp.name)
             for i, cp in enumerate(plan.columns)]
     return staged.select(*keep, *cols)
 

@@ -457,8 +457,7 @@ SELECT *, saw_number AND saw_text AS is_mixed FROM f
 
 sql("rename_fill_stringify", """
 SELECT o_orderkey AS id, o_custkey AS cust_key, o_orderstatus AS order_status,
-       CASE WHEN o_orderkey % 20 = 0 THEN 'N/A'
-            ELSE regexp_replace(CAST(o_totalprice AS VARCHAR), '\\.0$', '') END AS total_price,
+       CASE WHEN o_orderkey % 20 = 0 THEN 'N/A' ELSE CAST(o_totalprice AS VARCHAR) END AS total_price,
        CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS order_priority,
        CAST(CASE WHEN o_orderkey % 4 = 1 THEN 2 ELSE 0 END AS BIGINT) AS line_items_n

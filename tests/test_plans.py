@@ -47,3 +47,18 @@ def test_no_cross_joins_and_python_only_where_intended(spark):
         assert "BroadcastNestedLoopJoin" not in plan, name
         if name not in python_ok:
             assert "EvalPython" not in plan and "InPandas" not in plan, name
+
+
+def test_normalize_reads_fields_by_name(spark):
+    """Without naming collisions no column scans the entry list: fields come
+    from one struct parse (cost does not grow with columns x keys)."""
+    from ledgerline.operators import normalize as NZ
+    from ledgerline.sources import landing as LD
+    from pyspark.sql import functions as F
+    df = spark.range(100).select(F.concat(F.lit('{"aB": '), F.col("id").cast("string"),
+                                          F.lit(', "c": "x", "d": [1]}')).alias("value"))
+    parsed = LD.parse_records(df)
+    out = NZ.normalize(parsed, NZ.infer_plan(parsed))
+    plan = _plan(out)
+    assert "__entries" not in plan and "map_entries" not in plan
+    assert out.where("a_b = 5").count() == 1
