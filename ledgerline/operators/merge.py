@@ -135,7 +135,8 @@ def _layout_types(target: DataFrame, staging: DataFrame) -> dict[str, T.DataType
 
 # ------------------------------------------------------------------ W3 / J4
 def replace_dates(target: DataFrame, staging: DataFrame, synced_at,
-                  date_col: str = "_report_date", key: str = KEY) -> DataFrame:
+                  date_col: str = "_report_date", key: str = KEY,
+                  tenant_col: str | None = None) -> DataFrame:
     """Delete target rows whose date is among staging's non-null dates,
     then insert staging rows (INSERT).
 
@@ -143,11 +144,14 @@ def replace_dates(target: DataFrame, staging: DataFrame, synced_at,
     partial+final aggregate (a few thousand dates at most per load), so AQE
     turns the anti join into a broadcast after measuring it.  Target rows
     with a null date never match and are kept, as ``IN`` would keep them.
+    With ``tenant_col`` the dates are per tenant: a tenant's rows are
+    replaced only for the dates that tenant staged.
     """
     layout = output_layout(target, staging, key)
     types = _layout_types(target, staging)
-    dates = staging.select(date_col).where(F.col(date_col).isNotNull()).distinct()
-    kept = target.join(dates, on=date_col, how="left_anti")
+    by = [tenant_col, date_col] if tenant_col else [date_col]
+    dates = staging.select(*by).where(F.col(date_col).isNotNull()).distinct()
+    kept = target.join(dates, on=by, how="left_anti")
     _, exprs = _aligned_insert(target, staging, key, with_key=False)
     inserted = with_audit(staging.select(*exprs), OP_INSERT, synced_at)
     return _conform(kept, layout, types).unionByName(_conform(inserted, layout, types))
@@ -381,7 +385,7 @@ def apply_write_mode(mode: str, target: DataFrame | None, staging: DataFrame, sy
     if mode == "first_load":
         return first_load(staging, synced_at, target.schema if target is not None else None)
     if mode == "replace_dates":
-        return replace_dates(target, staging, synced_at)
+        return replace_dates(target, staging, synced_at, tenant_col=kw.get("tenant_col"))
     if mode == "replace_all":
         return replace_all(target, staging, synced_at)
     if mode == "merge":

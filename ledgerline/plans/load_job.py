@@ -72,7 +72,7 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
         out = M.merge_soft_delete(target, staging, synced_at, key=key, tenant_col=tenant_col,
                                   tenants=tenants)
     else:
-        out = M.apply_write_mode(mode, target, staging, synced_at)
+        out = M.apply_write_mode(mode, target, staging, synced_at, tenant_col=tenant_col)
     PUB.publish_tenants(out, root, table, version, tenant_col, tenants=tenants)
 
     live = PUB.read_tenants(spark, root, table, tenant_col, tenants)

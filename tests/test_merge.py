@@ -120,3 +120,14 @@ def test_upsert_catalog_keeps_user_columns(spark):
                             F.col("is_active").alias("was_active")),
                  ["company_id", "report_category", "report_id"])
     assert j.where(~F.col("is_active").eqNullSafe(F.col("was_active"))).count() == 0
+
+
+def test_replace_dates_is_per_tenant(spark):
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
+    t = spark.createDataFrame([(1, 0, d1), (2, 0, d2), (3, 1, d1), (4, 1, d2)],
+                              "k bigint, company_id bigint, _report_date date")
+    s = spark.createDataFrame([(9, 0, d2), (10, 1, d1)], "k bigint, company_id bigint, _report_date date")
+    out = M.replace_dates(t, s, T1, tenant_col="company_id")
+    got = sorted((r["k"], r["_etl_operation"]) for r in out.collect())
+    # tenant 0 replaces only 01-02, tenant 1 only 01-01
+    assert got == [(1, None), (4, None), (9, "INSERT"), (10, "INSERT")]
