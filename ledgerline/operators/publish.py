@@ -42,10 +42,10 @@ def publish(df: DataFrame, root: str, table: str, version: int,
         (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
     if existing:
         return path
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if partition_by:   # see publish_tenants: sized files per partition value
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     spark.createDataFrame([(table, int(version), path)],
                           "table_name string, version bigint, path string") \
         .write.mode("append").parquet(_pointer_path(root))
@@ -100,7 +100,10 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
         (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
     if done:
         return base
-    df.write.mode("overwrite").partitionBy(tenant_col).parquet(base)
+    # rebalance on the tenant: rows of one tenant meet in few tasks (not one
+    # file per task per tenant), while AQE splits a hot tenant and merges
+    # small ones into evenly sized files
+    df.hint("rebalance", tenant_col).write.mode("overwrite").partitionBy(tenant_col).parquet(base)
     # one pointer row per tenant folder written: the caller's tenant list
     # (the load plan knows it), else a distinct over the written partition
     # column (tenant-sized)

@@ -75,13 +75,19 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
         out = M.apply_write_mode(mode, target, staging, synced_at, tenant_col=tenant_col)
     PUB.publish_tenants(out, root, table, version, tenant_col, tenants=tenants)
 
+    # one scan of the touched tenants' live rows gives this run's operation
+    # counts and the newest stamp (A6); the result is tenant-sized
     live = PUB.read_tenants(spark, root, table, tenant_col, tenants)
-    ops = (live.where(F.col(M.SYNCED) == M._ts(synced_at))
-           .groupBy(tenant_col).agg(*[F.count_if(F.col(M.OPERATION) == op).alias(f"n_{op.lower()}")
-                                      for op in ("INSERT", "UPDATE", "DELETE", "OVERWRITE")]))
+    this_run = F.col(M.SYNCED) == M._ts(synced_at)
+    stats_df = live.groupBy(tenant_col).agg(
+        *[F.count_if(this_run & (F.col(M.OPERATION) == op)).alias(f"n_{op.lower()}")
+          for op in ("INSERT", "UPDATE", "DELETE", "OVERWRITE")],
+        F.max(M.SYNCED).alias("max_sync"))
+    stats = spark.createDataFrame(stats_df.collect(), stats_df.schema)
     processed = MO.rows_processed(staging, [tenant_col])
-    update_monitoring(spark, root, live, processed, tenant_col, endpoint or table, version,
-                       round(time.monotonic() - started, 2), now if now is not None else synced_at)
+    update_monitoring(spark, root, stats, processed, tenant_col, endpoint or table, version,
+                      round(time.monotonic() - started, 2), now if now is not None else synced_at)
+    ops = stats.drop("max_sync")
     return (processed.join(ops, tenant_col, "left").join(bad, tenant_col, "left")
             .select(tenant_col, F.lit(mode).alias("write_mode"), "rows_processed",
                     *[F.coalesce(F.col(f"n_{op}"), F.lit(0)).alias(f"n_{op}")
@@ -98,8 +104,13 @@ MONITORING_SCHEMA = ("company_id bigint, endpoint_name string, max_sync timestam
 def update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed: DataFrame,
                        tenant_col: str, endpoint: str, version: int, duration: float, now) -> None:
     """W10 after a load: max ``_etl_synced`` per tenant (A6), staging rows
-    (A7), the job's duration, SUCCESS; previous actual_* move to last_*."""
-    max_sync = MO.max_synced(live, [tenant_col], now)
+    (A7), the job's duration, SUCCESS; previous actual_* move to last_*.
+    ``live`` is either the table's rows or per-tenant stats that already
+    carry ``max_sync``."""
+    if "max_sync" in live.columns:
+        max_sync = live.select(tenant_col, F.coalesce("max_sync", M._ts(now)).alias("max_sync"))
+    else:
+        max_sync = MO.max_synced(live, [tenant_col], now)
     run = (processed.join(max_sync, tenant_col, "left")
            .select(F.col(tenant_col).cast("bigint").alias("company_id"),
                    F.lit(endpoint).alias("endpoint_name"), "max_sync", "rows_processed",
