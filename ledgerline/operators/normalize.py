@@ -59,7 +59,7 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
         # wrapped): gives the element type of list columns
         F.when(kind.startswith("ARRAY"), v)
         .when(kind.startswith("OBJECT") & (kind != "OBJECT<>"),
-              F.parse_json(F.concat(F.lit("["), F.to_json(v), F.lit("]")))).alias("as_list"))
+              F.to_variant_object(F.array(v))).alias("as_list"))
     return (rows.groupBy("source_key")
             .agg(F.bool_or("num").alias("saw_number"), F.bool_or("txt").alias("saw_text"),
                  F.bool_or("lst").alias("saw_list"),
