@@ -54,3 +54,20 @@ def test_snake_column_random_agrees(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = {r[0]: r[1] for r in df.select("n", N.snake_col(F.col("n"))).collect()}
     assert got == {n: N.snake(n) for n in names}
+
+
+def test_column_forms_match_driver_twins_on_random_names(spark):
+    import random
+    rnd = random.Random(11)
+    alphabet = "abcxyzABCXYZ0129_-/ #ñ"
+    names = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(400)]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    rows = df.select("n", N.snake_col(F.col("n")).alias("s"), N.camel_col(F.col("n")).alias("c"),
+                     N.naming_class_col(F.col("n")).alias("k"), N.table_name_fallback_col(F.col("n")).alias("t"),
+                     N.clean_header_col(F.col("n")).alias("h")).collect()
+    for r in rows:
+        assert r["s"] == N.snake(r["n"]), r["n"]
+        assert r["c"] == N.camel(r["n"]), r["n"]
+        assert r["k"] == N.naming_class(r["n"]), r["n"]
+        assert r["t"] == N.table_name_fallback(r["n"]), r["n"]
+        assert r["h"] == N.clean_header(r["n"]), r["n"]
