@@ -369,3 +369,12 @@ REPORT_PARAMS_EXPR = (
     "CASE s_suppkey % 4 WHEN 0 THEN 'StartDate' WHEN 1 THEN 'Customer' WHEN 2 THEN 'Date' ELSE 'Region' END "
     "|| '\", \"dataType\": \"' || CASE WHEN s_suppkey % 3 = 0 THEN 'DateTime' ELSE 'String' END "
     "|| '\"}, {\"name\": \"To\", \"dataType\": \"DateOnly\"}]' END")
+
+
+# ------------------------------------------------------------ schema catalogs
+# staging / final column catalogs of 50 tables derived from part: a column
+# per part row, typed by its size; staging retypes every 7th and adds the
+# rows with p_size > 45, final has an audit column per table.
+CAT_COL = "lower(replace(p_name, ' ', '_')) || '_' || CAST(p_partkey % 11 AS STRING)"
+CAT_TYPE = "CASE WHEN p_size % 3 = 0 THEN 'bigint' WHEN p_size % 3 = 1 THEN 'string' ELSE 'double' END"
+STAGING_TYPE = f"CASE WHEN p_partkey % 7 = 0 THEN 'string' ELSE {CAT_TYPE} END"

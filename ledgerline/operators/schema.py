@@ -148,3 +148,22 @@ def cast_field_to_text(df: DataFrame, name: str) -> DataFrame:
             c = conv(c, f.dataType)
         exprs.append(c.alias(f.name))
     return df.select(*exprs)
+
+
+def schema_diff_catalog(staging_cat: DataFrame, final_cat: DataFrame,
+                        by: list[str] | None = None) -> DataFrame:
+    """C2 over column catalogs (table_name, column_name, data_type) of many
+    tables at once: common columns with another type (safe_cast),
+    staging-only (add_column) and final-only (keep) rows; audit columns are
+    skipped.  One full outer join on (table, column)."""
+    by = by or ["table_name"]
+    s = staging_cat.where(~F.col("column_name").startswith(AUDIT_PREFIX)).select(
+        *by, "column_name", F.col("data_type").alias("staging_type"))
+    f = final_cat.where(~F.col("column_name").startswith(AUDIT_PREFIX)).select(
+        *by, "column_name", F.col("data_type").alias("final_type"))
+    j = s.join(f, by + ["column_name"], "full_outer")
+    action = (F.when(F.col("final_type").isNull(), F.lit("add_column"))
+              .when(F.col("staging_type").isNull(), F.lit("keep"))
+              .when(F.col("staging_type") != F.col("final_type"), F.lit("safe_cast")))
+    return j.select(*by, "column_name", "staging_type", "final_type", action.alias("action")) \
+        .where(F.col("action").isNotNull())

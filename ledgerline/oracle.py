@@ -761,3 +761,22 @@ SELECT {_MERGE_COLS},
        WHEN s.id IS NOT NULL THEN 'INSERT' ELSE 'DELETE' END AS _etl_operation
 FROM fa_t t FULL OUTER JOIN fa_s s ON t.id = s.id
 """)
+
+
+def _v(x: str) -> str:
+    return x.replace("AS STRING", "AS VARCHAR")
+
+
+sql("schema_drift_catalog", f"""
+WITH f0 AS (SELECT DISTINCT {_v(fx.CATALOG_TABLE_EXPR)} AS table_name, {_v(fx.CAT_COL)} AS column_name,
+                   {fx.CAT_TYPE} AS final_type FROM part WHERE p_size <= 45),
+s0 AS (SELECT DISTINCT {_v(fx.CATALOG_TABLE_EXPR)} AS table_name, {_v(fx.CAT_COL)} AS column_name,
+              {fx.STAGING_TYPE} AS staging_type FROM part WHERE p_partkey % 5 <> 0),
+j AS (SELECT coalesce(s0.table_name, f0.table_name) AS table_name,
+             coalesce(s0.column_name, f0.column_name) AS column_name, staging_type, final_type
+      FROM s0 FULL OUTER JOIN f0 ON s0.table_name = f0.table_name AND s0.column_name = f0.column_name)
+SELECT *, CASE WHEN final_type IS NULL THEN 'add_column' WHEN staging_type IS NULL THEN 'keep'
+               WHEN staging_type <> final_type THEN 'safe_cast' END AS action
+FROM j WHERE CASE WHEN final_type IS NULL THEN 'add_column' WHEN staging_type IS NULL THEN 'keep'
+                  WHEN staging_type <> final_type THEN 'safe_cast' END IS NOT NULL
+""")

@@ -1047,3 +1047,18 @@ def q_merge_only_changed(spark, sf):
     orders become UPDATE."""
     return M.merge_soft_delete(fx.fa_target(spark, sf), fx.fa_staging(spark, sf), fx.SYNCED_AT,
                                only_changed=True)
+
+
+@query("schema_drift_catalog")
+def q_schema_drift_catalog(spark, sf):
+    """C2 for many tables at once over column catalogs derived from part:
+    retyped columns (safe_cast), new staging columns (add_column), columns
+    only the final tables have (keep)."""
+    p = fx.table(spark, sf, "part")
+    tbl = F.expr(fx.CATALOG_TABLE_EXPR).alias("table_name")
+    col = F.expr(fx.CAT_COL).alias("column_name")
+    final = p.where(F.col("p_size") <= 45).select(tbl, col, F.expr(fx.CAT_TYPE).alias("data_type"))
+    final = final.unionByName(final.select("table_name", F.lit("_etl_synced").alias("column_name"),
+                                           F.lit("timestamp").alias("data_type")))
+    staging = p.where(F.col("p_partkey") % 5 != 0).select(tbl, col, F.expr(fx.STAGING_TYPE).alias("data_type"))
+    return SC.schema_diff_catalog(staging.distinct(), final.distinct())
