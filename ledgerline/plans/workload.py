@@ -56,15 +56,3 @@ def balance_groups(df: DataFrame, group_key: str, item_id: str, weight: str, n_b
         F.size(F.filter("all_out", lambda y: y["bin"] == b)).cast("bigint").alias("bin_items"),
         F.when(F.col("mean") > 0, (load - F.col("mean")) / F.col("mean") * 100.0)
         .otherwise(F.lit(0.0)).alias("diff_pct"))
-
-
-def balance_python(weights: list[tuple[int, float]], n_bins: int) -> dict[int, int]:
-    """Brute-force twin for tests: item id -> bin."""
-    order = sorted(weights, key=lambda t: (-t[1], t[0]))
-    loads = [0.0] * n_bins
-    out = {}
-    for i, w in order:
-        b = loads.index(min(loads))
-        out[i] = b
-        loads[b] += w
-    return out
