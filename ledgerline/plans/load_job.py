@@ -115,11 +115,11 @@ def update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed
            .select(F.col(tenant_col).cast("bigint").alias("company_id"),
                    F.lit(endpoint).alias("endpoint_name"), "max_sync", "rows_processed",
                    F.lit(float(duration)).alias("duration_sec"), F.lit("SUCCESS").alias("status")))
-    snap = PUB.read_published(spark, root, MONITORING)
-    if snap is None:
-        snap = spark.createDataFrame([], MONITORING_SCHEMA)
-    PUB.publish(MO.monitor_upsert(snap, run, now), root, MONITORING,
-                (PUB.latest_version(spark, root, MONITORING) or 0) + 1)
+    current = PUB.latest_version(spark, root, MONITORING)
+    empty = spark.createDataFrame([], MONITORING_SCHEMA)
+    snap = empty if current is None else PUB.conform(
+        spark.read.parquet(f"{root.rstrip('/')}/{MONITORING}/v={current}"), empty.schema)
+    PUB.publish(MO.monitor_upsert(snap, run, now), root, MONITORING, (current or 0) + 1)
 
 
 def read_monitoring(spark: SparkSession, root: str) -> DataFrame | None:
