@@ -82,7 +82,7 @@ def local_path(path: str) -> str:
 def _size_in_bytes(df) -> int | None:
     """Catalyst's size estimate of a plan (file sizes for scans)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 
@@ -108,6 +108,8 @@ def spread(df, min_partitions: int | None = None):
     """
     spark = df.sparkSession
     n = min_partitions or spark.sparkContext.defaultParallelism
+    if n <= 1:
+        return df
     max_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
     size = _size_in_bytes(df)
     if size is not None and size >= n * max_bytes:
