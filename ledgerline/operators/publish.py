@@ -9,6 +9,7 @@ retries after a lost executor or a restarted micro-batch).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,9 @@ def _pointer_path(root: str) -> str:
 def published_versions(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.parquet(_pointer_path(root))
-    except Exception:  # no pointer table yet
+    except AnalysisException as e:  # no pointer table yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         return spark.createDataFrame([], "table_name string, version bigint, path string")
 
 
@@ -79,7 +82,9 @@ def _tenant_pointer_path(root: str) -> str:
 def tenant_versions(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.parquet(_tenant_pointer_path(root))
-    except Exception:
+    except AnalysisException as e:  # no pointer table yet
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
         return spark.createDataFrame([], "table_name string, tenant string, version bigint, path string")
 
 
