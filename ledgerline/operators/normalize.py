@@ -206,21 +206,6 @@ def stringify_value(v: Column, mode: str = "plain") -> Column:
     return F.when(kind == "STRING", _as_text(v)).when(kind != "VOID", js)
 
 
-def column_expr(obj: Column, cp: ColumnPlan, stringify_mode: str = "plain") -> Column:
-    v = last_present(obj, cp.source_keys)
-    if cp.kind == "array":
-        return fix_array(v)                       # P3 + N1-N3
-    if cp.kind == "text":
-        return stringify_value(v, stringify_mode)  # P4
-    if cp.coerce:                                  # P5: text coerced to the expected type
-        s = _as_text(v)
-        typed = F.try_variant_get(v, "$", cp.kind) if cp.kind != "variant" else v
-        return F.when((_kind(v) == "STRING") & (s != ""), coerce_to(s, cp.coerce)).otherwise(typed)
-    if cp.kind == "variant":
-        return F.when(_kind(v) != "VOID", v)
-    return F.try_variant_get(v, "$", cp.kind)
-
-
 def normalize(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj",
               keep: list[str] | None = None, stringify_mode: str = "plain") -> DataFrame:
     return normalized_select(parsed, plan, obj=obj, keep=keep, stringify_mode=stringify_mode)
@@ -288,12 +273,8 @@ def _normalized_from_entries(parsed: DataFrame, plan: NormalizePlan, *, obj: str
                              stringify_mode: str) -> DataFrame:
     """Fallback without the record text: pick each column from the ordered
     entry list of the parsed map."""
-    staged = parsed.select(*keep, F.map_entries(F.col(obj)).alias("__entries"))
-    picks = []
-    for i, cp in enumerate(plan.columns):
-        hits = F.filter(F.col("__entries"), _key_in(cp.source_keys))
-        picks.append(F.try_element_at(hits, F.lit(-1))["value"].alias(f"__v{i}"))
-    staged = staged.select(*keep, *picks)
+    picks = [last_present(F.col(obj), cp.source_keys).alias(f"__v{i}") for i, cp in enumerate(plan.columns)]
+    staged = parsed.select(*keep, *picks)
     return _typed_select(staged, plan, keep, stringify_mode)
 
 
@@ -311,6 +292,13 @@ def _typed_select(staged: DataFrame, plan: NormalizePlan, keep: list[str], strin
     return staged.select(*keep, *cols)
 
 
+def _coerce_type(expected: str) -> str:
+    from ledgerline.functions.values import BOOL_TYPES, FLOAT_TYPES, INT_TYPES
+    e = expected.upper()
+    return "bigint" if e in INT_TYPES else "double" if e in FLOAT_TYPES else \
+        "boolean" if e in BOOL_TYPES else "string"
+
+
 def _key_in(keys: list[str]):
     return lambda e: e["key"].isin(*keys)
 
@@ -332,13 +320,12 @@ def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Colu
             return F.transform(fixed, _repair_each(cp.struct_type, cp.known_arrays))
         return fixed
     if cp.kind == "text":
-        if stringify_mode == "json":
-            return F.when(kind != "VOID", F.to_json(v))
-        return F.when(kind == "STRING", _as_text(v)).when(kind != "VOID", F.to_json(v))
-    if cp.coerce:
+        return stringify_value(v, stringify_mode)
+    if cp.coerce:   # P5: the column takes the expected type
         s = _as_text(v)
-        typed = F.try_variant_get(v, "$", cp.kind) if cp.kind != "variant" else v
-        return F.when((kind == "STRING") & (s != ""), coerce_to(s, cp.coerce)).otherwise(typed)
+        target = _coerce_type(cp.coerce)
+        return (F.when((kind == "STRING") & (s != ""), coerce_to(s, cp.coerce).cast(target))
+                .otherwise(F.try_variant_get(v, "$", target)))
     if cp.kind == "variant":
         return F.when(kind != "VOID", v)
     if cp.kind == "struct":
