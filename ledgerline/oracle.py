@@ -780,3 +780,7 @@ SELECT *, CASE WHEN final_type IS NULL THEN 'add_column' WHEN staging_type IS NU
 FROM j WHERE CASE WHEN final_type IS NULL THEN 'add_column' WHEN staging_type IS NULL THEN 'keep'
                   WHEN staging_type <> final_type THEN 'safe_cast' END IS NOT NULL
 """)
+
+
+sql("landing_layouts", "\nUNION ALL\n".join(
+    f"SELECT *, '{layout}' AS layout FROM orders" for layout in ("ndjson", "indent2", "streamed", "compact")))

@@ -34,7 +34,7 @@ def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson",
         # compact one-line arrays (H7): one task per file, memory-bound by the
         # file; each element's raw text comes back as a string and is then
         # parsed like any other record.  Land NDJSON when the writer is ours.
-        whole = spark.read.option("wholetext", True).text(path).select(
+        whole = spark.read.text(path, wholetext=True).select(
             F.col("_metadata.file_path").alias("file_path"), "value")
         elems = whole.select("file_path", F.explode(F.coalesce(
             F.from_json("value", "array<string>"), F.array(F.col("value")))).alias("value"))

@@ -35,11 +35,24 @@ def _fmt(pdf, first: bool, last: bool, indent: str, pd):
     return pd.DataFrame({"value": out})
 
 
+def _compact_array(batches):
+    """All records of the task on one line (the compact layout); the task's
+    records are held once, as one output row."""
+    import pandas as pd
+    parts = [b["rec"] for b in batches if len(b)]
+    if parts:
+        yield pd.DataFrame({"value": ["[" + ",".join(pd.concat(parts).tolist()) + "]"]})
+
+
 def write_json_array(df: DataFrame, path: str, layout: str = "indent2") -> None:
     """One JSON array per task file; records joined by the layout's
-    separator (``,\\n  {`` for list dumps, ``,\\n{`` for streamed dumps)."""
-    indent = SEP_INDENT2[2:-1] if layout == "indent2" else SEP_STREAMED[2:-1]
+    separator (``,\\n  {`` for list dumps, ``,\\n{`` for streamed dumps), or
+    all on one line (``compact``)."""
     recs = df.select(F.to_json(F.struct(*df.columns)).alias("rec"))
+    if layout == "compact":
+        recs.mapInPandas(_compact_array, "value string").write.mode("overwrite").text(path)
+        return
+    indent = SEP_INDENT2[2:-1] if layout == "indent2" else SEP_STREAMED[2:-1]
     recs.mapInPandas(_array_lines(indent), "value string").write.mode("overwrite").text(path)
 
 

@@ -1062,3 +1062,23 @@ def q_schema_drift_catalog(spark, sf):
                                            F.lit("timestamp").alias("data_type")))
     staging = p.where(F.col("p_partkey") % 5 != 0).select(tbl, col, F.expr(fx.STAGING_TYPE).alias("data_type"))
     return SC.schema_diff_catalog(staging.distinct(), final.distinct())
+
+
+@query("landing_layouts")
+def q_landing_layouts(spark, sf):
+    """Orders landed in every layout (NDJSON, list dump, streamed
+    array, compact one-line arrays), each read back with its reader."""
+    base = scratch_dir(spark, "layouts")
+    o = spread(_orders_as_text(spark, sf))
+    WR.write_ndjson(o, f"{base}/ndjson")
+    outs = []
+    for layout in ("indent2", "streamed", "compact"):
+        WR.write_json_array(o, f"{base}/{layout}", layout)
+    for layout, reader in (("ndjson", "ndjson"), ("indent2", "indent2"), ("streamed", "streamed"),
+                           ("compact", "whole")):
+        back = _scan_back(spark, f"{base}/{layout}", reader, _ORDERS_DDL)
+        outs.append(back.withColumn("layout", F.lit(layout)))
+    out = outs[0]
+    for df in outs[1:]:
+        out = out.unionByName(df)
+    return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))

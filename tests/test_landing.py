@@ -197,3 +197,13 @@ def test_type_map_coercion_through_normalize(spark, tmp_dir):
     assert (out[1]["qty"], out[2]["qty"], out[3]["qty"]) == (3, -4, None)
     assert (out[1]["ok"], out[2]["ok"], out[3]["ok"]) == (True, False, None)
     assert (out[1]["zip"], out[2]["zip"]) == ("-", "12")
+
+
+def test_whole_layout_reads_multiline_arrays(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "whole")
+    os.makedirs(d)
+    _write(os.path.join(d, "pretty.json"), json.dumps(GOOD, indent=2, ensure_ascii=False))
+    _write(os.path.join(d, "compact.json"), json.dumps(GOOD, ensure_ascii=False))
+    _write(os.path.join(d, "empty.json"), "")
+    out, bad, _ = _normalized(spark, d, "whole")
+    assert bad.count() == 0 and out.count() == 2 * len(GOOD)
