@@ -180,3 +180,11 @@ def read_staging(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     data = [c for c in st.columns if c not in ("is_bad", "__preview")]
     return (st.where(~F.col("is_bad")).select(*data),
             st.where(F.col("is_bad")).select(F.col("__preview").alias("preview")))
+
+
+def read_latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """S14 stable alias: the rows of the newest ``snapshot_ts`` partition
+    (a max over the partition column, then partition pruning)."""
+    df = spark.read.parquet(path)
+    newest = df.agg(F.max("snapshot_ts")).scalar()
+    return df.where(F.col("snapshot_ts") == newest).drop("snapshot_ts")

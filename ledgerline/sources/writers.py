@@ -63,3 +63,13 @@ def write_ndjson(df: DataFrame, path: str) -> None:
 def write_ndjson_append(df: DataFrame, path: str) -> None:
     """Add one more drop of NDJSON files to a landing folder."""
     df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("append").text(path)
+
+
+def land_snapshot(df: DataFrame, root: str, endpoint: str, snapshot_ts: str) -> str:
+    """Keep every pulled snapshot (append, partitioned by its stamp);
+    the stable alias is ``landing.latest_snapshot`` over the folder, so no
+    copy is ever overwritten."""
+    path = f"{root.rstrip('/')}/{endpoint}"
+    (df.withColumn("snapshot_ts", F.lit(snapshot_ts))
+     .write.mode("append").partitionBy("snapshot_ts").parquet(path))
+    return path

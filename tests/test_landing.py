@@ -207,3 +207,14 @@ def test_whole_layout_reads_multiline_arrays(spark, tmp_dir):
     _write(os.path.join(d, "empty.json"), "")
     out, bad, _ = _normalized(spark, d, "whole")
     assert bad.count() == 0 and out.count() == 2 * len(GOOD)
+
+
+def test_snapshot_sink_and_latest_alias(spark, tmp_dir):
+    from ledgerline.sources.writers import land_snapshot
+    root = os.path.join(tmp_dir, "snaps")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    p = land_snapshot(first, root, "jobs", "20250101_050000")
+    land_snapshot(first.where("id = 1").withColumn("v", F.lit("a2")), root, "jobs", "20250101_110000")
+    latest = LD.read_latest_snapshot(spark, p).collect()
+    assert [(r["id"], r["v"]) for r in latest] == [(1, "a2")]
+    assert spark.read.parquet(p).count() == 3          # every copy kept
