@@ -127,6 +127,15 @@ def clean_header_col(c: Column) -> Column:
     return F.when(c.rlike("^[0-9]"), F.concat(F.lit("c_"), c)).otherwise(c)
 
 
+def title_col(c: Column) -> Column:
+    """Python's ``str.title``: a letter is upper-cased when the character
+    before it is not a letter (start, space, digit, punctuation), otherwise
+    lower-cased (``initcap`` only looks at spaces)."""
+    chars = F.split(c, "", -1)
+    return F.array_join(F.transform(chars, lambda ch, i: F.when(
+        (i == 0) | ~F.element_at(chars, i).rlike(r"^\p{L}$"), F.upper(ch)).otherwise(F.lower(ch))), "")
+
+
 def title_file_name_col(c: Column) -> Column:
-    """F16 for ASCII names: ``initcap`` after ``_`` -> space."""
-    return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+    """F16: ``_`` -> space, then title case."""
+    return title_col(F.replace(c, F.lit("_"), F.lit(" ")))

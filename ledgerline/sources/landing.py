@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.names import title_file_name
+from ledgerline.functions.names import title_file_name, title_file_name_col
 
 # Record separators of the two dumped layouts (fixed by the writers).
 SEP_INDENT2 = ",\n  {"
@@ -148,7 +148,7 @@ def resolve_landed_files(listing: DataFrame, tables: DataFrame, prefix: str = EX
     priority per table is kept with ``min_by`` (an aggregate, no window).
     """
     t = F.col("table_name")
-    title = F.initcap(F.replace(t, F.lit("_"), F.lit(" ")))
+    title = title_file_name_col(t)
     cands = tables.select("table_name", F.explode(F.array(
         F.struct(F.lit(1).alias("priority"), F.concat(F.lit(prefix), t, F.lit(".csv")).alias("file_name")),
         F.struct(F.lit(2).alias("priority"), F.concat(t, F.lit(".csv")).alias("file_name")),

@@ -736,7 +736,7 @@ def q_landed_file_resolution(spark, sf):
     reg = fx.registry(spark, sf).select("table_name")
     k = F.regexp_extract("table_name", r"(\d+)$", 1).cast("bigint")
     t = F.col("table_name")
-    title = F.initcap(F.replace(t, F.lit("_"), F.lit(" ")))
+    title = NM.title_file_name_col(t)
     listing = reg.select(F.explode(F.array(
         F.when(k % 4 == 0, F.concat(F.lit("export_"), t, F.lit(".csv"))),
         F.when((k % 4 == 1) | (k % 8 == 0), F.concat(t, F.lit(".csv"))),

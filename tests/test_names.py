@@ -71,3 +71,10 @@ def test_column_forms_match_driver_twins_on_random_names(spark):
         assert r["k"] == N.naming_class(r["n"]), r["n"]
         assert r["t"] == N.table_name_fallback(r["n"]), r["n"]
         assert r["h"] == N.clean_header(r["n"]), r["n"]
+
+
+def test_title_matches_python_title(spark):
+    names = ["tbl_12", "job2go_v3", "a__b", "", "x", "ÁbC dE", "2nd_col", "o'neil_x", "gross-pay-items"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r[0]: r[1] for r in df.select("n", N.title_file_name_col(F.col("n"))).collect()}
+    assert got == {n: N.title_file_name(n) for n in names}
