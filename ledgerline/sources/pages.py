@@ -58,3 +58,19 @@ def export_cursor(pages: DataFrame, by: list[str], seq: str = "page_seq",
     return (pages.select(*by, seq, n.alias("n"), token.alias("token"))
             .groupBy(*by).agg(F.sum("n").cast("bigint").alias("n_items"),
                               F.max_by("token", seq).alias("last_token")))
+
+
+CURSORS = "_cursors"
+
+
+def save_cursors(cursors: DataFrame, root: str, version: int) -> None:
+    """Keep each endpoint's last continuation token (the source drops
+    it) as the next version of the cursor table; a retry of the same
+    version is a no-op."""
+    from ledgerline.operators.publish import publish
+    publish(cursors, root, CURSORS, version)
+
+
+def read_cursors(spark, root: str) -> DataFrame | None:
+    from ledgerline.operators.publish import read_published
+    return read_published(spark, root, CURSORS)

@@ -167,3 +167,16 @@ def test_load_job_never_deletes_tenants_without_good_files(spark, tmp_dir):
     assert live == {(0, 1): "UPDATE", (0, 2): "DELETE", (1, 3): "INSERT", (2, 4): "INSERT"}
     mon = {r["company_id"]: (r["actual_rows"], r["last_rows"]) for r in read_monitoring(spark, root).collect()}
     assert mon == {0: (1, 2), 1: (1, None), 2: (1, None)}
+
+
+def test_export_cursor_table(spark, tmp_dir):
+    from ledgerline.sources import pages as PG
+    pages = spark.createDataFrame(
+        [("jobs", 1, '{"data": [1, 2], "hasMore": true, "continueFrom": "t1"}'),
+         ("jobs", 2, '{"data": [3], "hasMore": false, "continueFrom": "t2"}'),
+         ("calls", 1, "[1, 2, 3]")], "endpoint string, page_seq int, payload string")
+    cur = PG.export_cursor(pages, ["endpoint"])
+    root = os.path.join(tmp_dir, "cur")
+    PG.save_cursors(cur, root, 1)
+    got = {r["endpoint"]: (r["n_items"], r["last_token"]) for r in PG.read_cursors(spark, root).collect()}
+    assert got == {"jobs": (3, "t2"), "calls": (3, None)}
