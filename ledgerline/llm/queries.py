@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, language_id, line_dedup, mixing, quality, sharding, simhash, token_output
+from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, sharding, simhash, token_output
 from .common import table
 
 
@@ -49,13 +49,17 @@ def op8_pivot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9).links
+
+
 def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {f.__name__: f for f in (op1_site_spread, op2_rendezvous, op3_byte_cnn, op4_host_paths, op5_ngram_set, op6_byte_gru, op7_elias_fano,
-                                   op8_pivot_tables, op10_pivotal)}
+                                   op8_pivot_tables, op9_nn_descent, op10_pivotal)}
 
 ORACLE = {"op1_site_spread": r"""
 WITH d AS (SELECT doc_id, source, row_number() OVER () AS rid, string_split(text, chr(10)) AS ls FROM documents),
@@ -76,15 +80,15 @@ d AS (SELECT doc_id, row_number() OVER () AS rid,
 b AS (SELECT item_id, regexp_extract_all(
                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), p) AS ws
       FROM benchmark, pat WHERE text IS NOT NULL),
-bw AS (SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(len(ws) - least(13, len(ws)) + 1)) AS at
+bw AS (SELECT item_id, ws, least(13, len(ws)) AS n, unnest(range(len(ws) - least(13, len(ws)) + 1)) AS pos0
        FROM b WHERE len(ws) > 0),
-g AS (SELECT DISTINCT item_id, n, array_to_string(ws[at + 1 : at + n], ' ') AS gram FROM bw),
+g AS (SELECT DISTINCT item_id, n, array_to_string(ws[pos0 + 1 : pos0 + n], ' ') AS gram FROM bw),
 ns AS (SELECT DISTINCT n FROM g),
-dw AS (SELECT rid, ws, ns.n, unnest(range(len(ws) - ns.n + 1)) AS at FROM d, ns WHERE len(ws) >= ns.n),
-h AS (SELECT rid, at, dg.n, item_id
-      FROM (SELECT rid, at, n, array_to_string(ws[at + 1 : at + n], ' ') AS gram FROM dw) dg
+dw AS (SELECT rid, ws, ns.n, unnest(range(len(ws) - ns.n + 1)) AS pos0 FROM d, ns WHERE len(ws) >= ns.n),
+h AS (SELECT rid, pos0, dg.n, item_id
+      FROM (SELECT rid, pos0, n, array_to_string(ws[pos0 + 1 : pos0 + n], ' ') AS gram FROM dw) dg
       JOIN g ON g.n = dg.n AND g.gram = dg.gram),
-w AS (SELECT DISTINCT rid, unnest(range(at, at + n)) AS pos FROM h),
+w AS (SELECT DISTINCT rid, unnest(range(pos0, pos0 + n)) AS pos FROM h),
 hw AS (SELECT rid, count(*) AS n_hit FROM w GROUP BY rid),
 it AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
        FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY rid)
