@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, cut, small
 
 WINDOW = 13
-# Words of a text once A-Z are lower case; fixed by the contract.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What stands between the words of a text; fixed by the contract.  With A-Z
+# made lower case first, words are runs of [^\x00-\x2F\x3A-\x60\x7B-\x7F].
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+    """The words in order.  One split of the text: collecting or counting the
+    matches of a pattern copies the text for each match."""
+    return F.array_remove(F.split(ascii_lower(text), GAP), "")
 
 
 def _gram(ws: Column, at: Column, n: Column | int) -> Column:
@@ -65,7 +68,9 @@ def hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
         starts = F.array_distinct(F.flatten(F.transform("seen", lambda p: F.sequence(
             F.greatest(p - (n - b), F.lit(0)), p))))
         k = near.select(F.col("id").alias("_id"), F.col("tkey").alias("_tkey"), starts.alias("starts"))
-        cand = w.join(k, F.col("id").eqNullSafe(F.col("_id")) & F.col("tkey").eqNullSafe(F.col("_tkey")))
+        texts = docs.select(*_row_key(), "text").join(
+            k, F.col("id").eqNullSafe(F.col("_id")) & F.col("tkey").eqNullSafe(F.col("_tkey")))
+        cand = texts.select("id", "tkey", words(F.col("text")).alias("ws"), "starts")
         cand = cand.select("id", "tkey", "ws", F.explode("starts").alias("at")).filter(F.col("at") <= F.size("ws") - n)
         cand = cand.select("id", "tkey", "at", _gram(F.col("ws"), F.col("at"), n).alias("gram"))
         # Repeated rows would bring each occurrence again.
@@ -96,7 +101,7 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Da
     """
     item = benchmark_windows(bench, window)
     d = docs.select("doc_id", F.xxhash64("text").alias("tkey"),
-                    F.coalesce(F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+                    F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(words(F.col("text")))).cast("long").alias("n_words"))
     found = hits(docs, item)
     if found is None:
         found = docs.sparkSession.createDataFrame([], "id long, tkey long, at int, n int, item_id long")
@@ -134,8 +139,8 @@ def remove_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Dat
         F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey"), "spans").dropDuplicates(["_id", "_tkey"])
     d = docs.join(small(cut(found)), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tkey")), "left")
     # The text as gap, word, gap, word, ..., gap.
-    any_word = F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    gaps, ws = F.split("text", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), F.regexp_extract_all("text", any_word, F.lit(0))
+    any_word, gap = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    gaps, ws = F.split("text", any_word), F.array_remove(F.split("text", gap), "")
     hit = F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))
     parts = F.transform("gaps", lambda g, i: F.concat(g, F.when(
         (i < F.size("ws")) & ~F.array_contains("hit", i.cast("int")), F.element_at("ws", i + 1)).otherwise("")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small
+from .common import cut, land, small
 
 # A line on this many sites or more is boilerplate.
 MIN_SITES = 10
@@ -34,15 +34,15 @@ def _line_rows(docs: DataFrame, site: str) -> DataFrame:
         "id", "tkey", "site", "k.h", "k.n")
 
 
-def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, log_k: int = LOG_K) -> DataFrame:
-    """(h, n) of the lines that stand on ``min_sites`` or more distinct sites.
+def boilerplate(rows: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K) -> DataFrame:
+    """(h, n) of the lines in ``rows`` (site, h, n) that stand on ``min_sites``
+    or more distinct sites.
 
     One sketch of the sites per line, merged by aggregation, so that a line
     shared by all documents costs a sketch per task.  A sketch well below or
-    above the threshold decides; the lines near it are joined to the
-    documents again and their sites counted one by one.
+    above the threshold decides; the lines near it are joined to the rows
+    again and their sites counted one by one.
     """
-    rows = _line_rows(docs, site)
     error = MARGIN * 1.04 / (1 << log_k) ** 0.5
     spread = cut(rows.groupBy("h", "n").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(log_k))).alias("sites"))
                  .filter(F.col("sites") >= min_sites * (1 - error)))
@@ -65,18 +65,18 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     their texts.  Mirrored documents are boilerplate by this rule: remove
     near duplicates first.
     """
-    bad = boilerplate(docs, site, min_sites, log_k)
-    held = (_line_rows(docs, site).join(small(bad), ["h", "n"]).groupBy("id", "tkey")
+    # Hashes of the lines, written once: a small part of the texts.
+    rows = land(_line_rows(docs, site), "lines")
+    bad = boilerplate(rows, min_sites, log_k)
+    held = (rows.join(small(bad), ["h", "n"]).groupBy("id", "tkey")
             .agg(F.collect_set(F.struct("h", "n")).alias("_bad")).withColumnRenamed("id", "_id")
             .withColumnRenamed("tkey", "_tkey"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     d = docs.select(*names).join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tkey")), "left")
-    lines = _lines(F.col("text"))
-    kept = F.when(F.col("_bad").isNull(), lines).otherwise(F.filter(
-        lines, lambda x: F.coalesce(~F.array_contains("_bad", _line_key(x)), F.lit(True))))
-    d = d.withColumn("_kept", kept)
-    n = F.coalesce(F.size(lines), F.lit(0)).cast("long")
-    n = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(n)
-    left = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size("_kept"))
-    return d.select(*[c if c != "text" else F.when(F.col("text").isNotNull(), F.array_join("_kept", "\n")).alias("text") for c in names],
-                    n.alias("n_lines"), (n - left).cast("long").alias("n_removed"))
+    d = d.withColumn("_ls", _lines(F.col("text")))
+    kept = F.filter("_ls", lambda x: F.coalesce(~F.array_contains("_bad", _line_key(x)), F.lit(True)))
+    d = d.withColumn("_kept", F.when(F.col("_bad").isNotNull(), kept))
+    n = F.coalesce(F.when(F.col("text").isNotNull(), F.size("_ls")), F.lit(0)).cast("long")
+    gone = F.when(F.col("_kept").isNotNull(), F.size("_ls") - F.size("_kept")).otherwise(F.lit(0)).cast("long")
+    text = F.coalesce(F.array_join("_kept", "\n"), "text").alias("text")
+    return d.select(*[c if c != "text" else text for c in names], n.alias("n_lines"), gone.alias("n_removed"))

@@ -12,7 +12,8 @@ from .common import cut, land, ship, small, unit_hash
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 GROUP = 1024
-WORD = r"[^\x20\x09-\x0D]+"
+# What stands between words; fixed by the contract.
+GAP = r"[\x20\x09-\x0D]+"
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -107,7 +108,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, group: i
     carry = [c for c in docs.columns if c != "text"] if carry is None else carry
     own = [f"c{i}" for i in range(len(carry))]
     d = docs.select(*[F.col(c).alias(o) for c, o in zip(carry, own)], "source",
-                    F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                    F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.array_remove(F.split("text", GAP), ""))).cast("long").alias("size"),
                     F.xxhash64("doc_id", "text").alias("key"))
     d = cut(d)
     targets = cut(source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size"),

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-import re
+import gc
+import sys
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,15 +24,30 @@ from ledgerline.session import scratch_dir
 from .common import cut, ship, small
 
 END_ID = 2
-# A block is closed once it holds this many ids.
-BLOCK_IDS = 1 << 20
+# A block holds the documents up to about so many bytes of text.
+BLOCK_BYTES = 16 << 20
 # Bytes of text in a range partition, about.
-PARTITION_BYTES = 24 << 20
-# Cached encodings of a task.
-CACHE = 1 << 18
+PARTITION_BYTES = 32 << 20
 # Every so many ones of the high bits, their place is kept.
 SAMPLE = 128
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+# Texts that go to the library whole: white space beside white space or at the
+# start or end, or white space but spaces and line feeds.
+_ODD = (r"[ \n][ \n]|^[ \n]|[ \n]\z|[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+        r"\x{202f}\x{205f}\x{3000}]")
+_UNIT = r"^(?: ?(?:\pL+|\pN+|[^\s\pL\pN]+)|\n?)$"
+_MARK = "\0"
+
+
+def _printed() -> str:
+    """Byte-level vocabularies write each byte as a printable character: those
+    that are printable in Latin-1 as themselves, the others in turn from 256.
+    The mark stays."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in shown)}
+    return _MARK + "".join(other.get(b, chr(b)) for b in range(1, 256))
+
+
+_PRINTED = _printed()
 
 
 class EliasFano:
@@ -81,37 +101,78 @@ class EliasFano:
         return ((one - np.arange(self.n)) << self.width) + low
 
 
-class Encoder:
-    """Ids of whole texts as little-endian unsigned numbers of ``bytes`` each.
+def _library(path: str) -> Tokenizer:
+    """The tokenizer, kept for all tasks of a Python worker."""
+    kept = sys.modules.setdefault("_ledgerline_tokenizers", ModuleType("_ledgerline_tokenizers")).__dict__
+    if path not in kept:
+        kept[path] = Tokenizer.from_file(path)
+        kept[path].encode_special_tokens = True
+    return kept[path]
 
-    The vocabulary splits a text before each single space that stands
-    between other characters, so runs between such spaces are encoded apart
-    and kept.  Texts with other white space go to the library whole.
+
+def _gather(units: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The ids of the units in order; unit k has sizes[k] of ``ids``."""
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[units]
+    ends = np.cumsum(n)
+    at = np.repeat((starts[units] - (ends - n)).astype(np.int32), n)
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at]
+
+
+class Encoder:
+    """Ids of whole texts, each followed by the end id.
+
+    The vocabulary's splitter always parts a text at single spaces and line
+    feeds between other characters and where a letter or digit is followed by
+    another sign.  The pieces between such places can be encoded apart, so
+    each distinct piece of a few megabytes of text is encoded once.  A piece
+    that is one word, number or run of signs, with a space before it or not,
+    is a unit of the splitter and goes to the library's model, any other to
+    the library.  Texts with other white space go to the library whole.
     Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
-
-    def _pack(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or _OTHER_SPACE.search(text):
-            return self._pack(text)
-        first, *runs = text.split(" ")
-        known = self.known
-        new = [r for r in set(runs) if r not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(runs))
-            found = self.library.encode_batch_fast([" " + r for r in new], add_special_tokens=False)
-            known.update((r, np.array(e.ids, self.kind).tobytes()) for r, e in zip(new, found))
-        return self._pack(first) + b"".join([known[r] for r in runs])
+    def __init__(self, path: str, end_id: int):
+        self.library, self.end_id = _library(path), end_id
+        self.kind = "<u2" if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+    def _whole(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _pieces(self, pieces: pa.Array) -> list[list[int]]:
+        simple = pc.match_substring_regex(pieces, _UNIT).to_numpy(zero_copy_only=False)
+        own = pieces.filter(pa.array(simple)).to_pylist()
+        # The model reads bytes as printable characters.
+        seen = charmap_decode(_MARK.join(own).encode(), "strict", _PRINTED)[0].split(_MARK) if own else []
+        model = self.library.model.tokenize
+        short = iter([[t.id for t in model(x)] for x in seen])
+        rest = iter([self._whole(x) for x in pieces.filter(pa.array(~simple)).to_pylist()])
+        return [next(short) if u else next(rest) for u in simple]
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's ids end."""
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        x = pc.if_else(pa.array(odd), pa.scalar(""), texts)
+        x = pc.replace_substring_regex(x, r"([\pL\pN])([^\s\pL\pN])", "\\1\0\\2")
+        x = pc.replace_substring(pc.replace_substring(x, " ", _MARK + " "), "\n", f"{_MARK}\n{_MARK}")
+        split = pc.split_pattern(x, _MARK)
+        edge = split.offsets.to_numpy().astype(np.int64)
+        code = pc.dictionary_encode(split.flatten())
+        units = code.indices.to_numpy(zero_copy_only=False)
+        own = self._pieces(code.dictionary)
+        whole = [self._whole(t.as_py()) for t, o in zip(texts, odd) if o] if odd.any() else []
+        all_units = [*own, *whole, [self.end_id]]
+        sizes = np.fromiter(map(len, all_units), np.int64, len(all_units))
+        ids = np.fromiter(chain.from_iterable(all_units), self.kind, int(sizes.sum()))
+        # After each text's pieces comes the end; a text that goes whole has
+        # one empty piece, whose place it takes.
+        n = len(texts)
+        row = np.full(len(units) + n, len(all_units) - 1, np.int32)
+        row[np.arange(len(units)) + np.repeat(np.arange(n), np.diff(edge))] = units
+        ends = edge[1:] + np.arange(n)
+        row[ends[odd] - 1] = len(own) + np.arange(len(whole))
+        return _gather(row, sizes, ids), np.cumsum(sizes[row])[ends]
 
 
 BLOCK_SCHEMA = ("part int, seq int, kind string, n_ids long, doc_ids array<long>, ids binary, "
@@ -122,37 +183,43 @@ _BLOCK = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("kind", pa.strin
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int) -> Iterator[pa.RecordBatch]:
-    encode = Encoder(path)
-    size = np.dtype(encode.kind).itemsize
-    end = np.array([end_id], encode.kind).tobytes()
+    # The many short lists hold no cycles; collecting them doubles the time.
+    gc.disable()
+    encode = Encoder(path, end_id)
     part, seq = TaskContext.get().partitionId(), 0
-    docs: list[int | None] = []
-    parts: list[bytes] = []
-    ends: list[int] = []
-    total = 0
-
-    def block() -> pa.RecordBatch:
-        ef = EliasFano.encode(np.array(ends, np.int64))
-        row = {"part": part, "seq": seq, "kind": encode.kind, "n_ids": total, "doc_ids": docs, "ids": b"".join(parts),
+
+    def block(docs: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        ids, ends = encode(pc.fill_null(texts, ""))
+        ef = EliasFano.encode(ends)
+        row = {"part": part, "seq": seq, "kind": encode.kind, "n_ids": len(ids), "doc_ids": docs, "ids": ids.tobytes(),
                "low_width": ef.width, "low": ef.low, "high": ef.high, "places": ef.places}
-        return pa.RecordBatch.from_pylist([row], schema=_BLOCK)
+        arrays = [pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs) if f.name == "doc_ids"
+                  else pa.array([row[f.name]], f.type) for f in _BLOCK]
+        return pa.RecordBatch.from_arrays(arrays, schema=_BLOCK)
 
+    left: list[pa.RecordBatch] = []
+    held = 0
     for batch in batches:
-        for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-            docs.append(doc)
-            parts.append(encode(text.as_py() or "") + end)
-            total += len(parts[-1]) // size
-            ends.append(total)
-            if total >= most:
-                yield block()
-                seq, total = seq + 1, 0
-                docs, parts, ends = [], [], []
-    if docs:
-        yield block()
+        size = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        full = (held + np.cumsum(size)) // most
+        cuts = [0, *(np.flatnonzero(np.diff(full, prepend=0) > 0) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            left.append(batch.slice(a, b - a))
+            if b < len(batch) or cuts[-2] == len(batch):
+                t = pa.Table.from_batches(left).combine_chunks()
+                left = []
+                if len(t):
+                    yield block(t["doc_id"].chunk(0), t["text"].chunk(0))
+                    seq += 1
+        held = 0 if cuts[-2] == len(batch) else (held if len(cuts) == 2 else 0) + int(size[cuts[-2]:].sum())
+    t = pa.Table.from_batches(left).combine_chunks() if left else None
+    if t:
+        yield block(t["doc_id"].chunk(0), t["text"].chunk(0))
+    gc.enable()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
-                 block_ids: int = BLOCK_IDS, partitions: int | None = None) -> str:
+                 block_bytes: int = BLOCK_BYTES, partitions: int | None = None) -> str:
     """Write the ids of all texts, each followed by ``end_id``, in ascending
     doc_id order as a table of blocks below ``path``.
 
@@ -173,7 +240,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         partitions = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
     ordered = rows.repartitionByRange(partitions, "doc_id", "_at").sortWithinPartitions("doc_id", "_at")
     ordered.select("doc_id", "text").mapInArrow(
-        lambda b: _blocks(b, tokenizer, end_id, block_ids), BLOCK_SCHEMA).write.parquet(path)
+        lambda b: _blocks(b, tokenizer, end_id, block_bytes), BLOCK_SCHEMA).write.parquet(path)
     return path
 
 
