@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from .common import ship, unit_hash
 
-# Labelled rows that the fit sees, per label (expected number).
-FIT_ROWS = 1200
+# Labelled rows that the fit sees, of label 0 and 1 (expected numbers).
+FIT_ROWS = (1500, 3000)
 WIDTH, FILTERS, HIDDEN = 4, 16, 16
+# Weight of label 1 against label 0 in the fit: to reject a good document is
+# the worse error.
+POSITIVE = 3.0
 # Bytes in a chunk; chunks overlap by WIDTH - 1, so that every run of WIDTH
 # bytes lies in one.
 CHUNK = 512
@@ -85,7 +88,7 @@ class ByteCNN:
         chunks = [_chunks(t) for t in texts]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
-        weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) * len(labels)
+        weight = np.where(labels == 1, POSITIVE / max(1, (labels == 1).sum()), 1 / max(1, (labels == 0).sum())) * len(labels) / (1 + POSITIVE)
         t = 0
         for epoch in range(epochs):
             order = r.permutation(len(texts))
@@ -127,21 +130,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit_rows(docs: DataFrame, labels: DataFrame, per_label: int = FIT_ROWS) -> list:
-    """(text, quality) of about ``per_label`` rows of each label, drawn by a
-    hash of the id among the rows that are not held out."""
+def fit_rows(docs: DataFrame, labels: DataFrame, per_label: tuple[int, int] = FIT_ROWS) -> list:
+    """(doc_id, text, quality) of about ``per_label`` rows of each label, drawn
+    by a hash of the id among the rows that are not held out."""
     own = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(
         F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     counts = {r["quality"]: r["count"] for r in own.groupBy("quality").count().collect()}
-    chance = F.create_map(*[F.lit(x) for q in (0, 1) for x in (q, min(1.0, per_label / counts.get(q, 1)))])
+    chance = F.create_map(*[F.lit(x) for q in (0, 1) for x in (q, min(1.0, per_label[q] / counts.get(q, 1)))])
     drawn = own.filter(unit_hash(F.col("doc_id"), F.lit("quality")) < chance[F.col("quality")])
     drawn = drawn.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     rows = docs.select("doc_id", "text").join(drawn, "doc_id").select("doc_id", "text", "quality")
     return sorted(((r["doc_id"], r["text"] or "", r["quality"]) for r in rows.collect()), key=lambda x: (x[0], x[1]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = FIT_ROWS) -> ByteCNN:
-    """Fit on a bounded sample of labelled rows (``per_label`` of each label).
+def fit(docs: DataFrame, labels: DataFrame, per_label: tuple[int, int] = FIT_ROWS) -> ByteCNN:
+    """Fit on a bounded sample of labelled rows (``per_label`` rows of each).
     Without labelled rows the network stays as drawn."""
     rows = fit_rows(docs, labels, per_label)
     net = ByteCNN()
