@@ -19,7 +19,7 @@ HIDDEN = 8
 # Such windows tile the whole text; the last is zero-padded.
 WINDOW = 64
 # Windows read at once; bounds memory whatever the length of a text.
-BLOCK = 1 << 12
+BLOCK = 1 << 11
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 

@@ -25,9 +25,9 @@ from .common import cut, ship, small
 
 END_ID = 2
 # A block holds the documents up to about so many bytes of text.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 # Bytes of text in a range partition, about.
-PARTITION_BYTES = 32 << 20
+PARTITION_BYTES = 20 << 20
 # Every so many ones of the high bits, their place is kept.
 SAMPLE = 128
 # Texts that go to the library whole: white space beside white space or at the
@@ -112,10 +112,13 @@ def _library(path: str) -> Tokenizer:
 
 def _gather(units: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The ids of the units in order; unit k has sizes[k] of ``ids``."""
-    starts = np.cumsum(sizes) - sizes
-    n = sizes[units]
-    ends = np.cumsum(n)
-    at = np.repeat((starts[units] - (ends - n)).astype(np.int32), n)
+    # A block holds fewer than 2^31 ids.
+    starts = (np.cumsum(sizes) - sizes).astype(np.int32)
+    n = sizes[units].astype(np.int32)
+    shift = starts[units]
+    shift -= np.cumsum(n, dtype=np.int32)
+    shift += n
+    at = np.repeat(shift, n)
     at += np.arange(len(at), dtype=np.int32)
     return ids[at]
 
@@ -159,19 +162,23 @@ class Encoder:
         split = pc.split_pattern(x, _MARK)
         edge = split.offsets.to_numpy().astype(np.int64)
         code = pc.dictionary_encode(split.flatten())
-        units = code.indices.to_numpy(zero_copy_only=False)
-        own = self._pieces(code.dictionary)
+        del x, split
+        units, own = code.indices.to_numpy(zero_copy_only=False), self._pieces(code.dictionary)
+        del code
         whole = [self._whole(t.as_py()) for t, o in zip(texts, odd) if o] if odd.any() else []
         all_units = [*own, *whole, [self.end_id]]
         sizes = np.fromiter(map(len, all_units), np.int64, len(all_units))
         ids = np.fromiter(chain.from_iterable(all_units), self.kind, int(sizes.sum()))
+        k, end = len(own), len(all_units) - 1
+        del own, all_units
         # After each text's pieces comes the end; a text that goes whole has
         # one empty piece, whose place it takes.
         n = len(texts)
-        row = np.full(len(units) + n, len(all_units) - 1, np.int32)
+        row = np.full(len(units) + n, end, np.int32)
         row[np.arange(len(units)) + np.repeat(np.arange(n), np.diff(edge))] = units
         ends = edge[1:] + np.arange(n)
-        row[ends[odd] - 1] = len(own) + np.arange(len(whole))
+        row[ends[odd] - 1] = k + np.arange(len(whole))
+        del units
         return _gather(row, sizes, ids), np.cumsum(sizes[row])[ends]
 
 
@@ -211,6 +218,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int
                 if len(t):
                     yield block(t["doc_id"].chunk(0), t["text"].chunk(0))
                     seq += 1
+                del t
+                pa.default_memory_pool().release_unused()
         held = 0 if cuts[-2] == len(batch) else (held if len(cuts) == 2 else 0) + int(size[cuts[-2]:].sum())
     t = pa.Table.from_batches(left).combine_chunks() if left else None
     if t:
