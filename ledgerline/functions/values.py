@@ -15,17 +15,27 @@ TRUE_WORDS = ("true", "1", "yes")
 FALSE_WORDS = ("false", "0", "no")
 
 
+# A decimal number in text.  A cast alone would also take Java's type suffixes
+# ("12D", "7f"), which are codes and house numbers here.
+NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity|nan)\s*$"
+
+
+def number(c: Column) -> Column:
+    """Text -> double; null where it is not a number."""
+    return F.when(c.rlike(NUMERIC), c.try_cast("double"))
+
+
 def coerce_int(c: Column) -> Column:
     """Text -> integer through a double ("3.0" -> 3), truncating toward zero;
     unparsable or non-finite -> null."""
-    d = c.try_cast("double")
+    d = number(c)
     finite = d.isNotNull() & ~F.isnan(d) & (F.abs(d) != F.lit(float("inf")))
     whole = F.when(d < 0, F.ceil(d)).otherwise(F.floor(d))
     return F.when(finite, whole.try_cast("bigint"))
 
 
 def coerce_float(c: Column) -> Column:
-    return c.try_cast("double")
+    return number(c)
 
 
 def coerce_bool(c: Column) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerline.functions.values import json_text
 
 
 def surrogate_key_col(cols: list[str]) -> Column:
@@ -29,6 +32,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
             .where(F.col("n_copies") > 1))
 
 
+def comparable(c: Column, kind: T.DataType) -> Column:
+    """The column itself, or its JSON text where its type has no order."""
+    return json_text(F.struct(c.alias("v"))) if "variant" in kind.simpleString() or "map<" in kind.simpleString() else c
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """Keep the newest row per key (T1 micro-batches, optional W9 repair).
 
@@ -38,7 +46,8 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
     the row's remaining columns, so the result is deterministic.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in rest])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    order = F.struct(*[comparable(F.col(c), kinds[c]).alias(f"o{i}") for i, c in enumerate([*order_cols, *rest])])
     picked = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("row__")))
     return picked.select(*keys, *[F.col("row__." + c).alias(c) for c in rest]).select(*df.columns)

@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.values import json_text
+from ledgerline.operators.keys import comparable
+
 SYNCED = "_etl_synced"
 OPERATION = "_etl_operation"
 AUDIT_PREFIX = "_etl_"
@@ -65,7 +68,7 @@ def safe_cast(c: Column, src: T.DataType, dst: T.DataType) -> Column:
     if src == dst:
         return c
     if isinstance(dst, T.StringType) and isinstance(src, (T.StructType, T.ArrayType, T.MapType)):
-        return F.to_json(c)
+        return json_text(c)
     return c.try_cast(dst)
 
 
@@ -83,12 +86,14 @@ def first_load(staging: DataFrame, synced_at, target_schema: T.StructType | None
                key: str = KEY) -> DataFrame:
     """Empty target -> insert every staging column (key first, then the
     rest by name) with safe casts to a pre-created target's types."""
-    cols = sorted(data_columns(staging, key=key))
-    if key in staging.columns:
-        cols = [key] + cols
     stypes = _types(staging)
     ttypes = {f.name: f.dataType for f in target_schema.fields} if target_schema else {}
-    out = [safe_cast(F.col(c), stypes[c], ttypes.get(c, stypes[c])).alias(c) for c in cols]
+    cols = sorted({*data_columns(staging, key=key), *(c for c in ttypes if c not in (key, SYNCED, OPERATION))})
+    if key in staging.columns or key in ttypes:
+        cols = [key] + cols
+    # Columns that only the target has stay, as nulls.
+    out = [(safe_cast(F.col(c), stypes[c], ttypes.get(c, stypes[c])) if c in stypes else F.lit(None).cast(ttypes[c])).alias(c)
+           for c in cols]
     return with_audit(staging.select(*out), OP_INSERT, synced_at)
 
 
@@ -285,7 +290,7 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
     if only_changed and common:
         same = F.lit(True)
         for c in common:
-            same = same & t_col(c).eqNullSafe(sval(c))
+            same = same & comparable(t_col(c), ttypes[c]).eqNullSafe(comparable(sval(c), ttypes[c]))
         matched = matched & ~same  # unchanged matches keep the target row
     if newer_col:
         matched = matched & (t_col(newer_col).isNull() | (s_col(newer_col) >= t_col(newer_col)))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.names import snake, snake_col
-from ledgerline.functions.values import coerce_to
+from ledgerline.functions.values import NUMERIC, coerce_to
 
 NUMBER_KINDS = ("BIGINT", "DOUBLE", "BOOLEAN", "FLOAT", "INT", "SMALLINT", "TINYINT")
 
@@ -48,7 +48,7 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
     k, v = F.col("e.key"), F.col("e.value")
     kind = _kind(v)
     txt = _as_text(v)
-    numeric_text = (kind == "STRING") & txt.try_cast("double").isNotNull()
+    numeric_text = (kind == "STRING") & F.coalesce(txt.rlike(NUMERIC), F.lit(False))
     rows = e.select(
         k.alias("source_key"),
         (_is_number_kind(kind) | numeric_text).alias("num"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 POINTERS = "_pointers"
+POINTER_SCHEMA = "table_name string, version bigint, path string, token string"
 
 
 def _pointer_path(root: str) -> str:
@@ -23,11 +24,11 @@ def _pointer_path(root: str) -> str:
 
 def published_versions(spark: SparkSession, root: str) -> DataFrame:
     try:
-        return spark.read.parquet(_pointer_path(root))
+        return spark.read.schema(POINTER_SCHEMA).parquet(_pointer_path(root))
     except AnalysisException as e:  # no pointer table yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], "table_name string, version bigint, path string")
+        return spark.createDataFrame([], POINTER_SCHEMA)
 
 
 def latest_version(spark: SparkSession, root: str, table: str) -> int | None:
@@ -36,21 +37,28 @@ def latest_version(spark: SparkSession, root: str, table: str) -> int | None:
     return row[0] if row else None
 
 
-def publish(df: DataFrame, root: str, table: str, version: int,
-            partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as ``table`` version ``version`` and switch the pointer."""
+def publish(df: DataFrame, root: str, table: str, version: int | None = None,
+            partition_by: list[str] | None = None, token: str | None = None) -> str:
+    """Write ``df`` as a version of ``table`` and switch the pointer.
+
+    With ``version``, a version that is there already is left as it is.
+    With ``token`` instead, the publisher numbers the versions and a token
+    that was published already does nothing: the token names the work (a
+    stream and its batch), so a new stream never meets an old number.
+    """
     spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{table}/v={version}"
-    existing = published_versions(spark, root).where(
-        (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
+    same = F.col("token") == token if token is not None else F.col("version") == version
+    existing = published_versions(spark, root).where((F.col("table_name") == table) & same).limit(1).collect()
     if existing:
-        return path
+        return existing[0]["path"]
+    if version is None:
+        version = (latest_version(spark, root, table) or 0) + 1
+    path = f"{root.rstrip('/')}/{table}/v={version}"
     if partition_by:   # see publish_tenants: sized files per partition value
         df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(table, int(version), path)],
-                          "table_name string, version bigint, path string") \
+    spark.createDataFrame([(table, int(version), path, token)], POINTER_SCHEMA) \
         .write.mode("append").parquet(_pointer_path(root))
     return path
 
@@ -135,5 +143,6 @@ def read_tenants(spark: SparkSession, root: str, table: str, tenant_col: str,
         return None
     paths = [r["path"] for r in live]
     base = f"{root.rstrip('/')}/{table}"
-    df = spark.read.option("basePath", base).parquet(*paths).drop("v")
+    # Versions may differ in columns: one added for a tenant must not be lost.
+    df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths).drop("v")
     return conform(df, like)

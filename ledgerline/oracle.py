@@ -78,7 +78,7 @@ SELECT *, TIMESTAMP '{S}' AS _etl_synced, 'OVERWRITE' AS _etl_operation FROM fa_
 
 sql("first_load", f"""
 WITH {fx.SQL_FA}
-SELECT id, o_custkey, o_orderdate, o_orderpriority, o_orderstatus,
+SELECT id, CAST(NULL AS VARCHAR) AS o_clerk, o_custkey, o_orderdate, o_orderpriority, o_orderstatus,
        CAST(o_totalprice AS VARCHAR) AS o_totalprice,
        TIMESTAMP '{S}' AS _etl_synced, 'INSERT' AS _etl_operation
 FROM fa_s
@@ -402,7 +402,7 @@ sql("naming_class", f"""WITH {fx.SQL_NAMES}, n2 AS (SELECT *, {_snake('n_pascal'
 SELECT p_partkey, {_nclass('n_camel')} AS class_camel, {_nclass('n_pascal')} AS class_pascal,
        {_nclass('snake_pascal')} AS class_pascal_snake, {_nclass('n_upper')} AS class_upper,
        {_guess('snake_pascal')} AS guess_snake, {_guess('n_camel')} AS guess_camel
-FROM n2""".replace("class_pascal_snake", "class_pascal"))
+FROM n2""")
 
 sql("table_name_norm", f"""WITH {fx.SQL_NAMES}
 SELECT p_partkey, {_tnorm('e_slash')} AS t_slash, {_tnorm('e_dash')} AS t_dash FROM names""")

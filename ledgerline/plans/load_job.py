@@ -23,6 +23,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators import keys as K
 from ledgerline.operators import merge as M
 from ledgerline.operators import monitor as MO
 from ledgerline.operators import normalize as NZ
@@ -52,8 +53,8 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
     NZ.stage_landed(parsed, plan, staging_path, keep=[tenant_col])
     staging_all = spark.read.parquet(staging_path)
     staging, _ = LD.read_staging(spark, staging_path)
-    bad = staging_all.where(F.col("is_bad")).groupBy(tenant_col).agg(
-        F.count(F.lit(1)).alias("bad_records"))
+    # Every staged tenant, also those with bad records alone.
+    staged = staging_all.groupBy(tenant_col).agg(F.count_if("is_bad").alias("bad_records"))
 
     tenants = [r[0] for r in staging.select(tenant_col).distinct().collect()]   # tenant-sized
     target = PUB.read_tenants(spark, root, table, tenant_col, tenants)
@@ -68,6 +69,9 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
         mode = "replace_dates" if has_dates else "replace_all"
     else:
         mode = "merge"
+    if staging_has_key and mode in ("merge", "first_load"):
+        # A key that comes twice would multiply its rows with every load.
+        K.assert_unique_keys(staging.where(F.col(key).isNotNull()), [tenant_col, key])
     if mode == "merge":
         out = M.merge_soft_delete(target, staging, synced_at, key=key, tenant_col=tenant_col,
                                   tenants=tenants)
@@ -88,8 +92,9 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
     update_monitoring(spark, root, stats, processed, tenant_col, endpoint or table, version,
                       round(time.monotonic() - started, 2), now if now is not None else synced_at)
     ops = stats.drop("max_sync")
-    return (processed.join(ops, tenant_col, "left").join(bad, tenant_col, "left")
-            .select(tenant_col, F.lit(mode).alias("write_mode"), "rows_processed",
+    return (staged.join(processed, tenant_col, "left").join(ops, tenant_col, "left")
+            .select(tenant_col, F.lit(mode).alias("write_mode"),
+                    F.coalesce("rows_processed", F.lit(0)).alias("rows_processed"),
                     *[F.coalesce(F.col(f"n_{op}"), F.lit(0)).alias(f"n_{op}")
                       for op in ("insert", "update", "delete", "overwrite")],
                     F.coalesce("bad_records", F.lit(0)).alias("bad_records")))

@@ -4,9 +4,10 @@ New NDJSON files under a landing folder are read as a file stream with
 checkpointed offsets; each micro-batch keeps the newest row per key
 (``max_by``, map-side combined), merges it into the published target
 without soft delete (a micro-batch is partial) and publishes the next
-version, then updates the monitoring snapshot (W10).  The version id is
-the batch id, so a replayed batch after a failure finds its version
-already written and does nothing.
+version, then updates the monitoring snapshot (W10).  A version carries
+the stream's id and the batch id, so a replayed batch after a failure does
+nothing, while a new stream over the same table goes on from its newest
+version.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from ledgerline.operators.publish import latest_version, publish, read_published
 
 
 def merge_batch(batch: DataFrame, root: str, table: str, keys: list[str], order_col: str,
-                synced_at, batch_id: int, tenant_col: str | None = None) -> None:
+                synced_at, batch_id: int, tenant_col: str | None = None, stream_id: str = "") -> None:
     """foreachBatch body: newest per key, then W6 into the target, then the
     monitoring snapshot (W10) per tenant (one row when there is none)."""
     spark = batch.sparkSession
@@ -34,8 +35,8 @@ def merge_batch(batch: DataFrame, root: str, table: str, keys: list[str], order_
                                   newer_col=order_col)
     # Cut the lineage (the target is read back from the previous version)
     # by writing the new version before the next batch reads it.
-    publish(out, root, table, batch_id + 1)
-    _monitor(spark, root, table, newest, tenant_col, synced_at, batch_id + 1)
+    publish(out, root, table, token=f"{stream_id}:{batch_id}")
+    _monitor(spark, root, table, newest, tenant_col, synced_at, latest_version(spark, root, table))
 
 
 def _monitor(spark: SparkSession, root: str, table: str, newest: DataFrame, tenant_col: str | None,
@@ -58,9 +59,12 @@ def run_landing_merge(spark: SparkSession, landing: str, schema: T.StructType, r
     latest published version."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .json(landing))
-    q = (stream.writeStream
-         .foreachBatch(lambda df, bid: merge_batch(df, root, table, keys, order_col, synced_at, bid,
-                                                   tenant_col))
+
+    def body(df: DataFrame, batch_id: int) -> None:
+        stream_id = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+        merge_batch(df, root, table, keys, order_col, synced_at, batch_id, tenant_col, stream_id)
+
+    q = (stream.writeStream.foreachBatch(body)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

@@ -24,7 +24,6 @@ from ledgerline.operators import publish as PUB
 from ledgerline.operators import quality as QA
 from ledgerline.operators import schema as SC
 from ledgerline.plans import load_plan as LP
-from ledgerline.plans import workload as WL
 from ledgerline.sources import csv as CSV
 from ledgerline.sources import landing as LD
 from ledgerline.sources import pages as PG
@@ -334,16 +333,6 @@ def q_company_weight_lookup(spark, sf):
     return out.select("company_id", F.round("weight", 2).alias("weight"))
 
 
-@query("balance_groups")
-def q_balance_groups(spark, sf):
-    """A5: tenants balanced over 4 tasks per run; a run is a cohort of 100
-    consecutive tenant ids (so each group stays run-sized as data grows),
-    weight = |balance|."""
-    c = fx.table(spark, sf, "customer").select(
-        F.expr("c_custkey div 100").alias("run"), "c_custkey", F.round(F.abs("c_acctbal"), 2).alias("w"))
-    return WL.balance_groups(c, "run", "c_custkey", "w", 4)
-
-
 @query("monitor_upsert")
 def q_monitor_upsert(spark, sf):
     """W10 (+A6 max_sync, A7 rows) on F-C."""
@@ -401,8 +390,9 @@ def q_naming_class(spark, sf):
     """F3 + F4."""
     n = _names(spark, sf).withColumn("snake_pascal", NM.snake_col(F.col("n_pascal")))
     return n.select(
-        "p_partkey", *[NM.naming_class_col(F.col(c)).alias("class_" + c.split("_", 1)[1])
-                       for c in ["n_camel", "n_pascal", "snake_pascal", "n_upper"]],
+        "p_partkey", *[NM.naming_class_col(F.col(c)).alias(a) for c, a in [
+            ("n_camel", "class_camel"), ("n_pascal", "class_pascal"), ("snake_pascal", "class_pascal_snake"),
+            ("n_upper", "class_upper")]],
         NM.camel_guess_col(F.col("snake_pascal")).alias("guess_snake"),
         NM.camel_guess_col(F.col("n_camel")).alias("guess_camel"))
 
@@ -613,12 +603,6 @@ def q_drop_duplicate_style(spark, sf):
     return SC.drop_duplicate_style(df, [(r["snake_case"], r["camel_case"]) for r in pairs])
 
 
-@query("schema_diff")
-def q_schema_diff(spark, sf):
-    """C2 on F-D: type change, staging-only and target-only columns."""
-    return SC.schema_diff(spark, fx.fd_staging(spark, sf), fx.fd_target(spark, sf))
-
-
 # ============================================================ quality
 @query("snapshot_compare")
 def q_snapshot_compare(spark, sf):
@@ -666,7 +650,7 @@ def q_json_streamed_scan(spark, sf):
     """Customers landed as streamed arrays (``,\\n{`` separators)."""
     path = scratch_dir(spark, "landed-customers")
     c = fx.table(spark, sf, "customer")
-    WR.write_json_array(c.repartition(3), path, "streamed")
+    WR.write_json_array(c, path, "streamed")
     ddl = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
     return _scan_back(spark, path, "streamed", ddl)
 
@@ -845,17 +829,16 @@ _EVENTS_DDL = "event_id bigint, ts string, user_id bigint, event_type string, va
 
 @query("stream_merge")
 def q_stream_merge(spark, sf):
-    """Events landed as NDJSON in four time-ordered drops, merged
-    incrementally (two files per micro-batch; newest per (user, type), W6,
-    then the monitoring snapshot) into a published target."""
+    """All events landed as NDJSON in four drops, merged incrementally
+    (two files per micro-batch; newest per (user, type), W6, then the
+    monitoring snapshot) into a published target."""
     from pyspark.sql import types as T
     base = scratch_dir(spark, "stream")
     landing, root, ckpt = f"{base}/landing", f"{base}/tables", f"{base}/checkpoint"
     e = fx.table(spark, sf, "events").select("event_id", F.col("ts").cast("string").alias("ts"),
                                              "user_id", "event_type", "value")
-    for lo, hi in [("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-16"),
-                   ("2024-01-16", "2024-01-24"), ("2024-01-24", "2024-02-01")]:
-        WR.write_ndjson_append(e.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1), landing)
+    for drop in range(4):
+        WR.write_ndjson_append(e.where(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0)) == drop), landing)
     schema = T._parse_datatype_string(_EVENTS_DDL)
     ST.run_landing_merge(spark, landing, schema, root, "events_latest", ["user_id", "event_type"], "ts",
                          fx.SYNCED_AT, ckpt, max_files_per_trigger=2)

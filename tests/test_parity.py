@@ -3,7 +3,8 @@ runs the same check at sf0.01)."""
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from __spark_entry__ import oracle_sql
+from ledgerline.suite import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,7 +17,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     from tools.parity import compare
     r = compare(spark, key, SF, con)

@@ -39,9 +39,9 @@ def test_no_python_in_landing_plans(spark):
 def test_no_cross_joins_and_python_only_where_intended(spark):
     """Every registered query: no cartesian / nested-loop joins and no
     Python execution nodes at all."""
-    from __spark_entry__ import queries
+    from ledgerline.suite import QUERIES
     python_ok: set[str] = set()
-    for name, fn in sorted(queries().items()):
+    for name, fn in sorted(QUERIES.items()):
         plan = _plan(fn(spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
