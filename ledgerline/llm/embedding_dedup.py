@@ -241,7 +241,9 @@ def _audit(vecs: DataFrame, counts: DataFrame, dim: int, least: float) -> float:
 def _one_length(vecs: DataFrame, dim: int, least: float, k: int) -> tuple[DataFrame, float]:
     """(id, links, root) of the linked vectors of one length, and the recall."""
     n = vecs.count()
-    partitions = max(vecs.sparkSession.sparkContext.defaultParallelism, -(-n * dim * 4 // (32 << 20)))
+    # Few vectors stay together: those of different partitions aren't compared at the start.
+    wide = max(vecs.sparkSession.sparkContext.defaultParallelism, -(-n * dim * 4 // (32 << 20)))
+    partitions = min(1 + n // (8 * RUN), wide)
     graph, attempt = None, 0
     while True:
         start = _start(vecs, dim, k, range(attempt * ORDERS, (attempt + 1) * ORDERS), partitions)

@@ -19,7 +19,7 @@ WINS = 0.1
 
 # HTML element names by their role.
 RAW = frozenset("script style noscript template textarea title iframe svg math select button object canvas audio video".split())
-CONTAINER = frozenset("body div section article main aside nav header footer form ul ol dl table tbody thead tfoot tr td th "
+CONTAINER = frozenset("div section article main aside nav header footer form ul ol dl table tbody thead tfoot tr td th "
                       "blockquote figure fieldset details center menu dialog address".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr figcaption caption summary legend option".split())
 OUT = frozenset("nav aside footer form menu dialog header".split())
@@ -44,7 +44,7 @@ def _attributes(source: str) -> dict[str, str]:
 def _is_out(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
     if tag in OUT and not (tag == "header" and in_article):
         return True
-    if not attrs or tag in ("body", "main"):
+    if not attrs or tag == "main":
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
         return True
@@ -115,6 +115,8 @@ class Page:
             elif tag in LEAF:
                 end_block()
                 leaf_out = not closing and not out and bool(m[3]) and _is_out(tag, _attributes(m[3]), articles > 0)
+            elif tag == "body":  # the root; its classes often name the single page
+                end_block()
             elif tag in CONTAINER:
                 end_block()
                 leaf_out = False
