@@ -13,16 +13,13 @@ from pyspark.sql import functions as F
 from ledgerline.llm import decontaminate, language_id, mixing, simhash, token_output
 from ledgerline.llm.common import land, table
 
-# Documents whose language is not predicted at least so surely are rejected.
-MIN_SCORE = 0.5
-
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter, or of no language that the
-    network is sure of, go.  ``lang`` stays as it came."""
+    """Language ID: documents of no language (``und``) go.  An unsure
+    prediction is no reason to drop a clean document.  ``lang`` stays as it
+    came."""
     found = language_id.identify(docs, language_id.fit(docs))
-    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_SCORE)
-    return found.filter(sure).select(*docs.columns)
+    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
