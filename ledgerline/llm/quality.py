@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, unit_hash
+from .common import cut, ship, small, unit_hash
 
 # Labelled rows that the fit sees, of label 0 and 1 (expected numbers).
 FIT_ROWS = (1500, 3000)
@@ -138,7 +138,8 @@ def fit_rows(docs: DataFrame, labels: DataFrame, per_label: tuple[int, int] = FI
     counts = {r["quality"]: r["count"] for r in own.groupBy("quality").count().collect()}
     chance = F.create_map(*[F.lit(x) for q in (0, 1) for x in (q, min(1.0, per_label[q] / counts.get(q, 1)))])
     drawn = own.filter(unit_hash(F.col("doc_id"), F.lit("quality")) < chance[F.col("quality")])
-    drawn = drawn.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    # A few thousand ids at every size, so the texts need no shuffle.
+    drawn = small(cut(drawn.groupBy("doc_id").agg(F.min("quality").alias("quality"))))
     rows = docs.select("doc_id", "text").join(drawn, "doc_id").select("doc_id", "text", "quality")
     return sorted(((r["doc_id"], r["text"] or "", r["quality"]) for r in rows.collect()), key=lambda x: (x[0], x[1]))
 
