@@ -1,7 +1,7 @@
 """Naming functions.
 
-Each has a Column form (runs inside whole-stage codegen over a column of
-names) and a driver-side twin used on schemas, where names are metadata.
+Column forms run inside whole-stage codegen over a column of names; the
+styles that schemas need too have a driver form read from the same steps.
 """
 
 from __future__ import annotations
@@ -32,50 +32,39 @@ BOM = "\ufeff"
 PY_SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
-# ---------------------------------------------------------------- driver side
-def snake(name: str) -> str:
-    name = re.sub(SNAKE_PASS_1, r"\1_\2", name)
-    name = re.sub(SNAKE_PASS_2, r"\1_\2", name)
-    return name.lower()
+LOWER = None
 
 
-def camel(name: str) -> str:
-    head, *rest = name.split("_")
-    return head + "".join(p[:1].upper() + p[1:].lower() for p in rest)
+class Style:
+    """A rule for names: (pattern, replacement) steps and LOWER, in order.
+    A column of names and a single name of a schema go through the same steps."""
 
+    def __init__(self, *steps: tuple[str, str] | None):
+        self.steps = steps
 
-def naming_class(name: str) -> str:
-    if re.match(SNAKE_CLASS, name):
-        return "snake_case"
-    if re.match(CAMEL_CLASS, name):
-        return "camelCase"
-    return "other"
+    def column(self, c: Column) -> Column:
+        for step in self.steps:
+            c = F.lower(c) if step is LOWER else F.regexp_replace(c, *step)
+        return c
 
+    def text(self, name: str) -> str:
+        for step in self.steps:
+            name = name.lower() if step is LOWER else re.sub(step[0], re.sub(r"\$(\d)", r"\\\1", step[1]), name)
+        return name
 
-def table_name_fallback(endpoint: str) -> str:
-    out = re.sub(r"_+", "_", endpoint.replace("/", "_").replace("-", "_"))
-    return out.strip("_")
 
+# F1: words parted by underscores.
+SNAKE = Style((SNAKE_PASS_1, "$1_$2"), (SNAKE_PASS_2, "$1_$2"), LOWER)
+# ``/`` and ``-`` to ``_``, runs collapsed, edges stripped.
+TABLE = Style(("[/-]", "_"), ("_+", "_"), ("^_+|_+$", ""))
+# white space, then byte-order marks, stripped from both ends; other
+# characters to ``_``; a leading digit gets a prefix.
+HEADER = Style((f"^{PY_SPACE}+|{PY_SPACE}+$", ""), (f"^{BOM}+|{BOM}+$", ""), LOWER, ("[^a-z0-9_]", "_"),
+               ("^(?=[0-9])", "c_"))
 
-def clean_header(h: str) -> str:
-    h = h.strip().strip(BOM).lower()
-    h = re.sub(r"[^a-z0-9_]", "_", h)
-    if h and h[0].isdigit():
-        h = "c_" + h
-    return h
-
-
-def title_file_name(table: str) -> str:
-    """``a_b`` -> ``A B`` (Python ``str.title`` on the spaced name)."""
-    return table.replace("_", " ").title()
-
-
-# ---------------------------------------------------------------- Column side
-def snake_col(c: Column) -> Column:
-    """F1 over a column of names."""
-    c = F.regexp_replace(c, SNAKE_PASS_1, "$1_$2")
-    c = F.regexp_replace(c, SNAKE_PASS_2, "$1_$2")
-    return F.lower(c)
+snake, snake_col = SNAKE.text, SNAKE.column
+clean_header, clean_header_col = HEADER.text, HEADER.column
+table_name_fallback_col = TABLE.column
 
 
 def camel_col(c: Column) -> Column:
@@ -107,26 +96,6 @@ def camel_guess_col(c: Column) -> Column:
     return F.when(c.rlike(SNAKE_CLASS), out)
 
 
-def table_name_fallback_col(c: Column) -> Column:
-    """``/`` and ``-`` to ``_``, runs collapsed, edges stripped."""
-    c = F.regexp_replace(c, "[/-]", "_")
-    c = F.regexp_replace(c, "_+", "_")
-    return F.regexp_replace(c, "^_+|_+$", "")
-
-
-def clean_header_col(c: Column) -> Column:
-    """F6 over a column of raw CSV headers.
-
-    Python's ``str.strip()`` removes Unicode white space, then the BOM is
-    stripped from both ends; ``trim`` + ``regexp_replace`` do the same.
-    """
-    c = F.regexp_replace(c, "^" + PY_SPACE + "+|" + PY_SPACE + "+$", "")
-    c = F.regexp_replace(c, r"^\uFEFF+|\uFEFF+$", "")
-    c = F.lower(c)
-    c = F.regexp_replace(c, "[^a-z0-9_]", "_")
-    return F.when(c.rlike("^[0-9]"), F.concat(F.lit("c_"), c)).otherwise(c)
-
-
 def title_col(c: Column) -> Column:
     """Python's ``str.title``: a letter is upper-cased when the character
     before it is not a letter (start, space, digit, punctuation), otherwise

@@ -97,7 +97,7 @@ def monitor_upsert(snapshot: DataFrame, run: DataFrame, now) -> DataFrame:
             "last_rows": t("actual_rows"), "last_duration": t("actual_duration"),
             "last_status": t("actual_status"),
             "actual_rows": s("actual_rows"), "actual_duration": s("actual_duration"),
-            "actual_status": s("actual_status"), "max_sync": s("max_sync"),
+            "actual_status": s("actual_status"), "max_sync": F.coalesce(s("max_sync"), t("max_sync")),
             "updated_at": _now(now)},
         insert_exprs={"updated_at": _now(now)})
 

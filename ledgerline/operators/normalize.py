@@ -175,14 +175,14 @@ def last_present(obj: Column, keys: list[str]) -> Column:
     return F.try_element_at(hits, F.lit(-1))["value"]
 
 
-def fix_array(v: Column) -> Column:
-    """N1-N3 for one known array field.
+def fix_array(v: Column, kind: Column | None = None) -> Column:
+    """N1-N3 for one known array field (``kind``: its variant type, if known).
 
     null / absent / JSON null / ``{}`` -> ``[]``; an object -> ``[object]``;
     inside an array: empty inner arrays dropped, other inner arrays turned
     into their JSON text; a scalar -> ``[scalar]``.
     """
-    kind = _kind(v)
+    kind = _kind(v) if kind is None else kind
     arr = F.try_variant_get(v, "$", "array<variant>")
     inner = F.filter(arr, lambda x: ~(_kind(x).startswith("ARRAY") & (
         F.size(F.try_variant_get(x, "$", "array<variant>")) == 0)))
@@ -306,16 +306,7 @@ def _key_in(keys: list[str]):
 def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Column:
     """Column repair given the picked value and its precomputed kind."""
     if cp.kind == "array":
-        arr = F.try_variant_get(v, "$", "array<variant>")
-        inner = F.filter(arr, lambda x: ~(_kind(x).startswith("ARRAY") & (
-            F.size(F.try_variant_get(x, "$", "array<variant>")) == 0)))
-        inner = F.transform(inner, lambda x: F.when(
-            _kind(x).startswith("ARRAY"), F.to_json(x).cast("variant")).otherwise(x))
-        empty = F.array().cast("array<variant>")
-        fixed = (F.when(v.isNull() | (kind == "VOID") | (kind == "OBJECT<>"), empty)
-                 .when(kind.startswith("OBJECT"), F.array(v))
-                 .when(kind.startswith("ARRAY"), inner)
-                 .otherwise(F.array(v)))
+        fixed = fix_array(v, kind)
         if cp.struct_type is not None:   # every element is an object: N4 into the elements
             return F.transform(fixed, _repair_each(cp.struct_type, cp.known_arrays))
         return fixed
@@ -395,25 +386,21 @@ def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: lis
     out.write.mode("append" if append else "overwrite").parquet(path)   # S16 / S15
 
 
-MAX_KEYS = 10_000
-
-
-def infer_plan(parsed: DataFrame, max_keys: int = MAX_KEYS, **kw) -> NormalizePlan:
+def infer_plan(parsed: DataFrame, declared: list[str] | None = None, obj: str = "obj", **kw) -> NormalizePlan:
     """C1 end to end: the probe aggregate, collected, planned.
 
-    The probe has one row per distinct top-level key, i.e. it is
-    schema-sized; when a feed uses data as keys (ids as object keys) it is
-    not, so at most ``max_keys`` rows are fetched and more is an error
-    rather than an unbounded pull to the driver.
+    The probe has one row per distinct top-level key, which is schema-sized
+    unless a feed uses data as keys (ids as object keys).  For such a feed
+    name the ``declared`` columns (of a registry or the target): only their
+    keys become columns, and ``undeclared`` gives the others as one map.
     """
-    rows = probe(parsed).limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct top-level keys: these look like data, "
-                         "not columns; land them as a map or variant column instead")
-    return plan_from_probe(rows, **kw)
+    if declared is not None:
+        parsed = parsed.select(F.map_filter(obj, lambda k, _: snake_col(k).isin(*declared)).alias(obj))
+    return plan_from_probe(probe(parsed, obj).collect(), **kw)
 
 
-def plan_frame(spark, plan: NormalizePlan) -> DataFrame:
-    """C1 as a DataFrame (column, source keys, decided kind, mixed)."""
-    rows = [(c.name, ",".join(c.source_keys), c.kind, c.mixed) for c in plan.columns]
-    return spark.createDataFrame(rows, "column_name string, source_keys string, kind string, mixed boolean")
+def undeclared(declared: list[str], obj: str = "obj") -> Column:
+    """The entries of a record whose keys are none of the declared columns,
+    as one ``map<string,variant>``; null if there are none."""
+    rest = F.map_filter(obj, lambda k, _: ~snake_col(k).isin(*declared))
+    return F.when(F.size(rest) > 0, rest)

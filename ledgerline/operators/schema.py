@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.functions.names import CAMEL_CLASS, SNAKE_CLASS, camel_col, snake_col
+from ledgerline.functions.names import SNAKE_CLASS, camel_col
 
 AUDIT_PREFIX = "_etl_"
 
@@ -79,14 +79,6 @@ def drift_summary(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
                                   F.sort_array(F.collect_set("snake_case")).alias("snake_columns"))
 
 
-def camel_candidates(catalog: DataFrame) -> DataFrame:
-    """The camel-class side of C6 (names whose snake twin differs)."""
-    return (catalog.where(F.col("column_name").rlike(CAMEL_CLASS)
-                          & ~F.col("column_name").rlike(SNAKE_CLASS))
-            .select("table_name", "column_name", snake_col(F.col("column_name")).alias("snake_twin"))
-            .where(F.col("snake_twin") != F.col("column_name")))
-
-
 # ----------------------------------------------------------------------- C7
 def drop_duplicate_style(df: DataFrame, pairs: list[tuple[str, str]], keep: str = "snake_case",
                          copy_first: bool = True) -> DataFrame:

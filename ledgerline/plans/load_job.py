@@ -9,8 +9,8 @@ discovery gives every record its tenant.  The job is:
 4. choose the write mode (P16) and build the new rows (W1-W5, P6, P7, C3-C5);
 5. publish the touched tenants as a new version (per-tenant copy-on-write);
 6. per-tenant summary: rows processed (A7), operations, bad records (S4);
-7. monitoring snapshot upsert per (tenant, endpoint) (A6, A7, W10), published
-   as the next version of the ``_monitoring`` table.
+7. monitoring snapshot upsert per tenant (A6, A7, W10), published as the next
+   version of the endpoint's table below ``_monitoring``.
 
 Every step is a DataFrame plan; the driver only sees schema-sized and
 tenant-sized results (probe rows, the staged tenant list).
@@ -57,6 +57,12 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
     staged = staging_all.groupBy(tenant_col).agg(F.count_if("is_bad").alias("bad_records"))
 
     tenants = [r[0] for r in staging.select(tenant_col).distinct().collect()]   # tenant-sized
+    operations = ("INSERT", "UPDATE", "DELETE", "OVERWRITE")
+    if not tenants:   # nothing parsed: the table stays as it is, and the tenants are reported
+        idle = staged.select(tenant_col, *[F.lit(0).cast("bigint").alias(f"n_{op.lower()}") for op in operations],
+                             F.lit(None).cast("timestamp_ntz").alias("max_sync"))
+        return _report(spark, root, "none", staged, MO.rows_processed(staging, [tenant_col]), idle, tenant_col,
+                       endpoint or table, version, started, now if now is not None else synced_at)
     target = PUB.read_tenants(spark, root, table, tenant_col, tenants)
     has_rows = target is not None and target.limit(1).count() > 0
     staging_has_key = key in staging.columns
@@ -85,12 +91,23 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
     this_run = F.col(M.SYNCED) == M._ts(synced_at)
     stats_df = live.groupBy(tenant_col).agg(
         *[F.count_if(this_run & (F.col(M.OPERATION) == op)).alias(f"n_{op.lower()}")
-          for op in ("INSERT", "UPDATE", "DELETE", "OVERWRITE")],
+          for op in operations],
         F.max(M.SYNCED).alias("max_sync"))
     stats = spark.createDataFrame(stats_df.collect(), stats_df.schema)
     processed = MO.rows_processed(staging, [tenant_col])
-    update_monitoring(spark, root, stats, processed, tenant_col, endpoint or table, version,
-                      round(time.monotonic() - started, 2), now if now is not None else synced_at)
+    return _report(spark, root, mode, staged, processed, stats, tenant_col, endpoint or table, version, started,
+                   now if now is not None else synced_at)
+
+
+def _report(spark: SparkSession, root: str, mode: str, staged: DataFrame, processed: DataFrame, stats: DataFrame,
+            tenant_col: str, endpoint: str, version: int, started: float, now) -> DataFrame:
+    """Monitoring rows and the summary of one load.  A tenant whose records
+    are all bad has FAILED."""
+    seen = staged.join(processed, tenant_col, "left").select(
+        tenant_col, F.coalesce("rows_processed", F.lit(0)).alias("rows_processed"))
+    seen = seen.withColumn("status", F.when(F.col("rows_processed") == 0, "FAILED").otherwise("SUCCESS"))
+    update_monitoring(spark, root, stats, seen, tenant_col, endpoint, f"load {version}",
+                      round(time.monotonic() - started, 2), now)
     ops = stats.drop("max_sync")
     return (staged.join(processed, tenant_col, "left").join(ops, tenant_col, "left")
             .select(tenant_col, F.lit(mode).alias("write_mode"),
@@ -107,26 +124,34 @@ MONITORING_SCHEMA = ("company_id bigint, endpoint_name string, max_sync timestam
 
 
 def update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed: DataFrame,
-                       tenant_col: str, endpoint: str, version: int, duration: float, now) -> None:
+                      tenant_col: str, endpoint: str, token: str, duration: float, now) -> None:
     """W10 after a load: max ``_etl_synced`` per tenant (A6), staging rows
-    (A7), the job's duration, SUCCESS; previous actual_* move to last_*.
+    (A7), the job's duration and status; previous actual_* move to last_*.
+
     ``live`` is either the table's rows or per-tenant stats that already
-    carry ``max_sync``."""
+    carry ``max_sync``; ``processed`` may carry a status (else SUCCESS).
+    Each endpoint has a snapshot of its own, so endpoints that end together
+    don't meet.  ``token`` names the load: one that was recorded already
+    changes nothing.
+    """
     if "max_sync" in live.columns:
-        max_sync = live.select(tenant_col, F.coalesce("max_sync", M._ts(now)).alias("max_sync"))
+        max_sync = live.select(tenant_col, "max_sync")
     else:
         max_sync = MO.max_synced(live, [tenant_col], now)
+    status = F.col("status") if "status" in processed.columns else F.lit("SUCCESS")
     run = (processed.join(max_sync, tenant_col, "left")
            .select(F.col(tenant_col).cast("bigint").alias("company_id"),
-                   F.lit(endpoint).alias("endpoint_name"), "max_sync", "rows_processed",
-                   F.lit(float(duration)).alias("duration_sec"), F.lit("SUCCESS").alias("status")))
-    current = PUB.latest_version(spark, root, MONITORING)
+                   F.lit(endpoint).alias("endpoint_name"), "max_sync",
+                   "rows_processed", F.lit(float(duration)).alias("duration_sec"), status.alias("status")))
+    table = f"{MONITORING}/{endpoint}"
     empty = spark.createDataFrame([], MONITORING_SCHEMA)
-    snap = empty if current is None else PUB.conform(
-        spark.read.parquet(f"{root.rstrip('/')}/{MONITORING}/v={current}"), empty.schema)
-    PUB.publish(MO.monitor_upsert(snap, run, now), root, MONITORING, (current or 0) + 1)
+    before = PUB.read_published(spark, root, table, like=empty.schema)
+    PUB.publish(MO.monitor_upsert(empty if before is None else before, run, now), root, table, token=token)
 
 
 def read_monitoring(spark: SparkSession, root: str) -> DataFrame | None:
-    return PUB.read_published(spark, root, MONITORING,
-                              like=spark.createDataFrame([], MONITORING_SCHEMA).schema)
+    """The newest monitoring rows of all endpoints."""
+    like = spark.createDataFrame([], MONITORING_SCHEMA).schema
+    newest = (PUB.published_versions(spark, root).where(F.col("table_name").startswith(MONITORING + "/"))
+              .groupBy("table_name").agg(F.max_by("path", "version").alias("path")).collect())   # one row an endpoint
+    return PUB.conform(spark.read.schema(like).parquet(*[r["path"] for r in newest]), like) if newest else None

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 import tempfile
 import uuid
@@ -75,53 +74,6 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain Python can list a local folder."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
-def _size_in_bytes(df) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for scans)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
-def _bytes(text: str) -> int:
-    """``128m`` / ``128MB`` / ``1g`` / ``134217728`` -> bytes."""
-    t = str(text).strip().lower().removesuffix("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    try:
-        return int(float(t.rstrip("kmgt")) * mult)
-    except ValueError:
-        return 128 << 20
-
-
-def spread(df, min_partitions: int | None = None):
-    """Spread CPU-heavy row work (JSON parsing, regex over whole texts) over
-    every core when the input is too small to yield that many scan splits.
-
-    Parquet splits at row-group boundaries, so a small file is one task.
-    When the planner's size estimate shows the scan already yields at least
-    ``min_partitions`` splits (the large-data case) nothing is added; only
-    small inputs get a round-robin ``repartition``.
-    """
-    spark = df.sparkSession
-    n = min_partitions or spark.sparkContext.defaultParallelism
-    if n <= 1:
-        return df
-    max_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
-    size = _size_in_bytes(df)
-    if size is not None and size >= n * max_bytes:
-        return df
-    return df.repartition(n)
-
-
 def cluster_conf(total_cores: int, shuffle_target: str = "256m") -> dict[str, str]:
     """Settings for a large cluster (pass as ``extra`` or spark-submit --conf).
 

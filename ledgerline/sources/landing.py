@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.names import title_file_name, title_file_name_col
+from ledgerline.functions.names import title_file_name_col
 
 # Record separators of the two dumped layouts (fixed by the writers).
 SEP_INDENT2 = ",\n  {"
@@ -169,11 +169,6 @@ def latest_snapshot(df: DataFrame, by: list[str], snapshot_col: str = "snapshot_
     return df.join(newest, by + [snapshot_col], "left_semi")
 
 
-# driver-side twin used by tests and the CSV job
-def candidate_files(table: str, prefix: str = EXPORT_PREFIX) -> list[str]:
-    return [f"{prefix}{table}.csv", f"{table}.csv", f"{title_file_name(table)}.csv"]
-
-
 def read_staging(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Good staging rows, and the quarantine (preview of bad records)."""
     st = spark.read.parquet(path)

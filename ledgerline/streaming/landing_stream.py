@@ -35,12 +35,13 @@ def merge_batch(batch: DataFrame, root: str, table: str, keys: list[str], order_
                                   newer_col=order_col)
     # Cut the lineage (the target is read back from the previous version)
     # by writing the new version before the next batch reads it.
-    publish(out, root, table, token=f"{stream_id}:{batch_id}")
-    _monitor(spark, root, table, newest, tenant_col, synced_at, latest_version(spark, root, table))
+    token = f"{stream_id}:{batch_id}"
+    publish(out, root, table, token=token)
+    _monitor(spark, root, table, newest, tenant_col, synced_at, token)
 
 
 def _monitor(spark: SparkSession, root: str, table: str, newest: DataFrame, tenant_col: str | None,
-             synced_at, version: int) -> None:
+             synced_at, token: str) -> None:
     from ledgerline.plans.load_job import update_monitoring
     from ledgerline.operators.monitor import rows_processed
     tcol = tenant_col or "company_id"
@@ -48,7 +49,7 @@ def _monitor(spark: SparkSession, root: str, table: str, newest: DataFrame, tena
     live = read_published(spark, root, table)
     live = live if tenant_col else live.withColumn(tcol, F.lit(0).cast("bigint"))
     # the micro-batch's own duration is not measured here; 0.0 marks it
-    update_monitoring(spark, root, live, rows_processed(rows, [tcol]), tcol, table, version, 0.0, synced_at)
+    update_monitoring(spark, root, live, rows_processed(rows, [tcol]), tcol, table, token, 0.0, synced_at)
 
 
 def run_landing_merge(spark: SparkSession, landing: str, schema: T.StructType, root: str,

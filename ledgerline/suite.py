@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixtures as fx
-from ledgerline.session import scratch_dir, spread
+from ledgerline.session import scratch_dir
 from ledgerline.functions import names as NM
 from ledgerline.functions import values as V
 from ledgerline.operators import keys as K
@@ -144,7 +144,7 @@ def q_surrogate_key(spark, sf):
 @query("coerce_types")
 def q_coerce_types(spark, sf):
     """P5 over text built from events.props and fixed spellings."""
-    e = spread(fx.table(spark, sf, "events"))
+    e = fx.table(spark, sf, "events")
     k = F.col("event_id") % 9
     raw = (F.when(k == 0, F.lit("N/A")).when(k == 1, F.lit("3.0")).when(k == 2, F.lit("yes"))
            .when(k == 3, F.lit("No")).when(k == 4, F.lit("-2.7")).when(k == 5, F.lit("0"))
@@ -415,7 +415,7 @@ def q_header_clean(spark, sf):
 @query("log_clean")
 def q_log_clean(spark, sf):
     """F13 over whole document texts wrapped as warehouse error messages."""
-    d = spread(fx.table(spark, sf, "documents"))
+    d = fx.table(spark, sf, "documents")
     return d.select("doc_id", V.clean_log_text(F.expr(fx.LOG_MSG)).alias("cleaned"))
 
 
@@ -433,7 +433,7 @@ def q_json_props(spark, sf):
 
 
 def _event_objects(spark, sf):
-    e = spread(fx.table(spark, sf, "events"))
+    e = fx.table(spark, sf, "events")
     return LD.parse_records(e.select("event_id", F.expr(fx.OBJ_EXPR).alias("value")))
 
 
@@ -448,7 +448,7 @@ def q_mixed_type_probe(spark, sf):
 
 
 def _order_objects(spark, sf):
-    o = spread(fx.table(spark, sf, "orders"))
+    o = fx.table(spark, sf, "orders")
     return LD.parse_records(o.select(F.expr(fx.ORDER_OBJ_EXPR).alias("value")))
 
 
@@ -607,7 +607,7 @@ def q_drop_duplicate_style(spark, sf):
 @query("snapshot_compare")
 def q_snapshot_compare(spark, sf):
     """Q1 + F14 + N5 over documents split in two snapshots by doc_id."""
-    d = spread(fx.table(spark, sf, "documents")).select(
+    d = fx.table(spark, sf, "documents").select(
         F.when(F.col("doc_id") % 2 == 0, F.lit("return_1")).otherwise(F.lit("return_2")).alias("snap"),
         "text")
     return QA.snapshot_metrics(d, "snap", "text")
@@ -616,7 +616,7 @@ def q_snapshot_compare(spark, sf):
 @query("charset_diff")
 def q_charset_diff(spark, sf):
     """Non-ASCII characters each language uses that English never does."""
-    return QA.charset_diff(spread(fx.table(spark, sf, "documents")), "lang", "text", "en")
+    return QA.charset_diff(fx.table(spark, sf, "documents"), "lang", "text", "en")
 
 
 # ============================================================ scans
@@ -640,7 +640,7 @@ def q_json_array_scan(spark, sf):
     """Orders landed as list dumps (one array per file, indent 2), read
     back split on the record separator."""
     path = scratch_dir(spark, "landed-orders")
-    WR.write_json_array(spread(_orders_as_text(spark, sf)), path, "indent2")
+    WR.write_json_array(_orders_as_text(spark, sf), path, "indent2")
     out = _scan_back(spark, path, "indent2", _ORDERS_DDL)
     return out.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
@@ -661,7 +661,7 @@ def q_csv_scan(spark, sf):
     digit, non-ASCII) and quoted multi-line values, read with the
     header-derived schema."""
     path = scratch_dir(spark, "landed-csv")
-    spread(_timesheet_export(spark, sf)).write.option("header", True).mode("overwrite").csv(path)
+    _timesheet_export(spark, sf).write.option("header", True).mode("overwrite").csv(path)
     return CSV.read_landed_csv(spark, path)
 
 
@@ -685,7 +685,7 @@ def q_csv_report_load(spark, sf):
     -> MD5 surrogate key (P9) -> newest copy per key (W9) -> merge without
     soft delete (W6) into the previous load; rows stamped per operation."""
     path = scratch_dir(spark, "landed-timesheet")
-    spread(_timesheet_export(spark, sf)).write.option("header", True).mode("overwrite").csv(path)
+    _timesheet_export(spark, sf).write.option("header", True).mode("overwrite").csv(path)
     staging = K.with_surrogate_key(CSV.read_landed_csv(spark, path), TIMESHEET_KEYS)
     M.require_key(staging)
     li = fx.table(spark, sf, "lineitem").where(F.col("l_orderkey") % 13 != 0)
@@ -708,7 +708,7 @@ def q_file_report(spark, sf):
     e = fx.table(spark, sf, "events")
     raw = F.when(F.col("event_id") % 100 == 0, F.replace(F.col("props"), F.lit('"k"'), F.lit("k"))) \
         .otherwise(F.col("props"))
-    e.select(raw.alias("value")).repartition(3).write.mode("overwrite").text(path)
+    e.select(raw.alias("value")).write.mode("overwrite").text(path)
     rep = LD.file_report(spark, path, "ndjson")
     return rep.select(F.regexp_extract("file_path", r"(part-\d+)", 1).alias("file"), "n_records",
                       "n_bad", "layout_seen", "status")
@@ -950,7 +950,7 @@ def q_tenant_load_cycle(spark, sf):
     (the monitoring rows' numbers)."""
     o = fx.table(spark, sf, "orders")
     k = F.col("o_orderkey")
-    landed = spread(o.where(k % 10 != 0)).select(F.to_json(F.struct(
+    landed = o.where(k % 10 != 0).select(F.to_json(F.struct(
         k.alias("id"), (F.col("o_custkey") % N_TENANTS).alias("companyId"),
         F.col("o_custkey").alias("custKey"), F.col("o_orderstatus").alias("orderStatus"),
         F.when(k % 7 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("totalPrice"),
@@ -975,7 +975,7 @@ def _two_loads(spark, sf):
     """Run the endpoint load twice (first load, then merge); returns the
     second summary and the table root."""
     from ledgerline.plans.load_job import run_endpoint_load
-    o = spread(fx.table(spark, sf, "orders"))
+    o = fx.table(spark, sf, "orders")
     k = F.col("o_orderkey")
     base = scratch_dir(spark, "endpoint-load")
 
@@ -1052,7 +1052,7 @@ def q_landing_layouts(spark, sf):
     """Orders landed in every layout (NDJSON, list dump, streamed
     array, compact one-line arrays), each read back with its reader."""
     base = scratch_dir(spark, "layouts")
-    o = spread(_orders_as_text(spark, sf))
+    o = _orders_as_text(spark, sf)
     WR.write_ndjson(o, f"{base}/ndjson")
     outs = []
     for layout in ("indent2", "streamed", "compact"):

@@ -9,12 +9,6 @@ from ledgerline.operators import keys as K
 from ledgerline.operators import merge as M
 from ledgerline.operators import publish as PUB
 from ledgerline.operators import schema as SC
-from ledgerline.session import _bytes
-
-
-def test_bytes_parsing():
-    assert _bytes("128m") == 128 << 20 and _bytes("128MB") == 128 << 20
-    assert _bytes("1g") == 1 << 30 and _bytes("134217728") == 134217728
 
 
 def test_dedupe_and_guard(spark):
@@ -143,13 +137,19 @@ def test_stream_replay_is_idempotent(spark, tmp_dir):
     assert [(r["actual_rows"], r["last_rows"]) for r in mon] == [(1, 1)]   # batch 2: key b; batch 1: key a
 
 
-def test_infer_plan_refuses_data_as_keys(spark):
+def test_declared_columns_and_the_rest_as_a_map(spark):
     from ledgerline.operators import normalize as NZ
     from ledgerline.sources import landing as LD
-    df = spark.range(30).select(F.concat(F.lit('{"k'), F.col("id").cast("string"), F.lit('": 1}')).alias("value"))
-    with pytest.raises(ValueError, match="distinct top-level keys"):
-        NZ.infer_plan(LD.parse_records(df), max_keys=10)
-    assert len(NZ.infer_plan(LD.parse_records(df)).columns) == 30
+    df = spark.range(30).select(F.format_string('{"rowId": %d, "k%d": 1}', "id", "id").alias("value"))
+    recs = LD.parse_records(df)
+    assert len(NZ.infer_plan(recs).columns) == 31
+    plan = NZ.infer_plan(recs, declared=["row_id"])
+    assert plan.names() == ["row_id"]
+    rest = recs.select(NZ.undeclared(["row_id"]).alias("m")).select(F.explode(F.map_keys("m")).alias("k"))
+    assert sorted(r[0] for r in rest.collect()) == sorted(f"k{i}" for i in range(30))
+    assert recs.where(NZ.undeclared(["row_id"]).isNull()).count() == 0
+    none = LD.parse_records(spark.createDataFrame([('{"rowId": 1}',)], "value string"))
+    assert none.where(NZ.undeclared(["row_id"]).isNull()).count() == 1
 
 
 def test_publish_tenants_rewrites_only_touched(spark, tmp_dir):
@@ -200,7 +200,21 @@ def test_load_job_never_deletes_tenants_without_good_files(spark, tmp_dir):
         spark, root, "t", "company_id").collect()}
     assert live == {(0, 1): "UPDATE", (0, 2): "DELETE", (1, 3): "INSERT", (2, 4): "INSERT"}
     mon = {r["company_id"]: (r["actual_rows"], r["last_rows"]) for r in read_monitoring(spark, root).collect()}
-    assert mon == {0: (1, 2), 1: (1, None), 2: (1, None)}
+    assert mon == {0: (1, 2), 1: (0, 1), 2: (1, None)}
+    assert {r["company_id"]: r["actual_status"] for r in read_monitoring(spark, root).collect()} == {
+        0: "SUCCESS", 1: "FAILED", 2: "SUCCESS"}
+    # the same load again changes neither the table nor the monitoring rows
+    before = sorted(read_monitoring(spark, root).drop("actual_duration").collect())
+    run_endpoint_load(spark, landed=day2, layout="ndjson", root=root, table="t", version=2,
+                      synced_at="2025-01-02 00:00:00").collect()
+    assert sorted(read_monitoring(spark, root).drop("actual_duration").collect()) == before
+    # nothing parses at all: no crash, the table stays
+    day3 = os.path.join(tmp_dir, "d3")
+    land(day3, {0: ["broken"], 5: ["[1"]})
+    s3 = run_endpoint_load(spark, landed=day3, layout="ndjson", root=root, table="t", version=3,
+                           synced_at="2025-01-03 00:00:00").collect()
+    assert {(r["company_id"], r["write_mode"], r["rows_processed"]) for r in s3} == {(0, "none", 0), (5, "none", 0)}
+    assert read_tenants(spark, root, "t", "company_id").count() == 4
 
 
 def test_export_cursor_table(spark, tmp_dir):

@@ -62,18 +62,3 @@ def test_normalize_reads_fields_by_name(spark):
     plan = _plan(out)
     assert "__entries" not in plan and "map_entries" not in plan
     assert out.where("a_b = 5").count() == 1
-
-
-def test_spread_only_adds_a_shuffle_for_small_inputs(spark):
-    from ledgerline.session import spread
-    small = fx.table(spark, SF, "orders")
-    assert "RoundRobinPartitioning(8)" in _plan(spread(small, min_partitions=8))
-    assert "RoundRobinPartitioning" not in _plan(spread(small, min_partitions=1))
-    # an input whose size already yields the wanted splits is left alone:
-    # with 1 KB splits the 8 wanted splits are far exceeded
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
-    try:
-        assert "RoundRobinPartitioning" not in _plan(spread(small, min_partitions=8))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
