@@ -44,6 +44,30 @@ def snapshot_metrics(items: DataFrame, snapshot_col: str, text_col: str) -> Data
         "*").fillna(0, subset=["non_ascii_chars"])
 
 
+def snapshot_difference(metrics: DataFrame, first: str, second: str) -> DataFrame:
+    """Q1: per metric the value of both snapshots, second minus first, and
+    their ratio (null where the first has none).  A snapshot that is absent
+    counts as 0 everywhere."""
+    names = [c for c in metrics.columns if c != "snapshot"]
+    long = metrics.select("snapshot", *[F.col(c).cast("bigint").alias(c) for c in names]).unpivot(
+        ["snapshot"], names, "metric", "value")
+
+    def of(which: str):
+        return F.coalesce(F.sum(F.when(F.col("snapshot") == which, F.col("value"))), F.lit(0))
+
+    both = long.groupBy("metric").agg(of(first).alias("first_value"), of(second).alias("second_value"))
+    return both.select("metric", "first_value", "second_value",
+                       (F.col("second_value") - F.col("first_value")).alias("difference"),
+                       F.try_divide("second_value", "first_value").alias("ratio"))
+
+
+def item_counts(items: DataFrame, group_col: str, base_group) -> DataFrame:
+    """Items per group and how many more they are than the base group's."""
+    n = items.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_items"))
+    base = n.where(F.col(group_col) == F.lit(base_group)).agg(F.max("n_items")).scalar()
+    return n.withColumn("difference", F.col("n_items") - F.coalesce(base, F.lit(0)))
+
+
 def non_ascii_set(items: DataFrame, group_col: str, text_col: str) -> DataFrame:
     """Distinct non-ASCII characters per group."""
     return (items.select(F.col(group_col).alias("grp"),

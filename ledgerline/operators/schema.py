@@ -79,6 +79,15 @@ def drift_summary(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
                                   F.sort_array(F.collect_set("snake_case")).alias("snake_columns"))
 
 
+def drift_totals(catalog: DataFrame, pairs: DataFrame, tenant_col: str) -> DataFrame:
+    """One row: tenants and tables (of a tenant) with pairs, all tenants,
+    and pairs.  Both sides are aggregates; the total is a scalar subquery."""
+    total = catalog.agg(F.count_distinct(tenant_col)).scalar()
+    return pairs.agg(F.count_distinct(tenant_col).alias("tenants_affected"),
+                     F.count_distinct(tenant_col, "table_name").alias("tables_affected"),
+                     F.count(F.lit(1)).alias("n_pairs")).withColumn("n_tenants", total)
+
+
 # ----------------------------------------------------------------------- C7
 def drop_duplicate_style(df: DataFrame, pairs: list[tuple[str, str]], keep: str = "snake_case",
                          copy_first: bool = True) -> DataFrame:

@@ -515,6 +515,19 @@ pairs AS (SELECT s.table_name, s.snake_case, s.camel_twin AS camel_case FROM s
 sql("drift_pairs", f"WITH {_PAIRS} SELECT * FROM pairs")
 sql("drift_summary", f"WITH {_PAIRS} SELECT table_name, count(*) AS n_pairs FROM pairs GROUP BY 1")
 
+_TCAT = _CAT.replace("SELECT DISTINCT ", "SELECT DISTINCT p_partkey % 70 AS company_id, ")
+sql("drift_totals", f"""
+WITH {_TCAT},
+pairs AS (SELECT s.company_id, s.table_name FROM cat s
+          JOIN cat c ON s.company_id = c.company_id AND s.table_name = c.table_name
+                    AND c.column_name = {_camel('s.column_name')}
+          WHERE regexp_matches(s.column_name, '^[a-z][a-z0-9_]*$') AND c.column_name <> s.column_name)
+SELECT count(DISTINCT company_id) AS tenants_affected,
+       (SELECT count(*) FROM (SELECT DISTINCT company_id, table_name FROM pairs)) AS tables_affected,
+       count(*) AS n_pairs, (SELECT count(DISTINCT company_id) FROM cat) AS n_tenants
+FROM pairs
+""")
+
 sql("drop_duplicate_style", """
 SELECT o_orderkey, o_orderstatus AS order_status, o_totalprice AS total_price FROM orders
 """)
@@ -541,6 +554,22 @@ c AS (SELECT snapshot, count(DISTINCT ch) AS non_ascii_chars
 SELECT m.*, coalesce(c.non_ascii_chars, 0) AS non_ascii_chars FROM m LEFT JOIN c USING (snapshot)
 """)
 
+sql("snapshot_difference", f"""
+WITH q AS ({ORACLE["snapshot_compare"]}),
+u AS (UNPIVOT (SELECT snapshot, CAST(COLUMNS(* EXCLUDE snapshot) AS BIGINT) FROM q)
+      ON COLUMNS(* EXCLUDE snapshot) INTO NAME metric VALUE v),
+b AS (SELECT metric, CAST(coalesce(sum(v) FILTER (WHERE snapshot = 'return_1'), 0) AS BIGINT) AS first_value,
+             CAST(coalesce(sum(v) FILTER (WHERE snapshot = 'return_2'), 0) AS BIGINT) AS second_value
+      FROM u GROUP BY 1)
+SELECT *, second_value - first_value AS difference,
+       CAST(second_value AS DOUBLE) / nullif(first_value, 0) AS ratio FROM b
+""")
+
+sql("item_counts", """
+WITH n AS (SELECT lang, count(*) AS n_items FROM documents GROUP BY 1)
+SELECT *, n_items - coalesce((SELECT n_items FROM n WHERE lang = 'en'), 0) AS difference FROM n
+""")
+
 sql("charset_diff", """
 WITH s AS (SELECT DISTINCT lang, unnest(regexp_extract_all(text, '([^\\x00-\\x7F])', 1)) AS ch FROM documents)
 SELECT lang, ch FROM s WHERE lang <> 'en' AND ch NOT IN (SELECT ch FROM s WHERE lang = 'en')
@@ -745,6 +774,46 @@ FROM r1 FULL OUTER JOIN r2 ON r1.company_id = r2.company_id
 """)
 
 
+sql("load_duplicate_ids", """
+WITH t AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders
+           WHERE o_orderkey % 13 <> 0 AND o_orderkey % 1000 <> 7),
+s AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders
+      WHERE o_orderkey % 10 <> 0 AND o_orderkey % 1000 <> 7),
+refused AS (SELECT DISTINCT company_id FROM s WHERE company_id = 4 AND id % 3 = 0),
+good AS (SELECT * FROM s WHERE company_id NOT IN (SELECT company_id FROM refused)),
+j AS (SELECT coalesce(t.company_id, g.company_id) AS company_id,
+             CASE WHEN coalesce(t.company_id, g.company_id) NOT IN (SELECT company_id FROM good) THEN 'INSERT'
+                  WHEN t.id IS NULL THEN 'INSERT' WHEN g.id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS op
+      FROM t FULL OUTER JOIN good g ON t.company_id = g.company_id AND t.id = g.id),
+e AS (SELECT o_custkey % 30 AS company_id, max(n) AS n FROM orders
+      LEFT JOIN (SELECT company_id, count(*) AS n FROM good GROUP BY 1) c ON c.company_id = o_custkey % 30
+      WHERE o_orderkey % 10 <> 0 GROUP BY 1)
+SELECT j.company_id, count(*) FILTER (WHERE op = 'INSERT') AS live_insert,
+       count(*) FILTER (WHERE op = 'UPDATE') AS live_update, count(*) FILTER (WHERE op = 'DELETE') AS live_delete,
+       max(CASE WHEN e.company_id IS NOT NULL THEN 'orders_bronze' END) AS endpoint,
+       max(CASE WHEN e.company_id IS NULL THEN NULL WHEN e.n IS NULL THEN 'ERROR' ELSE 'SUCCESS' END) AS event_type,
+       max(CASE WHEN e.company_id IS NULL THEN NULL WHEN j.company_id IN (SELECT company_id FROM refused)
+                THEN 'duplicate keys' WHEN e.n IS NULL THEN 'no valid record'
+                ELSE CAST(e.n AS VARCHAR) || ' rows' END) AS event_message,
+       max(CASE WHEN e.company_id IS NOT NULL THEN 'ledgerline_load' END) AS source
+FROM j LEFT JOIN e ON j.company_id = e.company_id
+GROUP BY 1
+""")
+
+
+sql("load_new_column", """
+WITH t AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders
+           WHERE o_orderkey % 13 <> 0 AND o_orderkey % 1000 <> 7),
+s AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id,
+             CASE WHEN o_custkey % 30 % 3 = 1 THEN o_orderpriority END AS p FROM orders
+      WHERE o_orderkey % 10 <> 0 AND o_orderkey % 1000 <> 7)
+SELECT coalesce(t.company_id, s.company_id) AS company_id, count(*) AS n_live, count(p) AS n_priority,
+       min(p) AS least_priority
+FROM t FULL OUTER JOIN s ON t.company_id = s.company_id AND t.id = s.id
+GROUP BY 1
+""")
+
+
 sql("merge_only_changed", f"""
 WITH {fx.SQL_FA}
 SELECT {_MERGE_COLS},

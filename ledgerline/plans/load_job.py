@@ -10,7 +10,11 @@ discovery gives every record its tenant.  The job is:
 5. publish the touched tenants as a new version (per-tenant copy-on-write);
 6. per-tenant summary: rows processed (A7), operations, bad records (S4);
 7. monitoring snapshot upsert per tenant (A6, A7, W10), published as the next
-   version of the endpoint's table below ``_monitoring``.
+   version of the endpoint's table below ``_monitoring``;
+8. one event per tenant in the event log below ``_events`` (S18).
+
+A tenant whose staging holds a key twice is refused (W9): its live rows stay,
+it is reported as FAILED, and the other tenants load.
 
 Every step is a DataFrame plan; the driver only sees schema-sized and
 tenant-sized results (probe rows, the staged tenant list).
@@ -20,7 +24,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import keys as K
@@ -56,6 +60,13 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
     # Every staged tenant, also those with bad records alone.
     staged = staging_all.groupBy(tenant_col).agg(F.count_if("is_bad").alias("bad_records"))
 
+    refused = []
+    if key in staging.columns and use_merge and is_production:
+        # A key that comes twice would multiply its rows with every load.
+        twice = K.duplicate_keys(staging.where(F.col(key).isNotNull()), [tenant_col, key])
+        refused = [r[0] for r in twice.select(tenant_col).distinct().collect()]   # tenant-sized
+        staging = staging.where(~_one_of(tenant_col, refused))
+    staged = staged.withColumn("refused", _one_of(tenant_col, refused))
     tenants = [r[0] for r in staging.select(tenant_col).distinct().collect()]   # tenant-sized
     operations = ("INSERT", "UPDATE", "DELETE", "OVERWRITE")
     if not tenants:   # nothing parsed: the table stays as it is, and the tenants are reported
@@ -75,9 +86,6 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
         mode = "replace_dates" if has_dates else "replace_all"
     else:
         mode = "merge"
-    if staging_has_key and mode in ("merge", "first_load"):
-        # A key that comes twice would multiply its rows with every load.
-        K.assert_unique_keys(staging.where(F.col(key).isNotNull()), [tenant_col, key])
     if mode == "merge":
         out = M.merge_soft_delete(target, staging, synced_at, key=key, tenant_col=tenant_col,
                                   tenants=tenants)
@@ -101,22 +109,50 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, layout: str, root: st
 
 def _report(spark: SparkSession, root: str, mode: str, staged: DataFrame, processed: DataFrame, stats: DataFrame,
             tenant_col: str, endpoint: str, version: int, started: float, now) -> DataFrame:
-    """Monitoring rows and the summary of one load.  A tenant whose records
-    are all bad has FAILED."""
+    """Monitoring rows, events and the summary of one load.  A tenant that is
+    refused or whose records are all bad has FAILED and writes nothing."""
     seen = staged.join(processed, tenant_col, "left").select(
-        tenant_col, F.coalesce("rows_processed", F.lit(0)).alias("rows_processed"))
+        tenant_col, F.coalesce("rows_processed", F.lit(0)).alias("rows_processed"), "bad_records", "refused")
     seen = seen.withColumn("status", F.when(F.col("rows_processed") == 0, "FAILED").otherwise("SUCCESS"))
+    record_events(seen, root, tenant_col, endpoint, version, now)
     update_monitoring(spark, root, stats, seen, tenant_col, endpoint, f"load {version}",
                       round(time.monotonic() - started, 2), now)
     ops = stats.drop("max_sync")
     return (staged.join(processed, tenant_col, "left").join(ops, tenant_col, "left")
-            .select(tenant_col, F.lit(mode).alias("write_mode"),
+            .select(tenant_col, F.when(F.col("rows_processed").isNull(), "none").otherwise(mode).alias("write_mode"),
                     F.coalesce("rows_processed", F.lit(0)).alias("rows_processed"),
                     *[F.coalesce(F.col(f"n_{op}"), F.lit(0)).alias(f"n_{op}")
                       for op in ("insert", "update", "delete", "overwrite")],
                     F.coalesce("bad_records", F.lit(0)).alias("bad_records")))
 
 
+def _one_of(col: str, values: list) -> Column:
+    """Whether ``col`` is one of ``values``; null counts as a value."""
+    named = [v for v in values if v is not None]
+    return F.coalesce(F.col(col).isin(named), F.lit(None in values)) if values else F.lit(False)
+
+
+EVENTS = "_events"
+
+
+def record_events(seen: DataFrame, root: str, tenant_col: str, endpoint: str, version: int, now) -> None:
+    """One event per staged tenant.  Each load has a folder of its own,
+    so a rerun replaces its events and loads that end together don't meet."""
+    failed = F.col("status") == "FAILED"
+    message = (F.when(F.col("refused"), "duplicate keys").when(failed, "no valid record")
+               .otherwise(F.concat(F.col("rows_processed").cast("string"), F.lit(" rows"))))
+    events = MO.log_events(
+        seen, timestamp=MO._now(now), company_id=F.col(tenant_col), endpoint=F.lit(endpoint),
+        event_type=F.when(failed, "ERROR").otherwise("SUCCESS"), event_title=F.lit(f"Load {endpoint}"),
+        event_message=message, source="ledgerline_load", info=F.struct("rows_processed", "bad_records"))
+    events.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{EVENTS}/table={endpoint}/load={version}")
+
+
+def read_events(spark: SparkSession, root: str) -> DataFrame:
+    """The event log of all loads, with the load's version as ``load``."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{EVENTS}").drop("table")
+
+
 MONITORING = "_monitoring"
 MONITORING_SCHEMA = ("company_id bigint, endpoint_name string, max_sync timestamp_ntz, actual_rows bigint, "
                      "actual_duration double, actual_status string, last_rows bigint, last_duration double, "

@@ -589,6 +589,15 @@ def q_drift_summary(spark, sf):
         "table_name", "n_pairs")
 
 
+@query("drift_totals")
+def q_drift_totals(spark, sf):
+    """Tenants and tables with both styles, over all tenants' catalogs."""
+    cat = fx.table(spark, sf, "part").select((F.col("p_partkey") % 70).alias("company_id"),
+                                             F.expr(fx.CATALOG_TABLE_EXPR).alias("table_name"),
+                                             F.expr(fx.CATALOG_COL_EXPR).alias("column_name"))
+    return SC.drift_totals(cat, SC.duplicate_style_pairs(cat, ["company_id", "table_name"]), "company_id")
+
+
 @query("drop_duplicate_style")
 def q_drop_duplicate_style(spark, sf):
     """Orders landed with both naming styles; keep snake_case, copy the
@@ -613,6 +622,18 @@ def q_snapshot_compare(spark, sf):
     return QA.snapshot_metrics(d, "snap", "text")
 
 
+@query("snapshot_difference")
+def q_snapshot_difference(spark, sf):
+    """Q1: differences and ratios of the two snapshots' metrics."""
+    return QA.snapshot_difference(q_snapshot_compare(spark, sf), "return_1", "return_2")
+
+
+@query("item_counts")
+def q_item_counts(spark, sf):
+    """Documents per language against English."""
+    return QA.item_counts(fx.table(spark, sf, "documents"), "lang", "en")
+
+
 @query("charset_diff")
 def q_charset_diff(spark, sf):
     """Non-ASCII characters each language uses that English never does."""
@@ -971,33 +992,41 @@ def q_tenant_load_cycle(spark, sf):
             .groupBy("company_id", "_etl_operation").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _two_loads(spark, sf):
+def _two_loads(spark, sf, added=None, twice=None, replay=False):
     """Run the endpoint load twice (first load, then merge); returns the
-    second summary and the table root."""
+    second summary and the table root.  The second day's records may have an
+    ``added`` field, and those of ``twice`` come two times; with ``replay``
+    the second load is run again."""
     from ledgerline.plans.load_job import run_endpoint_load
     o = fx.table(spark, sf, "orders")
     k = F.col("o_orderkey")
     base = scratch_dir(spark, "endpoint-load")
 
-    def land(df, path):
+    def land(df, path, *more):
         rec = F.to_json(F.struct(
             k.alias("id"), F.col("o_custkey").alias("custKey"), F.col("o_orderstatus").alias("orderStatus"),
             F.col("price").alias("totalPrice"), F.col("o_orderdate").cast("date").cast("string")
-            .alias("orderDate")))
+            .alias("orderDate"), *more))
         bad = k % 1000 == 7
         text = F.when(bad, F.concat(rec, F.lit(" trailing"))).otherwise(rec)
         (df.select((F.col("o_custkey") % N_TENANTS).alias("company_id"), text.alias("value"))
          .write.mode("overwrite").partitionBy("company_id").text(path))
 
+    def load(version, stamp):
+        return run_endpoint_load(spark, landed=f"{base}/landed-{version}", layout="ndjson", root=f"{base}/tables",
+                                 table="orders_bronze", version=version, synced_at=stamp)
+
     day1 = o.where(k % 13 != 0).withColumn("price", F.col("o_totalprice"))
     day2 = o.where(k % 10 != 0).withColumn(
         "price", F.when(k % 7 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    if twice is not None:
+        day2 = day2.unionByName(day2.where(twice))
     land(day1, f"{base}/landed-1")
-    run_endpoint_load(spark, landed=f"{base}/landed-1", layout="ndjson", root=f"{base}/tables",
-                      table="orders_bronze", version=1, synced_at=fx.T0)
-    land(day2, f"{base}/landed-2")
-    summary = run_endpoint_load(spark, landed=f"{base}/landed-2", layout="ndjson", root=f"{base}/tables",
-                                table="orders_bronze", version=2, synced_at=fx.SYNCED_AT)
+    load(1, fx.T0)
+    land(day2, f"{base}/landed-2", *([] if added is None else [added]))
+    summary = load(2, fx.SYNCED_AT)
+    if replay:
+        summary = load(2, fx.SYNCED_AT)
     return summary, f"{base}/tables"
 
 
@@ -1023,6 +1052,37 @@ def q_load_monitoring(spark, sf):
                       "last_rows", "last_status")
 
 
+@query("load_duplicate_ids")
+def q_load_duplicate_ids(spark, sf):
+    """W9 + S18 inside the load job: one tenant's second file holds records
+    twice.  The tenant is refused and keeps its rows; the others load.  Per
+    tenant: the event of the second load and the live rows by operation."""
+    from ledgerline.plans.load_job import read_events
+    tenant = F.col("o_custkey") % N_TENANTS
+    _, root = _two_loads(spark, sf, twice=(tenant == 4) & (F.col("o_orderkey") % 3 == 0))
+    events = read_events(spark, root).where("load = 2").select(
+        F.coalesce(F.col("company_id").cast("bigint"), F.lit(0)).alias("company_id"),   # the log has no id 0
+        "endpoint", "event_type", "event_message", "source")
+    live = PUB.read_tenants(spark, root, "orders_bronze", "company_id")
+    n = live.groupBy(F.col("company_id").cast("bigint").alias("company_id")).agg(
+        *[F.count_if(F.col("_etl_operation") == op).alias(f"live_{op.lower()}")
+          for op in ("INSERT", "UPDATE", "DELETE")])
+    return n.join(events, "company_id", "left")
+
+
+@query("load_new_column")
+def q_load_new_column(spark, sf):
+    """C3 + H1 inside the load job: the second day's records of some tenants
+    have a new field, and the second load is run twice.  Each tenant's live
+    rows, and how many carry the field."""
+    new = F.when((F.col("o_custkey") % N_TENANTS) % 3 == 1, F.col("o_orderpriority")).alias("orderPriority")
+    _, root = _two_loads(spark, sf, added=new, replay=True)
+    live = PUB.read_tenants(spark, root, "orders_bronze", "company_id")
+    return live.groupBy(F.col("company_id").cast("bigint").alias("company_id")).agg(
+        F.count(F.lit(1)).alias("n_live"), F.count("order_priority").alias("n_priority"),
+        F.min("order_priority").alias("least_priority"))
+
+
 @query("merge_only_changed")
 def q_merge_only_changed(spark, sf):
     """W5 with ``only_changed=True`` (finding 1): matches whose values are
