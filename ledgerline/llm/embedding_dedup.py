@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, land, ship, small
+from .common import components, cut, land, ship
 
 COSINE = 0.9
 # Length of a neighbour list to begin with; doubled while recall is short.
@@ -23,6 +23,9 @@ RUN, LOCAL, TILE = 128, 64, 1024
 ROUNDS, CHANGED = 6, 0.01
 # Queries of the audit, and the recall at which it is content.
 AUDIT, RECALL, ATTEMPTS = 400, 0.97, 3
+# Angle of the pieces that components of full lists are cut into, and the
+# pieces whose centres are compared at once.
+PIECE, CENTRES = 0.2, 8192
 
 
 @dataclass
@@ -187,6 +190,13 @@ def _verified(vecs: DataFrame, pairs: DataFrame, dim: int, least: float) -> Data
     return pairs.join(left, "a").join(right, "b").select("a", "b", "xa", "xb").mapInArrow(check, "a long, b long")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, n, ...) dealt into n tiles and sent to every pair (p, q) of
+    tiles, p <= q, that theirs is in; ``first``: theirs is p."""
+    rows = rows.withColumn("i", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")).withColumn("j", F.explode(F.expr("sequence(0, n - 1)")))
+    return rows.withColumns({"p": F.least("i", "j"), "q": F.greatest("i", "j"), "first": F.col("i") <= F.col("j")}).drop("i", "j", "n")
+
+
 def _within(vecs: DataFrame, groups: DataFrame, dim: int, least: float) -> DataFrame:
     """(id, links) of the vectors of the components ``groups`` (id, root): the
     rows, counted with their copies, of their component that link with them.
@@ -195,10 +205,7 @@ def _within(vecs: DataFrame, groups: DataFrame, dim: int, least: float) -> DataF
     their own that return one count a row.
     """
     tiles = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("n"))
-    g = groups.join(tiles, "root").withColumn("i", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
-    g = g.join(vecs, "id").withColumn("j", F.explode(F.expr("sequence(0, n - 1)")))
-    g = g.select("root", F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q"), (F.col("i") <= F.col("j")).alias("first"),
-                 "id", "m", "x")
+    g = _dealt(groups.join(tiles, "root")).join(vecs, "id").select("root", "p", "q", "first", "id", "m", "x")
 
     def count(t: pa.Table) -> pa.Table:
         x, m, ids = _unit(_matrix(t["x"], dim)), t["m"].to_numpy(), t["id"].to_numpy()
@@ -218,6 +225,88 @@ def _within(vecs: DataFrame, groups: DataFrame, dim: int, least: float) -> DataF
     return counts.groupBy("id").agg(F.sum("links").alias("links"))
 
 
+def _pieces(vecs: DataFrame, groups: DataFrame, dim: int) -> DataFrame:
+    """(id, root, piece, r, x): the vectors of ``groups`` (id, root) cut into
+    pieces of one component.  A piece is named by the id of its centre; r is
+    its radius, at most PIECE."""
+    tiles = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("n"))
+    g = groups.join(tiles, "root").withColumn("i", F.pmod(F.xxhash64("id"), F.col("n"))).join(vecs, "id").select("root", "i", "id", "x")
+
+    def gather(t: pa.Table) -> pa.Table:
+        x, ids = _unit(_matrix(t["x"], dim)), t["id"].to_numpy()
+        piece, r, left = np.zeros(len(ids), np.int64), np.zeros(len(ids)), np.arange(len(ids))
+        while len(left):
+            c = np.clip(x[left] @ x[left[0]], -1, 1)
+            own = c >= np.cos(PIECE)
+            own[0] = True
+            piece[left[own]], r[left[own]] = ids[left[0]], np.arccos(c[own].min())
+            left = left[~own]
+        return pa.table({"id": t["id"], "root": t["root"], "piece": pa.array(piece), "r": pa.array(r), "x": t["x"]})
+
+    return g.groupBy("root", "i").applyInArrow(gather, "id long, root long, piece long, r double, x array<float>")
+
+
+def _across(vecs: DataFrame, groups: DataFrame, dim: int, least: float) -> DataFrame | None:
+    """Pairs (a, b) of roots whose vectors in ``groups`` (id, root) link, found
+    without neighbour lists: enough of them to connect all that link.
+
+    By the triangle inequality, pieces can only link if the angle of their
+    centres is at most that of ``least`` and their radii; all centres are
+    compared in tiles.  Linked centres connect their roots; where no such pair
+    connects two roots, the pieces that may link are compared whole.
+    """
+    pieces = land(_pieces(vecs, groups, dim), "pieces")
+    centres = pieces.filter("id = piece").select("id", "root", "r", "x")
+    n = centres.count()
+    if centres.select("root").distinct().count() < 2:
+        return None
+    reach = float(np.arccos(least))
+
+    def near(t: pa.Table) -> pa.Table:
+        x, ids, root, r = _unit(_matrix(t["x"], dim)), t["id"].to_numpy(), t["root"].to_numpy(), t["r"].to_numpy()
+        first = t["first"].to_numpy(zero_copy_only=False)
+        a = np.flatnonzero(first)
+        b = a if t["p"][0].as_py() == t["q"][0].as_py() else np.flatnonzero(~first)
+        got = [np.zeros((0, 5), np.int64)]
+        for at in range(0, len(a), TILE):
+            own = a[at:at + TILE]
+            c = x[own] @ x[b].T
+            far = np.minimum(reach + r[own][:, None] + r[b][None], np.pi)
+            i, j = np.nonzero((c >= np.cos(far) - 1e-9) & (root[own][:, None] != root[b][None]))
+            pair = np.stack([ids[own[i]], ids[b[j]], root[own[i]], root[b[j]], c[i, j] >= least], 1)
+            turned = pair[:, 2] > pair[:, 3]
+            pair[turned] = pair[turned][:, [1, 0, 3, 2, 4]]
+            # One row of roots whose centres link says all about them.
+            pair = pair[np.lexsort((-pair[:, 4], pair[:, 3], pair[:, 2]))]
+            new = np.ones(len(pair), bool)
+            new[1:] = (pair[1:, 2:4] != pair[:-1, 2:4]).any(1)
+            sure = pair[np.flatnonzero(new)][np.cumsum(new) - 1, 4] if len(pair) else pair[:, 4]
+            got.append(np.unique(pair[new | (sure == 0)], axis=0))
+        found = np.unique(np.concatenate(got), axis=0)
+        return pa.table({k: pa.array(np.ascontiguousarray(found[:, i])) for i, k in enumerate(["pa", "pb", "a", "b", "sure"])})
+
+    dealt = _dealt(centres.withColumn("n", F.lit(-(-n // CENTRES)))).select("p", "q", "first", "id", "root", "r", "x")
+    found = cut(dealt.groupBy("p", "q").applyInArrow(near, "pa long, pb long, a long, b long, sure long"))
+    sure = cut(found.filter("sure = 1").select("a", "b").distinct())
+    joined = cut(components(sure))
+    top = lambda c: joined.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+    open_ = found.filter("sure = 0").join(top("a"), "a", "left").join(top("b"), "b", "left").filter(
+        F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("pa", "pb", "a", "b").distinct()
+    open_ = cut(open_)
+    if open_.isEmpty():
+        return sure
+    members = pieces.select("piece", "x")
+    both = open_.join(members, F.col("pa") == F.col("piece")).withColumn("first", F.lit(True)).unionByName(
+        open_.join(members, F.col("pb") == F.col("piece")).withColumn("first", F.lit(False)))
+
+    def link(t: pa.Table) -> pa.Table:
+        x, first = _unit(_matrix(t["x"], dim)), t["first"].to_numpy(zero_copy_only=False)
+        return t.select(["a", "b"]).slice(0, int((x[first] @ x[~first].T >= least).any()))
+
+    linked = both.groupBy("pa", "pb").applyInArrow(link, "a long, b long")
+    return cut(sure.unionByName(linked).distinct())
+
+
 def _audit(vecs: DataFrame, counts: DataFrame, dim: int, least: float) -> float:
     """Recall of the links of the AUDIT vectors with the smallest hashes, each
     compared with all vectors."""
@@ -255,9 +344,17 @@ def _one_length(vecs: DataFrame, dim: int, least: float, k: int) -> tuple[DataFr
         near = graph.filter(F.col("s") >= least - 1e-3).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
         edges = cut(_verified(vecs, near, dim, least))
         roots = cut(components(edges).withColumnRenamed("node", "id"))
-        full = graph.filter(F.col("s") >= least).groupBy("u").count().filter(F.col("count") >= k).select(F.col("u").alias("id"))
-        # A list full of links may have cut some off: it grows to the whole component.
-        grown = cut(full.join(roots, "id").select("root").distinct())
+        full = graph.filter(F.col("s") >= least - 1e-3).groupBy("u").count().filter(F.col("count") >= k).select(F.col("u").alias("id"))
+        # A list full of links may have cut some off.  Those to vectors of other
+        # components whose lists are full too are in no list: their components
+        # are joined.  Then the lists grow to the whole component.
+        full = cut(full.join(roots, "id").select("id", "root"))
+        across = _across(vecs, full, dim, least)
+        if across is not None:
+            joined = components(across).withColumnRenamed("root", "_root")
+            roots, full = (cut(d.join(joined, d.root == joined.node, "left").select("id", F.coalesce("_root", "root").alias("root")))
+                           for d in (roots, full))
+        grown = cut(full.select("root").distinct())
         sides = edges.union(edges.select("b", "a")).toDF("id", "other").join(roots, "id").join(grown, "root", "left_anti")
         plain = sides.join(vecs.select(F.col("id").alias("other"), "m"), "other").groupBy("id").agg(F.sum("m").alias("links"))
         counts = cut(plain.unionByName(_within(vecs, roots.join(grown, "root", "left_semi"), dim, least)))
@@ -279,10 +376,10 @@ def near_duplicates(emb: DataFrame, least: float = COSINE, neighbours: int = NEI
     Equal vectors are one vertex with a weight.  A graph of nearest
     neighbours starts from random orders and is refined by joining the
     neighbours of each vector.  Its edges of enough cosine, checked in
-    double precision, are links; where a list is full of them, the lists of
-    its component grow to all of it.  The recall is audited against brute
-    force on a sample, and the graph refined with longer lists while it is
-    short.
+    double precision, are links.  Where lists are full of them, components
+    that link with one another are joined by an exact search, and the lists
+    grow to the whole component.  The recall is audited against brute force
+    on a sample, and the graph refined with longer lists while it is short.
 
     Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing and are their own component; so do vectors of another
