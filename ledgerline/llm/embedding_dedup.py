@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, cut, land, ship
+from .common import components, cut, land, ship, unit_hash
 
 COSINE = 0.9
 # Length of a neighbour list to begin with; doubled while recall is short.
@@ -21,8 +21,9 @@ ORDERS = 4
 RUN, LOCAL, TILE = 128, 64, 1024
 # Rounds of refinement; they stop when less than CHANGED of the entries change.
 ROUNDS, CHANGED = 6, 0.01
-# Queries of the audit, and the recall at which it is content.
-AUDIT, RECALL, ATTEMPTS = 400, 0.97, 3
+# Vectors that the audit draws first and at most at once, the linked ones it
+# wants among them, and the recall at which it is content.
+AUDIT, DRAW, LINKED, RECALL = 400, 1 << 14, 200, 0.97
 # Angle of the pieces that components of full lists are cut into, and the
 # pieces whose centres are compared at once.
 PIECE, CENTRES = 0.2, 8192
@@ -31,7 +32,7 @@ PIECE, CENTRES = 0.2, 8192
 @dataclass
 class Found:
     """links: (vec_id, n_links, component_id, kept); recall: the audited share
-    of the true links of a sample of vectors that were found."""
+    of a vector's true links that were found, on average over linked vectors."""
 
     links: DataFrame
     recall: float
@@ -308,23 +309,37 @@ def _across(vecs: DataFrame, groups: DataFrame, dim: int, least: float) -> DataF
 
 
 def _audit(vecs: DataFrame, counts: DataFrame, dim: int, least: float) -> float:
-    """Recall of the links of the AUDIT vectors with the smallest hashes, each
-    compared with all vectors."""
-    rows = vecs.orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT).select("id", "x").collect()
-    ids, x = np.array([r["id"] for r in rows]), _unit(np.array([r["x"] for r in rows], np.float32))
-
-    def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(ids), np.int64)
-        for t in batches:
-            if len(t):
-                near = x @ _unit(_matrix(t["x"], dim)).T >= least
-                near &= ids[:, None] != t["id"].to_numpy()[None]
-                n += near @ t["m"].to_numpy()
-        yield pa.RecordBatch.from_pydict({"id": pa.array(ids, pa.int64()), "links": pa.array(n, pa.int64())})
-
-    true = vecs.select("id", "m", "x").mapInArrow(brute, "id long, links long").agg(F.sum("links")).first()[0]
-    found = counts.filter(F.col("id").isin([int(i) for i in ids])).agg(F.sum("links")).first()[0]
-    return (found or 0) / true if true else 1.0
+    """The share of its true links that a linked vector has in ``counts``, on
+    average: each linked vector weighs the same.  Vectors are drawn by their
+    hashes and compared with all vectors until LINKED of them have a link, or
+    all are drawn."""
+    n, u = max(1, vecs.count()), unit_hash(F.col("id"), F.lit("audit"))
+    shares: list[float] = []
+    low, size = 0.0, AUDIT
+    while low < 1 and len(shares) < LINKED:
+        high = min(1.0, low + min(size, DRAW) / n)
+        rows = vecs.filter((u >= low) & (u < high)).select("id", "x").collect()
+        low, size = high, 2 * size
+        if not rows:
+            continue
+        ids, x = np.array([r["id"] for r in rows]), _unit(np.array([r["x"] for r in rows], np.float32))
+
+        def brute(batches: Iterator[pa.RecordBatch], ids=ids, x=x) -> Iterator[pa.RecordBatch]:
+            links = np.zeros(len(ids), np.int64)
+            for t in batches:
+                if len(t):
+                    other, own, m = _unit(_matrix(t["x"], dim)).T, t["id"].to_numpy()[None], t["m"].to_numpy()
+                    for at in range(0, len(ids), TILE):
+                        near = x[at:at + TILE] @ other >= least
+                        near &= ids[at:at + TILE, None] != own
+                        links[at:at + TILE] += near @ m
+            some = np.flatnonzero(links)
+            yield pa.RecordBatch.from_pydict({"id": pa.array(ids[some], pa.int64()), "links": pa.array(links[some], pa.int64())})
+
+        true = vecs.select("id", "m", "x").mapInArrow(brute, "id long, links long").groupBy("id").agg(F.sum("links").alias("true"))
+        both = true.join(counts.select("id", F.col("links").alias("found")), "id", "left").collect()
+        shares += [min(1.0, (r["found"] or 0) / r["true"]) for r in both]
+    return float(np.mean(shares)) if shares else 1.0
 
 
 def _one_length(vecs: DataFrame, dim: int, least: float, k: int) -> tuple[DataFrame, float]:
@@ -359,10 +374,11 @@ def _one_length(vecs: DataFrame, dim: int, least: float, k: int) -> tuple[DataFr
         plain = sides.join(vecs.select(F.col("id").alias("other"), "m"), "other").groupBy("id").agg(F.sum("m").alias("links"))
         counts = cut(plain.unionByName(_within(vecs, roots.join(grown, "root", "left_semi"), dim, least)))
         recall = _audit(vecs, counts, dim, least)
-        attempt += 1
-        if recall >= RECALL or attempt == ATTEMPTS:
+        if recall >= RECALL:
             return counts.join(roots, "id").select("id", "links", "root"), recall
-        k *= 2
+        if k >= n:
+            raise RuntimeError(f"lists of all {n} vectors of length {dim} find only {recall:.3f} of the links")
+        attempt, k = attempt + 1, 2 * k
 
 
 def _valid(x: Column) -> Column:
@@ -379,7 +395,8 @@ def near_duplicates(emb: DataFrame, least: float = COSINE, neighbours: int = NEI
     double precision, are links.  Where lists are full of them, components
     that link with one another are joined by an exact search, and the lists
     grow to the whole component.  The recall is audited against brute force
-    on a sample, and the graph refined with longer lists while it is short.
+    on a sample, and the graph refined with longer lists while it is short;
+    if lists of all vectors don't suffice, that is an error.
 
     Vectors that are null, empty, zero or hold null or non-finite components
     link with nothing and are their own component; so do vectors of another

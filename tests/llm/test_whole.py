@@ -31,3 +31,29 @@ def test_embeddings_full_lists_link_across(spark, cosine):
     got = {y["vec_id"]: y for y in found.links.collect()}
     assert [got[i]["n_links"] for i in range(len(x))] == want.tolist()
     assert {got[i]["component_id"] for i in range(120)} == {0}
+
+
+def _vecs(spark, x):
+    return spark.createDataFrame([(i, 1, [float(c) for c in v]) for i, v in enumerate(x)], "id long, m long, x array<float>")
+
+
+def test_audit_weighs_vectors_alike(spark):
+    r = np.random.default_rng(5)
+    pairs = np.repeat(r.normal(size=(50, 64)).astype(np.float32), 2, 0)
+    x = np.concatenate([_groups(r, [], 100, 0.1), pairs])
+    counts = spark.createDataFrame([(i, 99) for i in range(100)], "id long, links long")  # no pair was found
+    assert embedding_dedup._audit(_vecs(spark, x), counts, 64, 0.9) < 0.6
+
+
+def test_audit_looks_until_it_sees_links(spark):
+    x = np.random.default_rng(6).normal(size=(2000, 64)).astype(np.float32)
+    x[1] = x[0]
+    none = spark.createDataFrame([], "id long, links long")
+    assert embedding_dedup._audit(_vecs(spark, x), none, 64, 0.9) == 0.0
+
+
+def test_embeddings_never_return_short_of_recall(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: 0.5)
+    x = np.random.default_rng(7).normal(size=(30, 8)).astype(np.float32)
+    with pytest.raises(RuntimeError):
+        embedding_dedup.near_duplicates(spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], VECS))
