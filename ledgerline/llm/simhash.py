@@ -45,14 +45,14 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n).view(">i8")[0])
 
 
-def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE, *more: Column) -> DataFrame:
+    """(doc_id, fp) of every row, and ``more``."""
 
     def tasks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select("doc_id", F.pandas_udf(tasks, "long")("text").alias("fp"))
+    return docs.select("doc_id", F.pandas_udf(tasks, "long")("text").alias("fp"), *more)
 
 
 def _references(n: int, seed: int) -> list[int]:
@@ -100,6 +100,18 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return a.join(b, on).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
+def _grouped(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows`` (doc_id, fp, ...) with the fingerprint that names their group,
+    ``root``, and the group's smallest doc_id, ``component_id``."""
+    classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = components(links(classes, max_bits).distinct())
+    known = cut(classes.join(roots, classes.fp == roots.node, "left")
+                .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
+    known = cut(known.join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id"))
+    return rows.join(known, rows.fp == F.col("_fp")).drop("_fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text, ...).
 
@@ -109,14 +121,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     and null texts share fingerprint 0 and link like any other; repeated
     rows come as often as they are; null ids never are the smallest.
     """
-    rows = cut(with_fingerprint(docs, shingle))
-    classes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(classes, max_bits).distinct())
-    known = cut(classes.join(roots, classes.fp == roots.node, "left")
-                .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = cut(known.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"))
-    return rows.join(known, rows.fp == F.col("_fp")).select("doc_id", "fp", "component_id")
+    return _grouped(cut(with_fingerprint(docs, shingle)), max_bits).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -124,20 +129,22 @@ def hex_fingerprint(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each group, in the columns of ``docs``: the one whose
-    doc_id is the group's component_id.  Where rows share that id, the one
-    with the smallest text, and of equal rows one, stays."""
-    found = cut(near_duplicates(docs, shingle, max_bits))
-    ids = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(ids.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    twice = found.groupBy("doc_id").count().filter("count > 1")
+    """One row of each group, in the columns of ``docs``: the one with the
+    smallest doc_id, of those the one with the smallest text hash, and of
+    equal rows one.  A row without an id stays only if its group has no id.
+    Rows are told apart by id and text, so groups may share an id."""
+    # Two hashes of the text: rows that agree in them and the id are copies.
+    text = F.struct(F.xxhash64("text").alias("t"), F.xxhash64(F.lit("text"), "text").alias("u"))
+    rows = cut(with_fingerprint(docs, shingle, text.alias("text")))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text")
+    kept = cut(_grouped(rows, max_bits).groupBy("root").agg(F.min(first).alias("k")).select(
+        F.col("k.doc_id").alias("_id"), F.col("k.text.t").alias("_t"), F.col("k.text.u").alias("_u")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text["t"] == F.col("_t")) & (text["u"] == F.col("_u"))
+    out = docs.join(kept, same, "left_semi")
+    twice = rows.groupBy("doc_id", "text").count().filter("count > 1")
     if twice.isEmpty():
-        return kept
-    # Ids are not unique: decide on (id, text hash), then on whole rows.
-    kept = kept.withColumn("_t", F.xxhash64("text"))
-    first = kept.groupBy("doc_id").agg(F.min("_t").alias("_first")).withColumnRenamed("doc_id", "_id")
-    one = kept.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_first")), "left_semi")
-    return one.dropDuplicates(["doc_id"]).select(*docs.columns)
+        return out
+    return out.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
 
 
 ship(__name__)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embedding_dedup
+from ledgerline.llm import embedding_dedup, simhash
 
 VECS = "vec_id long, embedding array<float>"
 
@@ -57,3 +57,14 @@ def test_embeddings_never_return_short_of_recall(spark, monkeypatch):
     x = np.random.default_rng(7).normal(size=(30, 8)).astype(np.float32)
     with pytest.raises(RuntimeError):
         embedding_dedup.near_duplicates(spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], VECS))
+
+
+def test_keep_one_of_each_group(spark):
+    r = np.random.default_rng(8)
+    text = [" ".join(f"t{w}" for w in r.integers(0, 5000, 80)) for _ in range(12)]
+    rows = [(None, t, i) for i, t in enumerate(text[:8])]  # clean documents without ids
+    rows += [(1, text[8], 8), (1, text[9], 9)]  # two texts share an id
+    rows += [(None, text[10], 10), (5, text[10], 11), (4, text[10], 12), (4, text[10], 12), (1, text[10] + " ", 13)]
+    rows += [(7, text[11], 14), (7, text[11], 14)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long"))
+    assert sorted(x["n"] for x in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 13, 14]
