@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, ship, small
 
-# A page votes for the deepest container with this share of its content.
+# The vote climbs from the deepest container with this share of the content.
 HOLDS = 0.6
 # A host's path wins with this share of the votes: at most 10 paths a host.
 WINS = 0.1
@@ -22,12 +22,14 @@ RAW = frozenset("script style noscript template textarea title iframe svg math s
 CONTAINER = frozenset("div section article main aside nav header footer form ul ol dl table tbody thead tfoot tr td th "
                       "blockquote figure fieldset details center menu dialog address".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr figcaption caption summary legend option".split())
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 OUT = frozenset("nav aside footer form menu dialog header".split())
 # Words of class, id and role that mark what is not the article.
 OUT_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside complementary "
                       "contentinfo ad ads advert adverts advertisement sponsor sponsored promo banner cookie cookies consent gdpr "
                       "notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
                       "related recommended comment comments commentlist disqus replies reply respond widget toolbar pagination".split())
+_ARTICLE = re.compile(r"(article|main)(?![^.#])")
 _HEAD = frozenset({"header", "masthead"})
 
 _TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|[!?/][^>]*>)""", re.S)
@@ -71,6 +73,7 @@ class Page:
     def __init__(self, html: str | None):
         self.nodes: list[tuple[int, str]] = [(-1, "")]
         self.blocks: list[tuple[int, str, int]] = []
+        self._prose: list[bool] = []  # of each block: a heading or paragraph
         self._read(html or "")
 
     def _read(self, html: str) -> None:
@@ -79,6 +82,7 @@ class Page:
         leaf_out = False
         text: list[str] = []
         linked, in_link, articles, at = 0, False, 0, 0
+        prose = False
 
         def end_block() -> None:
             nonlocal linked
@@ -87,6 +91,7 @@ class Page:
                 block = " ".join((unescape(joined) if "&" in joined else joined).split())
                 if block:
                     self.blocks.append((stack[-1][1], block, min(linked, len(block))))
+                    self._prose.append(prose)
                 text.clear()
             linked = 0
 
@@ -114,12 +119,13 @@ class Page:
                 in_link = not closing
             elif tag in LEAF:
                 end_block()
+                prose = tag in PROSE and not closing
                 leaf_out = not closing and not out and bool(m[3]) and _is_out(tag, _attributes(m[3]), articles > 0)
             elif tag == "body":  # the root; its classes often name the single page
                 end_block()
             elif tag in CONTAINER:
                 end_block()
-                leaf_out = False
+                leaf_out = prose = False
                 if closing:
                     k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
                     if k:
@@ -142,15 +148,29 @@ class Page:
         end_block()
 
     def vote(self) -> tuple[str, float]:
-        """The path of the deepest container that holds most of the content,
-        and its share.  Content is text, less twice what is linked."""
-        held = [0.0] * len(self.nodes)
-        for node, text, linked in self.blocks:
+        """The path of the smallest container that holds essentially all of
+        the article, and its share of the content.  Content is text, less
+        twice what is linked.
+
+        The search starts at the deepest container with most of the content
+        and goes up while headings or paragraphs, not mostly linked, stand
+        beside what is held; it does not leave an article or main element."""
+        n = len(self.nodes)
+        held, prose = [0.0] * n, [0] * n
+        for (node, text, linked), is_prose in zip(self.blocks, self._prose):
             held[node] += max(0, len(text) - 2 * linked)
-        for k in range(len(held) - 1, 0, -1):  # children come after their parents
+            prose[node] += is_prose and 2 * linked < len(text)
+        for k in range(n - 1, 0, -1):  # children come after their parents
             held[self.nodes[k][0]] += held[k]
-        best = max((k for k in range(len(held)) if held[k] >= HOLDS * held[0]), default=0)
-        return (self.nodes[best][1], held[best] / held[0]) if held[0] else ("", 0.0)
+            prose[self.nodes[k][0]] += prose[k]
+        if not held[0]:
+            return "", 0.0
+        best = at = max((k for k in range(n) if held[k] >= HOLDS * held[0]), default=0)
+        while at > 0 and not _ARTICLE.match(self.nodes[at][1].rsplit("/", 1)[-1]):
+            at = self.nodes[at][0]
+            if prose[at] > prose[best]:
+                best = at
+        return self.nodes[best][1], held[best] / held[0]
 
     def text(self, paths: list[str]) -> str:
         """The blocks within the first of ``paths`` that the page has, or else

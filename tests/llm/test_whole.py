@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embedding_dedup, simhash
+from ledgerline.llm import embedding_dedup, html_extract, simhash
 
 VECS = "vec_id long, embedding array<float>"
 
@@ -68,3 +68,16 @@ def test_keep_one_of_each_group(spark):
     rows += [(7, text[11], 14), (7, text[11], 14)]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long"))
     assert sorted(x["n"] for x in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 13, 14]
+
+
+@pytest.mark.parametrize("page", [
+    "<article><h1>Title</h1><p>Lead</p><div class=body><p>{long}</p></div><p>End</p></article>",
+    "<div class=site><div class=post><h1>Title</h1><p>Lead</p><div class=body><div><p>{long}</p></div></div><p>End</p></div></div>",
+    "<main><section><h1>Title</h1></section><section><p>Lead</p></section><section><p>{long}</p></section><section><p>End</p></section></main>",
+    "<article><h1>Title</h1><p>Lead</p><blockquote><p>{long}</p></blockquote><p>End</p></article>",
+    "<article><h1>Title</h1><p>Lead</p><ul><li>{long}</ul><p>End</p></article>"])
+def test_html_climbs_to_the_whole_article(page):
+    long = "Words of a long body. " * 20
+    html = "<body><nav><a href=/>Home</a></nav>" + page.format(long=long) + "<div><a href=/x>More</a></div><footer>(c)</footer>"
+    p = html_extract.Page(html)
+    assert p.text([p.vote()[0]]).split("\n\n") == ["Title", "Lead", long.strip(), "End"]
