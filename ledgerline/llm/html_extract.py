@@ -18,7 +18,8 @@ HOLDS = 0.6
 WINS = 0.1
 
 # HTML element names by their role.
-RAW = frozenset("script style noscript template textarea title iframe svg math select button object canvas audio video".split())
+RAW = frozenset("script style noscript textarea title iframe".split())
+SKIPPED = frozenset("template svg select button object canvas audio video annotation annotation-xml".split())
 CONTAINER = frozenset("div section article main aside nav header footer form ul ol dl table tbody thead tfoot tr td th "
                       "blockquote figure fieldset details center menu dialog address".split())
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr figcaption caption summary legend option".split())
@@ -30,6 +31,13 @@ OUT_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs header
                       "notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
                       "related recommended comment comments commentlist disqus replies reply respond widget toolbar pagination".split())
 _ARTICLE = re.compile(r"(article|main)(?![^.#])")
+# A class that begins like this names a state or topic; an id of other words
+# than these and OUT_WORDS names its part of the text.
+TOPIC = frozenset("has with without no not is tag category cat topic term type format template layout".split())
+PLAIN = frozenset("post posts page site main content area section wrapper wrap container box inner outer left right top bottom primary "
+                  "secondary global bar list link links form block item items panel button buttons slot sticky js row col".split())
+# A marked part with this share of the content is no mere part.
+WHOLE = 0.9
 _HEAD = frozenset({"header", "masthead"})
 
 _TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|[!?/][^>]*>)""", re.S)
@@ -43,15 +51,41 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(source)} if source.strip(" /\n\t") else {}
 
 
-def _is_out(tag: str, attrs: dict[str, str], in_article: bool) -> bool:
-    if tag in OUT and not (tag == "header" and in_article):
-        return True
-    if not attrs or tag == "main":
-        return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
-        return True
-    words = {w.lower() for k in ("class", "id", "role") for w in _WORDS.findall(attrs.get(k, ""))} & OUT_WORDS
-    return bool(words - _HEAD if in_article else words)
+def _marks(attrs: dict[str, str], in_article: bool) -> set[str]:
+    """The OUT_WORDS that class, id and role say."""
+    split = lambda t: [w.lower() for w in _WORDS.findall(t)]
+    words = {w for c in attrs.get("class", "").split() if (ws := split(c)) and ws[0] not in TOPIC for w in ws}
+    own = set(split(attrs.get("id", "")))
+    words |= own if own <= OUT_WORDS | PLAIN else set()
+    words = (words | set(split(attrs.get("role", "")))) & OUT_WORDS
+    return words - _HEAD if in_article else words
+
+
+def _is_out(tag: str, attrs: dict[str, str], in_article: bool) -> int:
+    """2: no article by its tag or hidden; 1: marked as none, which Page weighs
+    against the content; 0: neither."""
+    if tag in OUT and tag != "form" and not (tag == "header" and in_article):
+        return 2
+    if tag != "main" and attrs and ("hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", ""))):
+        return 2
+    if tag in ("article", "main") or tag in PROSE and tag != "p":
+        return 0
+    return int(tag == "form" or bool(attrs) and bool(_marks(attrs, in_article)))
+
+
+def _skipped_to(html: str, tag: str, at: int) -> int:
+    """The end of the element to skip that opened before ``at``; ``at`` if it
+    isn't closed before it opens again or a container around it closes."""
+    m = re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
+    if not m or not m[1]:
+        return at
+    depth = 0
+    for t in _TAG.finditer(html, at, m.start()):
+        if t[2] and t[2].lower() in CONTAINER:
+            depth += -1 if t[1] else 1
+            if depth < 0:
+                return at
+    return m.end()
 
 
 def _step(tag: str, attrs: dict[str, str]) -> str:
@@ -65,8 +99,9 @@ class Page:
     """The containers of a page and the blocks of text in them.
 
     ``nodes`` are (parent, generalised path); ``blocks`` are (node, text,
-    characters within links).  Parts that are no article by their tag, class,
-    id or role, and raw elements, are left out.  Inline tags that are not
+    characters within links).  Parts that are no article by their tag, and
+    raw elements, are left out; so are parts marked by class, id or role,
+    unless they hold the article.  Inline tags that are not
     closed do no harm; a block tag ends the block before it.
     """
 
@@ -74,7 +109,11 @@ class Page:
         self.nodes: list[tuple[int, str]] = [(-1, "")]
         self.blocks: list[tuple[int, str, int]] = []
         self._prose: list[bool] = []  # of each block: a heading or paragraph
+        self._marked: list[bool] = [False]  # of each node
+        self._heads: list[int] = [0]  # of each node: article, main and h1 elements
+        self._gone: list[bool] = []  # of each node
         self._read(html or "")
+        self._weigh()
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]  # open containers
@@ -112,6 +151,9 @@ class Page:
                 if not closing and not m[3].rstrip().endswith("/"):
                     close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(html, at)
                     at = close.end() if close else len(html)
+            elif tag in SKIPPED:
+                if not closing and not m[3].rstrip().endswith("/"):
+                    at = _skipped_to(html, tag, at)
             elif tag == "br":
                 if not out and not leaf_out:
                     text.append(" ")
@@ -120,7 +162,8 @@ class Page:
             elif tag in LEAF:
                 end_block()
                 prose = tag in PROSE and not closing
-                leaf_out = not closing and not out and bool(m[3]) and _is_out(tag, _attributes(m[3]), articles > 0)
+                self._heads[stack[-1][1]] += tag == "h1" and not closing and not out
+                leaf_out = not closing and not out and bool(m[3]) and _is_out(tag, _attributes(m[3]), articles > 0) > 0
             elif tag == "body":  # the root; its classes often name the single page
                 end_block()
             elif tag in CONTAINER:
@@ -135,7 +178,8 @@ class Page:
                             out = 0
                 else:
                     attrs = _attributes(m[3])
-                    if not out and _is_out(tag, attrs, articles > 0):
+                    kind = 2 if out else _is_out(tag, attrs, articles > 0)
+                    if not out and kind == 2:
                         out = len(stack)
                     if out:
                         node = stack[-1][1]
@@ -143,10 +187,34 @@ class Page:
                         node = len(self.nodes)
                         parent = stack[-1][1]
                         self.nodes.append((parent, f"{self.nodes[parent][1]}/{_step(tag, attrs)}"))
+                        self._marked.append(kind == 1)
+                        self._heads.append(int(tag in ("article", "main") and not _marks(attrs, True)))
                     stack.append((tag, node))
                     articles += tag in ("article", "main")
         end_block()
 
+    def _weigh(self) -> None:
+        """Drop the marked parts.  One with most of the content is a wrapper if
+        the page's article, main or h1 is in it, or if there is none and
+        nearly all of the content is."""
+        n, heads = len(self.nodes), self._heads
+        held = [0.0] * n
+        self._gone = [False] * n
+        if not any(self._marked):
+            return
+        for node, text, linked in self.blocks:
+            held[node] += max(0, len(text) - 2 * linked)
+        for k in range(n - 1, 0, -1):
+            held[self.nodes[k][0]] += held[k]
+            heads[self.nodes[k][0]] += heads[k]
+        for k in range(1, n):
+            whole = held[k] >= WHOLE * held[0]
+            inside = heads[k] > 0 and (whole or heads[k] == heads[0])
+            wrapper = held[k] >= HOLDS * held[0] and (inside or whole and not heads[0])
+            self._gone[k] = self._gone[self.nodes[k][0]] or self._marked[k] and not wrapper
+        stay = [i for i, b in enumerate(self.blocks) if not self._gone[b[0]]]
+        self.blocks, self._prose = [self.blocks[i] for i in stay], [self._prose[i] for i in stay]
+
     def vote(self) -> tuple[str, float]:
         """The path of the smallest container that holds essentially all of
         the article, and its share of the content.  Content is text, less
@@ -175,7 +243,7 @@ class Page:
     def text(self, paths: list[str]) -> str:
         """The blocks within the first of ``paths`` that the page has, or else
         within its own choice."""
-        have = {p for _, p in self.nodes}
+        have = {p for (_, p), gone in zip(self.nodes, self._gone) if not gone}
         path = next((p for p in paths if p in have), None)
         path = self.vote()[0] if path is None else path
         inside: list[bool] = []

@@ -81,3 +81,25 @@ def test_html_climbs_to_the_whole_article(page):
     html = "<body><nav><a href=/>Home</a></nav>" + page.format(long=long) + "<div><a href=/x>More</a></div><footer>(c)</footer>"
     p = html_extract.Page(html)
     assert p.text([p.vote()[0]]).split("\n\n") == ["Title", "Lead", long.strip(), "End"]
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='site has-sidebar'><h1>Title</h1><p>{long}</p><div class=sidebar><p>Buy</p></div></div>",
+    "<div class='site-header-menu'><h1>Title</h1><p>{long}</p></div><div id=sidebar><p>Buy</p></div>",
+    "<article class='post tag-cookies category-social'><h1>Title</h1><p>{long}</p></article><div id=comments><p>Nice</p></div>",
+    "<form id=aspnet><div><h1>Title</h1><p>{long}</p></div><div class=newsletter-signup><p>Mail</p></div></form>",
+    "<article><h1>Title</h1><p>{long}</p></article><section id=comments><ol><li><div class=x><p>{long}{long}</p></div></ol></section>"])
+def test_html_words_drop_parts_but_no_wrappers(page):
+    long = "Words of a long body. " * 20
+    p = html_extract.Page("<body>" + page.format(long=long))
+    assert p.text([]).split("\n\n") == ["Title", long.strip()]
+
+
+def test_html_slugs_and_open_elements_keep_the_text():
+    html = ("<article><h1>Title</h1><p>One.</p><h2 id=related-work>Related work</h2><p>Two <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p>"
+            "<section id=social-impact><p>Three.</p></section><div id=alert-systems><p>Four.</p></div><button>Ad</button>{open}<p>Five.</p></article>")
+    want = ["Title", "One.", "Related work", "Two x=1.", "Three.", "Four.", "Five."]
+    for tag in ("", "<button>", "<select>", "<svg>", "<math>", "<object>", "<canvas>"):
+        for rest in ("", "<div><button>Ad</button></div><div><canvas>Ad</canvas></div>"):
+            p = html_extract.Page(html.replace("{open}", tag) + rest)
+            assert p.text([]).split("\n\n") == want, (tag, rest)
