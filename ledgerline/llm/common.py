@@ -6,7 +6,7 @@ import string
 import sys
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.session import ensure_checkpoint_dir, scratch_dir
@@ -51,6 +51,22 @@ def ascii_lower(c: Column) -> Column:
         F.translate(c, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with the gapless rank from 0 by ``order`` as ``name``.
+
+    Rows are sorted into ranges and counted by range; the running sum is over
+    one row a range.  The sorted rows are materialised first, so that ranks
+    survive lost executors.  ``order`` should be total: equal keys share a
+    range.
+    """
+    own = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33).alias("_part")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = own.groupBy(part).count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_from"))
+    return own.withColumn("_part", part).join(F.broadcast(cut(starts)), "_part").select(
+        *df.columns, (F.col("_from") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias(name))
+
+
 def unit_hash(*cols: Column) -> Column:
     """A stable fraction in [0, 1) of the given columns."""
     return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, mixing, quality, sharding, simhash, token_output
+from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, merkle, mixing, quality, sharding, simhash, token_output
 from .common import table
 
 
@@ -58,8 +58,16 @@ def op10_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_nested_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    without_breaks = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0,
+                            F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.documents_manifest(table(spark, sf_dir, "documents"), tampered=without_breaks)
+    return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                        "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (op1_site_spread, op2_rendezvous, op3_byte_cnn, op4_host_paths, op5_ngram_set, op6_byte_gru, op7_elias_fano,
-                                   op8_pivot_tables, op9_nn_descent, op10_pivotal)}
+                                   op8_pivot_tables, op9_nn_descent, op10_pivotal, op11_nested_intervals)}
 
 ORACLE = {"op1_site_spread": r"""
 WITH d AS (SELECT doc_id, source, row_number() OVER () AS rid, string_split(text, chr(10)) AS ls FROM documents),
@@ -97,3 +105,48 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN hw USING (rid) LEFT JOIN it USING (rid)
 """}
+
+
+def _merkle_sql(leaf_levels: int = 20, source_levels: int = 12) -> str:
+    """The manifest level by level: enough levels for 3 ** leaf_levels rows a
+    source and 3 ** source_levels sources; a level over one node changes
+    nothing."""
+    def leaf(text: str) -> str:
+        fields = [f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen({c}::VARCHAR), ':', {c}::VARCHAR) END"
+                  for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256(concat({', '.join(fields)}))"
+
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    crc = f"""list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: unicode(x)::BIGINT)),
+           lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: {step}))"""
+
+    def levels(name: str, count: int) -> list[str]:
+        out = []
+        for k in range(count):
+            out.append(f"""{name}n{k} AS (SELECT *, coalesce(string_agg(digest, '') OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+             coalesce(string_agg(digest, '') OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+             FROM {name}{k} WINDOW o AS (PARTITION BY g, pos // 3 ORDER BY pos))""")
+            out.append(f"""{name}{k + 1} AS (SELECT g, pos // 3 AS pos, max((n + 2) // 3) AS n,
+             CASE WHEN max(n) = 1 THEN max(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+             FROM {name}{k} GROUP BY g, pos // 3)""")
+            out.append(f"""{name}w{k + 1} AS (SELECT w.* REPLACE (CASE WHEN n > 1 THEN sha256(concat(l, folded, r)) ELSE folded END AS folded,
+             CASE WHEN n > 1 THEN concat(proof, l, r) ELSE proof END AS proof, w.{name}pos // 3 AS {name}pos)
+             FROM {name}w{k} w JOIN {name}n{k} x ON x.g = w.{name}g AND x.pos = w.{name}pos)""")
+        return out
+
+    parts = [f"""d AS (SELECT doc_id, source, {leaf('text')} AS leaf,
+             CASE WHEN xor({crc}, 4294967295) % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf('text')} END AS shown FROM documents)""",
+             "s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) AS n FROM d GROUP BY source)",
+             """a AS (SELECT d.*, g, n, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+             FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source)""",
+             "t0 AS (SELECT g, pos, n, leaf AS digest FROM a)",
+             "tw0 AS (SELECT doc_id, leaf, g AS tg, pos AS tpos, 0 AS ug, g AS upos, shown AS folded, '' AS proof FROM a)",
+             *levels("t", leaf_levels),
+             f"u0 AS (SELECT 0 AS g, g AS pos, (SELECT count(*) FROM s) AS n, digest FROM t{leaf_levels})",
+             f"uw0 AS (SELECT * FROM tw{leaf_levels})", *levels("u", source_levels)]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, x.digest AS subroot, y.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = y.digest AS verified
+FROM uw{source_levels} w JOIN t{leaf_levels} x ON x.g = w.tg CROSS JOIN u{source_levels} y"""
+
+
+ORACLE["op11_nested_intervals"] = _merkle_sql()
