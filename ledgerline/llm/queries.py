@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, merkle, mixing, quality, sharding, simhash, token_output, toxicity
+from . import decontaminate, embedding_dedup, html_extract, language_id, line_dedup, merkle, mixing, quality, sharding, simhash, spelling, token_output, toxicity
 from .common import table
 
 
@@ -72,8 +72,12 @@ def op12_word_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, net, thresholds)
 
 
+def op13_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_site_spread, op2_rendezvous, op3_byte_cnn, op4_host_paths, op5_ngram_set, op6_byte_gru, op7_elias_fano,
-                                   op8_pivot_tables, op9_nn_descent, op10_pivotal, op11_nested_intervals, op12_word_cnn)}
+                                   op8_pivot_tables, op9_nn_descent, op10_pivotal, op11_nested_intervals, op12_word_cnn, op13_kd_trees)}
 
 ORACLE = {"op1_site_spread": r"""
 WITH d AS (SELECT doc_id, source, row_number() OVER () AS rid, string_split(text, chr(10)) AS ls FROM documents),
