@@ -24,11 +24,11 @@ LETTERS = r"[a-z\u00C0-\u00FF]+"  # once A-Z are lower-cased
 MIN_LETTERS, MIN_COUNT, RATIO = 5, 3, 2
 CORRUPT = 97
 # Letters of the words of a cell.
-CELL = 1 << 19
+CELL = 1 << 18
 # Distinct vectors in a leaf of the tree within a cell.
-LEAF = 24
-# Vectors compared at once; bounds memory.
-BLOCK = 1 << 21
+LEAF = 64
+# Pairs of vectors compared, and pairs of classes verified, at once; bound memory.
+BLOCK, PAIRS = 1 << 20, 1 << 13
 
 
 def word_counts(docs: DataFrame, least: int = MIN_COUNT, letters: int = MIN_LETTERS, corrupt: int = CORRUPT) -> DataFrame:
@@ -119,48 +119,50 @@ class _Tree:
 
     def __init__(self, points: np.ndarray):
         self.points, self.order = points, np.arange(len(points))
-        self.nodes: list[tuple] = []  # (from, to, low, high, left child or -1)
+        self.top = points.max(0)
+        self.unary = self.in_unary(points)
+        self.nodes: list[tuple] = []  # (from, to, low, high, children or None)
         self._build(0, len(points))
 
+    def in_unary(self, vectors: np.ndarray) -> np.ndarray:
+        """Each count as that many ones of the most that points have, so that
+        a product tells how many letters two words have in common."""
+        return np.concatenate([(vectors[:, k, None] > np.arange(n)).astype(np.float32) for k, n in enumerate(self.top)], 1)
+
     def _build(self, a: int, b: int) -> int:
         at, own = len(self.nodes), self.points[self.order[a:b]]
         low, high = own.min(0), own.max(0)
-        self.nodes.append(None)
-        if b - a <= LEAF:
-            self.nodes[at] = (a, b, low, high, None)
-            return at
-        spread = own.astype(np.float32).var(0)
-        k = int(spread.argmax())
-        middle = int(np.median(own[:, k]))
-        right = own[:, k] > middle
-        if right.all() or not right.any():  # the lower half holds the median
-            right = own[:, k] >= middle
-        self.order[a:b] = np.concatenate([self.order[a:b][~right], self.order[a:b][right]])
-        cut_at = a + int((~right).sum())
-        self.nodes[at] = (a, b, low, high, (self._build(a, cut_at), self._build(cut_at, b)))
+        self.nodes.append((a, b, low, high, None))
+        if b - a > LEAF:
+            k = int(own.astype(np.float32).var(0).argmax())
+            right = own[:, k] > int(np.median(own[:, k]))
+            if not right.any():  # the median is the most
+                right = own[:, k] == high[k]
+            self.order[a:b] = np.concatenate([self.order[a:b][~right], self.order[a:b][right]])
+            middle = a + int((~right).sum())
+            self.nodes[at] = (a, b, low, high, (self._build(a, middle), self._build(middle, b)))
         return at
 
-    def near(self, queries: np.ndarray, fall: int, rise: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(query, point) numbers whose vectors differ by ``fall`` less and
-        ``rise`` more letters."""
+    def near(self, queries: np.ndarray, fall: np.ndarray, common: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, point) numbers of vectors with ``common`` letters in common.
+        A box is searched if at most ``fall`` (of each query) counts must fall
+        and one rise to be in it."""
+        unary = self.in_unary(queries)
         todo = [(0, np.arange(len(queries)))]
         while todo:
             node, own = todo.pop()
             a, b, low, high, children = self.nodes[node]
             q = queries[own]
-            near = (np.maximum(q - high, 0).sum(1) <= fall) & (np.maximum(low - q, 0).sum(1) <= rise)
-            own = own[near]
+            own = own[(np.maximum(q - high, 0).sum(1) <= fall[own]) & (np.maximum(low - q, 0).sum(1) <= 1)]
             if not len(own):
                 continue
             if children:
                 todo += [(c, own) for c in children]
                 continue
             points = self.order[a:b]
-            p = self.points[points]
-            step = max(1, BLOCK // (len(p) * p.shape[1]))
+            own_unary, step = self.unary[points].T, max(1, BLOCK // len(points))
             for s in range(0, len(own), step):
-                d = np.abs(queries[own[s:s + step], None] - p[None]).sum(2)
-                i, j = np.nonzero(d == fall + rise)
+                i, j = np.nonzero(unary[own[s:s + step]] @ own_unary == common)
                 yield own[s + i], points[j]
 
 
@@ -199,6 +201,11 @@ def _verified(qw: np.ndarray, qc: list[np.ndarray], qv: np.ndarray, pw: np.ndarr
     the words and not with their pairs; equal hashes are compared in full.
     """
     diff = pv[pi].astype(np.int32) - qv[qi]
+    if pw.shape[1] == qw.shape[1]:  # two classes find each other; the one that has the smaller letter asks
+        asks = diff.argmin(1) < diff.argmax(1)
+        qi, pi, diff = qi[asks], pi[asks], diff[asks]
+    if not len(qi):
+        return qi, pi
     pair = np.arange(len(qi))
     b_pair, b_word, b_at = _positions(pw, pc, pair, pi, diff.argmax(1))  # the letter that points have more
     b_key = _removals(pw)[b_word, b_at]
@@ -270,30 +277,27 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for length, own in by_length.items():
             qw = _matrix(own)
             qv, qc = _classes(qw)
-            fall = int(length == pw.shape[1])
+            same = length == pw.shape[1]
             # Letters that no point has must fall too.
-            rest = qv.sum(1) - qv[:, used].sum(1)
-            fits = np.flatnonzero(rest <= fall)
-            narrow = np.ascontiguousarray(qv[fits][:, used])
+            fall = int(same) - (qv.sum(1, dtype=np.int64) - qv[:, used].sum(1, dtype=np.int64))
+            fits = np.flatnonzero(fall >= 0)
             hits: list[tuple] = []
             held = 0
 
-            def verify() -> Iterator[pa.RecordBatch]:
+            def verify() -> pa.RecordBatch:
                 qi, pi = (np.concatenate([h[k] for h in hits]) for k in (0, 1))
                 x, y = _verified(qw, qc, qv, pw, pc, pv, qi, pi)
-                yield pa.RecordBatch.from_pydict({"a": [own[i].decode("latin-1") for i in x], "b": [points[j].decode("latin-1") for j in y]},
-                                                 schema=FOUND)
-
-            for spare in range(fall + 1):  # with no, or one, letter that no point has
-                some = np.flatnonzero(rest[fits] == spare)
-                for i, j in tree.near(narrow[some], fall - spare, 1):
-                    hits.append((fits[some[i]], j))
-                    held += len(i)
-                    if held > BLOCK >> 5:
-                        yield from verify()
-                        hits, held = [], 0
+                return pa.RecordBatch.from_pydict({"a": [own[i].decode("latin-1") for i in x], "b": [points[j].decode("latin-1") for j in y]},
+                                                  schema=FOUND)
+
+            for i, j in tree.near(np.ascontiguousarray(qv[fits][:, used]), fall[fits], length - int(same)):
+                hits.append((fits[i], j))
+                held += len(i)
+                if held >= PAIRS:
+                    yield verify()
+                    hits, held = [], 0
             if held:
-                yield from verify()
+                yield verify()
 
     built = [None]
     for batch in batches:
@@ -339,9 +343,7 @@ def near_pairs(words: DataFrame, cell_letters: int = CELL) -> DataFrame:
     tasks = sizes.agg(F.sum("pieces")).first()[0] or 1
     rows = own.select(name.alias("piece"), F.lit(False).alias("query"), "word").unionByName(
         sent.select(name.alias("piece"), F.lit(True).alias("query"), "word"))
-    found = rows.repartition(tasks, "piece").sortWithinPartitions("piece", "query").mapInArrow(_search, "a string, b string")
-    # Words of one length find each other from both sides.
-    return found.filter((F.char_length("a") < F.char_length("b")) | (F.col("a") < F.col("b")))
+    return rows.repartition(tasks, "piece").sortWithinPartitions("piece", "query").mapInArrow(_search, "a string, b string")
 
 
 # ------------------------------------------------------------------- groups
