@@ -160,3 +160,25 @@ FROM uw{source_levels} w JOIN t{leaf_levels} x ON x.g = w.tg CROSS JOIN u{source
 
 
 ORACLE["op11_nested_intervals"] = _merkle_sql()
+
+ORACLE["op13_kd_trees"] = r"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+g AS (SELECT doc_id, run, count(*) AS k, hex(encode(concat(doc_id, ':', run))) AS x FROM r WHERE length(run) >= 5 GROUP BY doc_id, run),
+h AS (SELECT run, k, CASE WHEN doc_id IS NOT NULL THEN xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::BIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+                                 lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))) END AS h FROM g),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, k FROM h),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+p AS (SELECT word, n, i, word[1 : i - 1] AS front, word[i + 1 :] AS back FROM v, LATERAL unnest(range(1, length(word) + 1)) AS t(i)),
+e AS (SELECT DISTINCT a.word AS a, b.word AS b FROM p a JOIN p b ON a.i = b.i AND a.front = b.front AND a.back = b.back AND a.word <> b.word
+      UNION SELECT p.word, v.word FROM p JOIN v ON v.word = p.front || p.back
+      UNION SELECT v.word, p.word FROM p JOIN v ON v.word = p.front || p.back),
+best AS (SELECT a AS word, count(*) AS n_near, min(struct_pack(k := -v.n, form := e.b)) AS best FROM e JOIN v ON v.word = e.b GROUP BY a),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.k >= 2 * v.n THEN best.form END AS form,
+             CASE WHEN -best.k >= 2 * v.n THEN -best.k END AS form_n FROM v LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS root, form FROM f UNION ALL SELECT up.word, f.word, f.form FROM up JOIN f ON f.word = up.form)
+SELECT f.word, f.n, f.form, f.form_n, up.root, f.n_near FROM f JOIN up ON up.word = f.word AND up.form IS NULL
+"""
