@@ -245,7 +245,7 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
                       tenant_col: str | None = None, tenants=None,
                       soft_delete: bool = True, restamp_deleted: bool = True,
                       only_changed: bool = False, newer_col: str | None = None,
-                      dedupe_order: list[str] | None = None) -> DataFrame:
+                      dedupe_order: list[str] | None = None, spared: DataFrame | None = None) -> DataFrame:
     """W5 (``soft_delete=True``) and W6 (``soft_delete=False``).
 
     matched -> common columns from staging (safe-cast to target types),
@@ -261,6 +261,8 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
     the warehouse MERGE does.  A key copied across a third of the rows would
     otherwise meet its target row in one task: a full outer join cannot be
     split by AQE's skew handling.
+    ``spared``: keys that are not deleted though the source lacks them (the
+    keys of its malformed records); AQE broadcasts them if they are few.
     """
     keys = keys or ([tenant_col, key] if tenant_col else [key])
     if dedupe_order:
@@ -281,6 +283,11 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
     if soft_delete and tenant_col:
         frame, staged = _tenant_flag(frame, staging, tenant_col, tenants)
         delete_here = staged
+    if soft_delete and spared is not None:
+        own = spared.select(*[F.col(k).cast(ttypes[k]).alias(f"spared__{k}") for k in keys]).distinct().withColumn("spared__", F.lit(True))
+        same = [t_col(k) == F.col(f"spared__{k}") for k in keys]
+        frame = frame.join(own, [tonly, *same], "left")
+        delete_here = delete_here & F.col("spared__").isNull()
 
     common = [c for c in data_columns(staging, key=key) if c in ttypes and c not in keys]
 
@@ -382,6 +389,13 @@ def write_mode(is_production: Column, use_merge: Column, target_rows: Column,
             .otherwise(F.lit("merge")))
 
 
+def planned_mode(spark, is_production: bool, use_merge: bool, has_rows: bool, staging_has_id: bool, staging_has_date: bool,
+                 target_has_date: bool) -> str:
+    """P16 for one load: the same rule on its facts."""
+    facts = [F.lit(x) for x in (is_production, use_merge, int(has_rows), staging_has_id, staging_has_date, target_has_date)]
+    return spark.range(1).select(write_mode(*facts)).first()[0]
+
+
 def apply_write_mode(mode: str, target: DataFrame | None, staging: DataFrame, synced_at,
                      **kw) -> DataFrame:
     """Dispatch one planned mode (the plan row was chosen by ``write_mode``)."""

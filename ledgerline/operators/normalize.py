@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.names import snake, snake_col
 from ledgerline.functions.values import NUMERIC, coerce_to
+from ledgerline.sources.landing import recovered_key
 
 NUMBER_KINDS = ("BIGINT", "DOUBLE", "BOOLEAN", "FLOAT", "INT", "SMALLINT", "TINYINT")
 
@@ -54,6 +55,7 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
         (_is_number_kind(kind) | numeric_text).alias("num"),
         ((kind == "STRING") & (F.trim(txt) != "") & ~numeric_text).alias("txt"),
         kind.startswith("ARRAY").alias("lst"),
+        kind.startswith("OBJECT").alias("obj"),
         F.when(kind != "VOID", v).alias("v"),
         # the value as it will look once repaired as a list (an object is
         # wrapped): gives the element type of list columns
@@ -62,7 +64,7 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
               F.to_variant_object(F.array(v))).alias("as_list"))
     return (rows.groupBy("source_key")
             .agg(F.bool_or("num").alias("saw_number"), F.bool_or("txt").alias("saw_text"),
-                 F.bool_or("lst").alias("saw_list"),
+                 F.bool_or("lst").alias("saw_list"), F.bool_or("obj").alias("saw_object"),
                  F.schema_of_variant_agg("v").alias("variant_type"),
                  F.schema_of_variant_agg("as_list").alias("list_type"),
                  F.count(F.lit(1)).alias("n_present"))
@@ -114,12 +116,13 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
     by_name: dict[str, dict] = {}
     for r in probe_rows:
         d = by_name.setdefault(r["column_name"], {"keys": [], "num": False, "txt": False,
-                                                  "lst": False, "types": set(), "list_types": set()})
+                                                  "lst": False, "obj": False, "types": set(), "list_types": set()})
         d["list_types"].add(r["list_type"] if "list_type" in r.asDict() else None)
         d["keys"].append(r["source_key"])
         d["num"] |= bool(r["saw_number"])
         d["txt"] |= bool(r["saw_text"])
         d["lst"] |= bool(r["saw_list"])
+        d["obj"] |= bool(r["saw_object"])
         d["types"].add(r["variant_type"])
     plan = NormalizePlan()
     for name in sorted(by_name):
@@ -146,6 +149,11 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
         kinds = {_spark_kind(t) for t in d["types"] if t and t != "VOID"}
         if kinds == {"bigint", "double"}:
             kinds = {"double"}
+        if (len(kinds) > 1 or kinds == {"variant"}) and not d["obj"]:
+            # scalars of several kinds, such as numbers and texts that look
+            # like numbers: text holds all
+            plan.columns.append(ColumnPlan(name, keys, "text", mixed=True))
+            continue
         kind = kinds.pop() if len(kinds) == 1 else ("variant" if kinds else "string")
         plan.columns.append(ColumnPlan(name, keys, kind, coerce=type_map.get(name)))
     known = frozenset(c.name for c in plan.columns if c.kind == "array") | frozenset(array_fields)
@@ -370,7 +378,7 @@ def repair_struct(v: Column, st: T.StructType, known: frozenset) -> Column:
 
 
 def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: list[str] | None = None,
-                 stringify_mode: str = "plain", append: bool = False) -> None:
+                 stringify_mode: str = "plain", append: bool = False, recover: list[str] | None = None) -> None:
     """Normalise every landed record once and write the staging table
     (truncate; ``append=True`` adds to it instead, S16).
 
@@ -378,11 +386,14 @@ def stage_landed(parsed: DataFrame, plan: NormalizePlan, path: str, *, keep: lis
     would re-run the parse); they keep ``is_bad`` and a 200-character
     preview.  Reading the table back (``read_staging``) cuts the lineage
     for the merge, whose join, null-key and tenant branches all read it.
+    ``recover`` names the keys whose value is taken from a bad record's text
+    where that can be trusted (``landing.recovered_key``), as ``__key``.
     """
     keep = list(keep or [])
     df = normalized_select(parsed, plan, keep=keep + ["is_bad", "value"], stringify_mode=stringify_mode)
     out = df.select(*keep, *plan.names(), "is_bad",
-                    F.when(F.col("is_bad"), F.substring("value", 1, 200)).alias("__preview"))
+                    F.when(F.col("is_bad"), F.substring("value", 1, 200)).alias("__preview"),
+                    *([F.when(F.col("is_bad"), recovered_key(F.col("value"), recover)).alias("__key")] if recover else []))
     out.write.mode("append" if append else "overwrite").parquet(path)   # S16 / S15
 
 

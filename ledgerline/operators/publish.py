@@ -9,11 +9,15 @@ retries after a lost executor or a restarted micro-batch).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.operators import schema as SC
+
 POINTERS = "_pointers"
 POINTER_SCHEMA = "table_name string, version bigint, path string, token string"
 
@@ -81,23 +85,44 @@ def read_published(spark: SparkSession, root: str, table: str,
 
 # ------------------------------------------------------------ per-tenant versions
 TENANT_POINTERS = "_tenant_pointers"
+# The folder level of versions, which readers take for a column.
+VERSION = "_etl_version"
+# ``written``: the schema of the version's files; ``own``: the tenant's own
+# types, which other tenants in the version may have widened in the files.
+TENANT_POINTER_SCHEMA = ("table_name string, tenant string, version bigint, path string, written string, own string, "
+                         "null_tenant boolean")
+# The characters that are escaped in partition folder names, and
+# the folder of null.
+_ESCAPED = frozenset([chr(c) for c in range(1, 32)] + list("\"#%'*/:=?\\\x7f{[]^"))
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _tenant_pointer_path(root: str) -> str:
     return f"{root.rstrip('/')}/{TENANT_POINTERS}"
 
 
+def partition_folder(col: str, value) -> str:
+    """The folder name of a partition value."""
+    text = "" if value is None else str(value)
+    return f"{col}=" + ("".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in text) or _NULL_FOLDER)
+
+
+def literal_path(path: str) -> str:
+    """A path as readers take it that expand wildcards."""
+    return "".join("\\" + c if c in "{}[]*?\\" else c for c in path)
+
+
 def tenant_versions(spark: SparkSession, root: str) -> DataFrame:
     try:
-        return spark.read.parquet(_tenant_pointer_path(root))
+        return spark.read.schema(TENANT_POINTER_SCHEMA).parquet(_tenant_pointer_path(root))
     except AnalysisException as e:  # no pointer table yet
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
-        return spark.createDataFrame([], "table_name string, tenant string, version bigint, path string")
+        return spark.createDataFrame([], TENANT_POINTER_SCHEMA)
 
 
 def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_col: str,
-                    tenants: list | None = None) -> str:
+                    tenants: list | None = None, own: dict | None = None) -> str:
     """H1: copy-on-write of the tenants present in ``df`` only.
 
     ``df`` holds the new rows of the touched tenants (e.g. a merge over the
@@ -106,9 +131,12 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
     tenant is appended; untouched tenants keep pointing at their older
     version and are neither read nor rewritten.  Retrying a version that is
     already recorded does nothing.
+
+    The pointer rows keep the schema of the files and, from ``own`` (tenant ->
+    schema), the types that a tenant's columns have by themselves.
     """
     spark = df.sparkSession
-    base = f"{root.rstrip('/')}/{table}/v={version}"
+    base = f"{root.rstrip('/')}/{table}/{VERSION}={version}"
     done = tenant_versions(spark, root).where(
         (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
     if done:
@@ -120,29 +148,67 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
     # one pointer row per tenant folder written: the caller's tenant list
     # (the load plan knows it), else a distinct over the written partition
     # column (tenant-sized)
-    if tenants is not None:
-        written = spark.createDataFrame([(str(t),) for t in tenants], "tenant string")
-    else:
-        written = spark.read.parquet(base).select(F.col(tenant_col).cast("string").alias("tenant")).distinct()
-    written.select(F.lit(table).alias("table_name"), "tenant", F.lit(int(version)).cast("bigint")
-                   .alias("version"),
-                   F.concat(F.lit(base + f"/{tenant_col}="), F.col("tenant")).alias("path")) \
-        .write.mode("append").parquet(_tenant_pointer_path(root))
+    if tenants is None:
+        tenants = [r[0] for r in spark.read.schema(df.schema).parquet(base).select(tenant_col).distinct().collect()]
+    written = df.schema.json()
+    rows = [(table, None if t is None else str(t), int(version), f"{base}/{partition_folder(tenant_col, t)}", written,
+             (own or {}).get(t, df.schema).json(), t is None) for t in tenants]
+    spark.createDataFrame(rows, TENANT_POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(_tenant_pointer_path(root))
     return base
 
 
-def read_tenants(spark: SparkSession, root: str, table: str, tenant_col: str,
-                 tenants: list | None = None, like: T.StructType | None = None) -> DataFrame | None:
-    """The live rows of ``table``: each tenant's newest version (only the
-    listed tenants when given, so a load reads just what it merges)."""
+def live_tenants(spark: SparkSession, root: str, table: str, tenants: list | None = None) -> list:
+    """The newest pointer of each tenant (tenant-sized): tenant, path, and the
+    schemas ``written`` and ``own`` (null in pointers of older libraries)."""
     ptr = tenant_versions(spark, root).where(F.col("table_name") == table)
     if tenants is not None:
-        ptr = ptr.where(F.col("tenant").isin([str(t) for t in tenants]))
-    live = ptr.groupBy("tenant").agg(F.max_by("path", "version").alias("path")).collect()
+        named = F.col("tenant").isin([str(t) for t in tenants if t is not None])
+        ptr = ptr.where(F.coalesce(named, F.lit(None in tenants)))
+    return ptr.groupBy("tenant").agg(F.max_by(F.struct("path", "written", "own"), "version").alias("p")).select("tenant", "p.*").collect()
+
+
+def own_schemas(live: list, tenant_col: str) -> dict:
+    """{tenant: its own column types}, audit and tenant columns included."""
+    return {r["tenant"]: T.StructType.fromJson(json.loads(r["own"])) for r in live if r["own"]}
+
+
+def read_tenants(spark: SparkSession, root: str, table: str, tenant_col: str,
+                 tenants: list | None = None, like: T.StructType | None = None, live: list | None = None) -> DataFrame | None:
+    """The live rows of ``table``: each tenant's newest version (only the
+    listed tenants when given, so a load reads just what it merges).
+
+    Versions may differ in columns and types.  Versions with the same schemas
+    are one scan with that schema; each scan is cast to the least types that
+    hold all of them (``schema.join_types``), so no version becomes
+    unreadable and none is rewritten.
+    """
+    live = live_tenants(spark, root, table, tenants) if live is None else live
     if not live:
         return None
-    paths = [r["path"] for r in live]
-    base = f"{root.rstrip('/')}/{table}"
-    # Versions may differ in columns: one added for a tenant must not be lost.
-    df = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths).drop("v")
-    return conform(df, like)
+    base = literal_path(f"{root.rstrip('/')}/{table}")
+    groups: dict[tuple, list[str]] = {}
+    for r in live:
+        # Without a schema in the pointer, the version's files tell it.
+        key = (r["written"], r["own"]) if r["written"] else (r["path"].rsplit("/", 1)[0], None)
+        groups.setdefault(key, []).append(literal_path(r["path"]))
+    parts = []
+    for (written, own), paths in sorted(groups.items(), key=lambda g: g[1][0]):
+        reader = spark.read.option("basePath", base)
+        df = reader.schema(T.StructType.fromJson(json.loads(written))).parquet(*paths) if own else reader.parquet(*paths).drop("v", VERSION)
+        parts.append((df, T.StructType.fromJson(json.loads(own)) if own else df.schema))
+    types = parts[0][1]
+    for _, own in parts[1:]:
+        types = SC.join_schemas(types, own)
+    out = None
+    for df, own in parts:
+        have = {f.name: f.dataType for f in df.schema.fields}
+        narrow = {f.name: f.dataType for f in own.fields}
+        cols = []
+        for f in types.fields:
+            c = F.lit(None).cast(f.dataType)
+            if f.name in have:  # back to the tenant's own type, then to the joint one
+                c = SC.widen(SC.narrow(F.col(f.name), have[f.name], narrow[f.name]), narrow[f.name], f.dataType)
+            cols.append(c.alias(f.name))
+        df = df.select(*cols)
+        out = df if out is None else out.unionByName(df)
+    return conform(out, like)

@@ -16,6 +16,89 @@ from ledgerline.functions.names import SNAKE_CLASS, camel_col
 
 AUDIT_PREFIX = "_etl_"
 
+# The chain of numbers; each fits into the next.
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+_TIMES = (T.DateType, T.TimestampNTZType, T.TimestampType)
+
+
+def join_types(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The smallest type that holds the values of both: a lattice with null
+    below and text above.  Numbers widen to bigint and double (an exact
+    decimal beside another number to double), dates to timestamps, structs
+    field by field, lists by element; any other two meet in text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    for chain in (_NUMBERS, _TIMES):
+        if isinstance(a, chain) and isinstance(b, chain):
+            top = max(chain.index(type(a)), chain.index(type(b)))
+            # A long does not fit into a float.
+            return T.DoubleType() if chain is _NUMBERS and top == 4 and not type(a) is type(b) else chain[top]()
+    number = (*_NUMBERS, T.DecimalType)
+    if isinstance(a, number) and isinstance(b, number):
+        return T.DoubleType()
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return join_schemas(a, b)
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(join_types(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType) and a.keyType == b.keyType:
+        return T.MapType(a.keyType, join_types(a.valueType, b.valueType))
+    return T.StringType()
+
+
+def join_schemas(a: T.StructType, b: T.StructType) -> T.StructType:
+    """Field by field; fields of ``b`` alone come last.  All may be null."""
+    other = {f.name: f.dataType for f in b.fields}
+    out = [T.StructField(f.name, join_types(f.dataType, other[f.name]) if f.name in other else f.dataType) for f in a.fields]
+    have = {f.name for f in a.fields}
+    return T.StructType(out + [T.StructField(f.name, f.dataType) for f in b.fields if f.name not in have])
+
+
+def widen(c: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """A value of ``src`` as ``dst``, a type above it in the lattice.  Nothing
+    is lost: values that become text are their JSON text, strings as they
+    are."""
+    if src == dst:
+        return c
+    if isinstance(src, T.NullType):
+        return c.cast(dst)
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        have = {f.name: f.dataType for f in src.fields}
+        return F.when(c.isNotNull(), F.struct(*[
+            (widen(c[f.name], have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in dst.fields]))
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return F.transform(c, lambda x: widen(x, src.elementType, dst.elementType))
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
+        return F.transform_values(c, lambda k, x: widen(x, src.valueType, dst.valueType))
+    if isinstance(dst, T.StringType):
+        if isinstance(src, T.VariantType):
+            kind = F.schema_of_variant(c)
+            return F.when(kind == "STRING", F.try_variant_get(c, "$", "string")).when(kind != "VOID", F.to_json(c))
+        if isinstance(src, (T.StructType, T.ArrayType, T.MapType)):
+            return F.to_json(c, {"ignoreNullFields": "false"})
+    return c.cast(dst)
+
+
+def narrow(c: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """Back from ``src`` to ``dst``, a type below it that the values came
+    from; other values become null."""
+    if src == dst:
+        return c
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        have = {f.name: f.dataType for f in src.fields}
+        return F.when(c.isNotNull(), F.struct(*[
+            (narrow(c[f.name], have[f.name], f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in dst.fields]))
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return F.transform(c, lambda x: narrow(x, src.elementType, dst.elementType))
+    if isinstance(src, T.MapType) and isinstance(dst, T.MapType):
+        return F.transform_values(c, lambda k, x: narrow(x, src.valueType, dst.valueType))
+    if isinstance(src, T.StringType) and isinstance(dst, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(c, dst.json())
+    return c.try_cast(dst)
+
 
 # ----------------------------------------------------------------------- C2
 def schema_diff_rows(staging: T.StructType, target: T.StructType) -> list[tuple]:

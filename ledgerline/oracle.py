@@ -814,6 +814,58 @@ GROUP BY 1
 """)
 
 
+sql("load_bad_records", """
+WITH d AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders),
+t AS (SELECT * FROM d WHERE id % 13 <> 0),
+s AS (SELECT * FROM d WHERE id % 10 <> 0),
+tailed AS (SELECT * FROM s WHERE id % 50 = 7),
+cut_off AS (SELECT * FROM s WHERE id % 50 = 9 AND company_id % 5 = 2),
+withheld AS (SELECT DISTINCT company_id FROM cut_off),
+good AS (SELECT * FROM s WHERE id NOT IN (SELECT id FROM tailed) AND id NOT IN (SELECT id FROM cut_off)),
+loaded AS (SELECT company_id, count(*) AS n FROM good GROUP BY 1),
+j AS (SELECT coalesce(t.company_id, g.company_id) AS company_id, coalesce(t.id, g.id) AS id,
+             CASE WHEN t.id IS NULL THEN 'INSERT' WHEN g.id IS NOT NULL THEN 'UPDATE'
+                  WHEN t.company_id NOT IN (SELECT company_id FROM loaded) OR t.company_id IN (SELECT company_id FROM withheld)
+                       OR t.id IN (SELECT id FROM tailed) THEN 'KEPT' ELSE 'DELETE' END AS op
+      FROM t FULL OUTER JOIN good g ON t.company_id = g.company_id AND t.id = g.id)
+SELECT j.company_id, count(*) FILTER (WHERE op IN ('INSERT', 'KEPT')) AS live_insert,
+       count(*) FILTER (WHERE op = 'UPDATE') AS live_update, count(*) FILTER (WHERE op = 'DELETE') AS live_delete,
+       count(*) FILTER (WHERE op = 'KEPT') AS untouched,
+       max(CASE WHEN j.company_id NOT IN (SELECT company_id FROM s) THEN NULL WHEN n IS NULL THEN 'no valid record'
+                ELSE n || ' rows' || CASE WHEN j.company_id IN (SELECT company_id FROM withheld) THEN ', deletes withheld' ELSE '' END END)
+         AS event_message
+FROM j LEFT JOIN loaded USING (company_id) GROUP BY 1
+""")
+
+
+sql("load_type_change", """
+WITH d AS (SELECT o_orderkey AS id, o_custkey AS c, o_custkey % 30 AS company_id FROM orders),
+t AS (SELECT *, CASE WHEN company_id % 2 = 0 THEN CAST(c AS VARCHAR) ELSE 'A' || c END AS zip FROM d WHERE id % 13 <> 0),
+s AS (SELECT *, CASE WHEN company_id % 2 = 1 THEN 'C' || c WHEN id % 7 <> 1 THEN CAST(c + 1 AS VARCHAR) END AS zip
+      FROM d WHERE id % 10 <> 0 AND company_id % 3 = 0),
+j AS (SELECT coalesce(t.company_id, s.company_id) AS company_id,
+             CASE WHEN s.id IS NOT NULL THEN s.zip ELSE t.zip END AS zip,
+             CASE WHEN t.id IS NULL THEN 'INSERT' WHEN s.id IS NOT NULL THEN 'UPDATE'
+                  WHEN t.company_id IN (SELECT company_id FROM s) THEN 'DELETE' ELSE 'INSERT' END AS op
+      FROM t FULL OUTER JOIN s ON t.company_id = s.company_id AND t.id = s.id)
+SELECT company_id, count(*) FILTER (WHERE op = 'INSERT') AS live_insert, count(*) FILTER (WHERE op = 'UPDATE') AS live_update,
+       count(*) FILTER (WHERE op = 'DELETE') AS live_delete, count(zip) AS n_zip, min(zip) AS least_zip, max(zip) AS most_zip
+FROM j GROUP BY 1
+""")
+
+
+sql("load_mixed_layouts", """
+WITH t AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders WHERE o_orderkey % 13 <> 0),
+s AS (SELECT o_orderkey AS id, o_custkey % 30 AS company_id FROM orders WHERE o_orderkey % 10 <> 0),
+j AS (SELECT coalesce(t.company_id, s.company_id) AS company_id, t.id AS old, s.id AS new
+      FROM t FULL OUTER JOIN s ON t.company_id = s.company_id AND t.id = s.id)
+SELECT company_id, 'merge' AS write_mode, count(new) AS rows_processed, count(*) FILTER (WHERE old IS NULL) AS n_insert,
+       count(*) FILTER (WHERE old IS NOT NULL AND new IS NOT NULL) AS n_update,
+       count(*) FILTER (WHERE new IS NULL) AS n_delete, CAST(0 AS BIGINT) AS n_overwrite, CAST(0 AS BIGINT) AS bad_records
+FROM j GROUP BY company_id HAVING count(new) > 0
+""")
+
+
 sql("merge_only_changed", f"""
 WITH {fx.SQL_FA}
 SELECT {_MERGE_COLS},

@@ -1,25 +1,38 @@
 """Landed snapshot scans and reports.
 
 Landed JSON comes in three layouts: NDJSON (one object per line), a list
-dumped with indent 2 and a streamed array (items joined by ``,\\n{``).  The
-dumped layouts are split on their record separator with Hadoop's custom
+dumped with indent 2 and a streamed array (items joined by ``,\\n{``).  Files
+of different layouts may lie side by side (``read_landed``).  The dumped
+layouts are split on their record separator with Hadoop's custom
 line separator, so a 1 GB array file is read by many tasks instead of one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.names import title_file_name_col
+from ledgerline.operators.publish import literal_path
 
 # Record separators of the two dumped layouts (fixed by the writers).
 SEP_INDENT2 = ",\n  {"
 SEP_STREAMED = ",\n{"
 PREVIEW_CHARS = 200
+# A malformed record's key is looked for in so many characters; one further on
+# counts as unreadable, which only withholds deletes.
+RECOVER_CHARS = 4096
+
+
+def _files(spark: SparkSession):
+    """Landed files lie in folders of any names and depths; none is a column."""
+    return spark.read.option("recursiveFileLookup", "true")
 
 
-def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson",
+def read_text_records(spark: SparkSession, path: str | list[str], layout: str = "ndjson",
                       with_head: bool = False, keep_blank: bool = False) -> DataFrame:
     """Text of every record with its source file: (file_path, value).
 
@@ -34,16 +47,16 @@ def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson",
         # compact one-line arrays (H7): one task per file, memory-bound by the
         # file; each element's raw text comes back as a string and is then
         # parsed like any other record.  Land NDJSON when the writer is ours.
-        whole = spark.read.text(path, wholetext=True).select(
+        whole = _files(spark).text(path, wholetext=True).select(
             F.col("_metadata.file_path").alias("file_path"), "value")
         elems = whole.select("file_path", F.explode(F.coalesce(
             F.from_json("value", "array<string>"), F.array(F.col("value")))).alias("value"))
         return elems if keep_blank else elems.where(F.trim(F.col("value")) != "")
     if layout == "ndjson":
-        raw = spark.read.text(path)
+        raw = _files(spark).text(path)
     else:
         sep = SEP_INDENT2 if layout == "indent2" else SEP_STREAMED
-        raw = spark.read.option("lineSep", sep).text(path)
+        raw = _files(spark).option("lineSep", sep).text(path)
     cols = [F.col("_metadata.file_path").alias("file_path"), F.col("value")]
     if with_head:
         cols.append(F.when(F.col("_metadata.file_block_start") == 0, F.substring("value", 1, 1))
@@ -60,6 +73,73 @@ def read_text_records(spark: SparkSession, path: str, layout: str = "ndjson",
     return df if keep_blank else df.where(F.trim(F.col("value")) != "")
 
 
+LAYOUTS = ("ndjson", "indent2", "streamed", "whole")
+
+
+def detect_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_path, layout) of every file that is not blank.
+
+    One scan of the text, without a parse.  What starts the file, and its
+    lines within the split at byte 0, tell the layout: an array whose records
+    start lines (``streamed``) or lines after two spaces (``indent2``), any
+    other array (``whole``), else one record a line (``ndjson``).  Rows are
+    numbered as the scan reads them, so the first is the first at any
+    delivery order.
+    """
+    bare = F.ltrim(F.regexp_replace("value", "^\ufeff", ""))
+    lines = (_files(spark).text(path)
+             .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("at"), F.substring(bare, 1, 1).alias("char"),
+                     F.col("value").startswith("{").alias("flush"), F.col("value").startswith("  {").alias("indented"))
+             .where((F.col("start") == 0) & (F.col("char") != "")))
+    seen = lines.groupBy("file_path").agg(F.min_by("char", "at").alias("char"), F.bool_or("flush").alias("flush"),
+                                          F.bool_or("indented").alias("indented"))
+    return seen.select("file_path", F.when(F.col("char") != "[", "ndjson").when(F.col("flush"), "streamed")
+                       .when(F.col("indented"), "indent2").otherwise("whole").alias("layout"))
+
+
+def read_landed(spark: SparkSession, path: str | list[str], layout: str = "auto") -> DataFrame:
+    """(file_path, value) of every record below ``path``, each file read by
+    its own layout.
+
+    With a stated ``layout``, a file of another one is contained: it is one
+    malformed record that says so, since the wrong reader would find some of
+    an array's records and lose the rest.  Only where layouts are mixed, files
+    are listed one by one, as Spark's own file index holds them.
+    """
+    seen = [r["layout"] for r in detect_layouts(spark, path).select("layout").distinct().collect()]
+    if len(seen) <= 1 and layout in ("auto", *seen):
+        return read_text_records(spark, path, seen[0] if seen else "ndjson")
+    files: dict[str, list[str]] = {}
+    for r in detect_layouts(spark, path).orderBy("file_path").collect():
+        files.setdefault(r["layout"], []).append(r["file_path"])
+    out = None
+    for own, paths in sorted(files.items()):
+        if layout in ("auto", own):
+            df = read_text_records(spark, [literal_path(unquote(f)) for f in paths], own)
+        else:
+            df = spark.createDataFrame([(f, f"a file of layout {own}, not {layout}") for f in paths], "file_path string, value string")
+        out = df if out is None else out.unionByName(df)
+    return out if out is not None else read_text_records(spark, path, layout)
+
+
+def recovered_key(value: Column, names: list[str]) -> Column:
+    """The key of a malformed record, as text, if it can be trusted.
+
+    It stands at the record's top level before any deeper nesting than one
+    level, and its value is complete: a string with both quotes, or a number
+    with something after it.  Else null.
+    """
+    # Runs, not characters, are repeated: the matcher nests once a repetition.
+    string = r'"(?:[^"\\]++|\\.)*+"'
+    flat = rf'(?:[^{{}}\[\]"]++|{string})*+'
+    skipped = rf'(?:[^{{}}\[\]"]++|{string}|\{{{flat}\}}|\[{flat}\])*?'
+    key = "|".join(re.escape(n) for n in names)
+    found = F.regexp_extract(F.substring(value, 1, RECOVER_CHARS),
+                             rf'^\s*\{{{skipped}(?<=[,{{\s])"(?:{key})"\s*:\s*({string}|-?[0-9.eE+-]+(?=[\s,}}\]]))', 1)
+    return F.when(found != "", F.get(F.from_json(F.concat(F.lit("["), found, F.lit("]")), "array<string>"), F.lit(0)))
+
+
 def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``obj`` (key -> variant map, duplicate keys kept in order) and
     ``is_bad`` (text that is not exactly one JSON object).
@@ -104,7 +184,7 @@ def file_report(spark: SparkSession, path: str, layout: str = "ndjson") -> DataF
     source), taken from the first chunk of the split at byte 0, which the
     scan delivers first into its partial aggregate.
     """
-    files = (spark.read.format("binaryFile").load(path)
+    files = (_files(spark).format("binaryFile").load(path)
              .select(F.col("path").alias("file_path"), "length"))
     chunks = read_text_records(spark, path, layout, with_head=True, keep_blank=True)
     recs = parse_records(chunks)
@@ -130,7 +210,7 @@ def file_report(spark: SparkSession, path: str, layout: str = "ndjson") -> DataF
 def list_landed(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """File listing as a DataFrame (path, name, length, modification time);
     the ``binaryFile`` content column is never selected, so no file is read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return (_files(spark).format("binaryFile").option("pathGlobFilter", glob).load(path)
             .select(F.col("path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
                     "length", "modificationTime"))
 
@@ -172,7 +252,7 @@ def latest_snapshot(df: DataFrame, by: list[str], snapshot_col: str = "snapshot_
 def read_staging(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Good staging rows, and the quarantine (preview of bad records)."""
     st = spark.read.parquet(path)
-    data = [c for c in st.columns if c not in ("is_bad", "__preview")]
+    data = [c for c in st.columns if c not in ("is_bad", "__preview", "__key")]
     return (st.where(~F.col("is_bad")).select(*data),
             st.where(F.col("is_bad")).select(F.col("__preview").alias("preview")))
 

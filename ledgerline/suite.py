@@ -1083,6 +1083,90 @@ def q_load_new_column(spark, sf):
         F.min("order_priority").alias("least_priority"))
 
 
+def _ops_by_tenant(spark, root, *more):
+    live = PUB.read_tenants(spark, root, "orders_bronze", "company_id")
+    return live.groupBy(F.col("company_id").cast("bigint").alias("company_id")).agg(
+        *[F.count_if(F.col("_etl_operation") == op).alias(f"live_{op.lower()}") for op in ("INSERT", "UPDATE", "DELETE")], *more)
+
+
+def _land_and_load(spark, base, version, stamp, rows, layout="auto"):
+    """Land (company_id, value) lines in tenant folders and load them."""
+    from ledgerline.plans.load_job import run_endpoint_load
+    path = f"{base}/landed-{version}"
+    rows.write.mode("overwrite").partitionBy("company_id").text(path)
+    return run_endpoint_load(spark, landed=path, layout=layout, root=f"{base}/tables", table="orders_bronze", version=version,
+                             synced_at=stamp)
+
+
+@query("load_bad_records")
+def q_load_bad_records(spark, sf):
+    """W5 + S4 inside the load job: records malformed on the second day only.
+    A row whose malformed record still shows its key stays as it is; a tenant
+    with a record cut off within its key gets no deletes.  Per tenant: live
+    rows by operation, rows untouched since the first day, the second event."""
+    from ledgerline.plans.load_job import read_events
+    o = fx.table(spark, sf, "orders")
+    k, tenant = F.col("o_orderkey"), (F.col("o_custkey") % N_TENANTS)
+    rec = F.to_json(F.struct(F.struct(F.col("o_orderstatus").alias("id"), F.lit("a } b").alias("note")).alias("status"),
+                             k.alias("id"), F.col("o_totalprice").alias("total")))
+    base = scratch_dir(spark, "bad-records")
+    _land_and_load(spark, base, 1, fx.T0, o.where(k % 13 != 0).select(tenant.alias("company_id"), rec.alias("value")))
+    bad = (F.when(k % 50 == 7, F.concat(rec, F.lit(" trailing")))
+           .when((k % 50 == 9) & (tenant % 5 == 2), F.regexp_extract(rec, '^.*"id":[0-9]', 0)).otherwise(rec))
+    _land_and_load(spark, base, 2, fx.SYNCED_AT, o.where(k % 10 != 0).select(tenant.alias("company_id"), bad.alias("value")))
+    events = read_events(spark, f"{base}/tables").where("load = 2").select(
+        F.coalesce(F.col("company_id").cast("bigint"), F.lit(0)).alias("company_id"), "event_message")
+    same = F.count_if(F.col("_etl_synced") == F.lit(fx.T0).cast("timestamp_ntz")).alias("untouched")
+    return _ops_by_tenant(spark, f"{base}/tables", same).join(events, "company_id", "left")
+
+
+@query("load_type_change")
+def q_load_type_change(spark, sf):
+    """C2 + C3 inside the load job: tenants disagree on a column's type.
+    Even tenants load numbers, odd ones text; a third load of some tenants
+    brings texts for numbers, too, which are no numbers (P6).  All tenants are
+    read together, each version as it was written."""
+    o = fx.table(spark, sf, "orders")
+    k, tenant = F.col("o_orderkey"), (F.col("o_custkey") % N_TENANTS)
+    number, text = F.col("o_custkey"), F.col("o_custkey").cast("string")
+
+    def rows(zip_code, keep):
+        rec = F.to_json(F.struct(k.alias("id"), zip_code))
+        return o.where(keep).select(tenant.alias("company_id"), rec.alias("value"))
+
+    base = scratch_dir(spark, "type-change")
+    _land_and_load(spark, base, 1, fx.T0, rows(number.alias("zip"), (k % 13 != 0) & (tenant % 2 == 0)))
+    _land_and_load(spark, base, 2, fx.T0, rows(F.concat(F.lit("A"), text).alias("zip"), (k % 13 != 0) & (tenant % 2 == 1)))
+    third = (k % 10 != 0) & (tenant % 3 == 0)
+    odd = F.when(tenant % 2 == 1, F.concat(F.lit("C"), text)).when(k % 7 == 1, F.concat(F.lit("B"), text))
+    mixed = rows(F.coalesce(odd, (number + 1).cast("string")).alias("zip"), third)
+    plain = rows((number + 1).alias("zip"), third & (tenant % 2 == 0) & (k % 7 != 1))
+    _land_and_load(spark, base, 3, fx.SYNCED_AT, mixed.where(~F.col("value").rlike('"zip":"[0-9]')).unionByName(plain))
+    z = F.col("zip")
+    return _ops_by_tenant(spark, f"{base}/tables", F.count(z).alias("n_zip"), F.min(z).alias("least_zip"), F.max(z).alias("most_zip"))
+
+
+@query("load_mixed_layouts")
+def q_load_mixed_layouts(spark, sf):
+    """S1-S3 inside the load job: tenants land in different layouts (NDJSON,
+    list dump, streamed array, compact array) side by side, and change them
+    from one day to the next.  Returns the second run's summary."""
+    from ledgerline.plans.load_job import run_endpoint_load
+    o = fx.table(spark, sf, "orders")
+    k, tenant = F.col("o_orderkey"), (F.col("o_custkey") % N_TENANTS)
+    base = scratch_dir(spark, "mixed-layouts")
+    for version, keep, stamp in ((1, k % 13 != 0, fx.T0), (2, k % 10 != 0, fx.SYNCED_AT)):
+        rows = o.where(keep).select(tenant.alias("company_id"), k.alias("id"), F.col("o_totalprice").alias("totalPrice"),
+                                    F.struct(F.col("o_orderstatus").alias("code")).alias("status"))
+        path = f"{base}/landed-{version}"
+        rows.where((tenant + version) % 4 == 0).select("company_id", F.to_json(F.struct("id", "totalPrice", "status")).alias("value")) \
+            .write.partitionBy("company_id").text(path)
+        for i, layout in enumerate(("indent2", "streamed", "compact"), 1):
+            WR.write_json_array(rows.where((F.col("company_id") + version) % 4 == i), path, layout, by=["company_id"])
+        out = run_endpoint_load(spark, landed=path, root=f"{base}/tables", table="orders_bronze", version=version, synced_at=stamp)
+    return out
+
+
 @query("merge_only_changed")
 def q_merge_only_changed(spark, sf):
     """W5 with ``only_changed=True`` (finding 1): matches whose values are
