@@ -85,8 +85,6 @@ def read_published(spark: SparkSession, root: str, table: str,
 
 # ------------------------------------------------------------ per-tenant versions
 TENANT_POINTERS = "_tenant_pointers"
-# The folder level of versions, which readers take for a column.
-VERSION = "_etl_version"
 # ``written``: the schema of the version's files; ``own``: the tenant's own
 # types, which other tenants in the version may have widened in the files.
 TENANT_POINTER_SCHEMA = ("table_name string, tenant string, version bigint, path string, written string, own string, "
@@ -136,7 +134,7 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
     schema), the types that a tenant's columns have by themselves.
     """
     spark = df.sparkSession
-    base = f"{root.rstrip('/')}/{table}/{VERSION}={version}"
+    base = f"{root.rstrip('/')}/{table}/v={version}"
     done = tenant_versions(spark, root).where(
         (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
     if done:
@@ -185,16 +183,17 @@ def read_tenants(spark: SparkSession, root: str, table: str, tenant_col: str,
     live = live_tenants(spark, root, table, tenants) if live is None else live
     if not live:
         return None
-    base = literal_path(f"{root.rstrip('/')}/{table}")
     groups: dict[tuple, list[str]] = {}
     for r in live:
-        # Without a schema in the pointer, the version's files tell it.
-        key = (r["written"], r["own"]) if r["written"] else (r["path"].rsplit("/", 1)[0], None)
-        groups.setdefault(key, []).append(literal_path(r["path"]))
+        # Without a schema in the pointer, the version's files tell it; and a
+        # scan over versions would take their level for a column named v.
+        base = r["path"].rsplit("/", 1)[0]
+        apart = not r["written"] or "v" in T.StructType.fromJson(json.loads(r["written"])).names
+        groups.setdefault((r["written"], r["own"], base if apart else base.rsplit("/", 1)[0]), []).append(literal_path(r["path"]))
     parts = []
-    for (written, own), paths in sorted(groups.items(), key=lambda g: g[1][0]):
-        reader = spark.read.option("basePath", base)
-        df = reader.schema(T.StructType.fromJson(json.loads(written))).parquet(*paths) if own else reader.parquet(*paths).drop("v", VERSION)
+    for (written, own, base), paths in sorted(groups.items(), key=lambda g: g[1][0]):
+        reader = spark.read.option("basePath", literal_path(base))
+        df = reader.schema(T.StructType.fromJson(json.loads(written))).parquet(*paths) if own else reader.parquet(*paths)
         parts.append((df, T.StructType.fromJson(json.loads(own)) if own else df.schema))
     types = parts[0][1]
     for _, own in parts[1:]:
