@@ -2,7 +2,11 @@
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame; its result is
 written as Parquet and read again as the next stage's ``docs``.  All but the
-last return the columns of ``docs``.
+last return the columns of ``docs``, whatever their names.
+
+Null and empty texts have no language and go in the first stage; rows without
+an id or source stay, each for itself; of repeated rows the near-dedup keeps
+one; an empty table gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -14,12 +18,19 @@ from ledgerline.llm import decontaminate, language_id, mixing, simhash, token_ou
 from ledgerline.llm.common import land, table
 
 
+# A prediction that contradicts a document's ``lang`` rejects it from this score.
+SURE = 0.9
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents of no language (``und``) go.  An unsure
-    prediction is no reason to drop a clean document.  ``lang`` stays as it
-    came."""
-    found = language_id.identify(docs, language_id.fit(docs))
-    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    """Language ID: documents of no language (``und``) go, and those whose
+    ``lang`` the network contradicts with a score of SURE or more: they are
+    not what they are filed as.  An unsure prediction, or no ``lang``, is no
+    reason to drop a document.  ``lang`` stays as it came."""
+    found = language_id.label(docs, language_id.fit(docs))
+    pred, lang = F.col("found.lang_pred"), F.col("row.lang")
+    foreign = F.coalesce((pred != lang) & (F.col("found.score") >= SURE), F.lit(False))
+    return found.filter((pred != language_id.UNKNOWN) & ~foreign).select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

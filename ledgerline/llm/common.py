@@ -44,6 +44,18 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else df
 
 
+def apart(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns beside those of ``df``: underscores are put
+    before a name that ``df`` has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else.  Pure ASCII texts take the built-in
     fast path, which is the same there."""

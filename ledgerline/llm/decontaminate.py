@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, cut, small
+from .common import apart, ascii_lower, cut, small
 
 WINDOW = 13
 # What stands between the words of a text; fixed by the contract.  With A-Z
@@ -126,10 +126,10 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Da
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, in its columns."""
+    i, t = apart(docs, "_id", "_tkey")
     bad = contamination(docs, bench, window).filter("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey")).distinct()
-    return docs.join(small(cut(bad)), F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & (F.xxhash64("text") == F.col("_tkey")), "left_anti")
+        F.col("doc_id").alias(i), F.col("tkey").alias(t)).distinct()
+    return docs.join(small(cut(bad)), F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(t)), "left_anti")
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -137,7 +137,8 @@ def remove_spans(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> Dat
     what is left joined as it was; the other rows as they are."""
     found = contamination(docs, bench, window).filter("n_hit > 0").select(
         F.col("doc_id").alias("_id"), F.col("tkey").alias("_tkey"), "spans").dropDuplicates(["_id", "_tkey"])
-    d = docs.join(small(cut(found)), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tkey")), "left")
+    d = docs.select("doc_id", "text").join(
+        small(cut(found)), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tkey")), "left")
     # The text as gap, word, gap, word, ..., gap.
     any_word, gap = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     gaps, ws = F.split("text", any_word), F.array_remove(F.split("text", gap), "")

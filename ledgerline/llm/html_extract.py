@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ship, small
+from .common import apart, cut, ship, small
 
 # The vote climbs from the deepest container with this share of the content.
 HOLDS = 0.6
@@ -291,10 +291,11 @@ def extract(pages: DataFrame) -> DataFrame:
     without text, have the empty text; null urls share one host; repeated
     rows get the same text; html that breaks off is read as far as it goes.
     """
-    won = small(cut(winning_paths(pages))).withColumnRenamed("host", "_host")
+    host, paths = apart(pages, "_host", "_paths")
+    won = small(cut(winning_paths(pages))).withColumnsRenamed({"host": host, "paths": paths})
     names = [c for c in pages.columns if c not in ("text", "n_chars")]
-    d = pages.select(*names).join(won, host_of(F.col("url")) == F.col("_host"), "left")
-    d = d.withColumn("text", F.pandas_udf(_texts, "string")("html", "paths"))
+    d = pages.select(*names).join(won, host_of(F.col("url")) == F.col(host), "left")
+    d = d.select(*names, F.pandas_udf(_texts, "string")("html", paths).alias("text"))
     return d.select(*names, "text", F.char_length("text").cast("long").alias("n_chars"))
 
 

@@ -21,7 +21,7 @@ WINDOW = 64
 # Windows read at once; bounds memory whatever the length of a text.
 BLOCK = 1 << 11
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")  # letters, and some signs of numbers
 
 
 def _windows(raw: bytes) -> np.ndarray:
@@ -174,22 +174,22 @@ def fit(docs: DataFrame, per_lang: int = FIT_ROWS) -> ByteGRU:
     return net.fit([t for _, t, _ in rows], np.array([langs.index(k) for _, _, k in rows])) if rows else net
 
 
+def _has_letter(text: str | None) -> bool:
+    """Whether a character is a letter by its Unicode category."""
+    return bool(text) and any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
+
+
 def _label(net: ByteGRU, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    raws = [t.encode("utf-8", "surrogatepass") if t and _LETTER.search(t) else b"" for t in texts]
+    raws = [t.encode("utf-8", "surrogatepass") if _has_letter(t) else b"" for t in texts]
     p = net.pooled(raws)
     best = p.argmax(1)
     return ([net.langs[k] if raw else UNKNOWN for k, raw in zip(best, raws)],
             np.clip(np.where([len(r) > 0 for r in raws], p.max(1), 0.0), 0.0, 1.0))
 
 
-def identify(docs: DataFrame, net: ByteGRU) -> DataFrame:
-    """``docs`` with lang_pred and score, of every whole text.
-
-    lang_pred is a learned language, or ``und`` with score 0 if the text is
-    null, empty or has no letter.  Every byte gets a probability of each
-    language; the text's are their means.  Only the text is an input;
-    repeated rows get the same result.
-    """
+def label(docs: DataFrame, net: ByteGRU) -> DataFrame:
+    """(row, found) of every row of ``docs``: all of its columns, and the
+    lang_pred and score of its whole text."""
     kind = "struct<lang_pred: string, score: double>"
 
     def tasks(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -197,8 +197,20 @@ def identify(docs: DataFrame, net: ByteGRU) -> DataFrame:
             found, score = _label(net, list(texts))
             yield pd.DataFrame({"lang_pred": found, "score": score})
 
-    found = docs.withColumn("_found", F.pandas_udf(tasks, kind)("text"))
-    return found.select(*docs.columns, F.col("_found.lang_pred").alias("lang_pred"), F.col("_found.score").alias("score"))
+    return docs.select(F.struct(*docs.columns).alias("row"), F.pandas_udf(tasks, kind)("text").alias("found"))
+
+
+def identify(docs: DataFrame, net: ByteGRU) -> DataFrame:
+    """``docs`` with lang_pred and score, of every whole text; columns of
+    these names are replaced.
+
+    lang_pred is a learned language, or ``und`` with score 0 if the text is
+    null, empty or has no letter.  Every byte gets a probability of each
+    language; the text's are their means.  Only the text is an input;
+    repeated rows get the same result.
+    """
+    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return label(docs, net).select(*[F.col("row")[c].alias(c) for c in names], "found.lang_pred", "found.score")
 
 
 ship(__name__)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, land, small
+from .common import apart, cut, land, small
 
 # A line on this many sites or more is boilerplate.
 MIN_SITES = 10
@@ -68,15 +68,15 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = M
     # Hashes of the lines, written once: a small part of the texts.
     rows = land(_line_rows(docs, site), "lines")
     bad = boilerplate(rows, min_sites, log_k)
-    held = (rows.join(small(bad), ["h", "n"]).groupBy("id", "tkey")
-            .agg(F.collect_set(F.struct("h", "n")).alias("_bad")).withColumnRenamed("id", "_id")
-            .withColumnRenamed("tkey", "_tkey"))
+    i, t, lines_bad, ls, left = apart(docs, "_id", "_tkey", "_bad", "_ls", "_kept")
+    held = rows.join(small(bad), ["h", "n"]).groupBy(F.col("id").alias(i), F.col("tkey").alias(t)).agg(
+        F.collect_set(F.struct("h", "n")).alias(lines_bad))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    d = docs.select(*names).join(held, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_tkey")), "left")
-    d = d.withColumn("_ls", _lines(F.col("text")))
-    kept = F.filter("_ls", lambda x: F.coalesce(~F.array_contains("_bad", _line_key(x)), F.lit(True)))
-    d = d.withColumn("_kept", F.when(F.col("_bad").isNotNull(), kept))
-    n = F.coalesce(F.when(F.col("text").isNotNull(), F.size("_ls")), F.lit(0)).cast("long")
-    gone = F.when(F.col("_kept").isNotNull(), F.size("_ls") - F.size("_kept")).otherwise(F.lit(0)).cast("long")
-    text = F.coalesce(F.array_join("_kept", "\n"), "text").alias("text")
+    d = docs.select(*names).join(held, F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(t)), "left")
+    d = d.withColumn(ls, _lines(F.col("text")))
+    kept = F.filter(ls, lambda x: F.coalesce(~F.array_contains(lines_bad, _line_key(x)), F.lit(True)))
+    d = d.withColumn(left, F.when(F.col(lines_bad).isNotNull(), kept))
+    n = F.coalesce(F.when(F.col("text").isNotNull(), F.size(ls)), F.lit(0)).cast("long")
+    gone = F.when(F.col(left).isNotNull(), F.size(ls) - F.size(left)).otherwise(F.lit(0)).cast("long")
+    text = F.coalesce(F.array_join(left, "\n"), "text").alias("text")
     return d.select(*[c if c != "text" else text for c in names], n.alias("n_lines"), gone.alias("n_removed"))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, land, ship, small, unit_hash
+from .common import apart, cut, land, ship, small, unit_hash
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -147,10 +147,11 @@ def take_mix(docs: DataFrame, **how) -> DataFrame:
     The rows are written once with a number each, so that repeated rows stay
     apart and the texts need not travel through the rounding.
     """
-    numbered = land(docs.withColumn("_row", F.monotonically_increasing_id()), "mix")
-    taken = mix(numbered, carry=["_row"], **how).filter(F.col("taken") > 0)
-    return (numbered.join(taken.select("_row", "copies"), "_row")
-            .withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns))
+    row, copies = apart(docs, "_row", "_copies")
+    numbered = land(docs.withColumn(row, F.monotonically_increasing_id()), "mix")
+    taken = mix(numbered, carry=[row], **how).filter(F.col("taken") > 0)
+    return (numbered.join(taken.select(row, F.col("copies").alias(copies)), row)
+            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copies)).select(*docs.columns))
 
 
 ship(__name__)

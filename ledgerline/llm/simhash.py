@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, ship
+from .common import apart, components, cut, ship
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -137,14 +137,17 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     text = F.struct(F.xxhash64("text").alias("t"), F.xxhash64(F.lit("text"), "text").alias("u"))
     rows = cut(with_fingerprint(docs, shingle, text.alias("text")))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text")
+    i, t, u, whole = apart(docs, "_id", "_t", "_u", "_text")
     kept = cut(_grouped(rows, max_bits).groupBy("root").agg(F.min(first).alias("k")).select(
-        F.col("k.doc_id").alias("_id"), F.col("k.text.t").alias("_t"), F.col("k.text.u").alias("_u")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text["t"] == F.col("_t")) & (text["u"] == F.col("_u"))
+        F.col("k.doc_id").alias(i), F.col("k.text.t").alias(t), F.col("k.text.u").alias(u)))
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & (text["t"] == F.col(t)) & (text["u"] == F.col(u))
     out = docs.join(kept, same, "left_semi")
     twice = rows.groupBy("doc_id", "text").count().filter("count > 1")
     if twice.isEmpty():
         return out
-    return out.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).select(*docs.columns)
+    # Of rows equal in id and text, the first by a hash of all columns.
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
+    return out.groupBy(F.col("doc_id").alias(i), text.alias(whole)).agg(one).select("row.*")
 
 
 ship(__name__)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import sys
 import zlib
 from codecs import charmap_decode
@@ -30,6 +31,8 @@ BLOCK_BYTES = 10 << 20
 PARTITION_BYTES = 20 << 20
 # Every so many ones of the high bits, their place is kept.
 SAMPLE = 128
+# Documents whose offsets are selected at once on reading.
+READ = 1024
 # Texts that go to the library whole: white space beside white space or at the
 # start or end, or white space but spaces and line feeds.
 _ODD = (r"[ \n][ \n]|^[ \n]|[ \n]\z|[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
@@ -106,7 +109,6 @@ def _library(path: str) -> Tokenizer:
     kept = sys.modules.setdefault("_ledgerline_tokenizers", ModuleType("_ledgerline_tokenizers")).__dict__
     if path not in kept:
         kept[path] = Tokenizer.from_file(path)
-        kept[path].encode_special_tokens = True
     return kept[path]
 
 
@@ -132,12 +134,14 @@ class Encoder:
     each distinct piece of a few megabytes of text is encoded once.  A piece
     that is one word, number or run of signs, with a space before it or not,
     is a unit of the splitter and goes to the library's model, any other to
-    the library.  Texts with other white space go to the library whole.
-    Strings of special tokens are ordinary text.
+    the library.  Texts with other white space, or with the string of a
+    token added to the vocabulary, go to the library whole.
     """
 
     def __init__(self, path: str, end_id: int):
         self.library, self.end_id = _library(path), end_id
+        added = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_ODD, *added])
         self.kind = "<u2" if max(self.library.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
 
     def _whole(self, text: str) -> list[int]:
@@ -155,7 +159,7 @@ class Encoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's ids end."""
-        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
         x = pc.if_else(pa.array(odd), pa.scalar(""), texts)
         x = pc.replace_substring_regex(x, r"([\pL\pN])([^\s\pL\pN])", "\\1\0\\2")
         x = pc.replace_substring(pc.replace_substring(x, " ", _MARK + " "), "\n", f"{_MARK}\n{_MARK}")
@@ -192,6 +196,13 @@ _BLOCK = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("kind", pa.strin
 def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int) -> Iterator[pa.RecordBatch]:
     # The many short lists hold no cycles; collecting them doubles the time.
     gc.disable()
+    try:
+        yield from _encoded(batches, path, end_id, most)
+    finally:
+        gc.enable()
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int) -> Iterator[pa.RecordBatch]:
     encode = Encoder(path, end_id)
     part, seq = TaskContext.get().partitionId(), 0
 
@@ -224,7 +235,6 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, end_id: int, most: int
     t = pa.Table.from_batches(left).combine_chunks() if left else None
     if t:
         yield block(t["doc_id"].chunk(0), t["text"].chunk(0))
-    gc.enable()
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
@@ -256,14 +266,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
-            ends = EliasFano(len(r["doc_ids"]), r["low_width"], r["low"], r["high"], r["places"]).all()
-            starts = np.concatenate([[0], ends[:-1]])
+            n = len(r["doc_ids"])
+            ends = EliasFano(n, r["low_width"], r["low"], r["high"], r["places"])
             ids = np.frombuffer(r["ids"], r["kind"])
-            crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts, ends)]
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array([r["part"]] * len(ends), pa.int32()), "seq": pa.array([r["seq"]] * len(ends), pa.int32()),
-                "doc_id": pa.array(r["doc_ids"], pa.int64()), "at": pa.array(starts, pa.int64()),
-                "n_tokens": pa.array(ends - starts, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
+            for first in range(0, n, READ):  # a few documents' offsets at a time, by select
+                at = [ends.select(i) if i >= 0 else 0 for i in range(first - 1, min(n, first + READ))]
+                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(at, at[1:])]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array([r["part"]] * len(crc), pa.int32()), "seq": pa.array([r["seq"]] * len(crc), pa.int32()),
+                    "doc_id": pa.array(r["doc_ids"][first:first + READ], pa.int64()), "at": pa.array(at[:-1], pa.int64()),
+                    "n_tokens": pa.array([b - a for a, b in zip(at, at[1:])], pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

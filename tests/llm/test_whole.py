@@ -4,7 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import embedding_dedup, html_extract, simhash
+from ledgerline.llm import (decontaminate, embedding_dedup, html_extract, language_id, line_dedup, merkle, mixing, quality, sharding, simhash,
+                            spelling, token_output, toxicity)
+
+# Names of columns that operators add, on the way or at the end.
+CLASHES = ("_bad _id _tkey _t _u _text _ls _kept _row _n _copies copies paths _paths _host host _found found row lang_pred word n run h cell "
+           "piece tree pos lo hi digest carry path _rank _part _at leaf shown threshold flagged size spans tkey hit ws gaps fp root").split()
 
 VECS = "vec_id long, embedding array<float>"
 
@@ -103,3 +108,54 @@ def test_html_slugs_and_open_elements_keep_the_text():
         for rest in ("", "<div><button>Ad</button></div><div><canvas>Ad</canvas></div>"):
             p = html_extract.Page(html.replace("{open}", tag) + rest)
             assert p.text([]).split("\n\n") == want, (tag, rest)
+
+
+def test_clashing_columns(spark, odd):
+    docs = odd.select("*", *[F.lit("own").alias(c) for c in CLASHES])
+    bench = spark.createDataFrame([(1, "quick brown fox", "own")], "item_id long, text string, _bad string")
+    labels = spark.createDataFrame([(1, 1, 1, "own"), (2, 0, 0, "own")], "doc_id long, quality int, toxic int, text string")
+
+    def owned(df):
+        """Every clashing column is still there as it came."""
+        assert all({r[c] for r in df.select(c).collect()} == {"own"} for c in CLASHES)
+        return df
+
+    assert owned(line_dedup.remove_boilerplate(docs, min_sites=2)).count() == odd.count()
+    assert owned(mixing.take_mix(docs)).columns == docs.columns
+    assert owned(simhash.keep_one(docs)).columns == docs.columns
+    assert owned(decontaminate.remove_contaminated(docs, bench)).columns == docs.columns
+    assert {r["word"] for r in language_id.identify(docs, language_id.fit(docs)).collect()} == {"own"}
+    n = odd.count()
+    for out in (sharding.shard_documents(docs), decontaminate.contamination(docs, bench), decontaminate.remove_spans(docs, bench),
+                quality.score_quality(docs, quality.fit(docs, labels)), simhash.near_duplicates(docs), token_output.tokenize(docs),
+                mixing.mix(docs), merkle.documents_manifest(docs), toxicity.score_toxicity(docs, *toxicity.fit(docs, labels))):
+        assert out.count() == n
+    assert spelling.document_variants(docs).count() == spelling.document_variants(odd).count()
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://a.example").alias("url"), F.col("text").alias("html"), *CLASHES)
+    assert owned(html_extract.extract(pages)).count() == n
+    vecs = spark.range(30).select(F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.col("id").cast("double")).alias("embedding"),
+                                  *[F.lit("own").alias(c) for c in CLASHES if c != "id"], F.lit("own").alias("x"), F.lit("own").alias("m"))
+    assert embedding_dedup.near_duplicates(vecs).links.count() == 30
+
+
+def test_pipeline_on_odd_rows(spark, odd, none):
+    import corpus_pipeline
+    say = {"en": "the and with this that shall think ", "de": "und nicht über schön ich größer "}
+    rows = [(1000 + i, " ".join(np.random.default_rng(i).permutation(say[k].split())) * 3 + f" x{i}y", k, f"s{i % 3}")
+            for i in range(320) for k in [("en", "de")[i % 2]]]
+    foreign, unfiled, signs = 5001, 5006, 5013  # none of them is fitted on
+    rows += [(foreign, say["de"] * 8, "en", "s0"), (unfiled, say["de"] * 8, None, "s0"), (signs, "12 34 ½", "en", "s0")]
+    plain = spark.createDataFrame([(*r, None, "x", "y") for r in rows], odd.schema)
+    docs = plain.unionByName(odd).select("*", *[F.lit("own").alias(c) for c in CLASHES])
+    first = corpus_pipeline.known_language(spark, docs, "/root/testdata/sf0.001")
+    kept = {r["doc_id"]: r for r in first.collect()}
+    assert foreign not in kept and unfiled in kept and signs not in kept
+    assert all(r[0] in kept for r in rows[:320]) and first.columns == docs.columns and kept[unfiled]["lang_pred"] == "own"
+    assert not {2, 3, 4, 6} & set(kept)  # null, empty, without letters
+    d = first
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        d = stage(spark, d, "/root/testdata/sf0.001")
+        assert d.columns == docs.columns
+    assert corpus_pipeline.STAGES[-1][1](spark, d, "").count() == d.count() > 0
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, "/root/testdata/sf0.001").count() == 0
