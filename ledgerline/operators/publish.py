@@ -78,8 +78,8 @@ def conform(df: DataFrame, like: T.StructType | None) -> DataFrame:
 def read_published(spark: SparkSession, root: str, table: str,
                    like: T.StructType | None = None) -> DataFrame | None:
     v = latest_version(spark, root, table)
-    if v is None:
-        return None
+    if v is None:   # perhaps a table of buckets
+        return read_buckets(spark, root, table, like=like)
     return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}"), like)
 
 
@@ -88,7 +88,7 @@ TENANT_POINTERS = "_tenant_pointers"
 # ``written``: the schema of the version's files; ``own``: the tenant's own
 # types, which other tenants in the version may have widened in the files.
 TENANT_POINTER_SCHEMA = ("table_name string, tenant string, version bigint, path string, written string, own string, "
-                         "null_tenant boolean")
+                         "null_tenant boolean, token string")
 # The characters that are escaped in partition folder names, and
 # the folder of null.
 _ESCAPED = frozenset([chr(c) for c in range(1, 32)] + list("\"#%'*/:=?\\\x7f{[]^"))
@@ -119,8 +119,8 @@ def tenant_versions(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], TENANT_POINTER_SCHEMA)
 
 
-def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_col: str,
-                    tenants: list | None = None, own: dict | None = None) -> str:
+def publish_tenants(df: DataFrame, root: str, table: str, version: int | None, tenant_col: str,
+                    tenants: list | None = None, own: dict | None = None, token: str | None = None) -> str:
     """H1: copy-on-write of the tenants present in ``df`` only.
 
     ``df`` holds the new rows of the touched tenants (e.g. a merge over the
@@ -131,14 +131,18 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
     already recorded does nothing.
 
     The pointer rows keep the schema of the files and, from ``own`` (tenant ->
-    schema), the types that a tenant's columns have by themselves.
+    schema), the types that a tenant's columns have by themselves.  With a
+    ``token`` in place of a version, versions are numbered here and work that
+    was published under the token does nothing, as in ``publish``.
     """
     spark = df.sparkSession
+    known = tenant_versions(spark, root).where(F.col("table_name") == table)
+    same = F.col("version") == version if token is None else F.col("token") == token
+    done, last = known.agg(F.max(F.when(same, F.col("version"))), F.max("version")).first()
+    if done is not None:
+        return f"{root.rstrip('/')}/{table}/v={done}"
+    version = (last or 0) + 1 if version is None else version
     base = f"{root.rstrip('/')}/{table}/v={version}"
-    done = tenant_versions(spark, root).where(
-        (F.col("table_name") == table) & (F.col("version") == version)).limit(1).collect()
-    if done:
-        return base
     # rebalance on the tenant: rows of one tenant meet in few tasks (not one
     # file per task per tenant), while AQE splits a hot tenant and merges
     # small ones into evenly sized files
@@ -150,7 +154,7 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int, tenant_c
         tenants = [r[0] for r in spark.read.schema(df.schema).parquet(base).select(tenant_col).distinct().collect()]
     written = df.schema.json()
     rows = [(table, None if t is None else str(t), int(version), f"{base}/{partition_folder(tenant_col, t)}", written,
-             (own or {}).get(t, df.schema).json(), t is None) for t in tenants]
+             (own or {}).get(t, df.schema).json(), t is None, token) for t in tenants]
     spark.createDataFrame(rows, TENANT_POINTER_SCHEMA).coalesce(1).write.mode("append").parquet(_tenant_pointer_path(root))
     return base
 
@@ -211,3 +215,27 @@ def read_tenants(spark: SparkSession, root: str, table: str, tenant_col: str,
         df = df.select(*cols)
         out = df if out is None else out.unionByName(df)
     return conform(out, like)
+
+
+# ------------------------------------------------------------ buckets of keys
+BUCKET = "_bucket"
+
+
+def with_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Add the bucket of each row's keys, the same in every version."""
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def publish_buckets(df: DataFrame, root: str, table: str, touched: list[int], token: str) -> str:
+    """H1 for small changes to a large table: write the ``touched`` buckets
+    (all of their rows) as a new version; the others keep their files."""
+    return publish_tenants(df, root, table, None, BUCKET, tenants=touched, token=token)
+
+
+def read_buckets(spark: SparkSession, root: str, table: str, touched: list[int] | None = None,
+                 like: T.StructType | None = None) -> DataFrame | None:
+    """The live rows of a table of buckets, or of the ``touched`` ones only."""
+    live = live_tenants(spark, root, table, touched)
+    if not live or not live[0]["path"].rsplit("/", 1)[1].startswith(BUCKET + "="):
+        return None
+    return conform(read_tenants(spark, root, table, BUCKET, live=live).drop(BUCKET), like)

@@ -666,6 +666,11 @@ FROM events GROUP BY 1, 2
 """)
 
 
+sql("stream_quarantine", """
+SELECT event_id, CASE WHEN event_id % 100 = 0 THEN 'trailing' ELSE 'cut' END AS tail FROM events WHERE event_id % 50 = 0
+""")
+
+
 sql("bad_row_preview", """
 WITH r AS (SELECT event_id, CASE WHEN event_id % 100 = 0 THEN replace(props, '"k"', 'k') ELSE props END
                   || CASE WHEN event_id % 37 = 0 THEN ' ' || event_type ELSE '' END AS raw FROM events)

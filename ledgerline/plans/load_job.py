@@ -276,7 +276,7 @@ def update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed
         max_sync = MO.max_synced(live, [tenant_col], now)
     status = F.col("status") if "status" in processed.columns else F.lit("SUCCESS")
     table = f"{MONITORING}/{endpoint}"
-    before = PUB.read_published(spark, root, table)
+    before = read_endpoint_monitoring(spark, root, endpoint)
     # Numbers, unless a tenant's id is text.
     kind = T.LongType() if isinstance(processed.schema[tenant_col].dataType, T.IntegralType) else T.StringType()
     kind = kind if before is None else SC.join_types(kind, before.schema["company_id"].dataType)
@@ -288,6 +288,11 @@ def update_monitoring(spark: SparkSession, root: str, live: DataFrame, processed
     PUB.publish(MO.monitor_upsert(empty if before is None else PUB.conform(before, empty.schema), run, now), root, table, token=token)
 
 
+def read_endpoint_monitoring(spark: SparkSession, root: str, endpoint: str) -> DataFrame | None:
+    """The newest monitoring rows of one endpoint."""
+    return PUB.read_published(spark, root, f"{MONITORING}/{endpoint}")
+
+
 def read_monitoring(spark: SparkSession, root: str) -> DataFrame | None:
     """The newest monitoring rows of all endpoints; ids are text if those of
     one endpoint are."""

@@ -850,22 +850,42 @@ _EVENTS_DDL = "event_id bigint, ts string, user_id bigint, event_type string, va
 
 @query("stream_merge")
 def q_stream_merge(spark, sf):
-    """All events landed as NDJSON in four drops, merged incrementally
-    (two files per micro-batch; newest per (user, type), W6, then the
-    monitoring snapshot) into a published target."""
+    """All events landed as NDJSON in four drops, broken lines among
+    them, merged incrementally (two files per micro-batch; newest per (user,
+    type), W6, then the monitoring snapshot) into a published target."""
+    root = _streamed_events(spark, sf)
+    out = PUB.read_published(spark, root, "events_latest")
+    return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                      "value")
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf):
+    """T1 + S2/S4: the broken lines that the stream's batches put aside."""
+    bad = ST.quarantined(spark, _streamed_events(spark, sf), "events_latest")
+    return bad.select(F.regexp_extract("preview", '"event_id":([0-9]+)', 1).cast("bigint").alias("event_id"),
+                      F.regexp_extract("preview", "([a-z]+)$", 1).alias("tail"))
+
+
+def _streamed_events(spark, sf):
+    """Run the stream over all events, with a broken line after every 50th:
+    the event with a later stamp, cut off or followed by more text."""
     from pyspark.sql import types as T
     base = scratch_dir(spark, "stream")
     landing, root, ckpt = f"{base}/landing", f"{base}/tables", f"{base}/checkpoint"
     e = fx.table(spark, sf, "events").select("event_id", F.col("ts").cast("string").alias("ts"),
                                              "user_id", "event_type", "value")
+    line = F.to_json(F.struct(*e.columns))
+    late = F.to_json(F.struct(*[F.lit("2999-01-01 00:00:00").alias(c) if c == "ts" else F.col(c) for c in e.columns]))
+    broken = F.when(F.col("event_id") % 100 == 0, F.concat(late, F.lit(" trailing"))).when(
+        F.col("event_id") % 50 == 0, F.regexp_replace(late, r"\}$", ",cut"))
     for drop in range(4):
-        WR.write_ndjson_append(e.where(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0)) == drop), landing)
+        own = e.where(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0)) == drop)
+        own.select(F.explode(F.filter(F.array(line, broken), lambda x: x.isNotNull())).alias("value")).write.mode("append").text(landing)
     schema = T._parse_datatype_string(_EVENTS_DDL)
     ST.run_landing_merge(spark, landing, schema, root, "events_latest", ["user_id", "event_type"], "ts",
                          fx.SYNCED_AT, ckpt, max_files_per_trigger=2)
-    out = PUB.read_published(spark, root, "events_latest")
-    return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
-                      "value")
+    return root
 
 
 # ============================================================ more sources / schema
