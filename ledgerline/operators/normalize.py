@@ -71,6 +71,11 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
             .withColumn("column_name", snake_col(F.col("source_key"))))
 
 
+# More distinct keys than this are data, not names (ids as object keys).
+OPEN_KEYS = 1000
+REST = "_other_fields"
+
+
 @dataclass
 class ColumnPlan:
     name: str
@@ -84,10 +89,12 @@ class ColumnPlan:
 
 @dataclass
 class NormalizePlan:
+    """The columns, and with ``rest`` one map of all other keys (``REST``)."""
     columns: list[ColumnPlan] = field(default_factory=list)
+    rest: bool = False
 
     def names(self) -> list[str]:
-        return [c.name for c in self.columns]
+        return [c.name for c in self.columns] + ([REST] if self.rest else [])
 
 
 def _spark_kind(variant_type: str | None) -> str:
@@ -237,6 +244,10 @@ def normalized_select(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj
     keep = list(keep or [])
     src = sorted({k for cp in plan.columns for k in cp.source_keys})
     multi = [cp for cp in plan.columns if len(cp.source_keys) > 1]
+    if plan.rest and REST not in keep:
+        parsed = parsed.withColumn(REST, other_fields(src, obj))
+        out = normalized_select(parsed, NormalizePlan(plan.columns), obj=obj, keep=[*keep, REST], stringify_mode=stringify_mode, value=value)
+        return out.select(*keep, *plan.names())
     if value not in parsed.columns or not src:
         return _normalized_from_entries(parsed, plan, obj=obj, keep=keep, stringify_mode=stringify_mode)
     idx = {k: i for i, k in enumerate(src)}
@@ -401,13 +412,34 @@ def infer_plan(parsed: DataFrame, declared: list[str] | None = None, obj: str =
     """C1 end to end: the probe aggregate, collected, planned.
 
     The probe has one row per distinct top-level key, which is schema-sized
-    unless a feed uses data as keys (ids as object keys).  For such a feed
-    name the ``declared`` columns (of a registry or the target): only their
-    keys become columns, and ``undeclared`` gives the others as one map.
+    unless a feed uses data as keys (ids as object keys).  Beyond OPEN_KEYS
+    keys, only those become columns that a thousandth (one in OPEN_KEYS) of
+    the records has, and all others go to one ``map<string,variant>`` column:
+    so there are at most OPEN_KEYS times as many columns as an average record
+    has keys, whatever the data, and no entry is lost.  The counts stay in
+    Spark until they are filtered.
+
+    Where the ``declared`` columns are known (of a registry or the target),
+    only their keys become columns, and ``undeclared`` gives the others.
     """
     if declared is not None:
         parsed = parsed.select(F.map_filter(obj, lambda k, _: snake_col(k).isin(*declared)).alias(obj))
-    return plan_from_probe(probe(parsed, obj).collect(), **kw)
+        return plan_from_probe(probe(parsed, obj).collect(), **kw)
+    found = probe(parsed, obj)
+    rows = found.limit(OPEN_KEYS + 1).collect()
+    if len(rows) <= OPEN_KEYS:
+        return plan_from_probe(rows, **kw)
+    records = parsed.where(F.col(obj).isNotNull()).count()
+    plan = plan_from_probe(found.where(F.col("n_present") * OPEN_KEYS >= records).collect(), **kw)
+    plan.rest = True
+    return plan
+
+
+def other_fields(keys: list[str], obj: str = "obj") -> Column:
+    """The entries of a record with other keys than ``keys``; null if there
+    are none."""
+    rest = F.map_filter(obj, lambda k, _: ~k.isin(*keys))
+    return F.when(F.size(rest) > 0, rest)
 
 
 def undeclared(declared: list[str], obj: str = "obj") -> Column:

@@ -82,3 +82,14 @@ def charset_diff(items: DataFrame, group_col: str, text_col: str, base_group) ->
     base = s.where(F.col("grp") == F.lit(base_group)).select("ch")
     return s.where(F.col("grp") != F.lit(base_group)).join(base, "ch", "left_anti") \
         .select(F.col("grp").alias(group_col), "ch")
+
+
+def snapshot_keys(items: DataFrame, snapshot_col: str, obj: str, first: str, second: str) -> DataFrame:
+    """Q1: the top-level keys of the records of two snapshots, with the number
+    of records that have each, and where they stand (``both``, ``first`` or
+    ``second``).  A key twice in a record counts once."""
+    keys = F.explode(F.array_distinct(F.map_keys(obj)))
+    n = items.select(F.col(snapshot_col).alias("snapshot"), keys.alias("key")).groupBy("key").agg(
+        F.count_if(F.col("snapshot") == first).alias("n_first"), F.count_if(F.col("snapshot") == second).alias("n_second"))
+    return n.select("key", "n_first", "n_second", F.when(F.col("n_second") == 0, "first").when(F.col("n_first") == 0, "second")
+                    .otherwise("both").alias("found_in"))

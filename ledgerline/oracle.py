@@ -554,6 +554,54 @@ c AS (SELECT snapshot, count(DISTINCT ch) AS non_ascii_chars
 SELECT m.*, coalesce(c.non_ascii_chars, 0) AS non_ascii_chars FROM m LEFT JOIN c USING (snapshot)
 """)
 
+sql("snapshot_keys", f"""
+WITH o AS (SELECT o_orderkey AS k, {fx.ORDER_OBJ_EXPR.replace('AS STRING', 'AS VARCHAR')} AS j FROM orders),
+f AS (SELECT unnest(list_distinct(json_keys(j))) AS key FROM o),
+s AS (SELECT unnest(list_distinct(json_keys(replace(replace(j, '"custKey"', '"customerKey"'), ', "order_priority": null', '')))) AS key FROM o
+      UNION ALL SELECT 'note' FROM o WHERE k % 9 = 0),
+n AS (SELECT key, count(*) FILTER (WHERE snap = 1) AS n_first, count(*) FILTER (WHERE snap = 2) AS n_second
+      FROM (SELECT key, 1 AS snap FROM f UNION ALL SELECT key, 2 FROM s) GROUP BY key)
+SELECT *, CASE WHEN n_second = 0 THEN 'first' WHEN n_first = 0 THEN 'second' ELSE 'both' END AS found_in FROM n
+""")
+
+
+sql("open_keys", """
+SELECT o_orderkey AS id, CAST(2 AS BIGINT) AS n_other, CAST(o_totalprice AS DOUBLE) AS total FROM orders
+""")
+
+
+sql("nested_known_arrays", """
+SELECT o_orderkey AS id, CAST(CASE o_orderkey % 5 WHEN 1 THEN 1 WHEN 3 THEN 3 ELSE 0 END AS BIGINT) AS n_detail, o_orderstatus AS code,
+       CAST(CASE o_orderkey % 5 WHEN 1 THEN 1 WHEN 3 THEN 3 ELSE 0 END AS BIGINT) AS n_first, CAST(2 AS BIGINT) AS second_no FROM orders
+""")
+
+
+sql("infer_schema", f"""
+WITH o AS (SELECT {fx.ORDER_OBJ_EXPR.replace('AS STRING', 'AS VARCHAR')} AS j FROM orders),
+kv AS (SELECT unnest(json_keys(j)) AS k, j FROM o),
+t AS (SELECT k, json_type(j, '$."' || k || '"') AS ty, json_extract_string(j, '$."' || k || '"') AS s FROM kv),
+c AS (SELECT k, s, CASE WHEN ty IN ('BIGINT', 'UBIGINT') THEN 'BIGINT' WHEN ty = 'VARCHAR' THEN 'STRING' WHEN ty = 'NULL' THEN NULL ELSE ty END AS ty
+      FROM t)
+SELECT {_snake('k')} AS column_name, k AS source_key,
+       bool_or(ty IN ('BIGINT', 'DOUBLE', 'BOOLEAN') OR (ty = 'STRING' AND TRY_CAST(s AS DOUBLE) IS NOT NULL)) IS TRUE AS saw_number,
+       bool_or(ty = 'STRING' AND trim(s) <> '' AND TRY_CAST(s AS DOUBLE) IS NULL) IS TRUE AS saw_text, bool_or(ty = 'ARRAY') IS TRUE AS saw_list,
+       CASE count(DISTINCT ty) WHEN 0 THEN 'VOID' WHEN 1 THEN max(ty) ELSE 'VARIANT' END AS variant_type, count(*) AS n_present
+FROM c GROUP BY k
+""")
+
+
+sql("file_report", """
+WITH r AS (SELECT coalesce(event_type, 'none') AS kind, event_id,
+                  CASE WHEN event_id % 100 = 0 THEN replace(props, '"k"', 'k') ELSE props END AS raw,
+                  CASE WHEN event_id % 30 = 0 THEN 2 ELSE 1 END AS n FROM events),
+l AS (SELECT *, sum(n) OVER (PARTITION BY kind ORDER BY event_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS line FROM r)
+SELECT kind, count(*) AS n_records, count(*) FILTER (WHERE NOT json_valid(raw)) AS n_bad, 'ndjson' AS layout_seen,
+       CASE WHEN bool_or(NOT json_valid(raw)) THEN 'malformed' ELSE 'ok' END AS status,
+       CAST(min(line) FILTER (WHERE NOT json_valid(raw)) AS BIGINT) AS first_bad_line
+FROM l GROUP BY kind
+""")
+
+
 sql("snapshot_difference", f"""
 WITH q AS ({ORACLE["snapshot_compare"]}),
 u AS (UNPIVOT (SELECT snapshot, CAST(COLUMNS(* EXCLUDE snapshot) AS BIGINT) FROM q)

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.names import title_file_name_col
@@ -32,45 +32,42 @@ def _files(spark: SparkSession):
     return spark.read.option("recursiveFileLookup", "true")
 
 
-def read_text_records(spark: SparkSession, path: str | list[str], layout: str = "ndjson",
-                      with_head: bool = False, keep_blank: bool = False) -> DataFrame:
+def read_text_records(spark: SparkSession, path: str | list[str], layout: str = "ndjson", places: bool = False) -> DataFrame:
     """Text of every record with its source file: (file_path, value).
 
     ``layout``: ``ndjson``, ``indent2`` (list dump), ``streamed`` or
     ``whole`` (compact one-line arrays, one task per file).
     Blank chunks (empty files, empty arrays, blank lines) are skipped.
-    ``with_head`` adds ``head_char``: the first character of the raw chunk
-    for chunks of the split that starts at byte 0 (so the file's first
-    character can be taken from the same scan).
+    ``places`` keeps them and adds the byte at which the chunk's split of the
+    file starts, ``at``, which numbers the chunks of a split as the scan reads
+    them, and the chunk's first character.
     """
+    where = [F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"),
+             F.substring("value", 1, 1).alias("char")] if places else []
+    file = F.col("_metadata.file_path").alias("file_path")
+    extra = ["start", "at", "char"] if places else []
+    v = F.col("value")
     if layout == "whole":
         # compact one-line arrays (H7): one task per file, memory-bound by the
         # file; each element's raw text comes back as a string and is then
         # parsed like any other record.  Land NDJSON when the writer is ours.
-        whole = _files(spark).text(path, wholetext=True).select(
-            F.col("_metadata.file_path").alias("file_path"), "value")
-        elems = whole.select("file_path", F.explode(F.coalesce(
-            F.from_json("value", "array<string>"), F.array(F.col("value")))).alias("value"))
-        return elems if keep_blank else elems.where(F.trim(F.col("value")) != "")
-    if layout == "ndjson":
-        raw = _files(spark).text(path)
+        whole = _files(spark).text(path, wholetext=True).select(file, v, *where)
+        elems = F.coalesce(F.from_json("value", "array<string>"), F.array("value"))
+        df = whole.select("file_path", F.posexplode(elems).alias("i", "value"), *extra)
+        if places:
+            df = df.withColumn("at", F.col("at") + F.col("i"))
+        df = df.select("file_path", "value", *extra)
+    elif layout == "ndjson":
+        df = _files(spark).text(path).select(file, v, *where)
     else:
         sep = SEP_INDENT2 if layout == "indent2" else SEP_STREAMED
-        raw = _files(spark).option("lineSep", sep).text(path)
-    cols = [F.col("_metadata.file_path").alias("file_path"), F.col("value")]
-    if with_head:
-        cols.append(F.when(F.col("_metadata.file_block_start") == 0, F.substring("value", 1, 1))
-                    .alias("head_char"))
-    df = raw.select(*cols)
-    extra = ["head_char"] if with_head else []
-    if layout != "ndjson":
-        v = F.col("value")
+        df = _files(spark).option("lineSep", sep).text(path).select(file, v, *where)
         v = F.regexp_replace(v, r"^\s*\[\s*", "")            # opening bracket of the file
         v = F.regexp_replace(v, r"(\})\s*\]\s*$", "$1")       # closing bracket after the last record
         v = F.regexp_replace(v, r"^\s*\]\s*$", "")            # an empty array
         v = F.when(F.trim(v).startswith("{") | (F.trim(v) == ""), v).otherwise(F.concat(F.lit("{"), v))
         df = df.select("file_path", v.alias("value"), *extra)
-    return df if keep_blank else df.where(F.trim(F.col("value")) != "")
+    return df if places else df.where(F.trim(F.col("value")) != "")
 
 
 LAYOUTS = ("ndjson", "indent2", "streamed", "whole")
@@ -176,25 +173,34 @@ def split_quarantine(parsed: DataFrame, mode: str = "quarantine") -> tuple[DataF
 
 
 def file_report(spark: SparkSession, path: str, layout: str = "ndjson") -> DataFrame:
-    """S3: per landed file: size, layout seen, record count, bad records and
-    the preview of the first bad one.  Every record is checked, not a sample.
-
-    One scan: the layout seen is the file's first character (``[`` ->
-    array, else NDJSON; a BOM or leading blank counts as NDJSON, as in the
-    source), taken from the first chunk of the split at byte 0, which the
-    scan delivers first into its partial aggregate.
+    """S3: per landed file: size, layout seen, record count, bad records, and
+    the number and preview of the first bad one.  Every record is checked, not
+    a sample.
+
+    ``first_bad_line`` counts from 1: lines of NDJSON, blank ones included,
+    and records of the array layouts.  Each split of a file counts its own
+    lines; the running sum over a file's splits numbers them.  The layout seen
+    is the file's first character (``[`` -> array, else NDJSON; a BOM or
+    leading blank counts as NDJSON, as in the source), that of the first chunk
+    of the split at byte 0.  Files of no bytes are not listed: Spark's readers
+    have no split of them.
     """
     files = (_files(spark).format("binaryFile").load(path)
              .select(F.col("path").alias("file_path"), "length"))
-    chunks = read_text_records(spark, path, layout, with_head=True, keep_blank=True)
-    recs = parse_records(chunks)
-    blank = F.trim(F.col("value")) == ""
-    stats = recs.groupBy("file_path").agg(
-        F.count_if(~blank).alias("n_records"),
-        F.count_if(~blank & F.col("is_bad")).alias("n_bad"),
-        F.min(F.when(~blank & F.col("is_bad"), F.substring("value", 1, PREVIEW_CHARS)))
-        .alias("first_bad_preview"),
-        F.first("head_char", ignorenulls=True).alias("first_char"))
+    recs = parse_records(read_text_records(spark, path, layout, places=True))
+    told = F.trim(F.col("value")) != ""
+    bad = told & F.col("is_bad")
+    splits = recs.groupBy("file_path", "start").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(told).alias("n_records"), F.count_if(bad).alias("n_bad"),
+        F.min("at").alias("first"), F.min(F.when(bad, F.struct("at", F.substring("value", 1, PREVIEW_CHARS).alias("text")))).alias("worst"),
+        F.min_by("char", "at").alias("char"))
+    before = Window.partitionBy("file_path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("lines", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    stats = splits.groupBy("file_path").agg(
+        F.sum("n_records").alias("n_records"), F.sum("n_bad").alias("n_bad"),
+        F.min(F.when(F.col("worst").isNotNull(), F.struct(
+            (F.col("lines") + F.col("worst.at") - F.col("first") + 1).alias("line"), F.col("worst.text").alias("text")))).alias("worst"),
+        F.min_by("char", "start").alias("first_char"))
     out = files.join(stats, "file_path", "left")
     n = F.coalesce(F.col("n_records"), F.lit(0))
     status = (F.when((F.col("length") == 0) | (n == 0), F.lit("empty"))
@@ -204,7 +210,8 @@ def file_report(spark: SparkSession, path: str, layout: str = "ndjson") -> DataF
                       F.coalesce("n_bad", F.lit(0)).alias("n_bad"),
                       F.when(F.col("first_char") == "[", F.lit("array"))
                       .when(F.col("length") > 0, F.lit("ndjson")).alias("layout_seen"),
-                      status.alias("status"), "first_bad_preview")
+                      status.alias("status"), F.col("worst.line").alias("first_bad_line"),
+                      F.col("worst.text").alias("first_bad_preview"))
 
 
 def list_landed(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

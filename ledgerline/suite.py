@@ -622,6 +622,58 @@ def q_snapshot_compare(spark, sf):
     return QA.snapshot_metrics(d, "snap", "text")
 
 
+@query("snapshot_keys")
+def q_snapshot_keys(spark, sf):
+    """Q1: top-level keys of two snapshots of the order objects, of which the
+    second lacks a key, has one renamed and another only now and then."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    text = F.expr(fx.ORDER_OBJ_EXPR)
+    second = F.regexp_replace(F.regexp_replace(text, '"custKey"', '"customerKey"'), ', "order_priority": null', "")
+    second = F.when(k % 9 == 0, F.regexp_replace(second, r"\}$", ', "note": {"id": 1}}')).otherwise(second)
+    both = o.select(F.explode(F.array(F.struct(F.lit("return_1").alias("snap"), text.alias("value")),
+                                      F.struct(F.lit("return_2").alias("snap"), second.alias("value")))).alias("x")).select("x.*")
+    return QA.snapshot_keys(LD.parse_records(both), "snap", "obj", "return_1", "return_2")
+
+
+@query("open_keys")
+def q_open_keys(spark, sf):
+    """C1 for a feed with data as keys: each order has its number in two of
+    its keys.  The plan stays small and these keys come as one map."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    text = F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "order-'), k.cast("string"), F.lit('": {"total": '),
+                    F.col("o_totalprice").cast("string"), F.lit('}, "'), k.cast("string"), F.lit('": "'),
+                    F.col("o_orderstatus"), F.lit('"}'))
+    parsed = LD.parse_records(o.select(text.alias("value")))
+    out = NZ.normalize(parsed, NZ.infer_plan(parsed))
+    rest = F.col(NZ.REST)
+    own = F.try_element_at(rest, F.concat(F.lit("order-"), F.col("id").cast("string")))
+    return out.select("id", F.size(rest).cast("bigint").alias("n_other"), F.try_variant_get(own, "$.total", "double").alias("total"))
+
+
+@query("nested_known_arrays")
+def q_nested_known_arrays(spark, sf):
+    """A known array field below an object and below the objects of a
+    list: null, absent or {} become [], an object one element, empty inner
+    lists go."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    tags = (F.when(k % 5 == 0, F.lit("null")).when(k % 5 == 1, F.lit('{"n": 1}')).when(k % 5 == 2, F.lit("{}"))
+            .when(k % 5 == 3, F.lit('[{"n": 1}, [], [1, 2], {"n": 2}]')))
+    below = F.coalesce(F.concat(F.lit('"lineTags": '), tags, F.lit(", ")), F.lit(""))
+    text = F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "detail": {'), below, F.lit('"code": "'), F.col("o_orderstatus"),
+                    F.lit('"}, "parts": [{"no": 1, "deep": {'), below, F.lit('"z": 1}}, {"no": 2, "deep": null}]}'))
+    parsed = LD.parse_records(o.select(text.alias("value")))
+    out = NZ.normalize(parsed, NZ.infer_plan(parsed, array_fields={"line_tags"}))
+
+    def size(c):
+        return F.size(c).cast("bigint")
+    return out.select("id", size(F.col("detail.lineTags")).alias("n_detail"), F.col("detail.code").alias("code"),
+                      size(F.get("parts", F.lit(0))["deep"]["lineTags"]).alias("n_first"),
+                      F.get("parts", F.lit(1))["no"].alias("second_no"))
+
+
 @query("snapshot_difference")
 def q_snapshot_difference(spark, sf):
     """Q1: differences and ratios of the two snapshots' metrics."""
@@ -724,15 +776,19 @@ def q_csv_report_load(spark, sf):
 
 @query("file_report")
 def q_file_report(spark, sf):
-    """S3: per landed NDJSON file: records, bad records, layout, status."""
+    """S3: per landed NDJSON file (one for each kind of event, blank lines in
+    between): records, bad records, layout, status, first bad line."""
     path = scratch_dir(spark, "landed-events")
     e = fx.table(spark, sf, "events")
     raw = F.when(F.col("event_id") % 100 == 0, F.replace(F.col("props"), F.lit('"k"'), F.lit("k"))) \
         .otherwise(F.col("props"))
-    e.select(raw.alias("value")).write.mode("overwrite").text(path)
+    blank = F.when(F.col("event_id") % 30 == 0, "\n").otherwise("")
+    kind = F.coalesce("event_type", F.lit("none")).alias("kind")
+    lines = e.select(kind, "event_id", F.concat(blank, raw).alias("value")).repartition("kind").sortWithinPartitions("kind", "event_id")
+    lines.select("kind", "value").write.mode("overwrite").partitionBy("kind").text(path)
     rep = LD.file_report(spark, path, "ndjson")
-    return rep.select(F.regexp_extract("file_path", r"(part-\d+)", 1).alias("file"), "n_records",
-                      "n_bad", "layout_seen", "status")
+    return rep.select(F.regexp_extract("file_path", r"kind=([^/]+)", 1).alias("kind"), "n_records",
+                      "n_bad", "layout_seen", "status", "first_bad_line")
 
 
 @query("landed_file_resolution")

@@ -226,3 +226,48 @@ def test_snapshot_sink_and_latest_alias(spark, tmp_dir):
     latest = LD.read_latest_snapshot(spark, p).collect()
     assert [(r["id"], r["v"]) for r in latest] == [(1, "a2")]
     assert spark.read.parquet(p).count() == 3          # every copy kept
+
+
+def test_file_report_numbers_the_first_bad_line(spark, tmp_dir):
+    """Lines are numbered through all splits of a file, blank ones included."""
+    d = os.path.join(tmp_dir, "numbered")
+    os.makedirs(d)
+    lines = [json.dumps({"id": i, "pad": "x" * (i % 40)}) if i % 7 else "" for i in range(4000)]
+    lines[3210] = "broken"
+    lines[3900] = "also broken"
+    _write(os.path.join(d, "many.json"), "\n".join(lines) + "\n")
+    _write(os.path.join(d, "first.json"), "oops\n{}\n")
+    _write(os.path.join(d, "good.json"), "{}\n")
+    _write(os.path.join(d, "empty.json"), "\n \n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        assert spark.read.text(os.path.join(d, "many.json")).rdd.getNumPartitions() > 5
+        rep = {os.path.basename(r["file_path"]): r for r in LD.file_report(spark, d, "ndjson").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {k: (r["first_bad_line"], r["first_bad_preview"], r["n_bad"]) for k, r in rep.items()} == {
+        "many.json": (3211, "broken", 2), "first.json": (1, "oops", 1), "good.json": (None, None, 0), "empty.json": (None, None, 0)}
+    assert rep["empty.json"]["status"] == "empty"
+    os.makedirs(os.path.join(tmp_dir, "arr"))
+    _write(os.path.join(tmp_dir, "arr", "a.json"), "[\n" + ",\n".join(["{}"] * 5 + ['{"a": }'] + ["{}"] * 3) + "\n]")
+    row = LD.file_report(spark, os.path.join(tmp_dir, "arr"), "streamed").first()
+    assert (row["n_records"], row["n_bad"], row["first_bad_line"], row["layout_seen"]) == (9, 1, 6, "array")
+
+
+def test_open_keys_become_one_map(spark):
+    lines = [json.dumps({"id": i, f"k{i}": {"v": i}, "often": i % 2, **({"Rare": 1} if i % 300 == 0 else {})}) for i in range(1500)]
+    recs = LD.parse_records(spark.createDataFrame([(t,) for t in lines], "value string"))
+    plan = NZ.infer_plan(recs)
+    assert plan.names() == ["id", "often", "rare", NZ.REST]
+    out = {r["id"]: r for r in NZ.normalize(recs, plan).select(
+        "id", "rare", F.map_keys(NZ.REST).alias("keys"), F.try_variant_get(F.try_element_at(NZ.REST, F.concat(F.lit("k"), "id")), "$.v", "int").alias("v")).collect()}
+    assert all(out[i]["keys"] == [f"k{i}"] and out[i]["v"] == i and out[i]["rare"] == (1 if i % 300 == 0 else None) for i in range(1500))
+
+
+def test_snapshot_keys(spark):
+    from ledgerline.operators import quality as QA
+    rows = [("a", '{"x": 1, "y": 2, "x": 3}'), ("a", '{"x": 1}'), ("b", '{"x": 1, "z": null}'), ("b", "{}"), ("c", '{"w": 1}')]
+    recs = LD.parse_records(spark.createDataFrame(rows, "snap string, value string"))
+    got = {tuple(r) for r in QA.snapshot_keys(recs, "snap", "obj", "a", "b").collect()}
+    assert got >= {("x", 2, 1, "both"), ("y", 1, 0, "first"), ("z", 0, 1, "second")}
