@@ -241,7 +241,7 @@ FIELDS_JSON = '[{"name": "Id", "dataType": "Number"}, {"name": "Name", "dataType
 
 
 def catalog(spark, sf_dir) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 4 != 0)
+    s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     active = k % 3 == 0
     return s.select(
@@ -257,12 +257,13 @@ def catalog(spark, sf_dir) -> DataFrame:
 
 
 def discovered(spark, sf_dir) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 6 != 0)
+    """What discovery finds: every report, some under a new id."""
+    s = table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     return s.select(
         F.col("s_nationkey").cast("bigint").alias("company_id"),
         F.concat(F.lit("cat"), (k % 5).cast("string")).alias("report_category"),
-        k.alias("report_id"), F.concat(F.col("s_name"), F.lit(" v2")).alias("report_name"),
+        F.when(k % 6 == 0, k + 1_000_000).otherwise(k).alias("report_id"), F.concat(F.col("s_name"), F.lit(" v2")).alias("report_name"),
         F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("report_description"),
         ts(SYNCED_AT).alias("report_modified_on"), F.lit(PARAMS_JSON).alias("parameters"),
         F.lit(FIELDS_JSON).alias("fields"), ts(SYNCED_AT).alias("discovered_at"))
@@ -277,13 +278,14 @@ catalog AS (SELECT CAST(s_nationkey AS BIGINT) AS company_id,
   CASE WHEN s_suppkey % 3 = 0 THEN 'rep_' || CAST(s_suppkey AS VARCHAR) END AS table_name,
   CASE WHEN s_suppkey % 3 = 0 THEN DATE '2024-06-01' END AS history_from,
   TIMESTAMP '{T0}' AS discovered_at
-  FROM supplier WHERE s_suppkey % 4 <> 0),
+  FROM supplier),
 discovered AS (SELECT CAST(s_nationkey AS BIGINT) AS company_id,
-  'cat' || CAST(s_suppkey % 5 AS VARCHAR) AS report_category, s_suppkey AS report_id,
+  'cat' || CAST(s_suppkey % 5 AS VARCHAR) AS report_category,
+  CASE WHEN s_suppkey % 6 = 0 THEN s_suppkey + 1000000 ELSE s_suppkey END AS report_id,
   s_name || ' v2' AS report_name, 'nation ' || CAST(s_nationkey AS VARCHAR) AS report_description,
   TIMESTAMP '{SYNCED_AT}' AS report_modified_on, '{PARAMS_JSON}' AS parameters,
   '{FIELDS_JSON}' AS fields, TIMESTAMP '{SYNCED_AT}' AS discovered_at
-  FROM supplier WHERE s_suppkey % 6 <> 0)
+  FROM supplier)
 """
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.names import snake, snake_col
 from ledgerline.functions.values import NUMERIC, coerce_to
-from ledgerline.sources.landing import recovered_key
+from ledgerline.sources.landing import one_object, one_object_array, recovered_key
 
 NUMBER_KINDS = ("BIGINT", "DOUBLE", "BOOLEAN", "FLOAT", "INT", "SMALLINT", "TINYINT")
 
@@ -163,6 +163,10 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
             continue
         kind = kinds.pop() if len(kinds) == 1 else ("variant" if kinds else "string")
         plan.columns.append(ColumnPlan(name, keys, kind, coerce=type_map.get(name)))
+    # A known array that no record has is there all the same, empty.
+    have = set(plan.names())
+    plan.columns += [ColumnPlan(name, [], "array") for name in sorted(array_fields) if name not in have and "." not in name]
+    plan.columns.sort(key=lambda c: c.name)
     known = frozenset(c.name for c in plan.columns if c.kind == "array") | frozenset(array_fields)
     for c in plan.columns:
         c.known_arrays = known
@@ -259,15 +263,17 @@ def normalized_select(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj
             key_type[cp.source_keys[0]] = _direct_type(cp)
     st = T.StructType([T.StructField(k, key_type[k]) for k in src])
     pos = T.StructType([T.StructField(f"f{i}", key_type[k]) for i, k in enumerate(src)])
-    arr = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), T.ArrayType(st))
+    arr = one_object_array(F.col(value), st)
     base_keep = [c for c in keep if c != "is_bad"]
     extra = [F.map_entries(F.col(obj)).alias("__entries")] if multi else []
-    staged = parsed.select(*base_keep, arr.alias("__arr"), *extra)
-    rec = F.when(F.size("__arr") == 1, F.try_element_at("__arr", F.lit(1))).cast(pos)
+    staged = parsed.select(*base_keep, arr.alias("__arr"), F.col(value).alias("__text"), *extra)
+    rec = one_object(F.col("__arr"), F.col("__text")).cast(pos)
     staged = staged.select(*base_keep, rec.alias("__rec"), *(["__entries"] if multi else []))
     picks = []
     for i, cp in enumerate(plan.columns):
-        if len(cp.source_keys) == 1:
+        if not cp.source_keys:
+            v = F.lit(None).cast("variant")
+        elif len(cp.source_keys) == 1:
             v = F.col("__rec")[f"f{idx[cp.source_keys[0]]}"]
         else:
             hits = F.filter(F.col("__entries"), _key_in(cp.source_keys))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,27 @@ def latest_version(spark: SparkSession, root: str, table: str) -> int | None:
     return row[0] if row else None
 
 
+CLAIMS = "_claims"
+
+
+def claim_version(spark: SparkSession, root: str, table: str, least: int) -> int:
+    """The first number from ``least`` that no other publisher has: its file is
+    created only if absent, so of two publishers at once one moves on.  A
+    claim without a version is a gap."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while True:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{CLAIMS}/{table}/{least}")
+        fs = path.getFileSystem(conf)
+        fs.mkdirs(path.getParent())
+        try:
+            fs.create(path, False).close()
+            return least
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            least += 1
+
+
 def publish(df: DataFrame, root: str, table: str, version: int | None = None,
             partition_by: list[str] | None = None, token: str | None = None) -> str:
     """Write ``df`` as a version of ``table`` and switch the pointer.
@@ -56,7 +78,7 @@ def publish(df: DataFrame, root: str, table: str, version: int | None = None,
     if existing:
         return existing[0]["path"]
     if version is None:
-        version = (latest_version(spark, root, table) or 0) + 1
+        version = claim_version(spark, root, table, (latest_version(spark, root, table) or 0) + 1)
     path = f"{root.rstrip('/')}/{table}/v={version}"
     if partition_by:   # see publish_tenants: sized files per partition value
         df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -83,6 +105,17 @@ def read_published(spark: SparkSession, root: str, table: str,
     return conform(spark.read.parquet(f"{root.rstrip('/')}/{table}/v={v}"), like)
 
 
+def ensure_table(spark: SparkSession, root: str, table: str, staging: T.StructType) -> bool:
+    """Create the final table, empty, with staging's columns and the audit
+    columns, unless it is there.  Returns whether it was created."""
+    if read_published(spark, root, table) is not None:
+        return False
+    own = [f for f in staging.fields if not f.name.startswith("_etl_")]
+    audit = [T.StructField("_etl_synced", T.TimestampNTZType()), T.StructField("_etl_operation", T.StringType())]
+    publish(spark.createDataFrame([], T.StructType(own + audit)), root, table, token="create")
+    return True
+
+
 # ------------------------------------------------------------ per-tenant versions
 TENANT_POINTERS = "_tenant_pointers"
 # ``written``: the schema of the version's files; ``own``: the tenant's own
@@ -141,7 +174,7 @@ def publish_tenants(df: DataFrame, root: str, table: str, version: int | None, t
     done, last = known.agg(F.max(F.when(same, F.col("version"))), F.max("version")).first()
     if done is not None:
         return f"{root.rstrip('/')}/{table}/v={done}"
-    version = (last or 0) + 1 if version is None else version
+    version = claim_version(spark, root, table, (last or 0) + 1) if version is None else version
     base = f"{root.rstrip('/')}/{table}/v={version}"
     # rebalance on the tenant: rows of one tenant meet in few tasks (not one
     # file per task per tenant), while AQE splits a hot tenant and merges

@@ -554,6 +554,33 @@ c AS (SELECT snapshot, count(DISTINCT ch) AS non_ascii_chars
 SELECT m.*, coalesce(c.non_ascii_chars, 0) AS non_ascii_chars FROM m LEFT JOIN c USING (snapshot)
 """)
 
+sql("append_load", """
+WITH d AS (SELECT o_orderkey AS id, o_custkey AS c, CAST(o_orderkey % 2 AS BIGINT) AS drop FROM orders)
+SELECT drop, count(*) FILTER (WHERE id % 100 <> drop) AS n_rows, CAST(sum(c) FILTER (WHERE id % 100 <> drop) AS BIGINT) AS sum_cust,
+       nullif(count(*) FILTER (WHERE id % 100 = drop), 0) AS n_bad FROM d GROUP BY drop
+""")
+
+
+sql("ensure_table", """
+SELECT l_returnflag AS mode, 'INSERT' AS operation, count(*) AS n_rows,
+       sum(CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS DOUBLE) END) AS qty, true AS created_once
+FROM lineitem GROUP BY 1
+""")
+
+
+sql("absent_known_arrays", """
+SELECT o_orderkey AS id, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n_tags, CAST(0 AS BIGINT) AS n_notes FROM orders
+""")
+
+
+sql("csv_listed_load", """
+SELECT CASE l_returnflag WHEN 'N' THEN 'ship_report' WHEN 'R' THEN 'rail_report' ELSE 'air_report' END AS table_name,
+       CASE l_returnflag WHEN 'N' THEN 1 WHEN 'R' THEN 2 ELSE 3 END AS priority, count(*) AS n_rows,
+       sum(CAST(l_quantity AS DOUBLE)) AS qty, min(l_orderkey) AS least_key
+FROM lineitem WHERE l_returnflag IN ('N', 'R', 'A') GROUP BY l_returnflag
+""")
+
+
 sql("snapshot_keys", f"""
 WITH o AS (SELECT o_orderkey AS k, {fx.ORDER_OBJ_EXPR.replace('AS STRING', 'AS VARCHAR')} AS j FROM orders),
 f AS (SELECT unnest(list_distinct(json_keys(j))) AS key FROM o),

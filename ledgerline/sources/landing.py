@@ -14,6 +14,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.names import title_file_name_col
 from ledgerline.operators.publish import literal_path
@@ -137,20 +138,31 @@ def recovered_key(value: Column, names: list[str]) -> Column:
     return F.when(found != "", F.get(F.from_json(F.concat(F.lit("["), found, F.lit("]")), "array<string>"), F.lit(0)))
 
 
-def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``obj`` (key -> variant map, duplicate keys kept in order) and
-    ``is_bad`` (text that is not exactly one JSON object).
+def one_object_array(value: Column, kind: str | T.DataType) -> Column:
+    """The text as a list of ``kind``, to be read with ``one_object``.
 
     The JSON reader stops after the first complete value and ignores what
-    follows (``{"k": 1} x`` would pass), so the text is parsed wrapped in
-    brackets: any trailing token then breaks the array, and exactly one
-    element must come back.
+    follows (``{"k": 1} x`` would pass), so the text is parsed as the first of
+    two elements: any other trailing token then breaks the list, and a
+    bracket in the text ends it before the second.
     """
-    arr = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), "array<map<string,variant>>")
+    kind = T.ArrayType(kind) if isinstance(kind, T.DataType) else f"array<{kind}>"
+    return F.from_json(F.concat(F.lit("["), value, F.lit(",null]")), kind)
+
+
+def one_object(array: Column, value: Column) -> Column:
+    """The object that ``value`` is; null if it is not exactly one."""
+    whole = (F.size(array) == 2) & F.get(array, F.lit(1)).isNull() & value.rlike(r"\}\s*\z")
+    return F.when(whole, F.get(array, F.lit(0)))
+
+
+def parse_records(df: DataFrame, value: str = "value") -> DataFrame:
+    """Add ``obj`` (key -> variant map, duplicate keys kept in order) and
+    ``is_bad`` (text that is not exactly one JSON object)."""
     # two projections: the parsed array is computed once and read twice
-    staged = df.withColumn("__arr", arr)
-    m = F.when(F.size("__arr") == 1, F.try_element_at("__arr", F.lit(1)))
-    return staged.withColumn("obj", m).drop("__arr").withColumn("is_bad", F.col("obj").isNull())
+    staged = df.withColumn("__arr", one_object_array(F.col(value), "map<string,variant>"))
+    return (staged.withColumn("obj", one_object(F.col("__arr"), F.col(value))).drop("__arr")
+            .withColumn("is_bad", F.col("obj").isNull()))
 
 
 def split_quarantine(parsed: DataFrame, mode: str = "quarantine") -> tuple[DataFrame, DataFrame]:

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ledgerline.operators import merge as M
 from ledgerline.operators import publish as PUB
 from ledgerline.operators.keys import latest_per_key
-from ledgerline.sources.landing import PREVIEW_CHARS
+from ledgerline.sources.landing import PREVIEW_CHARS, one_object, one_object_array
 
 # Buckets of a target.  More make smaller rewrites and more files; the number
 # belongs to the table and must not change.
@@ -38,9 +38,8 @@ QUARANTINE = "_quarantine"
 def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """(file_path, value, rec) of every line that is not blank; ``rec`` is null
     unless the line is exactly one object."""
-    array = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), T.ArrayType(schema))
-    return (lines.where(F.trim("value") != "").withColumn("recs", array)
-            .select("file_path", "value", F.when(F.size("recs") == 1, F.get("recs", F.lit(0))).alias("rec")))
+    recs = lines.where(F.trim("value") != "").withColumn("recs", one_object_array(F.col("value"), schema))
+    return recs.select("file_path", "value", one_object(F.col("recs"), F.col("value")).alias("rec"))
 
 
 def merge_batch(lines: DataFrame, schema: T.StructType, root: str, table: str, keys: list[str], order_col: str,

@@ -791,6 +791,81 @@ def q_file_report(spark, sf):
                       "n_bad", "layout_seen", "status", "first_bad_line")
 
 
+@query("append_load")
+def q_append_load(spark, sf):
+    """Two drops of orders staged one after the other into one staging
+    table, the second added to the first; malformed records stay aside."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    path = scratch_dir(spark, "append") + "/staging"
+    for drop in (0, 1):
+        rec = F.to_json(F.struct(k.alias("id"), F.col("o_custkey").alias("custKey"), F.lit(drop).alias("drop")))
+        text = F.when(k % 100 == drop, F.concat(rec, F.lit("]"))).otherwise(rec)
+        parsed = LD.parse_records(o.where(k % 2 == drop).select(text.alias("value")))
+        NZ.stage_landed(parsed, NZ.infer_plan(parsed), path, append=drop > 0)
+    good, bad = LD.read_staging(spark, path)
+    return good.groupBy("drop").agg(F.count("id").alias("n_rows"), F.sum("cust_key").alias("sum_cust")).join(
+        bad.select(F.regexp_extract("preview", '"drop":([0-9]+)', 1).cast("bigint").alias("drop")).groupBy("drop").agg(
+            F.count(F.lit(1)).alias("n_bad")), "drop", "left")
+
+
+@query("ensure_table")
+def q_ensure_table(spark, sf):
+    """S17 + W2 + P6: the final table is created with the first staging's
+    types, only once, and the first load is cast to them (a quantity that is
+    no number becomes null)."""
+    li = fx.table(spark, sf, "lineitem")
+    root = scratch_dir(spark, "ensure")
+    key = F.concat_ws("-", F.col("l_orderkey"), F.col("l_linenumber"))
+    first = li.select(key.alias("id"), F.col("l_quantity").cast("double").alias("qty"), F.col("l_returnflag").alias("mode"))
+    made = PUB.ensure_table(spark, root, "lines", first.schema)
+    again = PUB.ensure_table(spark, root, "lines", li.schema)
+    text = F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(F.col("l_quantity").cast("double").cast("string"))
+    staging = li.select(key.alias("id"), text.alias("qty"), F.col("l_returnflag").alias("mode"))
+    PUB.publish(M.first_load(staging, fx.SYNCED_AT, PUB.read_published(spark, root, "lines").schema), root, "lines", token="load")
+    out = PUB.read_published(spark, root, "lines")
+    return out.groupBy("mode", F.col("_etl_operation").alias("operation")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"), F.lit(made and not again).alias("created_once"))
+
+
+@query("absent_known_arrays")
+def q_absent_known_arrays(spark, sf):
+    """Known array fields that no record has become empty lists, those
+    that some have stay."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    text = F.concat(F.lit('{"id": '), k.cast("string"), F.when(k % 3 == 0, F.lit(', "tagList": [1, "x"]')).otherwise(F.lit("")), F.lit("}"))
+    parsed = LD.parse_records(o.select(text.alias("value")))
+    out = NZ.normalize(parsed, NZ.infer_plan(parsed, array_fields={"tag_list", "notes"}))
+    return out.select("id", F.size("tag_list").cast("bigint").alias("n_tags"), F.size("notes").cast("bigint").alias("n_notes"))
+
+
+@query("csv_listed_load")
+def q_csv_listed_load(spark, sf):
+    """S6 + S5: report exports landed under any of their three names; each
+    report's file is resolved from the listing of the folder and read by its
+    own header."""
+    base = scratch_dir(spark, "listed-csv")
+    li = fx.table(spark, sf, "lineitem")
+    tables = ["ship_report", "rail_report", "air_report"]
+    # The stems that the exports have: with prefix, plain, in title case.
+    stems = dict(zip(tables, ("export_ship_report", "rail_report", "Air Report")))
+    modes = dict(zip(tables, ("N", "R", "A")))
+    for t in tables:
+        own = li.where(F.col("l_returnflag") == modes[t]).select(F.col("l_orderkey").alias("Order Key"), F.col("l_quantity").alias(f"{t} Qty"))
+        own.write.option("header", True).csv(f"{base}/{stems[t]}.csv")
+    # Spark writes a folder of files under each name.
+    listing = LD.list_landed(spark, base).select(F.regexp_extract(F.try_url_decode("path"), r"([^/]+\.csv)/[^/]+$", 1).alias("file_name"))
+    names = spark.createDataFrame([(t,) for t in tables], "table_name string")
+    out = None
+    for r in sorted(LD.resolve_landed_files(listing, names).collect()):   # one row a report
+        df = CSV.read_landed_csv(spark, f"{base}/{r['file_name']}", multi_line=False)
+        df = df.select(F.lit(r["table_name"]).alias("table_name"), F.lit(r["priority"]).alias("priority"),
+                       F.col("order_key").cast("bigint").alias("order_key"), F.col(f"{r['table_name']}_qty").cast("double").alias("qty"))
+        out = df if out is None else out.unionByName(df)
+    return out.groupBy("table_name", "priority").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qty").alias("qty"), F.min("order_key").alias("least_key"))
+
+
 @query("landed_file_resolution")
 def q_landed_file_resolution(spark, sf):
     """First existing landed file per table among the three name variants."""

@@ -178,3 +178,23 @@ def test_retried_snapshot_is_kept_once(spark, tmp_dir):
     for stamp in ("2025-01-01", "2025-01-02", "2025-01-02"):
         path = WR.land_snapshot(df if stamp.endswith("1") else df.limit(2), tmp_dir, "jobs", stamp)
     assert spark.read.parquet(path).count() == 5 and LD.read_latest_snapshot(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("text,good", [
+    ('{"a": 1}', True), (' {"a": {"b": [1]}} ', True), ("{}", True), ('{"a": 1}\t', True), ('{"a": 1} x', False), ('{"a": 1}]', False),
+    ('{"a": 1}] {}', False), ('{"a": 1},{"b": 2}', False), ('{"a": 1},', False), ("[1]", False), ("null", False), ("7", False), ("", False), ("}", False),
+    ('{"a": 1}}', False), ('{"a": "]}"}', True), ('{"a": 1', False), ('{"a": 1},null', False)])
+def test_exactly_one_object(spark, text, good):
+    df = spark.createDataFrame([(text,)], "value string")
+    assert LD.parse_records(df).first()["is_bad"] == (not good)
+    rec = LD.one_object(F.col("r"), F.col("value"))
+    assert (df.withColumn("r", LD.one_object_array(F.col("value"), _st(a=S))).select(rec.isNotNull()).first()[0]) == good
+
+
+def test_interleaved_publishers_take_different_versions(spark, tmp_dir):
+    df = spark.range(3)
+    first = PUB.claim_version(spark, tmp_dir, "t", 1)       # one has looked up the newest version and claimed the next,
+    second = PUB.publish(df, tmp_dir, "t", token="other")   # another publishes before the first writes
+    assert first == 1 and second.endswith("v=2")
+    assert PUB.publish(df.limit(1), tmp_dir, "t", token="other") == second
+    assert PUB.publish(df, tmp_dir, "t", token="third").endswith("v=3") and PUB.latest_version(spark, tmp_dir, "t") == 3
