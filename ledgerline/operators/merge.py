@@ -284,7 +284,7 @@ def merge_soft_delete(target: DataFrame, staging: DataFrame, synced_at, *,
         frame, staged = _tenant_flag(frame, staging, tenant_col, tenants)
         delete_here = staged
     if soft_delete and spared is not None:
-        own = spared.select(*[F.col(k).cast(ttypes[k]).alias(f"spared__{k}") for k in keys]).distinct().withColumn("spared__", F.lit(True))
+        own = spared.select(*[F.col(k).try_cast(ttypes[k]).alias(f"spared__{k}") for k in keys]).distinct().withColumn("spared__", F.lit(True))
         same = [t_col(k) == F.col(f"spared__{k}") for k in keys]
         frame = frame.join(own, [tonly, *same], "left")
         delete_here = delete_here & F.col("spared__").isNull()

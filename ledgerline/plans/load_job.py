@@ -71,48 +71,50 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, root: str, table: str
     NZ.stage_landed(parsed, plan, staging_path, keep=[tenant_col], recover=names)
     staging_all = spark.read.parquet(staging_path)
     staging, _ = LD.read_staging(spark, staging_path)
-    # Every staged tenant, also those with bad records alone.
-    staged = staging_all.groupBy(tenant_col).agg(F.count_if("is_bad").alias("bad_records"))
-
+    # One aggregate tells all that the load decides by: a row per staged
+    # tenant, also of those with bad records alone.
+    has_key = key in staging.columns
+    readable = F.col("__key").try_cast(staging.schema[key].dataType) if has_key else F.lit(None)
+    facts = staging_all.groupBy(tenant_col).agg(
+        F.count_if("is_bad").alias("bad_records"), F.count_if(~F.col("is_bad")).alias("good_records"),
+        F.count_if(F.col("is_bad") & readable.isNull()).alias("unreadable")).collect()   # tenant-sized
     # Rows without a tenant could never be found again.
-    refused = [None] if staged.where(F.col(tenant_col).isNull()).limit(1).count() else []
-    why = dict.fromkeys(refused, "no tenant")
-    if key in staging.columns and use_merge and is_production:
+    why = {None: "no tenant"} if any(r[0] is None for r in facts) else {}
+    if has_key and use_merge and is_production:
         # A key that comes twice would multiply its rows with every load.
-        twice = K.duplicate_keys(staging.where(F.col(key).isNotNull()), [tenant_col, key])
-        for r in twice.where(F.col(tenant_col).isNotNull()).select(tenant_col).distinct().collect():   # tenant-sized
-            refused, why[r[0]] = [*refused, r[0]], "duplicate keys"
-    tenants = [r[0] for r in staging.where(~_one_of(tenant_col, refused)).select(tenant_col).distinct().collect()]   # tenant-sized
+        twice = K.duplicate_keys(staging.where(F.col(key).isNotNull() & F.col(tenant_col).isNotNull()), [tenant_col, key])
+        why.update({r[0]: "duplicate keys" for r in twice.select(tenant_col).distinct().collect()})   # tenant-sized
+    tenants = [r[0] for r in facts if r["good_records"] and r[0] not in why]
     live = PUB.live_tenants(spark, root, table, tenants)
     target = PUB.read_tenants(spark, root, table, tenant_col, live=live)
-    has_rows = target is not None and target.limit(1).count() > 0
+    has_rows = target is not None and not target.isEmpty()
     has_dates = date_col in staging.columns
-    mode = M.planned_mode(spark, is_production, use_merge, has_rows, key in staging.columns, has_dates,
+    mode = M.planned_mode(spark, is_production, use_merge, has_rows, has_key, has_dates,
                           has_dates and target is not None and date_col in target.columns)
     withheld: list = []
     spared = None
-    malformed = [r[0] for r in staged.where("bad_records > 0").select(tenant_col).collect()] if tenants else []   # tenant-sized
+    malformed = [r[0] for r in facts if r["bad_records"] and r[0] in tenants]
     if mode == "merge" and malformed:
-        bad = staging_all.where("is_bad").select(tenant_col, F.col("__key").try_cast(target.schema[key].dataType).alias(key)
-                                                 if key in target.columns else F.lit(None).cast("string").alias(key))
-        withheld = [r[0] for r in bad.where(F.col(key).isNull()).select(tenant_col).distinct().collect()]   # tenant-sized
-        spared = bad.where(F.col(key).isNotNull())
+        withheld = [r[0] for r in facts if r["unreadable"] and r[0] in tenants]
+        spared = staging_all.where("is_bad").select(tenant_col, readable.alias(key)).where(F.col(key).isNotNull())
     elif mode in ("overwrite", "replace_dates", "replace_all"):
         has = {r["tenant"] for r in live}
-        for t in malformed:
-            if t in tenants and (None if t is None else str(t)) in has:
-                refused, why[t] = [*refused, t], "malformed records"
-        tenants = [t for t in tenants if t not in refused]
+        why.update({t: "malformed records" for t in malformed if str(t) in has})
+    refused = list(why)
+    dropped, tenants = [t for t in tenants if t in why], [t for t in tenants if t not in why]
     staging = staging.where(~_one_of(tenant_col, refused))
-    staged = (staged.withColumn("refused", _one_of(tenant_col, refused)).withColumn("reason", _named(tenant_col, why))
-              .withColumn("withheld", _one_of(tenant_col, [t for t in withheld if t in tenants])))
+    types = T.StructType([staging.schema[tenant_col], T.StructField("bad_records", T.LongType()), T.StructField("refused", T.BooleanType()),
+                          T.StructField("reason", T.StringType()), T.StructField("withheld", T.BooleanType())])
+    staged = spark.createDataFrame([(r[0], r["bad_records"], r[0] in why, why.get(r[0]), r[0] in withheld) for r in facts], types)
+    processed = spark.createDataFrame([(r[0], r["good_records"]) for r in facts if r[0] in tenants],
+                                      T.StructType([staging.schema[tenant_col], T.StructField("rows_processed", T.LongType())]))
     operations = ("INSERT", "UPDATE", "DELETE", "OVERWRITE")
     if not tenants:   # nothing to write: the table stays as it is, and the tenants are reported
         idle = staged.select(tenant_col, *[F.lit(0).cast("bigint").alias(f"n_{op.lower()}") for op in operations],
                              F.lit(None).cast("timestamp_ntz").alias("max_sync"))
-        return _report(spark, root, "none", staged, MO.rows_processed(staging, [tenant_col]), idle, tenant_col,
+        return _report(spark, root, "none", staged, processed, idle, tenant_col,
                        endpoint or table, version, started, now if now is not None else synced_at)
-    if refused and target is not None:
+    if dropped and target is not None:
         live = [r for r in live if r["tenant"] in {None if t is None else str(t) for t in tenants}]
         target = PUB.read_tenants(spark, root, table, tenant_col, live=live)
     own: dict = {}
@@ -135,7 +137,6 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, root: str, table: str
           for op in operations],
         F.max(M.SYNCED).alias("max_sync"))
     stats = spark.createDataFrame(stats_df.collect(), stats_df.schema)
-    processed = MO.rows_processed(staging, [tenant_col])
     return _report(spark, root, mode, staged, processed, stats, tenant_col, endpoint or table, version, started,
                    now if now is not None else synced_at)
 
@@ -223,14 +224,6 @@ def _one_of(col: str, values: list) -> Column:
     return held | F.col(col).isNull() if None in values else held
 
 
-def _named(col: str, names: dict) -> Column:
-    """The text that ``names`` gives for the value of ``col``."""
-    out = F.lit(None).cast("string")
-    for text in sorted(set(names.values())):
-        out = F.when(_one_of(col, [v for v, n in names.items() if n == text]), F.lit(text)).otherwise(out)
-    return out
-
-
 EVENTS = "_events"
 
 
