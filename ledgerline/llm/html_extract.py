@@ -38,6 +38,13 @@ PLAIN = frozenset("post posts page site main content area section wrapper wrap c
                   "secondary global bar list link links form block item items panel button buttons slot sticky js row col".split())
 # A marked part with this share of the content is no mere part.
 WHOLE = 0.9
+# Plain text beside the article belongs to it from so many words; tables,
+# lists and quotes, headings and paragraphs do whatever their length.
+SAID_WORDS = 8
+# Elements whose rest of the page is no text if they stay open.
+CODE = frozenset("script style".split())
+_LISTED = frozenset("ul ol dl table tbody thead tfoot tr td th blockquote figure".split())
+_JUDGED = re.compile(r"class|hidden|style|aria-|role", re.I)
 _HEAD = frozenset({"header", "masthead"})
 
 _TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|[!?/][^>]*>)""", re.S)
@@ -88,6 +95,33 @@ def _skipped_to(html: str, tag: str, at: int) -> int:
     return m.end()
 
 
+def _inline_out(source: str) -> bool:
+    """Whether an inline element is hidden, or marked by nothing but words of
+    what is not the article."""
+    attrs = _attributes(source)
+    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
+        return True
+    words = {w.lower() for w in _WORDS.findall(attrs.get("class", "") + " " + attrs.get("role", ""))}
+    return bool(words & OUT_WORDS - _HEAD) and words <= OUT_WORDS | PLAIN
+
+
+def _inline_end(html: str, tag: str, at: int) -> int:
+    """The end of the inline element that opened before ``at``; ``at`` if a
+    container ends before it, or the page."""
+    depth, inside = 1, 0
+    for t in _TAG.finditer(html, at):
+        name = (t[2] or "").lower()
+        if name == tag:
+            depth += -1 if t[1] else int(not t[3].rstrip().endswith("/"))
+            if not depth:
+                return t.end()
+        elif name in CONTAINER:
+            inside += -1 if t[1] else 1
+            if inside < 0:
+                return at
+    return at
+
+
 def _step(tag: str, attrs: dict[str, str]) -> str:
     """A container in a generalised path: the tag and its classes, or else its
     id, with numbers made alike."""
@@ -108,7 +142,7 @@ class Page:
     def __init__(self, html: str | None):
         self.nodes: list[tuple[int, str]] = [(-1, "")]
         self.blocks: list[tuple[int, str, int]] = []
-        self._prose: list[bool] = []  # of each block: a heading or paragraph
+        self._prose: list[bool] = []  # of each block: part of a text and no label
         self._marked: list[bool] = [False]  # of each node
         self._heads: list[int] = [0]  # of each node: article, main and h1 elements
         self._gone: list[bool] = []  # of each node
@@ -121,7 +155,7 @@ class Page:
         leaf_out = False
         text: list[str] = []
         linked, in_link, articles, at = 0, False, 0, 0
-        prose = False
+        prose = listed = False
 
         def end_block() -> None:
             nonlocal linked
@@ -130,7 +164,7 @@ class Page:
                 block = " ".join((unescape(joined) if "&" in joined else joined).split())
                 if block:
                     self.blocks.append((stack[-1][1], block, min(linked, len(block))))
-                    self._prose.append(prose)
+                    self._prose.append(prose or stack[-1][0] in _LISTED or listed or block.count(" ") + 1 >= SAID_WORDS)
                 text.clear()
             linked = 0
 
@@ -150,7 +184,7 @@ class Page:
             if tag in RAW:
                 if not closing and not m[3].rstrip().endswith("/"):
                     close = re.compile(f"</{re.escape(tag)}[^>]*>", re.I).search(html, at)
-                    at = close.end() if close else len(html)
+                    at = close.end() if close else len(html) if tag in CODE else at
             elif tag in SKIPPED:
                 if not closing and not m[3].rstrip().endswith("/"):
                     at = _skipped_to(html, tag, at)
@@ -161,14 +195,14 @@ class Page:
                 in_link = not closing
             elif tag in LEAF:
                 end_block()
-                prose = tag in PROSE and not closing
+                prose, listed = tag in PROSE and not closing, tag in ("li", "dt", "dd", "pre", "figcaption") and not closing
                 self._heads[stack[-1][1]] += tag == "h1" and not closing and not out
                 leaf_out = not closing and not out and bool(m[3]) and _is_out(tag, _attributes(m[3]), articles > 0) > 0
             elif tag == "body":  # the root; its classes often name the single page
                 end_block()
             elif tag in CONTAINER:
                 end_block()
-                leaf_out = prose = False
+                leaf_out = prose = listed = False
                 if closing:
                     k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
                     if k:
@@ -191,6 +225,8 @@ class Page:
                         self._heads.append(int(tag in ("article", "main") and not _marks(attrs, True)))
                     stack.append((tag, node))
                     articles += tag in ("article", "main")
+            elif not closing and not out and not leaf_out and m[3] and _JUDGED.search(m[3]) and _inline_out(m[3]):
+                at = _inline_end(html, tag, at)
         end_block()
 
     def _weigh(self) -> None:
@@ -221,8 +257,10 @@ class Page:
         twice what is linked.
 
         The search starts at the deepest container with most of the content
-        and goes up while headings or paragraphs, not mostly linked, stand
-        beside what is held; it does not leave an article or main element."""
+        and goes up while parts of a text that are not mostly linked stand
+        beside what is held: headings, paragraphs, tables, lists, quotes and
+        plain text of some length.  It does not leave an article or main
+        element."""
         n = len(self.nodes)
         held, prose = [0.0] * n, [0] * n
         for (node, text, linked), is_prose in zip(self.blocks, self._prose):

@@ -88,6 +88,35 @@ def test_html_climbs_to_the_whole_article(page):
     assert p.text([p.vote()[0]]).split("\n\n") == ["Title", "Lead", long.strip(), "End"]
 
 
+@pytest.mark.parametrize("beside,want", [
+    ("<table><tr><td>one</td><td>two</td></tr></table>", ["one", "two"]), ("<ul><li>first</li><li>second</li></ul>", ["first", "second"]),
+    ("Plain text of a good many words without any paragraph around it.", ["Plain text of a good many words without any paragraph around it."]),
+    ("<blockquote>Short words</blockquote>", ["Short words"]), ("<dl><dt>Term</dt><dd>Meaning</dd></dl>", ["Term", "Meaning"]),
+    ("<pre>x = 1</pre>", ["x = 1"]), ("&copy; Somebody", []), ("<ul><li><a href=/a>Other page</a></li><li><a href=/b>One more</a></li></ul>", [])])
+def test_html_climbs_over_tables_lists_and_plain_text(beside, want):
+    body = "".join(f"<p>Paragraph {i} has a few words of its own.</p>" for i in range(6))
+    p = html_extract.Page(f"<body><nav><a href=/>Home</a></nav><div class=wrap><div class=a>{body}</div><div class=t>{beside}</div></div>")
+    assert p.text([p.vote()[0]]).split("\n\n") == [f"Paragraph {i} has a few words of its own." for i in range(6)] + want
+
+
+def test_html_judges_inline_elements():
+    html = ("<article><p>One <span hidden>secret <span>deep</span> more</span>two <span style='display:none'>x</span><b class=ad>Buy!</b> three "
+            "<i class='notice of-death'>four</i> <em class=intro>five</em> <span aria-hidden=true>&#9733;</span><b hidden>open</p><p>Six</p></article>")
+    assert html_extract.Page(html).text([]).split("\n\n") == ["One two three four five open", "Six"]
+
+
+@pytest.mark.parametrize("tag", ["title", "textarea", "iframe", "noscript"])
+def test_html_open_raw_elements_skip_their_tag(tag):
+    assert html_extract.Page(f"<article><p>One</p><{tag}><p>Two</p></article>").text([]).split("\n\n") == ["One", "Two"]
+    assert html_extract.Page(f"<article><p>One</p><{tag}>gone</{tag}><p>Two</p></article>").text([]).split("\n\n") == ["One", "Two"]
+
+
+def test_html_of_very_long_pages():
+    body = "".join(f"<p>Line {i} &amp; <b class=ad>ad</b>more" for i in range(30_000))
+    text = html_extract.Page(f"<body><article>{body}</article><footer>x</footer>").text([])
+    assert text.split("\n\n") == [f"Line {i} & more" for i in range(30_000)]
+
+
 @pytest.mark.parametrize("page", [
     "<div class='site has-sidebar'><h1>Title</h1><p>{long}</p><div class=sidebar><p>Buy</p></div></div>",
     "<div class='site-header-menu'><h1>Title</h1><p>{long}</p></div><div id=sidebar><p>Buy</p></div>",
