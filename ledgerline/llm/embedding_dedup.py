@@ -21,9 +21,9 @@ ORDERS = 4
 RUN, LOCAL, TILE = 128, 64, 1024
 # Rounds of refinement; they stop when less than CHANGED of the entries change.
 ROUNDS, CHANGED = 6, 0.01
-# Vectors that the audit draws first and at most at once, the linked ones it
-# wants among them, and the recall at which it is content.
-AUDIT, DRAW, LINKED, RECALL = 400, 1 << 14, 200, 0.97
+# Vectors that the audit draws first, at once at most and in all at most, the
+# linked ones it wants among them, and the recall at which it is content.
+AUDIT, DRAW, DRAWN, LINKED, RECALL = 400, 1 << 12, 1 << 15, 200, 0.97
 # Angle of the pieces that components of full lists are cut into, and the
 # pieces whose centres are compared at once.
 PIECE, CENTRES = 0.2, 8192
@@ -310,21 +310,29 @@ def _across(vecs: DataFrame, groups: DataFrame, dim: int, least: float) -> DataF
 
 def _audit(vecs: DataFrame, counts: DataFrame, dim: int, least: float) -> float:
     """The share of its true links that a linked vector has in ``counts``, on
-    average: each linked vector weighs the same.  Vectors are drawn by their
-    hashes and compared with all vectors until LINKED of them have a link, or
-    all are drawn."""
+    average: each linked vector weighs the same.
+
+    Vectors are drawn by their hashes and compared with all vectors until
+    LINKED of them have a link, or about DRAWN or all are drawn: so the work
+    grows with the table, also where hardly a vector has a link.  There the
+    share rests on fewer linked vectors: on about DRAWN times their rate, or
+    on none (1.0).  A draw is an Arrow table of at most about DRAW vectors and
+    goes to the tasks as a broadcast variable.
+    """
+    spark = vecs.sparkSession
     n, u = max(1, vecs.count()), unit_hash(F.col("id"), F.lit("audit"))
     shares: list[float] = []
     low, size = 0.0, AUDIT
-    while low < 1 and len(shares) < LINKED:
+    while low < min(1.0, DRAWN / n) and len(shares) < LINKED:
         high = min(1.0, low + min(size, DRAW) / n)
-        rows = vecs.filter((u >= low) & (u < high)).select("id", "x").collect()
+        drawn = vecs.filter((u >= low) & (u < high)).select("id", "x").toArrow()
         low, size = high, 2 * size
-        if not rows:
+        if not len(drawn):
             continue
-        ids, x = np.array([r["id"] for r in rows]), _unit(np.array([r["x"] for r in rows], np.float32))
+        sent = spark.sparkContext.broadcast((drawn["id"].to_numpy(), _unit(_matrix(drawn["x"], dim))))
 
-        def brute(batches: Iterator[pa.RecordBatch], ids=ids, x=x) -> Iterator[pa.RecordBatch]:
+        def brute(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            ids, x = sent.value
             links = np.zeros(len(ids), np.int64)
             for t in batches:
                 if len(t):
@@ -339,6 +347,7 @@ def _audit(vecs: DataFrame, counts: DataFrame, dim: int, least: float) -> float:
         true = vecs.select("id", "m", "x").mapInArrow(brute, "id long, links long").groupBy("id").agg(F.sum("links").alias("true"))
         both = true.join(counts.select("id", F.col("links").alias("found")), "id", "left").collect()
         shares += [min(1.0, (r["found"] or 0) / r["true"]) for r in both]
+        sent.unpersist()
     return float(np.mean(shares)) if shares else 1.0
 
 
@@ -395,7 +404,7 @@ def near_duplicates(emb: DataFrame, least: float = COSINE, neighbours: int = NEI
     double precision, are links.  Where lists are full of them, components
     that link with one another are joined by an exact search, and the lists
     grow to the whole component.  The recall is audited against brute force
-    on a sample, and the graph refined with longer lists while it is short;
+    on a bounded sample, and the graph refined with longer lists while it is short;
     if lists of all vectors don't suffice, that is an error.
 
     Vectors that are null, empty, zero or hold null or non-finite components

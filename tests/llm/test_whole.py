@@ -57,6 +57,16 @@ def test_audit_looks_until_it_sees_links(spark):
     assert embedding_dedup._audit(_vecs(spark, x), none, 64, 0.9) == 0.0
 
 
+def test_audit_of_a_table_without_links_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "DRAWN", 800)
+    x = np.random.default_rng(6).normal(size=(4000, 16)).astype(np.float32)
+    drawn = []
+    real = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, v: (drawn.append(len(v[0])), real(self, v))[1])
+    none = spark.createDataFrame([], "id long, links long")
+    assert embedding_dedup._audit(_vecs(spark, x), none, 16, 0.999) == 1.0 and 600 < sum(drawn) < 1800
+
+
 def test_embeddings_never_return_short_of_recall(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: 0.5)
     x = np.random.default_rng(7).normal(size=(30, 8)).astype(np.float32)
