@@ -141,7 +141,9 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
             if len(lt) == 1:
                 m = re.fullmatch(r"ARRAY<(OBJECT<.*>)>", lt.pop())
                 elem = object_struct_type(m.group(1)) if m else None
-            plan.columns.append(ColumnPlan(name, keys, "array", struct_type=elem))
+            # Elements of one plain type hold nothing to repair.
+            mixed = elem is None and any("VARIANT" in t or "OBJECT" in t for t in d["list_types"] if t)
+            plan.columns.append(ColumnPlan(name, keys, "array", mixed=mixed, struct_type=elem))
             continue
         mixed = d["num"] and d["txt"]
         if mixed or name in stringify:
@@ -214,6 +216,31 @@ def fix_array(v: Column, kind: Column | None = None) -> Column:
             .otherwise(F.array(v)))
 
 
+# Objects and lists below an element of a mixed list that are repaired.
+MIXED_DEPTH = 3
+
+
+def _fixed_list(v: Column, known: frozenset, depth: int) -> Column:
+    return F.transform(fix_array(v), lambda x: repair_variant(x, known, depth))
+
+
+def repair_variant(v: Column, known: frozenset, depth: int = MIXED_DEPTH) -> Column:
+    """N1-N4 for a value without a merged schema (an element of a list that
+    mixes objects with other values): known array fields and lists at any
+    place down to ``depth`` levels are repaired, names and other values stay."""
+    if not depth:
+        return v
+    kind = _kind(v)
+
+    def field(k: Column, x: Column) -> Column:
+        below = repair_variant(x, known, depth - 1)
+        return F.when(snake_col(k).isin(*sorted(known)), F.to_variant_object(_fixed_list(x, known, depth - 1))).otherwise(below)
+
+    fields = F.to_variant_object(F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), field))
+    return (F.when(kind.startswith("OBJECT") & (kind != "OBJECT<>"), fields)
+            .when(kind.startswith("ARRAY"), F.to_variant_object(_fixed_list(v, known, depth - 1))).otherwise(v))
+
+
 def stringify_value(v: Column, mode: str = "plain") -> Column:
     """Text of a value.  ``json`` mode: the JSON text (strings gain
     quotes); ``plain`` (default): strings as they are, other values as JSON
@@ -334,6 +361,8 @@ def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Colu
         fixed = fix_array(v, kind)
         if cp.struct_type is not None:   # every element is an object: N4 into the elements
             return F.transform(fixed, _repair_each(cp.struct_type, cp.known_arrays))
+        if cp.mixed:     # objects among other values
+            return F.transform(fixed, lambda x: repair_variant(x, cp.known_arrays))
         return fixed
     if cp.kind == "text":
         return stringify_value(v, stringify_mode)

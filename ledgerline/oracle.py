@@ -581,6 +581,12 @@ FROM lineitem WHERE l_returnflag IN ('N', 'R', 'A') GROUP BY l_returnflag
 """)
 
 
+sql("mixed_list_repair", """
+WITH n AS (SELECT *, CAST(CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 0 WHEN 3 THEN 2 ELSE 1 END AS BIGINT) AS n FROM orders)
+SELECT o_orderkey AS id, CAST(3 AS BIGINT) AS n_parts, n AS n_tags, n AS n_deep, o_orderstatus AS code, '["[1,2]",3]' AS plain FROM n
+""")
+
+
 sql("snapshot_keys", f"""
 WITH o AS (SELECT o_orderkey AS k, {fx.ORDER_OBJ_EXPR.replace('AS STRING', 'AS VARCHAR')} AS j FROM orders),
 f AS (SELECT unnest(list_distinct(json_keys(j))) AS key FROM o),

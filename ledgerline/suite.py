@@ -674,6 +674,28 @@ def q_nested_known_arrays(spark, sf):
                       F.get("parts", F.lit(1))["no"].alias("second_no"))
 
 
+@query("mixed_list_repair")
+def q_mixed_list_repair(spark, sf):
+    """N1-N4 below a list that mixes numbers, texts, lists and objects: the
+    known array fields of its objects, at every depth, are repaired."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    tags = (F.when(k % 5 == 0, F.lit("null")).when(k % 5 == 1, F.lit('{"n": 1}')).when(k % 5 == 2, F.lit("{}"))
+            .when(k % 5 == 3, F.lit('[{"n": 1}, [], [1, 2]]')).otherwise(F.lit("7")))
+    text = F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "parts": [5, "x", [], {"no": 1, "lineTags": '), tags,
+                    F.lit(', "deep": {"code": "'), F.col("o_orderstatus"), F.lit('", "lineTags": '), tags,
+                    F.lit(', "plain": [[], [1, 2], 3]}}]}'))
+    parsed = LD.parse_records(o.select(text.alias("value")))
+    out = NZ.normalize(parsed, NZ.infer_plan(parsed, array_fields={"line_tags"}))
+    last = F.element_at("parts", -1)
+
+    def size(path):
+        return F.size(F.try_variant_get(last, path, "array<variant>")).cast("bigint")
+    return out.select("id", F.size("parts").cast("bigint").alias("n_parts"), size("$.lineTags").alias("n_tags"),
+                      size("$.deep.lineTags").alias("n_deep"), F.try_variant_get(last, "$.deep.code", "string").alias("code"),
+                      F.to_json(F.try_variant_get(last, "$.deep.plain", "variant")).alias("plain"))
+
+
 @query("snapshot_difference")
 def q_snapshot_difference(spark, sf):
     """Q1: differences and ratios of the two snapshots' metrics."""

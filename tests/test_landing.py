@@ -271,3 +271,10 @@ def test_snapshot_keys(spark):
     recs = LD.parse_records(spark.createDataFrame(rows, "snap string, value string"))
     got = {tuple(r) for r in QA.snapshot_keys(recs, "snap", "obj", "a", "b").collect()}
     assert got >= {("x", 2, 1, "both"), ("y", 1, 0, "first"), ("z", 0, 1, "second")}
+
+
+def test_values_without_a_schema_are_repaired(spark):
+    text = ('{"list": [1, "t", null, [], [2], {"tags": {"a": 1}, "x": {"y": {"tags": null, "Tags": [[], {"tags": {}}]}}, "e": {}, "n": null, "l": [[1], []]}]}')
+    recs = LD.parse_records(spark.createDataFrame([(text,)], "value string"))
+    out = NZ.normalize(recs, NZ.infer_plan(recs, array_fields={"tags"})).select(F.to_json(F.col("list")).alias("j")).first()["j"]
+    assert json.loads(out) == [1, "t", None, "[2]", {"tags": [{"a": 1}], "x": {"y": {"tags": [], "Tags": [{"tags": {}}]}}, "e": {}, "n": None, "l": ["[1]"]}]
