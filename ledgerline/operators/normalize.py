@@ -45,10 +45,11 @@ def probe(parsed: DataFrame, obj: str = "obj") -> DataFrame:
     variant_type: ``schema_of_variant_agg`` of the non-null values.
     The exploded (key, value) rows are combined map-side per key.
     """
-    e = parsed.select(F.explode(F.map_entries(F.col(obj))).alias("e"))
-    k, v = F.col("e.key"), F.col("e.value")
-    kind = _kind(v)
-    txt = _as_text(v)
+    e = parsed.select(F.explode(F.map_entries(F.col(obj))).alias("e")).select(
+        F.col("e.key").alias("k"), F.col("e.value").alias("v"))
+    # The kind of a value, and its text if it is one, are taken once.
+    e = e.withColumn("kind", _kind(F.col("v"))).withColumn("t", F.when(F.col("kind") == "STRING", _as_text(F.col("v"))))
+    k, v, kind, txt = F.col("k"), F.col("v"), F.col("kind"), F.col("t")
     numeric_text = (kind == "STRING") & F.coalesce(txt.rlike(NUMERIC), F.lit(False))
     rows = e.select(
         k.alias("source_key"),
