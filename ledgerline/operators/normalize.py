@@ -136,7 +136,7 @@ def plan_from_probe(probe_rows: list, *, array_fields: set[str] | None = None,
     for name in sorted(by_name):
         d = by_name[name]
         keys = sorted(d["keys"])
-        if d["lst"] or name in array_fields:
+        if (d["lst"] or name in array_fields) and name not in stringify:
             lt = {t for t in d["list_types"] if t and t != "VOID"}
             elem = None
             if len(lt) == 1:
@@ -242,13 +242,25 @@ def repair_variant(v: Column, known: frozenset, depth: int = MIXED_DEPTH) -> Col
             .when(kind.startswith("ARRAY"), F.to_variant_object(_fixed_list(v, known, depth - 1))).otherwise(v))
 
 
-def stringify_value(v: Column, mode: str = "plain") -> Column:
+# All up to the next separator of compact JSON, strings taken whole.
+_TO_SEPARATOR = r'((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])'
+
+
+def spaced_json(compact: Column) -> Column:
+    """Compact JSON text with a space behind each comma and colon, as the
+    source's own serialiser writes it."""
+    return F.regexp_replace(compact, _TO_SEPARATOR, "$1$2 ")
+
+
+def stringify_value(v: Column, mode: str = "plain", own: Column | None = None) -> Column:
     """Text of a value.  ``json`` mode: the JSON text (strings gain
     quotes); ``plain`` (default): strings as they are, other values as JSON
-    text.  JSON null stays null."""
+    text.  JSON null stays null.  ``own`` is the value's text in the record:
+    with it, ``json`` mode keeps the order of keys and the form of numbers."""
     kind = _kind(v)
     js = F.to_json(v)
     if mode == "json":
+        js = js if own is None else F.when(kind == "STRING", js).otherwise(spaced_json(own))
         return F.when(kind != "VOID", js)
     return F.when(kind == "STRING", _as_text(v)).when(kind != "VOID", js)
 
@@ -287,16 +299,19 @@ def normalized_select(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj
     # (mixed-type text keeps the source's own text); others stay VARIANT
     key_type = {k: T.VariantType() for k in src}
     for cp in plan.columns:
-        if len(cp.source_keys) == 1 and _direct_type(cp) is not None:
+        if len(cp.source_keys) == 1 and _direct_type(cp) is not None and not (cp.kind == "text" and stringify_mode == "json"):
             key_type[cp.source_keys[0]] = _direct_type(cp)
     st = T.StructType([T.StructField(k, key_type[k]) for k in src])
     pos = T.StructType([T.StructField(f"f{i}", key_type[k]) for i, k in enumerate(src)])
     arr = one_object_array(F.col(value), st)
     base_keep = [c for c in keep if c != "is_bad"]
     extra = [F.map_entries(F.col(obj)).alias("__entries")] if multi else []
+    texts = [i for i, cp in enumerate(plan.columns) if cp.kind == "text"] if stringify_mode == "json" else []
+    if texts:  # the values' own texts
+        extra.append(F.map_entries(F.from_json(F.col(value), "map<string,string>")).alias("__own"))
     staged = parsed.select(*base_keep, arr.alias("__arr"), F.col(value).alias("__text"), *extra)
     rec = one_object(F.col("__arr"), F.col("__text")).cast(pos)
-    staged = staged.select(*base_keep, rec.alias("__rec"), *(["__entries"] if multi else []))
+    staged = staged.select(*base_keep, rec.alias("__rec"), *(["__entries"] if multi else []), *(["__own"] if texts else []))
     picks = []
     for i, cp in enumerate(plan.columns):
         if not cp.source_keys:
@@ -307,6 +322,8 @@ def normalized_select(parsed: DataFrame, plan: NormalizePlan, *, obj: str = "obj
             hits = F.filter(F.col("__entries"), _key_in(cp.source_keys))
             v = F.try_element_at(hits, F.lit(-1))["value"]
         picks.append(v.alias(f"__v{i}"))
+        if i in texts:
+            picks.append(F.try_element_at(F.filter("__own", _key_in(cp.source_keys)), F.lit(-1))["value"].alias(f"__t{i}"))
     bad = [F.col("__rec").isNull().alias("is_bad")] if "is_bad" in keep else []
     staged = staged.select(*base_keep, *bad, *picks)
     direct = {i for i, cp in enumerate(plan.columns)
@@ -338,9 +355,11 @@ def _typed_select(staged: DataFrame, plan: NormalizePlan, keep: list[str], strin
     staged = staged.select(*keep, *[c for i in range(len(plan.columns))
                                     for c in ((F.col(f"__v{i}"),) if i in direct else
                                               (F.col(f"__v{i}"),
-                                               F.schema_of_variant(F.col(f"__v{i}")).alias(f"__k{i}")))])
+                                               F.schema_of_variant(F.col(f"__v{i}")).alias(f"__k{i}")))],
+                           *[c for c in staged.columns if c.startswith("__t")])
     cols = [(F.col(f"__v{i}") if i in direct else
-             _typed(F.col(f"__v{i}"), F.col(f"__k{i}"), cp, stringify_mode)).alias(cp.name)
+             _typed(F.col(f"__v{i}"), F.col(f"__k{i}"), cp, stringify_mode,
+                    F.col(f"__t{i}") if f"__t{i}" in staged.columns else None)).alias(cp.name)
             for i, cp in enumerate(plan.columns)]
     return staged.select(*keep, *cols)
 
@@ -356,7 +375,7 @@ def _key_in(keys: list[str]):
     return lambda e: e["key"].isin(*keys)
 
 
-def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Column:
+def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str, own: Column | None = None) -> Column:
     """Column repair given the picked value and its precomputed kind."""
     if cp.kind == "array":
         fixed = fix_array(v, kind)
@@ -366,7 +385,7 @@ def _typed(v: Column, kind: Column, cp: ColumnPlan, stringify_mode: str) -> Colu
             return F.transform(fixed, lambda x: repair_variant(x, cp.known_arrays))
         return fixed
     if cp.kind == "text":
-        return stringify_value(v, stringify_mode)
+        return stringify_value(v, stringify_mode, own)
     if cp.coerce:   # P5: the column takes the expected type
         s = _as_text(v)
         target = _coerce_type(cp.coerce)

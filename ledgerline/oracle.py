@@ -587,6 +587,14 @@ SELECT o_orderkey AS id, CAST(3 AS BIGINT) AS n_parts, n AS n_tags, n AS n_deep,
 """)
 
 
+sql("stringify_json", r"""
+SELECT o_orderkey AS id, CASE o_orderkey % 5
+  WHEN 0 THEN '{"z": 1, "a": [1, {"y": null, "b": "q, r: \"s\""}], "m": 5000.0}'
+  WHEN 1 THEN '"' || o_orderstatus || ': \"x\", \n"' WHEN 2 THEN '12.5' WHEN 3 THEN NULL ELSE '[true, {}]' END AS detail
+FROM orders
+""")
+
+
 sql("snapshot_keys", f"""
 WITH o AS (SELECT o_orderkey AS k, {fx.ORDER_OBJ_EXPR.replace('AS STRING', 'AS VARCHAR')} AS j FROM orders),
 f AS (SELECT unnest(list_distinct(json_keys(j))) AS key FROM o),

@@ -696,6 +696,22 @@ def q_mixed_list_repair(spark, sf):
                       F.to_json(F.try_variant_get(last, "$.deep.plain", "variant")).alias("plain"))
 
 
+@query("stringify_json")
+def q_stringify_json(spark, sf):
+    """P4 in json mode: a column of objects, lists, numbers and texts as the
+    JSON text that the source's serialiser gives, keys in their order."""
+    o = fx.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    status = F.col("o_orderstatus")
+    detail = (F.when(k % 5 == 0, F.concat(F.lit('{"z":1,"a":[1,{"y":null,"b":"q, r: \\"s\\""}],  "m" :5000.0}')))
+              .when(k % 5 == 1, F.concat(F.lit('"'), status, F.lit(': \\"x\\", \\n"'))).when(k % 5 == 2, F.lit("12.50"))
+              .when(k % 5 == 3, F.lit("null")).otherwise(F.lit("[true,{}]")))
+    text = F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "Detail": "first", "detail": '), detail, F.lit("}"))
+    parsed = LD.parse_records(o.select(text.alias("value")))
+    plan = NZ.infer_plan(parsed, stringify={"detail"})
+    return NZ.normalize(parsed, plan, stringify_mode="json").select("id", "detail")
+
+
 @query("snapshot_difference")
 def q_snapshot_difference(spark, sf):
     """Q1: differences and ratios of the two snapshots' metrics."""
