@@ -489,6 +489,20 @@ SELECT conv_id, count(*) AS n_items,
 FROM conversations GROUP BY conv_id
 """)
 
+sql("cursor_table", """
+SELECT conv_id, count(*) AS n_items, CASE WHEN conv_id % 3 <> 0 THEN 'tok-' || conv_id || '-1' END AS last_token
+FROM conversations WHERE turn // 3 = 0 GROUP BY conv_id
+""")
+
+
+sql("snapshot_sink", """
+WITH n AS (SELECT count(*) AS n_newest, CAST(sum(o_orderkey) AS BIGINT) AS sum_newest FROM orders WHERE o_orderkey % 10 <> 0),
+k AS (SELECT '2025-01-01' AS stamp, count(*) AS n_rows FROM orders UNION ALL
+      SELECT '2025-01-02', count(*) FROM orders WHERE o_orderkey % 10 <> 0)
+SELECT k.*, n.* FROM k, n
+""")
+
+
 sql("report_zip", f"""
 SELECT l_orderkey AS "OrderKey", CAST(l_linenumber AS BIGINT) AS "Line",
        CASE WHEN l_linenumber = 1 THEN NULL ELSE l_quantity END AS "Qty",

@@ -22,8 +22,12 @@ DEFAULT_HISTORY_FROM = "2025-01-01"
 REPORT_PREFIX = "report/"
 
 
+# Fixed pattern: slashes at either end.
+OUTER_SLASHES = "^/+|/+$"
+
+
 def strip_slashes(c: Column) -> Column:
-    return F.regexp_replace(c, "^/+|/+$", "")
+    return F.regexp_replace(c, OUTER_SLASHES, "")
 
 
 # ----------------------------------------------------------------- S7, O1
@@ -66,6 +70,7 @@ def request_url(base_url: Column, api_url_base: Column, tenant: Column, api_data
     """Join, collapse repeated slashes, restore the scheme."""
     url = F.concat_ws("/", F.regexp_replace(base_url, "/+$", ""), strip_slashes(api_url_base),
                       strip_slashes(tenant.cast("string")), strip_slashes(api_data))
+    # Fixed patterns: runs of slashes, and the scheme that lost one of its two.
     url = F.regexp_replace(url, "/+", "/")
     return F.regexp_replace(url, "(https?):/", "$1://")
 
@@ -204,6 +209,7 @@ def conditional_update(df: DataFrame, predicate: Column, assignments: dict[str,
 
 
 # ---------------------------------------------------------------- W8
+# The catalog's columns that discovery fills, and its key.
 DISCOVERY_COLUMNS = ["report_name", "report_description", "report_modified_on",
                      "parameters", "fields", "discovered_at"]
 CATALOG_KEYS = ["company_id", "report_category", "report_id"]

@@ -540,6 +540,33 @@ def q_export_cursor(spark, sf):
     return PG.export_cursor(_landed_pages(spark, sf), ["conv_id"], seq="page_no")
 
 
+@query("cursor_table")
+def q_cursor_table(spark, sf):
+    """The cursors of two export runs kept in the cursor table (the
+    second run's pages end earlier, and its save is repeated); the table gives
+    those of the newest run."""
+    root = scratch_dir(spark, "cursors")
+    pages = _landed_pages(spark, sf)
+    first = PG.export_cursor(pages, ["conv_id"], seq="page_no")
+    second = PG.export_cursor(pages.where(F.col("page_no") == 0), ["conv_id"], seq="page_no")
+    for run, cursors in ((1, first), (2, second), (2, first)):
+        PG.save_cursors(cursors, root, run)
+    return PG.read_cursors(spark, root)
+
+
+@query("snapshot_sink")
+def q_snapshot_sink(spark, sf):
+    """Every pulled snapshot is kept under its stamp; a pull that is
+    retried replaces its own; the stable alias reads the newest."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    root = scratch_dir(spark, "snapshots")
+    for stamp, keep in (("2025-01-01", F.lit(True)), ("2025-01-02", F.col("o_orderkey") % 3 != 0), ("2025-01-02", F.col("o_orderkey") % 10 != 0)):
+        path = WR.land_snapshot(o.where(keep), root, "orders", stamp)
+    kept = spark.read.parquet(path).groupBy(F.col("snapshot_ts").cast("string").alias("stamp")).agg(F.count(F.lit(1)).alias("n_rows"))
+    newest = LD.read_latest_snapshot(spark, path).agg(F.count(F.lit(1)).alias("n_newest"), F.sum("o_orderkey").alias("sum_newest"))
+    return kept.select("*", newest.select("n_newest").scalar().alias("n_newest"), newest.select("sum_newest").scalar().alias("sum_newest"))
+
+
 @query("report_zip")
 def q_report_zip(spark, sf):
     """Positional report rows (some short, some long) zipped with the
