@@ -158,9 +158,11 @@ def build(rows: DataFrame, group: str, order: list[str], leaf: str, carry: list[
     these.  ``leaf`` names the column of leaf digests; ``carry`` columns go
     along in ``carry``.
     """
-    ranked = numbered(rows.select(group, leaf, F.struct(*carry).alias("carry"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]),
-                      [F.col(group).asc_nulls_first(), *[F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))], F.col(leaf)],
-                      "_rank")
+    own = rows.select(group, leaf, F.struct(*carry).alias("carry"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                      F.monotonically_increasing_id().alias("_row"))
+    # Equal rows may come in any order; by their place, many of them are spread.
+    ranked = numbered(own, [F.col(group).asc_nulls_first(), *[F.col(f"_o{i}").asc_nulls_first() for i in range(len(order))],
+                            F.col(leaf), F.col("_row")], "_rank")
     trees = cut(ranked.groupBy(F.col(group).alias("_group")).agg(F.min("_rank").alias("tree"), F.count(F.lit(1)).alias("n")))
     nodes = ranked.join(small(trees), ranked[group].eqNullSafe(F.col("_group"))).select(
         "tree", (F.col("_rank") - F.col("tree")).alias("pos"), F.col("_rank").alias("lo"), F.col("_rank").alias("hi"),
@@ -178,9 +180,8 @@ def build(rows: DataFrame, group: str, order: list[str], leaf: str, carry: list[
                          F.col("digest").alias("root"))
     paths = cut(_descend(upper_buckets, start).select("carry.tree", F.lit(0).cast("long").alias("pos"), "lo", "hi", "path",
                                                       F.col("digest").alias("subroot"), "root"))
-    own = F.col("tree")
     return Manifest(_descend(buckets, paths).drop("tree", "pos"),
-                    _all_nodes(buckets, own).unionByName(_all_nodes(upper_buckets, F.lit(None).cast("long"))))
+                    _all_nodes(buckets, F.col("tree")).unionByName(_all_nodes(upper_buckets, F.lit(None).cast("long"))))
 
 
 def fold(leaf: Column, path: Column) -> Column:

@@ -86,6 +86,13 @@ def test_intervals_nest(spark):
         (0, 0, 299), (0, 300, 599), (0, 600, 899), (1, 0, 899)]
 
 
+def test_many_equal_rows(spark):
+    rows = [(None, None, "en", 1, "same")] * 2000 + [(i, None, "en", 1, "own") for i in range(20)]
+    got = merkle.documents_manifest(spark.createDataFrame(rows, DDL)).collect()
+    assert sorted((str(r["doc_id"]), r["leaf"], r["root"], [tuple(p) for p in r["path"]]) for r in got) == sorted(
+        (str(w[0]), w[1], w[3], w[4]) for w in _manifest(rows))
+
+
 def test_odd_rows(spark, odd, none):
     got = merkle.documents_manifest(odd).collect()
     want = _manifest([(r["doc_id"], r["source"], r["lang"], r["n_chars"], r["text"]) for r in odd.collect()])
