@@ -23,7 +23,7 @@ RUN, LOCAL, TILE = 128, 64, 1024
 ROUNDS, CHANGED = 6, 0.01
 # Vectors that the audit draws first, at once at most and in all at most, the
 # linked ones it wants among them, and the recall at which it is content.
-AUDIT, DRAW, DRAWN, LINKED, RECALL = 400, 1 << 12, 1 << 15, 200, 0.97
+AUDIT, DRAW, DRAWN, LINKED, RECALL = 400, 1 << 13, 1 << 15, 200, 0.97
 # Angle of the pieces that components of full lists are cut into, and the
 # pieces whose centres are compared at once.
 PIECE, CENTRES = 0.2, 8192
