@@ -103,20 +103,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, group: i
 
     Draws hash the row's id and text, so reruns agree.  Null texts and texts
     without words have size 0 and are copies of nothing; a null source is a
-    source; repeated rows are rounded one by one.
+    source; repeated rows are rounded one by one,
+    many of them in several groups.
     """
     carry = [c for c in docs.columns if c != "text"] if carry is None else carry
     own = [f"c{i}" for i in range(len(carry))]
     d = docs.select(*[F.col(c).alias(o) for c, o in zip(carry, own)], "source",
                     F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.array_remove(F.split("text", GAP), ""))).cast("long").alias("size"),
-                    F.xxhash64("doc_id", "text").alias("key"))
+                    F.xxhash64("doc_id", "text").alias("key"), F.monotonically_increasing_id().alias("place"))
     d = cut(d)
+    # Rows that repeat more often than a group is large are dealt into parts, an
+    # eighth of a group each; they are alike, so it doesn't matter which is in which.
+    many = cut(d.groupBy("key").count().filter(F.col("count") > group).select(
+        F.col("key").alias("many"), F.ceil(8 * F.col("count") / group).alias("parts")))
+    d = d.join(small(many), F.col("key") == F.col("many"), "left").withColumn(
+        "part", F.coalesce(F.pmod(F.xxhash64("place"), F.col("parts")), F.lit(0))).drop("place", "many", "parts")
     targets = cut(source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size"),
                                                          F.count(F.lit(1)).alias("n_rows")), weights, max_copies))
     t = small(targets.withColumnRenamed("source", "_source"))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"),
                                                     F.lit(float(max_copies)))).otherwise(F.lit(0.0))
-    cols = [*own, "size", "source_size", "target", "base", "p", "key", "rank", "n_rows"]
+    cols = [*own, "size", "source_size", "target", "base", "p", "key", "part", "rank", "n_rows"]
     d = (d.join(t, F.col("source").eqNullSafe(F.col("_source"))).withColumn("rate", rate)
          .withColumn("base", F.floor("rate")).withColumn("p", F.col("rate") - F.col("base")).select(*cols))
     is_open = (F.col("p") > 0) & (F.col("p") < 1) & (F.col("size") > 0)
@@ -127,7 +134,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_copies: int = MAX_COPIES, group: i
         salt += 1
         most = -(-most // group)
         groups = F.ceil(F.col("n_rows") / F.lit(float(group) ** salt)).cast("long")
-        keyed = rest.withColumn("_g", F.pmod(F.xxhash64("key", F.lit(salt)), groups))
+        keyed = rest.withColumn("_g", F.pmod(F.xxhash64("key", "part", F.lit(salt)), groups))
         rounded = cut(keyed.groupBy("rank", "_g").applyInArrow(_rounder(salt, cols), rest.schema))
         done.append(rounded.filter(~is_open))
         rest = rounded.filter(is_open)

@@ -282,6 +282,21 @@ def test_mixing(spark, odd, none):
     assert mixing.mix(none).count() == 0 and mixing.take_mix(none).count() == 0
 
 
+def test_mixing_deals_many_equal_rows(spark, monkeypatch):
+    rows = [(None, "one two three", "a")] * 3000 + [(i, "w " * (i % 9), ("a", "b")[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = mixing.mix(docs, group=128).collect()
+    size, taken = Counter(), Counter()
+    for x in out:
+        size[x["source"]] += x["size"]
+        taken[x["source"]] += x["taken"]
+    want = _targets(dict(size))
+    assert len(out) == len(rows) and all(abs(taken[s] - want[s]) < 12 for s in want) and all(x["taken"] <= 3 * x["size"] for x in out)
+    real = mixing._round_group  # no group is much larger than stated
+    monkeypatch.setattr(mixing, "_round_group", lambda t, salt: real(t, salt) if len(t) <= 400 else 1 / 0)
+    assert mixing.mix(docs, group=128).count() == len(rows)
+
+
 def test_pivot_keeps_means():
     sizes, p = np.array([50.0, 20, 20, 7, 3, 1]), np.array([0.3, 0.5, 0.5, 0.2, 0.9, 0.4])
     draw = np.random.default_rng(0).random
