@@ -121,8 +121,10 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, root: str, table: str
     if mode != "overwrite":  # which takes the staged types
         staging, target, own = _aligned(staging, target, live, tenants, tenant_col)
     if mode == "merge":
-        out = M.merge_soft_delete(target, staging, synced_at, key=key, tenant_col=tenant_col,
-                                  tenants=[t for t in tenants if t not in withheld], spared=spared)
+        deleting = [t for t in tenants if t not in withheld]
+        if isinstance(staging.schema[tenant_col].dataType, T.StringType):
+            deleting = [str(t) for t in deleting]
+        out = M.merge_soft_delete(target, staging, synced_at, key=key, tenant_col=tenant_col, tenants=deleting, spared=spared)
     else:
         out = M.apply_write_mode(mode, target, staging, synced_at, tenant_col=tenant_col)
     PUB.publish_tenants(out, root, table, version, tenant_col, tenants=tenants, own={
@@ -195,7 +197,14 @@ def _aligned(staging: DataFrame, target: DataFrame | None, live: list, tenants:
                 own[t][c] = joint
     for t, types in stored.items():
         own[t] = {**types, **own[t]}
-    return staging.select(tenant_col, *cols).select(*staging.columns), target, own
+    # Ids that are numbers in one load and among texts in another are text.
+    kind = staging.schema[tenant_col].dataType
+    tenant = F.col(tenant_col)
+    if target is not None:
+        have = target.schema[tenant_col].dataType
+        both = SC.join_types(have, kind)
+        target, tenant = target.withColumn(tenant_col, SC.widen(tenant, have, both)), SC.widen(tenant, kind, both).alias(tenant_col)
+    return staging.select(tenant, *cols).select(*staging.columns), target, own
 
 
 def _report(spark: SparkSession, root: str, mode: str, staged: DataFrame, processed: DataFrame, stats: DataFrame,

@@ -198,3 +198,13 @@ def test_interleaved_publishers_take_different_versions(spark, tmp_dir):
     assert first == 1 and second.endswith("v=2")
     assert PUB.publish(df.limit(1), tmp_dir, "t", token="other") == second
     assert PUB.publish(df, tmp_dir, "t", token="third").endswith("v=3") and PUB.latest_version(spark, tmp_dir, "t") == 3
+
+
+def test_number_ids_that_meet_text_ids(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "tables")
+    load = lambda v, rows: run_endpoint_load(
+        spark, landed=_land(os.path.join(tmp_dir, f"d{v}"), rows), root=root, table="t", version=v, synced_at=f"2025-01-0{v} 00:00:00")
+    load(1, {7: ['{"id": 1}', '{"id": 2}'], 8: ['{"id": 3}']})
+    load(2, {7: ['{"id": 1}'], "acme": ['{"id": 4}']})
+    load(3, {7: ['{"id": 2}', '{"id": 5} x'], 8: ['{"id": 3}', '{"id": 6}']}).collect()
+    assert _live(spark, root) == sorted(map(str, [("7", 1, "DELETE"), ("7", 2, "UPDATE"), ("8", 3, "UPDATE"), ("8", 6, "INSERT"), ("acme", 4, "INSERT")]))
