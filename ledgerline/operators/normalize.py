@@ -484,7 +484,7 @@ def infer_plan(parsed: DataFrame, declared: list[str] | None = None, obj: str =
     rows = found.limit(OPEN_KEYS + 1).collect()
     if len(rows) <= OPEN_KEYS:
         return plan_from_probe(rows, **kw)
-    records = parsed.where(F.col(obj).isNotNull()).count()
+    records = parsed.count()   # malformed ones too: no parse is needed to count
     plan = plan_from_probe(found.where(F.col("n_present") * OPEN_KEYS >= records).collect(), **kw)
     plan.rest = True
     return plan
