@@ -122,3 +122,28 @@ def test_odd_rows(spark, odd, none, strong):
     clash = spark.createDataFrame([(1, None, "x"), (None, 1, "y"), (1, 1, "z")], "doc_id long, toxic int, lang string")
     net, _ = toxicity.fit(odd, clash)
     assert net.score(["some text"]).shape == (1,)
+
+
+def test_fit_takes_every_labelled_row(spark, monkeypatch):
+    n = 15_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5 == 0, "some nasty words").otherwise("some plain words").alias("text"),
+                                 F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    seen, whole, calibrate = [], toxicity.fit_round, toxicity.calibrate
+    monkeypatch.setattr(toxicity, "TASK_ROWS", 2000)
+    monkeypatch.setattr(toxicity, "FIT_TEXTS", 1)
+    monkeypatch.setattr(toxicity, "fit_round", lambda rows, *a: (seen.append((rows.count(), rows.rdd.getNumPartitions())), whole(rows, *a))[1])
+    monkeypatch.setattr(toxicity, "calibrate", lambda rows, net: (seen.append((rows.count(), 1)), calibrate(rows, net))[1])
+    net, thresholds = toxicity.fit(docs, labels)
+    own = labels.filter(~toxicity.held_out(F.col("doc_id"))).count()
+    assert {a + seen[-1][0] for a, _ in seen[:-1]} == {own} and {p for _, p in seen[:-1]} == {-(-seen[0][0] // 2000)} and len(seen) == toxicity.ROUNDS + 1
+    nasty, plain = net.score(["some nasty words", "some plain words"])
+    assert nasty > thresholds["en"] > plain
+    again, _ = toxicity.fit(docs, labels)
+    assert all((again.p[k] == net.p[k]).all() for k in net.p)
+
+
+def test_threshold_counts_repeated_scores():
+    r = np.random.default_rng(2)
+    scores, labels, counts = np.arange(1, 40) / 40, r.integers(0, 2, 39), r.integers(1, 5, 39)
+    assert toxicity.best_threshold(scores, labels, counts) == toxicity.best_threshold(np.repeat(scores, counts), np.repeat(labels, counts))
