@@ -146,14 +146,27 @@ def run_endpoint_load(spark: SparkSession, *, landed: str, root: str, table: str
 def _with_tenant(spark: SparkSession, chunks: DataFrame, landed: str, tenant_col: str) -> DataFrame:
     """The tenant of each record's folder: a number if all folders' are, else
     text; the folder of null is null."""
-    # Twice encoded: as a folder name and as the path of a file.
-    decoded = F.try_url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
-    name = F.regexp_extract(decoded, f"{tenant_col}=([^/]+)", 1)
-    name = F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
-    name = F.when(~name.isin("", PUB._NULL_FOLDER), name)
-    files = LD.list_landed(spark, landed).select(F.col("path").alias("file_path"))
+    files = tenant_names(LD.list_landed(spark, landed).select(F.col("path").alias("file_path")), tenant_col)
+    name = F.col(tenant_col)
     text = files.agg(F.bool_or(name.isNotNull() & name.try_cast("bigint").isNull())).first()[0]
-    return chunks.withColumn(tenant_col, name if text else name.try_cast("bigint"))
+    chunks = tenant_names(chunks, tenant_col)
+    return chunks if text else chunks.withColumn(tenant_col, name.try_cast("bigint"))
+
+
+def tenant_names(df: DataFrame, tenant_col: str) -> DataFrame:
+    """``df`` with the name of the tenant's folder in ``file_path``.
+
+    The name is encoded twice: as a folder name and as the path of a file.
+    Most have nothing to decode.  Each step is a projection of its own, so
+    that it is taken once a record.
+    """
+    def decoded(c: str) -> Column:
+        return F.when(F.contains(c, F.lit("%")), F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(F.col(c))
+
+    df = df.withColumn(tenant_col, decoded("file_path"))
+    df = df.withColumn(tenant_col, F.regexp_extract(tenant_col, f"{tenant_col}=([^/]+)", 1))
+    df = df.withColumn(tenant_col, decoded(tenant_col))
+    return df.withColumn(tenant_col, F.when(~F.col(tenant_col).isin("", PUB._NULL_FOLDER), F.col(tenant_col)))
 
 
 def _aligned(staging: DataFrame, target: DataFrame | None, live: list, tenants: list, tenant_col: str):
