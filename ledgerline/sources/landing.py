@@ -84,15 +84,17 @@ def detect_layouts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     numbered as the scan reads them, so the first is the first at any
     delivery order.
     """
-    bare = F.ltrim(F.regexp_replace("value", "^\ufeff", ""))
+    v = F.col("value")
+    bare = F.ltrim(F.when(v.startswith("\ufeff"), F.substring(v, 2, 1 << 30)).otherwise(v))
     lines = (_files(spark).text(path)
              .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("start"),
-                     F.monotonically_increasing_id().alias("at"), F.substring(bare, 1, 1).alias("char"),
-                     F.col("value").startswith("{").alias("flush"), F.col("value").startswith("  {").alias("indented"))
-             .where((F.col("start") == 0) & (F.col("char") != "")))
-    seen = lines.groupBy("file_path").agg(F.min_by("char", "at").alias("char"), F.bool_or("flush").alias("flush"),
+                     F.monotonically_increasing_id().alias("at"), (bare != "").alias("told"), bare.startswith("[").alias("array"),
+                     v.startswith("{").alias("flush"), v.startswith("  {").alias("indented"))
+             .where((F.col("start") == 0) & F.col("told")))
+    # Buffers of a fixed width: the lines are hashed by file, not sorted.
+    seen = lines.groupBy("file_path").agg(F.min_by("array", "at").alias("array"), F.bool_or("flush").alias("flush"),
                                           F.bool_or("indented").alias("indented"))
-    return seen.select("file_path", F.when(F.col("char") != "[", "ndjson").when(F.col("flush"), "streamed")
+    return seen.select("file_path", F.when(~F.col("array"), "ndjson").when(F.col("flush"), "streamed")
                        .when(F.col("indented"), "indent2").otherwise("whole").alias("layout"))
 
 
@@ -105,12 +107,15 @@ def read_landed(spark: SparkSession, path: str | list[str], layout: str = "auto"
     an array's records and lose the rest.  Only where layouts are mixed, files
     are listed one by one, as Spark's own file index holds them.
     """
-    seen = [r["layout"] for r in detect_layouts(spark, path).select("layout").distinct().collect()]
+    found = detect_layouts(spark, path).coalesce(16).persist()   # a row a file; the text is scanned once
+    seen = [r["layout"] for r in found.select("layout").distinct().collect()]
     if len(seen) <= 1 and layout in ("auto", *seen):
+        found.unpersist()
         return read_text_records(spark, path, seen[0] if seen else "ndjson")
     files: dict[str, list[str]] = {}
-    for r in detect_layouts(spark, path).orderBy("file_path").collect():
+    for r in found.orderBy("file_path").collect():
         files.setdefault(r["layout"], []).append(r["file_path"])
+    found.unpersist()
     out = None
     for own, paths in sorted(files.items()):
         if layout in ("auto", own):
@@ -152,7 +157,8 @@ def one_object_array(value: Column, kind: str | T.DataType) -> Column:
 
 def one_object(array: Column, value: Column) -> Column:
     """The object that ``value`` is; null if it is not exactly one."""
-    whole = (F.size(array) == 2) & F.get(array, F.lit(1)).isNull() & value.rlike(r"\}\s*\z")
+    closed = F.rtrim(value, F.lit(" \t\n\x0b\f\r")).endswith("}")
+    whole = (F.size(array) == 2) & F.get(array, F.lit(1)).isNull() & closed
     return F.when(whole, F.get(array, F.lit(0)))
 
 

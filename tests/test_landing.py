@@ -278,3 +278,28 @@ def test_values_without_a_schema_are_repaired(spark):
     recs = LD.parse_records(spark.createDataFrame([(text,)], "value string"))
     out = NZ.normalize(recs, NZ.infer_plan(recs, array_fields={"tags"})).select(F.to_json(F.col("list")).alias("j")).first()["j"]
     assert json.loads(out) == [1, "t", None, "[2]", {"tags": [{"a": 1}], "x": {"y": {"tags": [], "Tags": [{"tags": {}}]}}, "e": {}, "n": None, "l": ["[1]"]}]
+
+
+def test_layouts_are_found_in_one_scan_without_a_sort(spark, tmp_dir, monkeypatch):
+    texts = {"a.json": '﻿  {"id": 1}\n{"id": 2}\n', "b.json": '[\n{"id": 3},\n{"id": 4}]', "c.json": '\n [{"id": 5}]', "d.json": "\n"}
+    for name, text in texts.items():
+        with open(os.path.join(tmp_dir, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    found = LD.detect_layouts(spark, tmp_dir)
+    assert {r["file_path"].rsplit("/", 1)[1]: r["layout"] for r in found.collect()} == {"a.json": "ndjson", "b.json": "streamed", "c.json": "whole"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    scans, detect = [], LD.detect_layouts
+    monkeypatch.setattr(LD, "detect_layouts", lambda *a: scans.append(a) or detect(*a))
+    assert LD.read_landed(spark, tmp_dir).count() == 5 and len(scans) == 1
+
+
+def test_tenant_of_each_folder_name(spark):
+    from ledgerline.plans import load_job as LJ
+    paths = ["/l/company_id=7/a", "/l/company_id=a%252Fb/a", "/l/company_id=a+b/a", "/l/company_id=__HIVE_DEFAULT_PARTITION__/a", "/l/a", "/l/company_id=a%2520c/a"]
+    files = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    own = LJ.tenant_names(files, "company_id")
+    assert [r[1] for r in own.collect()] == ["7", "a/b", "a+b", None, None, "a c"]
+    # Nothing is decoded that has nothing to decode.
+    plan = own._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RegExpExtract") + plan.count("regexp_extract") == 1
