@@ -56,7 +56,10 @@ def merge_batch(lines: DataFrame, schema: T.StructType, root: str, table: str, k
     (parsed.where("rec IS NULL").select("file_path", F.substring("value", 1, PREVIEW_CHARS).alias("preview"), name.alias("stream"))
      .write.mode("overwrite").parquet(f"{root.rstrip('/')}/{QUARANTINE}/table={table}/batch={_folder(token)}"))
     newest = latest_per_key(parsed.where("rec IS NOT NULL").select("rec.*"), keys, [order_col])
-    newest = PUB.with_bucket(newest, keys, buckets)
+    # So are the newest rows, which the buckets, the merge and the monitoring
+    # read: the keys are grouped once.
+    PUB.with_bucket(newest, keys, buckets).write.mode("overwrite").parquet(f"{path}_newest")
+    newest = spark.read.parquet(f"{path}_newest")
     touched = [r[0] for r in newest.select(PUB.BUCKET).distinct().collect()]   # at most ``buckets``
     if not touched:
         return

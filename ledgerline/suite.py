@@ -1041,6 +1041,7 @@ def q_log_events(spark, sf):
 
 
 # ============================================================ streaming
+DROP_ROWS = 4_000_000   # events in a landed file
 _EVENTS_DDL = "event_id bigint, ts string, user_id bigint, event_type string, value double"
 
 
@@ -1077,7 +1078,11 @@ def _streamed_events(spark, sf):
         F.col("event_id") % 50 == 0, F.regexp_replace(late, r"\}$", ",cut"))
     for drop in range(4):
         own = e.where(F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0)) == drop)
-        own.select(F.explode(F.filter(F.array(line, broken), lambda x: x.isNotNull())).alias("value")).write.mode("append").text(landing)
+        # A drop is a file of up to DROP_ROWS events, not one a scan task: the
+        # files make the batches, and each batch merges.
+        files = -(-max(1, own.count()) // DROP_ROWS)
+        own.select(F.explode(F.filter(F.array(line, broken), lambda x: x.isNotNull())).alias("value")) \
+            .repartition(files).write.mode("append").text(landing)
     schema = T._parse_datatype_string(_EVENTS_DDL)
     ST.run_landing_merge(spark, landing, schema, root, "events_latest", ["user_id", "event_type"], "ts",
                          fx.SYNCED_AT, ckpt, max_files_per_trigger=2)

@@ -66,3 +66,15 @@ def test_replayed_batch_does_nothing(spark, tmp_dir):
     assert PUB.read_published(spark, root, "t").count() == 1 and ST.quarantined(spark, root, "t").count() == 2
     mon = read_monitoring(spark, root).collect()
     assert [(r["actual_rows"], r["last_rows"], str(r["max_sync"])[:10]) for r in mon] == [(1, 1, "2025-01-02")]
+
+
+def test_drops_make_as_many_batches_at_any_number_of_scan_tasks(spark, tmp_dir):
+    from ledgerline import suite
+    events = spark.range(0, 600, 1, 6).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts",
+                                                  "id % 20 AS user_id", "'click' AS event_type", "double(id) AS value")
+    events.write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    assert spark.read.parquet(os.path.join(tmp_dir, "events.parquet")).rdd.getNumPartitions() > 1
+    root = suite._streamed_events(spark, tmp_dir)
+    assert PUB.tenant_versions(spark, root).agg(F.max("version")).first()[0] == 2   # four drops, two a batch
+    got = {r["user_id"]: r["event_id"] for r in PUB.read_published(spark, root, "events_latest").collect()}
+    assert got == {u: 580 + u for u in range(20)} and ST.quarantined(spark, root, "events_latest").count() == 12
